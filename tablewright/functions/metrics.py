@@ -49,9 +49,9 @@ def avg_dec(c: Column | str) -> Column:
     return F.avg(col(c).cast("double")).cast("decimal(10,2)")
 
 
-def avg_int(c: Column | str) -> Column:
-    """AVG over an INT column in T-SQL: the integer part, truncated."""
-    return F.avg(col(c)).cast("int")
+def avg_int(name: str) -> Column:
+    """AVG over an INT column in T-SQL: exact integer division of sum by count."""
+    return F.expr(f"sum({name}) div count({name})").cast("int")
 
 
 def share_of_total(count_col: str) -> Column:

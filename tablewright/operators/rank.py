@@ -1,14 +1,16 @@
-"""RANK() OVER (ORDER BY ...) over all rows, without a one-task window.
+"""RANK() OVER ([PARTITION BY p] ORDER BY k) over all rows, without one-task windows.
 
-``F.rank().over(Window.orderBy(k))`` sends every row to a single task. Rank is
-1 + the number of rows with a strictly better key, so it only needs the
-count per distinct key and a running total over the sorted distinct keys:
+``F.rank().over(Window.orderBy(k))`` sends every row to a single task, and
+``Window.partitionBy(p)`` sends every row of a hot ``p`` to one task. Rank is
+1 + the number of rows of the same ``p`` with a strictly better ``k``, so it
+only needs the row count per distinct (p, k) and a running total over them:
 
-1. count rows per key (partial aggregation before the shuffle);
-2. range-partition the distinct keys, take a running total inside each range
-   and add the totals of all earlier ranges (one small row per range);
-3. join the rank back on the key. Distinct keys are usually few, and AQE
-   turns this join into a broadcast at run time when the key table is small;
+1. count rows per (p, k) (partial aggregation before the shuffle);
+2. range-partition the distinct (p, k) by (p, k); inside each range take a
+   running total per ``p``, and add the totals of the same ``p`` in earlier
+   ranges (one small row per range and ``p``);
+3. join the rank back on (p, k). Distinct keys are usually few, and AQE turns
+   this join into a broadcast at run time when the key table is small;
    otherwise it stays a shuffle join whose hot keys AQE splits.
 """
 
@@ -24,22 +26,29 @@ def _sort_col(name: str, descending: bool) -> Column:
 
 
 def rank_table(counts: DataFrame, order: list[tuple[str, bool]], rank_col: str,
-               n_col: str = "_n", partitions: int | None = None) -> DataFrame:
-    """Rank distinct keys with row counts ``n_col`` by ``order`` (name, desc)."""
-    keys = [k for k, _ in order]
-    sort = [_sort_col(k, d) for k, d in order]
+               partition_by: list[str] = (), n_col: str = "_n",
+               partitions: int | None = None) -> DataFrame:
+    """Rank distinct keys carrying row counts ``n_col`` by ``order`` (name, desc)."""
+    part = list(partition_by)
+    keys = part + [k for k, _ in order]
+    sort = [F.col(p).asc() for p in part] + [_sort_col(k, d) for k, d in order]
     spark = counts.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (counts.repartitionByRange(parts, *sort)
               .withColumn("_pid", F.spark_partition_id()))
-    # One row per range: the number of rows in all earlier ranges.
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (ranged.groupBy("_pid").agg(F.sum(n_col).alias("_pn"))
+    # Rows of the same partition key in all earlier ranges.
+    before = (Window.partitionBy(*part).orderBy("_pid")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = (ranged.groupBy("_pid", *part).agg(F.sum(n_col).alias("_pn"))
                .withColumn("_off", F.coalesce(F.sum("_pn").over(before), F.lit(0)))
-               .select("_pid", "_off"))
-    inside = Window.partitionBy("_pid").orderBy(*sort).rowsBetween(
-        Window.unboundedPreceding, -1)
-    return (ranged.join(F.broadcast(offsets), "_pid")
+               .select(F.col("_pid").alias("_o_pid"),
+                       *[F.col(p).alias(f"_o_{i}") for i, p in enumerate(part)], "_off"))
+    inside = (Window.partitionBy("_pid", *part).orderBy(*sort[len(part):])
+              .rowsBetween(Window.unboundedPreceding, -1))
+    join_on = [F.col("_pid") == F.col("_o_pid")] + [
+        F.col(p).eqNullSafe(F.col(f"_o_{i}")) for i, p in enumerate(part)]
+    joined = ranged.join(offsets, join_on)
+    return (joined
             .withColumn(rank_col, (F.col("_off")
                                    + F.coalesce(F.sum(n_col).over(inside), F.lit(0))
                                    + F.lit(1)).cast("int"))
@@ -47,15 +56,15 @@ def rank_table(counts: DataFrame, order: list[tuple[str, bool]], rank_col: str,
 
 
 def global_rank(df: DataFrame, order: list[tuple[str, bool]], rank_col: str = "rank",
-                partitions: int | None = None) -> DataFrame:
-    """``df`` plus RANK() OVER (ORDER BY order) as ``rank_col`` (an int)."""
-    keys = [k for k, _ in order]
+                partition_by: list[str] = (), partitions: int | None = None) -> DataFrame:
+    """``df`` plus RANK() OVER (PARTITION BY .. ORDER BY ..) as ``rank_col`` (int)."""
+    keys = list(partition_by) + [k for k, _ in order]
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    ranks = rank_table(counts, order, rank_col, partitions=partitions).drop("_n")
-    ranks = ranks.select(*[F.col(k).alias(f"_rk_{k}") for k in keys], rank_col)
+    ranks = rank_table(counts, order, rank_col, partition_by, partitions=partitions)
+    ranks = ranks.select(*[F.col(k).alias(f"_rk_{i}") for i, k in enumerate(keys)], rank_col)
     cond = None
-    for k in keys:
-        c = df[k].eqNullSafe(ranks[f"_rk_{k}"])
+    for i, k in enumerate(keys):
+        c = df[k].eqNullSafe(ranks[f"_rk_{i}"])
         cond = c if cond is None else cond & c
     out = df.join(ranks, cond, "inner")
-    return out.drop(*[f"_rk_{k}" for k in keys])
+    return out.drop(*[f"_rk_{i}" for i in range(len(keys))])

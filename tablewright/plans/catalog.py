@@ -7,7 +7,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("hr",)
+MODULES = ("hr", "company")
 
 
 @lru_cache(maxsize=1)

@@ -112,18 +112,26 @@ SELECT user_id AS account_id, ts, event_id,
 FROM {events}
 """
 
-# Employee tables of the week 13-15 scripts. The reference has 9 + 3 inline
-# employees; on the test data one customer is one employee, a fifth of them
-# without a salary row, and suppliers plus every 40th customer form the
+# Employee tables of the week 13-15 scripts. The reference has 9 inline
+# employees, adds 3 more in week 14 (no salary rows for them) and keeps a
+# warehouse table that shares one row. On the test data one customer is one
+# employee: every 10th customer is added in week 14, a fifth of all customers
+# have no salary row, and suppliers plus every 40th customer form the
 # warehouse table (so UNION has duplicates to remove, NULL ages included).
-EMP_DEMOGRAPHICS = """
+_EMP_COLUMNS = """
 SELECT CAST(c_custkey AS int) AS EmployeeID,
        c_name AS FirstName,
        concat('L', CAST(c_custkey % 50 AS string)) AS LastName,
        CASE WHEN c_custkey % 23 = 0 THEN CAST(NULL AS int) ELSE CAST(22 + c_custkey % 41 AS int) END AS Age,
        CASE WHEN c_custkey % 31 = 0 THEN CAST(NULL AS string) WHEN c_nationkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS Gender
-FROM {customer}
-"""
+FROM {customer}"""
+
+EMP_DEMOGRAPHICS = _EMP_COLUMNS + "\nWHERE c_custkey % 10 <> 0\n"
+
+EMP_DEMOGRAPHICS_ADDED = _EMP_COLUMNS + "\nWHERE c_custkey % 10 = 0\n"
+
+# The week-14 UPDATE on the test data: one of the added employees.
+EMP_UPDATE_FIRST, EMP_UPDATE_LAST, EMP_UPDATE_AGE = "Customer#000000010", "L10", 31
 
 EMP_SALARY = """
 SELECT CAST(c_custkey AS int) AS EmployeeID,
@@ -158,6 +166,7 @@ RECIPES = {
     "movies_raw": MOVIES_RAW,
     "ledger_txns": LEDGER_TXNS,
     "emp_demographics": EMP_DEMOGRAPHICS,
+    "emp_demographics_added": EMP_DEMOGRAPHICS_ADDED,
     "emp_salary": EMP_SALARY,
     "emp_warehouse": EMP_WAREHOUSE,
 }
