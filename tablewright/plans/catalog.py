@@ -7,7 +7,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("hr", "company")
+MODULES = ("hr", "company", "retail")
 
 
 @lru_cache(maxsize=1)
