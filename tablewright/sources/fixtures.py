@@ -192,9 +192,10 @@ def duckdb_sql(name: str) -> str:
     return text.replace("`", '"').strip()
 
 
-def duckdb_with(names: list[str] | tuple[str, ...], body: str, extra: str = "") -> str:
+def duckdb_with(names: list[str] | tuple[str, ...], body: str, extra: str = "",
+                recursive: bool = False) -> str:
     """``WITH name AS (recipe), ..., extra CTEs body`` for the oracle."""
     ctes = ",\n".join(f"{n} AS (\n{duckdb_sql(n)}\n)" for n in names)
     if extra:
         ctes = f"{ctes},\n{extra.strip()}"
-    return f"WITH {ctes}\n{body}"
+    return f"WITH {'RECURSIVE ' if recursive else ''}{ctes}\n{body}"
