@@ -7,7 +7,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("hr", "company", "retail", "notebook", "ledger")
+MODULES = ("hr", "company", "retail", "notebook", "ledger", "sources")
 
 
 @lru_cache(maxsize=1)
