@@ -49,49 +49,72 @@ def outcome_of(txn_type: str, amount_cents, network_choice, balance_cents: int)
     return ACCEPTED
 
 
+def _values(pdf: pd.DataFrame, col: str) -> list:
+    s = pdf[col]
+    return s.astype("object").where(s.notna(), None).tolist()
+
+
+def apply_rows(pdf: pd.DataFrame, state, start_state) -> tuple[pd.DataFrame, tuple]:
+    """Fold rows already in (account, ts, event_id) order.
+
+    ``state`` is (account, balance_cents, accepted) carried in from earlier
+    rows; ``start_state(account)`` gives the state of an account seen first.
+    Returns the rows with outcome / balance_cents / accepted_no, and the state.
+    """
+    account, balance, accepted = state
+    outcomes, balances, numbers = [], [], []
+    for acc, typ, amt, net in zip(pdf["account_id"].tolist(), pdf["txn_type"].tolist(),
+                                  _values(pdf, "amount_cents"), _values(pdf, "network_choice")):
+        if acc != account:
+            account, (balance, accepted) = acc, start_state(acc)
+        out = outcome_of(typ, amt, net, balance)
+        number = None
+        if out == ACCEPTED:
+            balance = balance + amt if typ == DEPOSIT else balance - amt
+            accepted += 1
+            number = accepted
+        outcomes.append(out)
+        balances.append(balance)
+        numbers.append(number)
+    pdf = pdf.assign(outcome=outcomes, balance_cents=balances,
+                     accepted_no=pd.array(numbers, dtype="Int32"))
+    return pdf, (account, balance, accepted)
+
+
 def _fold(opening_cents: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        account, balance, accepted = None, opening_cents, 0
+        state = (None, opening_cents, 0)
         for pdf in batches:
-            accounts = pdf["account_id"].tolist()
-            types = pdf["txn_type"].tolist()
-            amounts = pdf["amount_cents"].astype("object").where(
-                pdf["amount_cents"].notna(), None).tolist()
-            networks = pdf["network_choice"].astype("object").where(
-                pdf["network_choice"].notna(), None).tolist()
-            outcomes, balances, numbers = [], [], []
-            for acc, typ, amt, net in zip(accounts, types, amounts, networks):
-                if acc != account:
-                    account, balance, accepted = acc, opening_cents, 0
-                out = outcome_of(typ, amt, net, balance)
-                number = None
-                if out == ACCEPTED:
-                    balance = balance + amt if typ == DEPOSIT else balance - amt
-                    accepted += 1
-                    number = accepted
-                outcomes.append(out)
-                balances.append(balance)
-                numbers.append(number)
-            pdf = pdf.assign(outcome=outcomes, balance_cents=balances,
-                             accepted_no=pd.array(numbers, dtype="Int32"))
+            pdf, state = apply_rows(pdf, state, lambda _acc: (opening_cents, 0))
             yield pdf
     return run
 
 
+def cents(opening_balance: str) -> int:
+    return int(round(float(opening_balance) * 100))
+
+
+def fold_input(txns: DataFrame) -> DataFrame:
+    """The columns the fold reads, amounts in integer cents."""
+    return txns.select(
+        "account_id", "ts", "event_id", "txn_type",
+        (F.col("amount") * 100).cast("long").alias("amount_cents"),
+        F.col("network_choice").cast("int").alias("network_choice"))
+
+
 def fold(txns: DataFrame, opening_balance: str, partitions: int | None = None) -> DataFrame:
     """Outcome, balance after, and accepted number of every transaction.
 
     ``txns``: account_id, ts, event_id, txn_type, amount (decimal), network_choice.
     """
     n = partitions or int(txns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    opening_cents = int(round(float(opening_balance) * 100))
-    rows = txns.select(
-        "account_id", "ts", "event_id", "txn_type",
-        (F.col("amount") * 100).cast("long").alias("amount_cents"),
-        F.col("network_choice").cast("int").alias("network_choice"))
-    ordered = (rows.repartition(n, "account_id")
+    ordered = (fold_input(txns).repartition(n, "account_id")
                .sortWithinPartitions("account_id", "ts", "event_id"))
-    folded = ordered.mapInPandas(_fold(opening_cents), schema=FOLD_SCHEMA)
+    folded = ordered.mapInPandas(_fold(cents(opening_balance)), schema=FOLD_SCHEMA)
+    return from_cents(folded)
+
+
+def from_cents(folded: DataFrame) -> DataFrame:
     return folded.select(
         "account_id", "ts", "event_id", "txn_type",
         cents_to_money("amount_cents", "decimal(12,2)").alias("amount"),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ledger as L
 from ..sources import fixtures
+from ..streaming.ledger_stream import ledger_stream
 from .cache import cached
 
 OPENING = fixtures.LEDGER_OPENING_BALANCE
@@ -30,6 +31,8 @@ REPORTS = {
     "ledger_balance": lambda s, d: L.final_balances(folded(s, d)),
     "ledger_history": lambda s, d: L.history(folded(s, d), L.network_table(s)),
     "ledger_network_check": lambda s, d: L.network_check(txns(s, d), L.network_table(s)),
+    # The streaming ledger must reproduce the batch outcomes row for row.
+    "ledger_stream": ledger_stream,
 }
 
 
@@ -81,6 +84,7 @@ _DESC = ("CASE WHEN txn_type = 'deposit' THEN 'Deposited ' || " + _money("amount
 
 ORACLE = {
     "ledger_outcomes": "SELECT * FROM outcomes",
+    "ledger_stream": "SELECT * FROM outcomes",
     "ledger_balance": "SELECT account_id, COUNT(*) AS transactions, "
                       "COUNT(CASE WHEN outcome = 'accepted' THEN 1 END) AS accepted, "
                       "arg_max(balance, (ts, event_id)) AS balance, "
