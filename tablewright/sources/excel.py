@@ -121,7 +121,8 @@ def read_excel(spark: SparkSession, path: str, columns: list[str], sheet: int =
     rows = files.select("path", "content").mapInPandas(
         _parse(sheet), "path string, row int, cells array<string>")
     body = rows.filter(F.col("row") > 0)
-    return body.select(*[F.col("cells").getItem(i).alias(c) for i, c in enumerate(columns)])
+    # Trailing empty cells are not stored, so short rows read as NULL there.
+    return body.select(*[F.get("cells", i).alias(c) for i, c in enumerate(columns)])
 
 
 # ------------------------------------------------------------------ writer
