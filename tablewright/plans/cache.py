@@ -1,31 +1,54 @@
 """Reuse of derived tables across reports (the reference's SELECT INTO / temp table).
 
-A derived table that many reports read is built once per session and input
-and persisted with MEMORY_AND_DISK: partitions that do not fit spill to local
-disk, and partitions lost with an executor are recomputed from lineage.
+A derived table that many reports read is built once per session and input.
+Two ways, chosen by the session setting ``tablewright.materialize``:
+
+* ``cache`` (default): persisted MEMORY_AND_DISK; partitions that do not fit
+  spill to local disk, partitions lost with an executor are recomputed from
+  lineage, and the key layout of the table (e.g. hash-partitioned by
+  OrderID) is kept for later joins.
+* ``table``: written as parquet under the cluster's shared folder
+  (``spark.checkpoint.dir``) and read back. This cuts the lineage, survives
+  lost executors without recomputation, and is the form for tables far
+  larger than the cluster's memory.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import shared_dir
+
+MODE_CONF = "tablewright.materialize"
+
 _TABLES: dict[tuple, DataFrame] = {}
 
 
 def cached(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
-    full = (spark.sparkContext.applicationId,) + tuple(key)
+    mode = spark.conf.get(MODE_CONF, "cache")
+    full = (spark.sparkContext.applicationId, mode) + tuple(key)
     df = _TABLES.get(full)
-    if df is None or df.sparkSession is not spark:
+    if df is not None and df.sparkSession is spark:
+        return df
+    if mode == "table":
+        name = hashlib.sha1(repr(full).encode()).hexdigest()[:16]
+        path = f"{shared_dir(spark)}/tables/{key[0]}-{name}"
+        build().write.mode("overwrite").parquet(path)
+        df = spark.read.parquet(path)
+    else:
         df = build().persist(StorageLevel.MEMORY_AND_DISK)
-        _TABLES[full] = df
+    _TABLES[full] = df
     return df
 
 
 def release(spark: SparkSession | None = None) -> None:
-    """Unpersist every table this module cached (for the given session)."""
+    """Forget (and unpersist) every table this module holds for the session."""
     for full in list(_TABLES):
         if spark is None or full[0] == spark.sparkContext.applicationId:
-            _TABLES.pop(full).unpersist()
+            df = _TABLES.pop(full)
+            if df.is_cached:
+                df.unpersist()

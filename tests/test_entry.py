@@ -39,3 +39,15 @@ def test_query_matches_oracle(spark, con, key):
     dkinds = {c: kind(str(t)) for c, t in zip(rel.columns, rel.types)}
     assert skinds == dkinds
     assert rows_of(df.columns, rows) == rows_of(rel.columns, rel.fetchall())
+
+
+def test_table_materialization_gives_same_results(spark):
+    from tablewright.plans import cache
+    keys = ["hr_dept_attrition", "profit_by_product", "population_clean", "ledger_balance"]
+    before = {k: sorted(entry.queries()[k](spark, SF).collect()) for k in keys}
+    spark.conf.set(cache.MODE_CONF, "table")
+    try:
+        after = {k: sorted(entry.queries()[k](spark, SF).collect()) for k in keys}
+    finally:
+        spark.conf.unset(cache.MODE_CONF)
+    assert before == after
