@@ -42,6 +42,23 @@ def semi_in(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     return df.join(keys.select(on).filter(F.col(on).isNotNull()), on, "left_semi")
 
 
+def temp_table(df: DataFrame, name: str) -> DataFrame:
+    """DROP TABLE IF EXISTS #name; CREATE ...; INSERT ... SELECT: a cached temp view.
+
+    Re-registering replaces the previous contents; the returned DataFrame is
+    bound to this contents even if the name is registered again later.
+    """
+    df.persist()
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
+
+
+def view(df: DataFrame, name: str) -> DataFrame:
+    """CREATE OR ALTER VIEW name AS ...: a temp view (no data stored), then read it."""
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
+
+
 def union_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
     """UNION: duplicates removed, NULLs compare equal."""
     return a.unionByName(b).distinct()

@@ -76,10 +76,11 @@ def age_category(df: DataFrame) -> DataFrame:
 
 def job_summary(c: Company) -> DataFrame:
     """#TempEmployee: employees, INT average age and salary per job title."""
-    return (joined(c, c.state15()).groupBy(F.col("s.JobTitle").alias("JobTitle"))
-            .agg(F.count(F.lit(1)).cast("int").alias("EmployeesPerJob"),
-                 avg_int("d.Age").alias("AvgAge"),
-                 avg_int("s.Salary").alias("AvgSalary")))
+    summary = (joined(c, c.state15()).groupBy(F.col("s.JobTitle").alias("JobTitle"))
+               .agg(F.count(F.lit(1)).cast("int").alias("EmployeesPerJob"),
+                    avg_int("d.Age").alias("AvgAge"),
+                    avg_int("s.Salary").alias("AvgSalary")))
+    return R.temp_table(summary, "TempEmployee")
 
 
 STATEMENTS = {

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import normalize as N
 from ..operators import quality as Q
+from ..operators import relational as R
 from ..sources import fixtures
 from ..session import scratch_path
 from .cache import cached
@@ -102,8 +103,7 @@ def profit_by_product(m: N.Normalized) -> DataFrame:
             .agg(F.sum(q).alias("TotalQuantitySold"),
                  F.sum(q * r).alias("TotalRevenue"),
                  F.sum(q * c).alias("TotalCost"),
-                 F.sum(q * (r - c)).alias("EstimatedProfit"))
-            .orderBy(F.col("EstimatedProfit").desc()))
+                 F.sum(q * (r - c)).alias("EstimatedProfit")))
 
 
 def year_partition(date_col: str, edges) -> F.Column:
@@ -132,8 +132,36 @@ def revenue_by_customer(m: N.Normalized) -> DataFrame:
     return (c.join(o, F.col("C.CustomerID") == F.col("O.CustomerID"))
             .groupBy(F.col("C.CustomerName").alias("CustomerName"))
             .agg(F.count("O.OrderID").alias("TotalOrders"),
-                 F.sum("O.OrderTotal").alias("TotalRevenue"))
-            .orderBy(F.col("TotalRevenue").desc()))
+                 F.sum("O.OrderTotal").alias("TotalRevenue")))
+
+
+def quantity_by_product(m: N.Normalized) -> DataFrame:
+    return (product_sales(m).groupBy(F.col("P.CookieName").alias("CookieName"))
+            .agg(F.sum("OD.Quantity").alias("TotalQuantitySold")))
+
+
+def monthly_revenue(m: N.Normalized) -> DataFrame:
+    return (m.orders.groupBy(F.year("OrderDate").alias("OrderYear"),
+                             F.month("OrderDate").alias("OrderMonth"))
+            .agg(F.sum("OrderTotal").alias("MonthlyRevenue")))
+
+
+# The reporting views: (view name, definition, order used when reading it).
+VIEWS = {
+    "revenue_by_customer": ("vw_TotalRevenueByCustomer", revenue_by_customer,
+                            [F.desc("TotalRevenue")]),
+    "quantity_by_product": ("vw_TotalQuantitySoldByProduct", quantity_by_product,
+                            [F.desc("TotalQuantitySold")]),
+    "monthly_revenue": ("vw_MonthlyRevenueTrend", monthly_revenue,
+                        [F.asc("OrderYear"), F.asc("OrderMonth")]),
+    "profit_by_product": ("vw_EstimatedProfitByProduct", lambda m: profit_by_product(m),
+                          [F.desc("EstimatedProfit")]),
+}
+
+
+def read_view(key: str):
+    name, definition, order = VIEWS[key]
+    return lambda s, m: R.view(definition(m), name).orderBy(*order)
 
 
 REPORTS = {
@@ -155,21 +183,14 @@ REPORTS = {
         .select("O.OrderID", "O.OrderDate", "C.CustomerName", "C.Phone", "O.OrderTotal")
         .orderBy("OrderDate")),
     "order_breakdown": lambda s, m: order_breakdown(m),
-    "revenue_by_customer": lambda s, m: revenue_by_customer(m),
-    "quantity_by_product": lambda s, m: (
-        product_sales(m).groupBy(F.col("P.CookieName").alias("CookieName"))
-        .agg(F.sum("OD.Quantity").alias("TotalQuantitySold"))
-        .orderBy(F.col("TotalQuantitySold").desc())),
-    "profit_by_product": lambda s, m: profit_by_product(m),
+    "revenue_by_customer": read_view("revenue_by_customer"),
+    "quantity_by_product": read_view("quantity_by_product"),
+    "profit_by_product": read_view("profit_by_product"),
     "orders_in_february": lambda s, m: (
         m.orders.filter((F.col("OrderDate") >= F.lit(MONTH_START))
                         & (F.col("OrderDate") < F.lit(MONTH_END)))
         .select(*N.ORDER_COLUMNS).orderBy("OrderDate")),
-    "monthly_revenue": lambda s, m: (
-        m.orders.groupBy(F.year("OrderDate").alias("OrderYear"),
-                         F.month("OrderDate").alias("OrderMonth"))
-        .agg(F.sum("OrderTotal").alias("MonthlyRevenue"))
-        .orderBy("OrderYear", "OrderMonth")),
+    "monthly_revenue": read_view("monthly_revenue"),
     "order_year_partition": lambda s, m: m.orders.select(
         "OrderID", "OrderDate", year_partition("OrderDate", YEAR_EDGES).alias("PartitionNumber")),
     "orders_year_pruned": lambda s, m: orders_pruned(s, m),
