@@ -149,19 +149,20 @@ def monthly_revenue(m: N.Normalized) -> DataFrame:
 # The reporting views: (view name, definition, order used when reading it).
 VIEWS = {
     "revenue_by_customer": ("vw_TotalRevenueByCustomer", revenue_by_customer,
-                            [F.desc("TotalRevenue")]),
+                            [("TotalRevenue", True)]),
     "quantity_by_product": ("vw_TotalQuantitySoldByProduct", quantity_by_product,
-                            [F.desc("TotalQuantitySold")]),
+                            [("TotalQuantitySold", True)]),
     "monthly_revenue": ("vw_MonthlyRevenueTrend", monthly_revenue,
-                        [F.asc("OrderYear"), F.asc("OrderMonth")]),
+                        [("OrderYear", False), ("OrderMonth", False)]),
     "profit_by_product": ("vw_EstimatedProfitByProduct", lambda m: profit_by_product(m),
-                          [F.desc("EstimatedProfit")]),
+                          [("EstimatedProfit", True)]),
 }
 
 
 def read_view(key: str):
     name, definition, order = VIEWS[key]
-    return lambda s, m: R.view(definition(m), name).orderBy(*order)
+    return lambda s, m: R.view(definition(m), name).orderBy(
+        *[F.desc(c) if d else F.asc(c) for c, d in order])
 
 
 REPORTS = {
