@@ -180,8 +180,12 @@ def workbook_bytes(header: list[str], rows: list[list], sheet: str = "Sheet1") -
     return buf.getvalue()
 
 
-def write_excel(df: DataFrame, folder: str, partitions: int = 4, sheet: str = "Sheet1") -> None:
-    """One workbook per partition under ``folder`` (a path all executors share)."""
+def write_excel(df: DataFrame, folder: str, partitions: int | None = None,
+                sheet: str = "Sheet1") -> None:
+    """One workbook per input partition under ``folder`` (a path all executors share).
+
+    A workbook holds one partition's rows (``partitions`` re-splits first).
+    """
     header = df.columns
     os.makedirs(folder, exist_ok=True)
 
@@ -196,4 +200,6 @@ def write_excel(df: DataFrame, folder: str, partitions: int = 4, sheet: str = "S
                 f.write(workbook_bytes(header, rows, sheet))
         yield pd.DataFrame({"rows": [len(rows)]})
 
-    df.repartition(partitions).mapInPandas(run, "rows long").agg(F.sum("rows")).collect()
+    if partitions:
+        df = df.repartition(partitions)
+    df.mapInPandas(run, "rows long").agg(F.sum("rows")).collect()

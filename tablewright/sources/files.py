@@ -79,8 +79,13 @@ def read_keyed_json(spark: SparkSession, path: str, key_column: str,
                         *[F.col("attrs").getItem(a).alias(a) for a in attributes])
 
 
-def write_keyed_json(df: DataFrame, path: str, key_column: str, partitions: int = 4) -> None:
-    """One keyed JSON document per output file (used to build test inputs)."""
+def write_keyed_json(df: DataFrame, path: str, key_column: str,
+                     partitions: int | None = None) -> None:
+    """One keyed JSON document per input partition, one file each (builds test inputs).
+
+    A document holds one partition's rows, so its size is bounded by the
+    partition size (``partitions`` re-splits the input first).
+    """
     names = df.columns
     key_at = names.index(key_column)
     df = df.toDF(*[f"_c{i}" for i in range(len(names))])  # "Rating" and "rating" may both occur
@@ -90,7 +95,9 @@ def write_keyed_json(df: DataFrame, path: str, key_column: str, partitions: int
             pairs += [F.lit(a), F.col(f"_c{i}").cast("string")]
     entry = F.to_json(F.create_map(F.col(f"_c{key_at}"), F.create_map(*pairs)))
     inner = F.regexp_replace(entry, r"^\{|\}$", "")
-    (df.repartition(partitions).select(F.spark_partition_id().alias("part"), inner.alias("e"))
+    if partitions:
+        df = df.repartition(partitions)
+    (df.select(F.spark_partition_id().alias("part"), inner.alias("e"))
      .groupBy("part")
      .agg(F.concat(F.lit("[{"), F.array_join(F.collect_list("e"), ","), F.lit("}]"))
           .alias("value"))

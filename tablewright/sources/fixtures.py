@@ -113,11 +113,12 @@ FROM {events}
 """
 
 # Employee tables of the week 13-15 scripts. The reference has 9 inline
-# employees, adds 3 more in week 14 (no salary rows for them) and keeps a
-# warehouse table that shares one row. On the test data one customer is one
-# employee: every 10th customer is added in week 14, a fifth of all customers
-# have no salary row, and suppliers plus every 40th customer form the
-# warehouse table (so UNION has duplicates to remove, NULL ages included).
+# employees, all with a salary row, adds 3 more in week 14 (no salary rows)
+# and keeps a warehouse table that shares a row with them. On the test data
+# one customer is one employee: customers with a non-negative account balance
+# are the first hires (each with a salary row), customers with a negative
+# balance are added in week 14, and suppliers plus the added employees below
+# -500 form the warehouse table (so UNION has duplicates to remove).
 _EMP_COLUMNS = """
 SELECT CAST(c_custkey AS int) AS EmployeeID,
        c_name AS FirstName,
@@ -126,11 +127,11 @@ SELECT CAST(c_custkey AS int) AS EmployeeID,
        CASE WHEN c_custkey % 31 = 0 THEN CAST(NULL AS string) WHEN c_nationkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS Gender
 FROM {customer}"""
 
-EMP_DEMOGRAPHICS = _EMP_COLUMNS + "\nWHERE c_custkey % 10 <> 0\n"
+EMP_DEMOGRAPHICS = _EMP_COLUMNS + "\nWHERE c_acctbal >= 0\n"
 
-EMP_DEMOGRAPHICS_ADDED = _EMP_COLUMNS + "\nWHERE c_custkey % 10 = 0\n"
+EMP_DEMOGRAPHICS_ADDED = _EMP_COLUMNS + "\nWHERE c_acctbal < 0\n"
 
-# The week-14 UPDATE on the test data: one of the added employees.
+# The week-14 UPDATE on the test data.
 EMP_UPDATE_FIRST, EMP_UPDATE_LAST, EMP_UPDATE_AGE = "Customer#000000010", "L10", 31
 
 EMP_SALARY = """
@@ -138,7 +139,7 @@ SELECT CAST(c_custkey AS int) AS EmployeeID,
        c_mktsegment AS JobTitle,
        CAST(30000 + (c_custkey * 37 % 71) * 500 AS int) AS Salary
 FROM {customer}
-WHERE c_custkey % 5 <> 0
+WHERE c_acctbal >= 0
 """
 
 EMP_WAREHOUSE = """
@@ -149,14 +150,7 @@ SELECT CAST(100000000 + s_suppkey AS int) AS EmployeeID,
        CASE WHEN s_nationkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS Gender
 FROM {supplier}
 UNION ALL
-SELECT CAST(c_custkey AS int) AS EmployeeID,
-       c_name AS FirstName,
-       concat('L', CAST(c_custkey % 50 AS string)) AS LastName,
-       CASE WHEN c_custkey % 23 = 0 THEN CAST(NULL AS int) ELSE CAST(22 + c_custkey % 41 AS int) END AS Age,
-       CASE WHEN c_custkey % 31 = 0 THEN CAST(NULL AS string) WHEN c_nationkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS Gender
-FROM {customer}
-WHERE c_custkey % 40 = 0
-"""
+""" + _EMP_COLUMNS + "\nWHERE c_acctbal < -500\n"
 
 RECIPES = {
     "hr_data": RAW_HR,
