@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .rank import rank_table
+from .stats import exact_medians
 
 # Python's str.strip() removes every character for which str.isspace() holds.
 PY_WHITESPACE = "".join(ch for ch in map(chr, range(sys.maxunicode + 1)) if ch.isspace())
@@ -133,30 +133,6 @@ def replace_with_null(c: Column, values: list) -> Column:
     return F.when(c.isin(values), F.lit(None)).otherwise(c)
 
 
-def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row: pandas' median (mean of the two middle values) of each column.
-
-    All columns in one distributed pass: unpivot to (column, value), count
-    rows per distinct value, give each value its first position with the
-    range-partitioned running total per column, keep the (at most two)
-    values per column that cover the middle positions. No task ever holds
-    a whole column, and a column of only missing values gives NULL.
-    """
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"), q(c).cast("double").alias("v")) for c in columns]))
-        .alias("cv")).select("cv.c", "cv.v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    counts = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("_n"))
-    first_pos = rank_table(counts, [("v", False)], "_pos", partition_by=["c"])
-    totals = counts.groupBy(F.col("c").alias("_tc")).agg(F.sum("_n").alias("_total"))
-    lo = F.floor((F.col("_total") - 1) / 2) + 1
-    hi = F.floor(F.col("_total") / 2) + 1
-    middle = (first_pos.join(F.broadcast(totals), F.col("c") == F.col("_tc"))
-              .filter((F.col("_pos") <= hi) & (F.col("_pos") + F.col("_n") > lo)))
-    per_column = middle.groupBy("c").agg(((F.min("v") + F.max("v")) / 2).alias("m"))
-    return per_column.agg(*[F.max(F.when(F.col("c") == c, F.col("m"))).alias(c)
-                            for c in columns])
-
-
 def exact_median(df: DataFrame, column: str) -> DataFrame:
     """One row, one column ``median`` (see ``exact_medians``)."""
     return exact_medians(df, [column]).select(F.col(f"`{column}`").alias("median"))

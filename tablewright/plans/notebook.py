@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cleaning as C
 from ..operators import quality as Q
+from ..operators import stats as S
 from ..sources import fixtures
 from .cache import cached
 
@@ -133,28 +134,6 @@ def quality_missing(spark, sf_dir) -> DataFrame:
     return out
 
 
-def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """df.describe() as rows: count, mean, std (n-1), min, quartiles, max per column.
-
-    Exact quartiles with linear interpolation, like pandas; all columns in one
-    aggregate pass, then unpivoted.
-    """
-    aggs = []
-    for c in columns:
-        v = F.col(c).cast("double")
-        aggs += [F.count(v).alias(f"{c}__count"), F.avg(v).alias(f"{c}__mean"),
-                 F.stddev_samp(v).alias(f"{c}__std"), F.min(v).alias(f"{c}__min"),
-                 F.percentile(v, 0.25).alias(f"{c}__p25"),
-                 F.percentile(v, 0.5).alias(f"{c}__p50"),
-                 F.percentile(v, 0.75).alias(f"{c}__p75"), F.max(v).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    stats = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
-    rows = [F.struct(F.lit(c).alias("column_name"),
-                     *[F.col(f"{c}__{s}").cast("double").alias(s) for s in stats])
-            for c in columns]
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-
-
 TXN_NUMERIC = ["account_id", "event_id", "amount", "network_choice"]
 
 
@@ -212,7 +191,7 @@ REPORTS = {
         F.bround(F.avg("tomato_score"), 2).alias("average_tomato_score"),
         F.bround(F.avg("popcorn_score"), 2).alias("average_popcorn_score")),
     "txn_head": lambda s, d: ledger_txns(s, d).orderBy("ts", "event_id").limit(5),
-    "txn_describe": lambda s, d: describe(ledger_txns(s, d), TXN_NUMERIC),
+    "txn_describe": lambda s, d: S.describe(ledger_txns(s, d), TXN_NUMERIC),
     "txn_totals": lambda s, d: ledger_txns(s, d).agg(
         F.sum("amount").alias("total_amount"),
         F.avg(F.col("amount").cast("double")).alias("average_amount"),

@@ -4,7 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 from tablewright.operators import ledger as L
-from tablewright.plans import notebook as NB
+from tablewright.operators import stats as S
 
 SCHEMA = ("account_id long, ts timestamp_ntz, event_id long, txn_type string, "
           "amount decimal(12,2), network_choice int")
@@ -52,7 +52,7 @@ def test_stream_equals_batch(spark):
 def test_describe_inline_sample(spark):
     df = spark.createDataFrame([(101, 50000), (102, 15000), (103, 2000), (104, 10000),
                                 (105, 30000)], "Customer_ID int, Amount int")
-    r = NB.describe(df, ["Amount"]).first()
+    r = S.describe(df, ["Amount"]).first()
     assert (r["count"], r["mean"], r["min"], r["p25"], r["p50"], r["p75"], r["max"]) == (
         5, 21400, 2000, 10000, 15000, 30000, 50000)
     assert abs(r["std"] - 18968.395) < 1e-3
