@@ -143,9 +143,11 @@ def fill_median(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     cols = [c for c in df.columns if c in set(numeric_columns(df) if columns is None else columns)]
     if not cols:
         return df
-    medians = exact_medians(df, cols)
+    # One scalar subquery (a struct of all medians), evaluated once and reused.
+    medians = exact_medians(df, cols).select(
+        F.struct(*[q(c).alias(f"m{i}") for i, c in enumerate(cols)])).scalar()
     return df.select(*[
-        F.coalesce(q(c).cast("double"), medians.select(q(c)).scalar()).alias(c)
+        F.coalesce(q(c).cast("double"), medians.getField(f"m{cols.index(c)}")).alias(c)
         if c in cols else q(c) for c in df.columns])
 
 
