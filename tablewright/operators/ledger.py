@@ -107,9 +107,11 @@ def fold(txns: DataFrame, opening_balance: str, partitions: int | None = None) -
 
     ``txns``: account_id, ts, event_id, txn_type, amount (decimal), network_choice.
     """
-    n = partitions or int(txns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (fold_input(txns).repartition(n, "account_id")
-               .sortWithinPartitions("account_id", "ts", "event_id"))
+    rows = fold_input(txns)
+    # Without a fixed count AQE may merge small account partitions.
+    rows = rows.repartition(partitions, "account_id") if partitions else rows.repartition(
+        "account_id")
+    ordered = rows.sortWithinPartitions("account_id", "ts", "event_id")
     folded = ordered.mapInPandas(_fold(cents(opening_balance)), schema=FOLD_SCHEMA)
     return from_cents(folded)
 
