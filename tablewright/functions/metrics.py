@@ -39,6 +39,11 @@ def count_if(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
 
 
+def sum_decimal(c: Column | str, scale: int = 2) -> Column:
+    """SUM over a DECIMAL(p, s) expression, typed DECIMAL(38, s) as T-SQL types it."""
+    return F.sum(col(c)).cast(f"decimal(38,{scale})")
+
+
 def pct(num: Column | str, den: Column | str) -> Column:
     """CAST(num * 100.0 / den AS DECIMAL(10,2))."""
     return (col(num) * F.lit(Decimal("100.0")) / col(den)).cast("decimal(10,2)")

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.metrics import sum_decimal
 from ..operators import cleaning as C
 from ..operators import quality as Q
 from ..operators import stats as S
@@ -193,7 +194,7 @@ REPORTS = {
     "txn_head": lambda s, d: ledger_txns(s, d).orderBy("ts", "event_id").limit(5),
     "txn_describe": lambda s, d: S.describe(ledger_txns(s, d), TXN_NUMERIC),
     "txn_totals": lambda s, d: ledger_txns(s, d).agg(
-        F.sum("amount").alias("total_amount"),
+        sum_decimal("amount").alias("total_amount"),
         F.avg(F.col("amount").cast("double")).alias("average_amount"),
         F.max("amount").alias("highest_amount"),
         F.min("amount").alias("lowest_amount")),

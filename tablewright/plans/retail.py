@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.metrics import sum_decimal
 from ..operators import normalize as N
 from ..operators import quality as Q
 from ..operators import relational as R
@@ -101,9 +102,9 @@ def profit_by_product(m: N.Normalized) -> DataFrame:
     q, r, c = F.col("OD.Quantity"), F.col("P.RevenuePerCookie"), F.col("P.CostPerCookie")
     return (product_sales(m).groupBy(F.col("P.CookieName").alias("CookieName"))
             .agg(F.sum(q).alias("TotalQuantitySold"),
-                 F.sum(q * r).alias("TotalRevenue"),
-                 F.sum(q * c).alias("TotalCost"),
-                 F.sum(q * (r - c)).alias("EstimatedProfit")))
+                 sum_decimal(q * r).alias("TotalRevenue"),
+                 sum_decimal(q * c).alias("TotalCost"),
+                 sum_decimal(q * (r - c)).alias("EstimatedProfit")))
 
 
 def year_partition(date_col: str, edges) -> F.Column:
@@ -132,7 +133,7 @@ def revenue_by_customer(m: N.Normalized) -> DataFrame:
     return (c.join(o, F.col("C.CustomerID") == F.col("O.CustomerID"))
             .groupBy(F.col("C.CustomerName").alias("CustomerName"))
             .agg(F.count("O.OrderID").alias("TotalOrders"),
-                 F.sum("O.OrderTotal").alias("TotalRevenue")))
+                 sum_decimal("O.OrderTotal").alias("TotalRevenue")))
 
 
 def quantity_by_product(m: N.Normalized) -> DataFrame:
@@ -143,7 +144,7 @@ def quantity_by_product(m: N.Normalized) -> DataFrame:
 def monthly_revenue(m: N.Normalized) -> DataFrame:
     return (m.orders.groupBy(F.year("OrderDate").alias("OrderYear"),
                              F.month("OrderDate").alias("OrderMonth"))
-            .agg(F.sum("OrderTotal").alias("MonthlyRevenue")))
+            .agg(sum_decimal("OrderTotal").alias("MonthlyRevenue")))
 
 
 # The reporting views: (view name, definition, order used when reading it).

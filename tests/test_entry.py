@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from scripts.oracle_check import kind, rows_of
+from scripts.oracle_check import rows_of, strict
 from tablewright.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -35,9 +35,9 @@ def test_query_matches_oracle(spark, con, key):
     rows = df.collect()
     rel = con.sql(entry.oracle_sql()[key])
     assert sorted(df.columns) == sorted(rel.columns)
-    skinds = {f.name: kind(f.dataType.simpleString()) for f in df.schema.fields}
-    dkinds = {c: kind(str(t)) for c, t in zip(rel.columns, rel.types)}
-    assert skinds == dkinds
+    stypes = {f.name: strict(f.dataType.simpleString()) for f in df.schema.fields}
+    dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert stypes == dtypes
     assert rows_of(df.columns, rows) == rows_of(rel.columns, rel.fetchall())
 
 
