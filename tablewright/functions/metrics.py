@@ -44,6 +44,19 @@ def sum_decimal(c: Column | str, scale: int = 2) -> Column:
     return F.sum(col(c)).cast(f"decimal(38,{scale})")
 
 
+# Floating means are reported to this many decimals (what the notebook shows);
+# beyond that their last bits depend on the order rows were summed in.
+FLOAT_DECIMALS = 6
+
+
+def mean(c: Column | str) -> Column:
+    return F.round(F.avg(col(c).cast("double")), FLOAT_DECIMALS)
+
+
+def std(c: Column | str) -> Column:
+    return F.round(F.stddev_samp(col(c).cast("double")), FLOAT_DECIMALS)
+
+
 def pct(num: Column | str, den: Column | str) -> Column:
     """CAST(num * 100.0 / den AS DECIMAL(10,2))."""
     return (col(num) * F.lit(Decimal("100.0")) / col(den)).cast("decimal(10,2)")

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.metrics import mean, std
 from .rank import rank_table
 
 
@@ -88,8 +89,8 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     aggs = []
     for c in columns:
         v = _q(c).cast("double")
-        aggs += [F.count(v).cast("double").alias(f"{c}__count"), F.avg(v).alias(f"{c}__mean"),
-                 F.stddev_samp(v).alias(f"{c}__std"), F.min(v).alias(f"{c}__min"),
+        aggs += [F.count(v).cast("double").alias(f"{c}__count"), mean(v).alias(f"{c}__mean"),
+                 std(v).alias(f"{c}__std"), F.min(v).alias(f"{c}__min"),
                  F.max(v).alias(f"{c}__max")]
     wide = df.agg(*aggs)
     moments = wide.select(F.explode(F.array(*[

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.metrics import sum_decimal
+from ..functions.metrics import mean, sum_decimal
 from ..operators import cleaning as C
 from ..operators import quality as Q
 from ..operators import stats as S
@@ -172,16 +172,16 @@ REPORTS = {
     "population_by_continent": lambda s, d: (
         population(s, d).filter(F.col("continent").isNotNull()).groupBy("continent")
         .agg(F.sum("2022_population").alias("total_2022_population"),
-             F.avg("2022_population").alias("average_2022_population"),
-             F.avg("density_per_km2").alias("average_density"),
+             mean("2022_population").alias("average_2022_population"),
+             mean("density_per_km2").alias("average_density"),
              F.count("country").alias("number_of_countries"))
         .orderBy(F.col("total_2022_population").desc_nulls_last())),
     "movies_by_rating": lambda s, d: (
         movies(s, d).filter(F.col("rating").isNotNull()).groupBy("rating")
         .agg(F.count("movie").alias("number_of_movies"),
-             F.avg("tomato_score").alias("average_tomato_score"),
-             F.avg("popcorn_score").alias("average_popcorn_score"),
-             F.avg("gross").alias("average_gross"))
+             mean("tomato_score").alias("average_tomato_score"),
+             mean("popcorn_score").alias("average_popcorn_score"),
+             mean("gross").alias("average_gross"))
         .orderBy(F.col("number_of_movies").desc())),
     "eda_countries": lambda s, d: countries(s, d).agg(
         F.countDistinct("country").alias("total_countries"),
@@ -195,7 +195,7 @@ REPORTS = {
     "txn_describe": lambda s, d: S.describe(ledger_txns(s, d), TXN_NUMERIC),
     "txn_totals": lambda s, d: ledger_txns(s, d).agg(
         sum_decimal("amount").alias("total_amount"),
-        F.avg(F.col("amount").cast("double")).alias("average_amount"),
+        mean("amount").alias("average_amount"),
         F.max("amount").alias("highest_amount"),
         F.min("amount").alias("lowest_amount")),
 }
@@ -296,7 +296,8 @@ _MOVIES_BEFORE = ("(SELECT coalesce(rating_a, rating_b) AS rating, * EXCLUDE (ra
 
 _DESCRIBE = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, CAST(COUNT({c}) AS DOUBLE) AS count, "
-    f"AVG(CAST({c} AS DOUBLE)) AS mean, STDDEV_SAMP(CAST({c} AS DOUBLE)) AS std, "
+    f"round(AVG(CAST({c} AS DOUBLE)), 6) AS mean, "
+    f"round(STDDEV_SAMP(CAST({c} AS DOUBLE)), 6) AS std, "
     f"CAST(MIN({c}) AS DOUBLE) AS min, quantile_cont(CAST({c} AS DOUBLE), 0.25) AS p25, "
     f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS p50, "
     f"quantile_cont(CAST({c} AS DOUBLE), 0.75) AS p75, CAST(MAX({c}) AS DOUBLE) AS max "
@@ -342,13 +343,14 @@ ORACLE = {
                            "WHERE region IS NOT NULL GROUP BY region "
                            "ORDER BY number_of_countries DESC",
     "population_by_continent": 'SELECT continent, SUM("2022_population") AS '
-                               'total_2022_population, AVG("2022_population") AS '
-                               "average_2022_population, AVG(density_per_km2) AS average_density, "
+                               'total_2022_population, round(AVG("2022_population"), 6) AS '
+                               "average_2022_population, round(AVG(density_per_km2), 6) AS "
+                               "average_density, "
                                "COUNT(country) AS number_of_countries FROM population_clean "
                                "WHERE continent IS NOT NULL GROUP BY continent",
-    "movies_by_rating": "SELECT rating, COUNT(movie) AS number_of_movies, AVG(tomato_score) AS "
-                        "average_tomato_score, AVG(popcorn_score) AS average_popcorn_score, "
-                        "AVG(gross) AS average_gross FROM movies_clean WHERE rating IS NOT NULL "
+    "movies_by_rating": "SELECT rating, COUNT(movie) AS number_of_movies, round(AVG(tomato_score), 6) AS "
+                        "average_tomato_score, round(AVG(popcorn_score), 6) AS "
+                        "average_popcorn_score, round(AVG(gross), 6) AS average_gross FROM movies_clean WHERE rating IS NOT NULL "
                         "GROUP BY rating",
     "eda_countries": "SELECT COUNT(DISTINCT country) AS total_countries, COUNT(DISTINCT region) "
                      "AS total_regions FROM countries_clean",
@@ -361,7 +363,7 @@ ORACLE = {
                   "average_popcorn_score FROM movies_clean",
     "txn_head": "SELECT * FROM txns ORDER BY ts, event_id LIMIT 5",
     "txn_describe": _DESCRIBE,
-    "txn_totals": "SELECT SUM(amount) AS total_amount, AVG(CAST(amount AS DOUBLE)) AS "
+    "txn_totals": "SELECT SUM(amount) AS total_amount, round(AVG(CAST(amount AS DOUBLE)), 6) AS "
                   "average_amount, MAX(amount) AS highest_amount, MIN(amount) AS lowest_amount "
                   "FROM txns",
 }
