@@ -23,13 +23,15 @@ def try_datetime_utc_text(c: Column | str) -> Column:
 
 
 def completed_years(start: Column | str, end: Column | str) -> Column:
-    """Whole years from ``start`` to ``end`` (age / tenure).
+    """Whole years from ``start`` (a date) to ``end`` (age / tenure).
 
-    Equals DATEDIFF(YEAR, a, b) minus one when DATEADD(YEAR, n, a) > b, with
-    DATEADD clamping Feb 29 to Feb 28; negative when ``end`` is earlier.
-    ``months_between`` counts whole months when both days of month agree or
-    both are month ends, so floor(months / 12) gives the same answer.
+    DATEDIFF(YEAR) counts year boundaries; one is taken off when the
+    anniversary DATEADD(YEAR, n, start) -- Feb 29 becomes Feb 28, as with
+    ``add_months`` -- falls after ``end``. Negative when ``end`` is earlier.
+    Pure date arithmetic, so the session time zone plays no part.
     """
     start = F.col(start) if isinstance(start, str) else start
     end = F.col(end) if isinstance(end, str) else end
-    return F.floor(F.months_between(end, start) / F.lit(12)).cast("int")
+    n = F.year(end) - F.year(start)
+    anniversary = F.add_months(start, n * 12).cast("timestamp_ntz")
+    return (n - F.when(anniversary > end.cast("timestamp_ntz"), 1).otherwise(0)).cast("int")
