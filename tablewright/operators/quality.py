@@ -58,6 +58,17 @@ def shape(df: DataFrame) -> DataFrame:
                   F.lit(len(df.columns)).cast("bigint").alias("columns"))
 
 
+def shape_and_missing(df: DataFrame) -> DataFrame:
+    """(rows, columns, missing_values): shape and NULL cells, in one pass."""
+    cells = [F.when(F.col(f"`{c}`").isNull(), 1).otherwise(0) for c in df.columns]
+    total = cells[0]
+    for c in cells[1:]:
+        total = total + c
+    return df.agg(F.count(F.lit(1)).alias("rows"),
+                  F.lit(len(df.columns)).cast("bigint").alias("columns"),
+                  F.sum(total).cast("bigint").alias("missing_values"))
+
+
 def row_counts(named: dict[str, DataFrame]) -> DataFrame:
     """SELECT 'name' AS TableName, COUNT(*) AS TotalRows ... UNION ALL ..."""
     parts = [df.agg(F.count(F.lit(1)).alias("TotalRows"))

@@ -94,8 +94,8 @@ def ledger_txns(spark, sf_dir):
 
 # --------------------------------------------------------------- reports
 
-def quality_summary(spark, sf_dir) -> DataFrame:
-    """Shape and duplicate rows of each dataset before and after cleaning."""
+def quality_before_after(spark, sf_dir) -> DataFrame:
+    """Shape, missing cells and duplicate rows of each dataset before and after cleaning."""
     parts = []
     for name, raw, clean in (
             ("countries", C.clean_column_names(countries_raw(spark, sf_dir)),
@@ -106,9 +106,9 @@ def quality_summary(spark, sf_dir) -> DataFrame:
              movies(spark, sf_dir))):
         for stage, df in (("before", raw), ("after", clean)):
             dup = Q.duplicate_row_count(df).select("duplicate_rows").scalar()
-            parts.append(Q.shape(df).select(
+            parts.append(Q.shape_and_missing(df).select(
                 F.lit(name).alias("dataset"), F.lit(stage).alias("stage"),
-                "rows", "columns", dup.alias("duplicate_rows")))
+                "rows", "columns", "missing_values", dup.alias("duplicate_rows")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -152,7 +152,7 @@ REPORTS = {
     "countries_clean": lambda s, d: countries(s, d),
     "population_clean": lambda s, d: population(s, d),
     "movies_clean": lambda s, d: movies(s, d),
-    "quality_summary": quality_summary,
+    "quality_before_after": quality_before_after,
     "quality_missing": quality_missing,
     "countries_sub_saharan": lambda s, d: countries(s, d).filter(F.coalesce(
         F.lower(F.col("region")).contains(REGION_PATTERN.lower()), F.lit(False))),
@@ -277,11 +277,16 @@ def _dup(table: str) -> str:
             f"FROM (SELECT DISTINCT * FROM {table}) g)")
 
 
-def _summary(dataset: str, before: str, after: str, ncols_before: int, ncols_after: int) -> str:
+def _summary(dataset: str, before: str, after: str, cols_before: list[str],
+             cols_after: list[str]) -> str:
+    def missing(t, cols):
+        cells = " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in cols)
+        return f"(SELECT CAST(SUM({cells}) AS BIGINT) FROM {t})"
     return " UNION ALL ".join(
         f"SELECT '{dataset}' AS dataset, '{stage}' AS stage, (SELECT COUNT(*) FROM {t}) AS rows, "
-        f"CAST({nc} AS BIGINT) AS columns, {_dup(t)} AS duplicate_rows"
-        for stage, t, nc in (("before", before, ncols_before), ("after", after, ncols_after)))
+        f"CAST({len(cols)} AS BIGINT) AS columns, {missing(t, cols)} AS missing_values, "
+        f"{_dup(t)} AS duplicate_rows"
+        for stage, t, cols in (("before", before, cols_before), ("after", after, cols_after)))
 
 
 def _missing(dataset: str, stage: str, table: str, cols: list[tuple[str, str]]) -> str:
@@ -307,10 +312,17 @@ ORACLE = {
     "countries_clean": "SELECT * FROM countries_clean",
     "population_clean": "SELECT * FROM population_clean",
     "movies_clean": "SELECT * FROM movies_clean",
-    "quality_summary": " UNION ALL ".join([
-        _summary("countries", "countries_raw", "countries_clean", 2, 2),
-        _summary("population", "population_raw", "population_clean", 5, 5),
-        _summary("movies", _MOVIES_BEFORE + " mb", "movies_clean", 7, 6)]),
+    "quality_before_after": " UNION ALL ".join([
+        _summary("countries", "countries_raw", "countries_clean",
+                 ['"Country "', '"Region"'], ["country", "region"]),
+        _summary("population", "population_raw", "population_clean",
+                 ['"Country"', '"Continent"', '"2022 Population"', '"Density (per km²)"',
+                  '"Rank"'],
+                 ["country", "continent", '"2022_population"', "density_per_km2", "rank"]),
+        _summary("movies", _MOVIES_BEFORE + " mb", "movies_clean",
+                 ["rating", '"Movie"', '"Genre"', '"Popcorn Score"', "popcornscore",
+                  '"Tomato Score"', '"Gross"'],
+                 ["gross", "genre", "movie", "popcorn_score", "rating", "tomato_score"])]),
     "quality_missing": " UNION ALL ".join([
         _missing("countries", "before", "countries_raw",
                  [("country", '"Country "'), ("region", '"Region"')]),

@@ -64,6 +64,28 @@ def saved(name):
     return run
 
 
+# The notebook's output file names.
+SAVED_FILES = {"countries": "cleaned_countries.csv", "population": "cleaned_population.csv",
+               "movies": "cleaned_movies.csv"}
+
+
+def save_clean(spark, sf_dir):
+    """Write the three cleaned datasets as CSV (no index) and report what reads back."""
+    parts = []
+    for name, file_name in SAVED_FILES.items():
+        df = getattr(notebook, name)(spark, sf_dir)
+        path = f"{scratch_path(spark, 'save_clean')}/{file_name}"
+        files.write_csv(df, path)
+        back = files.read_csv(spark, path, df.schema)
+        parts.append(back.agg(F.lit(file_name).alias("file"),
+                              F.count(F.lit(1)).alias("rows"),
+                              F.lit(len(back.columns)).cast("bigint").alias("columns")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def hr_csv_landing(spark, sf_dir):
     """The HR flow from a CSV import: all-text landing table -> clean -> derive."""
     raw = hr.raw_table(spark, sf_dir)
@@ -83,6 +105,7 @@ REPORTS = {
     "population_saved": saved("population"),
     "movies_saved": saved("movies"),
     "hr_csv_landing": hr_csv_landing,
+    "save_clean": save_clean,
 }
 
 ORACLE = {
@@ -97,6 +120,14 @@ ORACLE = {
     "population_saved": notebook.oracle_sql("population_clean"),
     "movies_saved": notebook.oracle_sql("movies_clean"),
     "hr_csv_landing": hr.with_emp("SELECT * FROM emp"),
+    "save_clean": fixtures.duckdb_with(
+        notebook.RECIPES,
+        " UNION ALL ".join(
+            f"SELECT '{f}' AS file, COUNT(*) AS rows, CAST({n} AS BIGINT) AS columns FROM {t}"
+            for f, n, t in (("cleaned_countries.csv", 2, "countries_clean"),
+                            ("cleaned_population.csv", 5, "population_clean"),
+                            ("cleaned_movies.csv", 6, "movies_clean"))),
+        extra=notebook.ORACLE_CTES),
 }
 
 
