@@ -58,15 +58,23 @@ def shape(df: DataFrame) -> DataFrame:
                   F.lit(len(df.columns)).cast("bigint").alias("columns"))
 
 
-def shape_and_missing(df: DataFrame) -> DataFrame:
-    """(rows, columns, missing_values): shape and NULL cells, in one pass."""
-    cells = [F.when(F.col(f"`{c}`").isNull(), 1).otherwise(0) for c in df.columns]
-    total = cells[0]
-    for c in cells[1:]:
-        total = total + c
-    return df.agg(F.count(F.lit(1)).alias("rows"),
-                  F.lit(len(df.columns)).cast("bigint").alias("columns"),
-                  F.sum(total).cast("bigint").alias("missing_values"))
+def profile(df: DataFrame) -> DataFrame:
+    """(rows, columns, missing_values, duplicate_rows) in one aggregation.
+
+    Rows are grouped on all columns (identical rows, NULLs included, form one
+    group, after partial aggregation on the map side); every figure then comes
+    from the group counts.
+    """
+    groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(
+        F.count(F.lit(1)).alias("_n"))
+    missing = None
+    for c in df.columns:
+        cell = F.when(F.col(f"`{c}`").isNull(), 1).otherwise(0)
+        missing = cell if missing is None else missing + cell
+    return groups.agg(F.sum("_n").alias("rows"),
+                      F.lit(len(df.columns)).cast("bigint").alias("columns"),
+                      F.sum(F.col("_n") * missing).cast("bigint").alias("missing_values"),
+                      (F.sum("_n") - F.count(F.lit(1))).cast("bigint").alias("duplicate_rows"))
 
 
 def row_counts(named: dict[str, DataFrame]) -> DataFrame:

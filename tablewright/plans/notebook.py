@@ -105,10 +105,9 @@ def quality_before_after(spark, sf_dir) -> DataFrame:
             ("movies", C.merge_same_name(C.clean_column_names(movies_raw(spark, sf_dir))),
              movies(spark, sf_dir))):
         for stage, df in (("before", raw), ("after", clean)):
-            dup = Q.duplicate_row_count(df).select("duplicate_rows").scalar()
-            parts.append(Q.shape_and_missing(df).select(
+            parts.append(Q.profile(df).select(
                 F.lit(name).alias("dataset"), F.lit(stage).alias("stage"),
-                "rows", "columns", "missing_values", dup.alias("duplicate_rows")))
+                "rows", "columns", "missing_values", "duplicate_rows"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
