@@ -51,3 +51,13 @@ def test_table_materialization_gives_same_results(spark):
     finally:
         spark.conf.unset(cache.MODE_CONF)
     assert before == after
+
+
+def test_workers_need_no_package_on_their_path():
+    """Functions run by Python workers travel by value (driver may run from any folder)."""
+    import pickle
+    from pyspark import cloudpickle
+    from tablewright.operators import ledger
+    blob = cloudpickle.dumps(ledger._fold(5000))
+    assert b"tablewright.operators.ledger" not in blob or b"outcome_of" in blob
+    assert callable(pickle.loads(blob))
