@@ -20,6 +20,7 @@ from xml.etree import ElementTree as ET
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -195,9 +196,14 @@ def write_excel(df: DataFrame, folder: str, partitions: int | None = None,
             pdf = pdf.astype(object).where(pdf.notna(), None)
             rows.extend(pdf.values.tolist())
         if rows:
-            name = os.path.join(folder, f"part-{uuid.uuid4().hex}.xlsx")
-            with open(name, "wb") as f:
+            # One name per partition, replaced atomically: a retried or
+            # speculative attempt rewrites the same workbook, never adds one.
+            part = TaskContext.get().partitionId()
+            final = os.path.join(folder, f"part-{part:05d}.xlsx")
+            tmp = f"{final}.{uuid.uuid4().hex}.tmp"
+            with open(tmp, "wb") as f:
                 f.write(workbook_bytes(header, rows, sheet))
+            os.replace(tmp, final)
         yield pd.DataFrame({"rows": [len(rows)]})
 
     if partitions:
