@@ -19,6 +19,10 @@ PRODUCT_COLUMNS = ["CookieID", "CookieName", "RevenuePerCookie", "CostPerCookie"
 ORDER_COLUMNS = ["OrderID", "OrderDate", "OrderTotal", "CustomerID"]
 DETAIL_COLUMNS = ["OrderID", "CookieID", "Quantity"]
 
+# The key each table is laid out by (OrderDetails by its order, for the join).
+KEYS = {"customers": "CustomerID", "products": "CookieID", "orders": "OrderID",
+        "order_details": "OrderID"}
+
 
 @dataclass
 class Normalized:
@@ -35,8 +39,8 @@ class Normalized:
 def normalize(flat: DataFrame, partitions: int | None = None) -> Normalized:
     n = partitions or int(flat.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return Normalized(
-        customers=flat.select(*CUSTOMER_COLUMNS).distinct().repartition(n, "CustomerID"),
-        products=flat.select(*PRODUCT_COLUMNS).distinct().repartition(n, "CookieID"),
-        orders=flat.select(*ORDER_COLUMNS).distinct().repartition(n, "OrderID"),
-        order_details=flat.select(*DETAIL_COLUMNS).repartition(n, "OrderID"),
+        customers=flat.select(*CUSTOMER_COLUMNS).distinct().repartition(n, KEYS["customers"]),
+        products=flat.select(*PRODUCT_COLUMNS).distinct().repartition(n, KEYS["products"]),
+        orders=flat.select(*ORDER_COLUMNS).distinct().repartition(n, KEYS["orders"]),
+        order_details=flat.select(*DETAIL_COLUMNS).repartition(n, KEYS["order_details"]),
     )

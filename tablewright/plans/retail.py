@@ -36,7 +36,8 @@ def model(spark: SparkSession, sf_dir: str) -> N.Normalized:
                   lambda: fixtures.fixture(spark, sf_dir, "flat_file"))
     norm = N.normalize(flat)
     return N.Normalized(**{
-        name: cached(spark, ("norm", name, sf_dir), (lambda df: lambda: df)(df))
+        name: cached(spark, ("norm", name, sf_dir), (lambda df: lambda: df)(df),
+                     bucket_by=[N.KEYS[name]])
         for name, df in vars(norm).items()})
 
 

@@ -38,3 +38,29 @@ def test_statistics_hold_no_column_in_one_buffer(spark):
 def test_ledger_is_sorted_streaming_pass(spark):
     text = plan(entry.queries()["ledger_outcomes"](spark, SF))
     assert "MapInPandas" in text and "collect_list" not in text
+
+
+def test_orders_and_details_join_without_shuffle_in_both_modes(spark):
+    from pyspark.sql import functions as F
+    from tablewright.plans import cache, retail
+    saved = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                                  "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in saved:
+            spark.conf.set(k, "-1")
+        for mode in ("cache", "table"):
+            spark.conf.set(cache.MODE_CONF, mode)
+            m = retail.model(spark, SF)
+            j = m.orders.alias("O").join(m.order_details.alias("OD"),
+                                         F.col("O.OrderID") == F.col("OD.OrderID"))
+            j.write.format("noop").mode("overwrite").save()
+            text = j._jdf.queryExecution().executedPlan().toString()
+            above = text.split("InMemoryTableScan")[0]
+            assert "SortMergeJoin" in text and "Exchange" not in above, mode
+    finally:
+        spark.conf.unset(cache.MODE_CONF)
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
