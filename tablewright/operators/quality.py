@@ -52,12 +52,6 @@ def duplicate_row_count(df: DataFrame) -> DataFrame:
     return groups.agg((F.sum("_n") - F.count(F.lit(1))).cast("bigint").alias("duplicate_rows"))
 
 
-def shape(df: DataFrame) -> DataFrame:
-    """(rows, columns) of a DataFrame."""
-    return df.agg(F.count(F.lit(1)).alias("rows"),
-                  F.lit(len(df.columns)).cast("bigint").alias("columns"))
-
-
 def profile(df: DataFrame) -> DataFrame:
     """(rows, columns, missing_values, duplicate_rows) in one aggregation.
 

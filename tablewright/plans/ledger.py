@@ -8,7 +8,6 @@ history lists accepted transactions numbered from 1.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..operators import ledger as L
 from ..sources import fixtures
