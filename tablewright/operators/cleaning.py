@@ -128,11 +128,6 @@ def merge_synonym(df: DataFrame, keep: str, other: str) -> DataFrame:
     return df.withColumn(keep, F.coalesce(q(keep), q(other))).drop(other)
 
 
-def replace_with_null(c: Column, values: list) -> Column:
-    """Replace a list of values by missing."""
-    return F.when(c.isin(values), F.lit(None)).otherwise(c)
-
-
 def exact_median(df: DataFrame, column: str) -> DataFrame:
     """One row, one column ``median`` (see ``exact_medians``)."""
     return exact_medians(df, [column]).select(F.col(f"`{column}`").alias("median"))
