@@ -418,7 +418,11 @@ def row_queries():
     """Row-level and preview queries: key -> (Spark builder, oracle SQL or None)."""
     emp_all = _cols(CLEAN_COLS + ("employee_status", "age", "tenure_years"))
     return {
-        "hr_preview_raw": (lambda s, d: raw_table(s, d).limit(10), None),
+        # TOP n without ORDER BY returns any n rows; taking the first n by id
+        # (a top-k, not a sort) makes the preview checkable.
+        "hr_preview_raw": (lambda s, d: raw_table(s, d).orderBy("id").limit(10),
+                           fixtures.duckdb_with(["hr_data"],
+                                                "SELECT * FROM hr_data ORDER BY id LIMIT 10")),
         "hr_raw_count": (
             lambda s, d: raw_table(s, d).agg(F.count(F.lit(1)).alias("row_count")),
             fixtures.duckdb_with(["hr_data"],
@@ -428,7 +432,9 @@ def row_queries():
         "hr_preview_clean": (
             lambda s, d: clean_table(s, d).select("id", "first_name", "last_name",
                                                   "birthdate", "hire_date", "termdate")
-            .limit(20), None),
+            .orderBy("id").limit(20),
+            with_emp("SELECT id, first_name, last_name, birthdate, hire_date, termdate "
+                     "FROM hr_data_clean ORDER BY id LIMIT 20")),
         "hr_clean_count": (
             lambda s, d: clean_table(s, d).agg(F.count(F.lit(1)).alias("total_records")),
             with_emp("SELECT CAST(COUNT(*) AS BIGINT) AS total_records FROM hr_data_clean")),
@@ -441,7 +447,8 @@ def row_queries():
                       with_emp("SELECT id, hire_date, termdate, employee_status, tenure_years "
                                "FROM emp")),
         "hr_preview_derived": (
-            lambda s, d: employees(s, d).select(*PREVIEW_DERIVED).limit(20), None),
+            lambda s, d: employees(s, d).select(*PREVIEW_DERIVED).orderBy("id").limit(20),
+            with_emp(f"SELECT {_cols(PREVIEW_DERIVED)} FROM emp ORDER BY id LIMIT 20")),
         "hr_bad_rows": (lambda s, d: hr_ops.bad_rows(employees(s, d)),
                         with_emp(f"SELECT {emp_all} FROM emp WHERE hire_date IS NULL "
                                  "OR birthdate IS NULL OR age IS NULL OR tenure_years < 0")),
