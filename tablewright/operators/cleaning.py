@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .stats import exact_medians
+from .stats import approx_medians, exact_medians
 
 # Python's str.strip() removes every character for which str.isspace() holds.
 PY_WHITESPACE = "".join(ch for ch in map(chr, range(sys.maxunicode + 1)) if ch.isspace())
@@ -133,13 +133,18 @@ def exact_median(df: DataFrame, column: str) -> DataFrame:
     return exact_medians(df, [column]).select(F.col(f"`{column}`").alias("median"))
 
 
-def fill_median(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Missing numbers -> the column's median (an all-missing column stays missing)."""
+def fill_median(df: DataFrame, columns: list[str] | None = None,
+                approximate: bool = False) -> DataFrame:
+    """Missing numbers -> the column's median (an all-missing column stays missing).
+
+    Exact by default; ``approximate=True`` uses a bounded sketch instead.
+    """
     cols = [c for c in df.columns if c in set(numeric_columns(df) if columns is None else columns)]
     if not cols:
         return df
-    # One scalar subquery (a struct of all medians), evaluated once and reused.
-    medians = exact_medians(df, cols).select(
+    stats = approx_medians(df, cols) if approximate else exact_medians(df, cols)
+    # One scalar subquery (a struct of all medians).
+    medians = stats.select(
         F.struct(*[q(c).alias(f"m{i}") for i, c in enumerate(cols)])).scalar()
     return df.select(*[
         F.coalesce(q(c).cast("double"), medians.getField(f"m{cols.index(c)}")).alias(c)

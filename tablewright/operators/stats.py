@@ -81,6 +81,16 @@ def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
                             for c in columns])
 
 
+def approx_medians(df: DataFrame, columns: list[str], accuracy: int = 10000) -> DataFrame:
+    """One row: approximate median of each column (opt-in for huge, high-cardinality data).
+
+    ``percentile_approx`` keeps a mergeable sketch of bounded size per task, so
+    this is one aggregate pass; the rank error is at most 1 / ``accuracy``.
+    """
+    return df.agg(*[F.percentile_approx(_q(c).cast("double"), 0.5, accuracy).alias(c)
+                    for c in columns])
+
+
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """``df.describe()`` as rows: count, mean, std (n-1), min, 25/50/75 %, max per column.
 

@@ -69,3 +69,12 @@ def test_quality_counts(spark):
     nc = Q.null_counts(df, total="total").first()
     assert (nc.total, nc.k, nc.v) == (3, 0, 1)
     assert [r.k for r in Q.duplicate_keys(df, ["k"]).collect()] == [1]
+
+
+def test_approximate_median_option(spark):
+    rows = [(i, float(i)) for i in range(1, 1002)] + [(0, None)]
+    df = spark.createDataFrame(rows, "id int, x double")
+    exact = C.fill_median(df, ["x"]).filter("id = 0").first().x
+    approx = C.fill_median(df, ["x"], approximate=True).filter("id = 0").first().x
+    assert exact == 501.0
+    assert abs(approx - 501.0) <= 1001 / 10000 + 1
