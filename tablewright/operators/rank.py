@@ -51,13 +51,16 @@ def rank_table(counts: DataFrame, order: list[tuple[str, bool]], rank_col: str,
     return (joined
             .withColumn(rank_col, (F.col("_off")
                                    + F.coalesce(F.sum(n_col).over(inside), F.lit(0))
-                                   + F.lit(1)).cast("int"))
+                                   + F.lit(1)).cast("bigint"))
             .select(*keys, n_col, rank_col))
 
 
 def global_rank(df: DataFrame, order: list[tuple[str, bool]], rank_col: str = "rank",
                 partition_by: list[str] = (), partitions: int | None = None) -> DataFrame:
-    """``df`` plus RANK() OVER (PARTITION BY .. ORDER BY ..) as ``rank_col`` (int)."""
+    """``df`` plus RANK() OVER (PARTITION BY .. ORDER BY ..) as ``rank_col``.
+
+    BIGINT, as T-SQL types RANK(): a rank can exceed 2^31 on large tables.
+    """
     keys = list(partition_by) + [k for k, _ in order]
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     ranks = rank_table(counts, order, rank_col, partition_by, partitions=partitions)

@@ -183,9 +183,9 @@ ORACLE = {
     "sal_semi_over_30": "SELECT EmployeeID, JobTitle, Salary FROM sal WHERE EmployeeID IN "
                         "(SELECT EmployeeID FROM demo15 WHERE Age > 30)",
     "sal_rank": "SELECT EmployeeID, JobTitle, Salary, CAST(RANK() OVER (ORDER BY Salary DESC "
-                "NULLS LAST) AS INTEGER) AS SalaryRank FROM sal",
+                "NULLS LAST) AS BIGINT) AS SalaryRank FROM sal",
     "sal_rank_by_job": "SELECT EmployeeID, JobTitle, Salary, CAST(RANK() OVER (PARTITION BY "
-                       "JobTitle ORDER BY Salary DESC NULLS LAST) AS INTEGER) AS RankByJob "
+                       "JobTitle ORDER BY Salary DESC NULLS LAST) AS BIGINT) AS RankByJob "
                        "FROM sal",
     "emp_cte_avg": "SELECT FirstName, JobTitle, Salary, AvgSalary FROM (SELECT d.EmployeeID, "
                    "d.FirstName, s.JobTitle, s.Salary, "
@@ -198,7 +198,7 @@ ORACLE = {
                         "AS AvgSalary FROM demo15 d JOIN sal s ON d.EmployeeID = s.EmployeeID "
                         "GROUP BY s.JobTitle",
     "emp_top3_salary": "SELECT * FROM (SELECT d.FirstName, s.JobTitle, s.Salary, "
-                       "CAST(RANK() OVER (ORDER BY s.Salary DESC NULLS LAST) AS INTEGER) "
+                       "CAST(RANK() OVER (ORDER BY s.Salary DESC NULLS LAST) AS BIGINT) "
                        "AS SalaryRank FROM demo15 d JOIN sal s ON d.EmployeeID = s.EmployeeID) r "
                        "WHERE SalaryRank <= 3",
 }

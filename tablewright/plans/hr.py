@@ -122,7 +122,7 @@ def _post_spark(df: DataFrame, step) -> DataFrame:
     if kind == "rank":
         # The input is the aggregate (one row per group), so one task is fine.
         w = Window.orderBy(*[F.col(c).desc() if d else F.col(c).asc() for c, d in step[2]])
-        return df.withColumn(step[1], F.rank().over(w))
+        return df.withColumn(step[1], F.rank().over(w).cast("bigint"))
     if kind == "tier":
         _, out, src, tiers, other = step
         return df.withColumn(out, M.classify(src, tiers, other))
@@ -165,7 +165,7 @@ def _post_sql(step) -> str:
     if kind == "rank":
         order = ", ".join(f"{c} DESC NULLS LAST" if d else f"{c} ASC NULLS FIRST"
                           for c, d in step[2])
-        return f"CAST(RANK() OVER (ORDER BY {order}) AS INTEGER) AS {step[1]}"
+        return f"CAST(RANK() OVER (ORDER BY {order}) AS BIGINT) AS {step[1]}"
     if kind == "tier":
         _, out, src, tiers, other = step
         whens = " ".join(f"WHEN {src} >= {t} THEN '{lab}'" for t, lab in tiers)
@@ -466,7 +466,7 @@ def row_queries():
                 employees(s, d).filter(F.col("tenure_years").isNotNull()).select(*RANK_COLS),
                 [("tenure_years", True)], "tenure_rank").orderBy("tenure_rank", "id"),
             with_emp(f"SELECT {_cols(RANK_COLS)}, CAST(RANK() OVER (ORDER BY tenure_years "
-                     "DESC NULLS LAST) AS INTEGER) AS tenure_rank FROM emp "
+                     "DESC NULLS LAST) AS BIGINT) AS tenure_rank FROM emp "
                      "WHERE tenure_years IS NOT NULL ORDER BY tenure_rank, id")),
     }
 
