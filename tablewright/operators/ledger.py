@@ -32,7 +32,7 @@ NO_CHANGE = "enquiry"
 
 FOLD_SCHEMA = ("account_id long, ts timestamp_ntz, event_id long, txn_type string, "
                "amount_cents long, network_choice int, outcome string, balance_cents long, "
-               "accepted_no int")
+               "accepted_no long")
 
 
 def outcome_of(txn_type: str, amount_cents, network_choice, balance_cents: int) -> str:
@@ -77,7 +77,7 @@ def apply_rows(pdf: pd.DataFrame, state, start_state) -> tuple[pd.DataFrame, tup
         balances.append(balance)
         numbers.append(number)
     pdf = pdf.assign(outcome=outcomes, balance_cents=balances,
-                     accepted_no=pd.array(numbers, dtype="Int32"))
+                     accepted_no=pd.array(numbers, dtype="Int64"))
     return pdf, (account, balance, accepted)
 
 

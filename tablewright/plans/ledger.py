@@ -68,7 +68,7 @@ fold AS (
 outcomes AS (
   SELECT t.account_id, t.ts, t.event_id, t.txn_type, t.amount, t.network_choice, f.outcome,
          CAST(CAST(f.balance_cents AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2)) AS balance,
-         CAST(CASE WHEN f.outcome = 'accepted' THEN f.accepted END AS INTEGER) AS accepted_no
+         CAST(CASE WHEN f.outcome = 'accepted' THEN f.accepted END AS BIGINT) AS accepted_no
   FROM fold f JOIN t ON t.account_id = f.account_id AND t.rn = f.rn),
 networks AS (SELECT * FROM (VALUES {_NETS}) v(option, network))"""
 

@@ -33,7 +33,7 @@ class LedgerProcessor(StatefulProcessor):
         self.opening_cents = opening_cents
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.account = handle.getValueState("account", "balance_cents long, accepted int")
+        self.account = handle.getValueState("account", "balance_cents long, accepted long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "event_id"])
