@@ -6,7 +6,9 @@ batch's rows of one account; they are sorted by (ts, event_id) and folded on
 top of the stored state. Rows are applied in arrival order across batches:
 a row that arrives in a later batch with an older ``ts`` is applied when it
 arrives (the stated late-data rule). With input delivered in time order the
-result equals the batch fold, which is its test oracle.
+result equals the batch fold, which is its test oracle. State and offsets
+live in the checkpoint under the shared folder, so a stopped or failed run
+resumes where it left off.
 """
 
 from __future__ import annotations
@@ -58,34 +60,34 @@ def ledger_outcomes_stream(txns: DataFrame, opening_balance: str) -> DataFrame:
                                         L.FOLD_SCHEMA, "Append", "None"))
 
 
-def stage_in_time_order(events: DataFrame, folder: str, slices: int) -> None:
-    """Write events as ``slices`` files, one per time range, oldest first.
-
-    A file source hands files over in modification-time order, so writing the
-    ranges one after another delivers the stream in time order.
-    """
+def time_slices(events: DataFrame, slices: int) -> list:
+    """Filters that cut the events into ``slices`` consecutive time ranges."""
     ts_num = F.col("ts").cast("timestamp").cast("double")
     probs = [i / slices for i in range(1, slices)]
     edges = events.select(F.percentile_approx(ts_num, probs, 10000).alias("e")).first()["e"]
     bounds = [None] + list(edges) + [None]
+    out = []
     for lo, hi in zip(bounds[:-1], bounds[1:]):
         cond = F.lit(True)
         if lo is not None:
             cond = cond & (ts_num > F.lit(lo))
         if hi is not None:
             cond = cond & (ts_num <= F.lit(hi))
-        events.filter(cond).coalesce(1).write.mode("append").parquet(folder)
+        out.append(cond)
+    return out
 
 
 def run_ledger_stream(spark: SparkSession, events_dir: str, events_schema, out_dir: str,
-                      checkpoint_dir: str, opening_balance: str,
-                      files_per_trigger: int = 1) -> None:
-    """Run the stream over the files in ``events_dir`` to completion (availableNow)."""
+                      checkpoint_dir: str, opening_balance: str) -> None:
+    """Process every file that has arrived in ``events_dir`` since the last run.
+
+    ``availableNow`` runs the query to the end of the current input and stops;
+    the next run resumes from the checkpoint (offsets and per-account state).
+    """
     previous = spark.conf.get(PROVIDER_CONF, None)
     spark.conf.set(PROVIDER_CONF, ROCKSDB)
     try:
-        events = (spark.readStream.schema(events_schema)
-                  .option("maxFilesPerTrigger", files_per_trigger).parquet(events_dir))
+        events = spark.readStream.schema(events_schema).parquet(events_dir)
         txns = spark.sql(fixtures.RECIPES["ledger_txns"], events=events)
         query = (ledger_outcomes_stream(txns, opening_balance).writeStream
                  .format("parquet").option("path", out_dir)
@@ -100,11 +102,18 @@ def run_ledger_stream(spark: SparkSession, events_dir: str, events_schema, out_d
 
 
 def ledger_stream(spark: SparkSession, sf_dir: str, slices: int = 4) -> DataFrame:
-    """Outcomes of every transaction, computed by the streaming ledger."""
+    """Outcomes of every transaction, computed by the streaming ledger.
+
+    The events arrive as ``slices`` consecutive time ranges; after each
+    arrival (a normal parallel write) the stream is run until it has caught
+    up, then stopped, and the next run resumes from its checkpoint.
+    """
     events = fixtures.table(spark, sf_dir, "events")
-    staged = scratch_path(spark, "ledger_stream_in")
+    incoming = scratch_path(spark, "ledger_stream_in")
     out = scratch_path(spark, "ledger_stream_out")
     ckpt = scratch_path(spark, "ledger_stream_ckpt")
-    stage_in_time_order(events, staged, slices)
-    run_ledger_stream(spark, staged, events.schema, out, ckpt, fixtures.LEDGER_OPENING_BALANCE)
+    for cond in time_slices(events, slices):
+        events.filter(cond).write.mode("append").parquet(incoming)
+        run_ledger_stream(spark, incoming, events.schema, out, ckpt,
+                          fixtures.LEDGER_OPENING_BALANCE)
     return L.from_cents(spark.read.parquet(out))
