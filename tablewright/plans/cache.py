@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import shared_dir
+from ..session import session_id, shared_dir
 
 MODE_CONF = "tablewright.materialize"
 
@@ -39,7 +39,7 @@ def cached(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
     ``cache`` mode the caller's hash partitioning is kept by the cache.)
     """
     mode = spark.conf.get(MODE_CONF, "cache")
-    full = (spark.sparkContext.applicationId, mode) + tuple(key)
+    full = (session_id(spark), mode) + tuple(key)
     df = _TABLES.get(full)
     if df is not None and df.sparkSession is spark:
         return df
@@ -62,7 +62,7 @@ def cached(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
 def release(spark: SparkSession | None = None) -> None:
     """Forget (and unpersist) every table this module holds for the session."""
     for full in list(_TABLES):
-        if spark is None or full[0] == spark.sparkContext.applicationId:
+        if spark is None or full[0] == session_id(spark):
             df = _TABLES.pop(full)
             if df.is_cached:
                 df.unpersist()

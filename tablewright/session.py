@@ -45,19 +45,42 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return None
+
+
+def session_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
     Set a local one only where the session has none (tests, notebooks).
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
+    sc = _context(spark)
+    if not path and sc is not None:
+        path = sc.getCheckpointDir()
     if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="tablewright-ckpt-")
-        spark.sparkContext.setCheckpointDir(path)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
+        sid = session_id(spark)
+        if sid not in _LOCAL_DIRS:
+            _LOCAL_DIRS[sid] = tempfile.mkdtemp(prefix="tablewright-ckpt-")
+        path = _LOCAL_DIRS[sid]
+        if sc is not None:
+            sc.setCheckpointDir(path)
+    elif sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 
