@@ -4,7 +4,7 @@
 is parsed by its own task (``mapInPandas``) with the standard library
 (xlsx is a zip of XML parts; no spreadsheet package is installed). Cells
 come back as text, like the all-text landing tables; the cleaning steps
-type them. A small writer builds test workbooks, one per partition, in a
+type them. A small writer builds test workbooks, bounded in rows, in a
 folder that every executor can write to (the session's shared folder).
 """
 
@@ -181,31 +181,37 @@ def workbook_bytes(header: list[str], rows: list[list], sheet: str = "Sheet1") -
     return buf.getvalue()
 
 
-def write_excel(df: DataFrame, folder: str, partitions: int | None = None,
+def write_excel(df: DataFrame, folder: str, rows_per_file: int = 100_000,
                 sheet: str = "Sheet1") -> None:
-    """One workbook per input partition under ``folder`` (a path all executors share).
+    """Workbooks of at most ``rows_per_file`` rows under ``folder`` (shared by executors).
 
-    A workbook holds one partition's rows (``partitions`` re-splits first).
+    Each task writes its partition as consecutive workbooks, one name per
+    (partition, piece), replaced atomically: a retried or speculative attempt
+    rewrites the same workbooks, never adds new ones.
     """
     header = df.columns
     os.makedirs(folder, exist_ok=True)
 
+    def flush(part, piece, rows):
+        final = os.path.join(folder, f"part-{part:05d}-{piece:05d}.xlsx")
+        tmp = f"{final}.{uuid.uuid4().hex}.tmp"
+        with open(tmp, "wb") as f:
+            f.write(workbook_bytes(header, rows, sheet))
+        os.replace(tmp, final)
+
     def run(batches):
-        rows = []
+        part = TaskContext.get().partitionId()
+        rows, piece, total = [], 0, 0
         for pdf in batches:
             pdf = pdf.astype(object).where(pdf.notna(), None)
-            rows.extend(pdf.values.tolist())
+            for row in pdf.values.tolist():
+                rows.append(row)
+                if len(rows) == rows_per_file:
+                    flush(part, piece, rows)
+                    total, rows, piece = total + len(rows), [], piece + 1
         if rows:
-            # One name per partition, replaced atomically: a retried or
-            # speculative attempt rewrites the same workbook, never adds one.
-            part = TaskContext.get().partitionId()
-            final = os.path.join(folder, f"part-{part:05d}.xlsx")
-            tmp = f"{final}.{uuid.uuid4().hex}.tmp"
-            with open(tmp, "wb") as f:
-                f.write(workbook_bytes(header, rows, sheet))
-            os.replace(tmp, final)
-        yield pd.DataFrame({"rows": [len(rows)]})
-
-    if partitions:
-        df = df.repartition(partitions)
+            flush(part, piece, rows)
+            total += len(rows)
+        yield pd.DataFrame({"rows": [total]})
+
     df.mapInPandas(run, "rows long").agg(F.sum("rows")).collect()

@@ -80,11 +80,12 @@ def read_keyed_json(spark: SparkSession, path: str, key_column: str,
 
 
 def write_keyed_json(df: DataFrame, path: str, key_column: str,
-                     partitions: int | None = None) -> None:
-    """One keyed JSON document per input partition, one file each (builds test inputs).
+                     rows_per_file: int = 100_000) -> None:
+    """Keyed JSON documents of at most ``rows_per_file`` rows, one file each.
 
-    A document holds one partition's rows, so its size is bounded by the
-    partition size (``partitions`` re-splits the input first).
+    Rows are numbered inside their partition (``monotonically_increasing_id``
+    keeps the row position in its low bits), so a document is one slice of
+    one partition and its size is bounded whatever the partitioning.
     """
     names = df.columns
     key_at = names.index(key_column)
@@ -95,10 +96,11 @@ def write_keyed_json(df: DataFrame, path: str, key_column: str,
             pairs += [F.lit(a), F.col(f"_c{i}").cast("string")]
     entry = F.to_json(F.create_map(F.col(f"_c{key_at}"), F.create_map(*pairs)))
     inner = F.regexp_replace(entry, r"^\{|\}$", "")
-    if partitions:
-        df = df.repartition(partitions)
-    (df.select(F.spark_partition_id().alias("part"), inner.alias("e"))
-     .groupBy("part")
+    row_in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    doc = F.concat_ws("-", F.spark_partition_id().cast("string"),
+                      F.floor(row_in_part / F.lit(rows_per_file)).cast("string"))
+    (df.select(doc.alias("doc"), inner.alias("e"))
+     .groupBy("doc")
      .agg(F.concat(F.lit("[{"), F.array_join(F.collect_list("e"), ","), F.lit("}]"))
           .alias("value"))
-     .write.mode("overwrite").partitionBy("part").text(path))
+     .write.mode("overwrite").partitionBy("doc").text(path))

@@ -37,7 +37,7 @@ def test_keyed_json(spark):
 def test_excel_round_trip(spark):
     folder = os.path.join(_tmp(), "books")
     df = spark.createDataFrame([("A & B", "1"), (None, "2"), ("<c>", None)], "name string, n string")
-    excel.write_excel(df, folder, partitions=2, sheet="Data")
+    excel.write_excel(df.repartition(2), folder, rows_per_file=2, sheet="Data")
     back = excel.read_excel(spark, folder, ["name", "n"])
     assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
     sheets = excel.list_sheets(spark, folder).select("sheet_name").distinct().collect()
@@ -93,3 +93,18 @@ def test_keyed_json_many_files(spark):
     got = sorted((r.Movie, r.a, r.b) for r in df.collect())
     assert got == [("M0", "0", None), ("M1", "1", None), ("M2", "2", None),
                    ("N0", None, "true"), ("N1", None, "true"), ("N2", None, "true")]
+
+
+def test_writers_bound_rows_per_file(spark):
+    df = spark.range(0, 25).selectExpr("concat('M', CAST(id AS string)) AS Movie",
+                                       "CAST(id AS string) AS a").coalesce(1)
+    jpath = os.path.join(_tmp(), "json")
+    files.write_keyed_json(df, jpath, "Movie", rows_per_file=10)
+    docs = spark.read.text(jpath, wholetext=True).collect()
+    assert len(docs) == 3
+    back = files.read_keyed_json(spark, jpath, "Movie", ["a"])
+    assert sorted(r.a for r in back.collect()) == sorted(str(i) for i in range(25))
+    xpath = os.path.join(_tmp(), "xlsx")
+    excel.write_excel(df, xpath, rows_per_file=10)
+    assert len([f for f in os.listdir(xpath) if f.endswith(".xlsx")]) == 3
+    assert excel.read_excel(spark, xpath, ["Movie", "a"]).count() == 25
