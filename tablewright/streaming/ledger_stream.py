@@ -8,7 +8,9 @@ a row that arrives in a later batch with an older ``ts`` is applied when it
 arrives (the stated late-data rule). With input delivered in time order the
 result equals the batch fold, which is its test oracle. State and offsets
 live in the checkpoint under the shared folder, so a stopped or failed run
-resumes where it left off.
+resumes where it left off. The processor holds one account's rows of one
+micro-batch at a time, so its memory is bounded by the micro-batch size
+(the arrival granularity), never by the account's history.
 """
 
 from __future__ import annotations
