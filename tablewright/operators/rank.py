@@ -9,16 +9,23 @@ only needs the row count per distinct (p, k) and a running total over them:
 2. range-partition the distinct (p, k) by (p, k); inside each range take a
    running total per ``p``, and add the totals of the same ``p`` in earlier
    ranges (one small row per range and ``p``);
-3. join the rank back on (p, k). Distinct keys are usually few, and AQE turns
-   this join into a broadcast at run time when the key table is small;
-   otherwise it stays a shuffle join whose hot keys AQE splits.
+3. join the rank back on (p, k). The distinct keys are counted first (their
+   counts are kept, one row per key): up to ``BROADCAST_MAX_KEYS`` the rank
+   table is broadcast, so the rows are never shuffled; beyond that it is a
+   shuffle join whose hot keys AQE splits. (Left to AQE alone, the rows'
+   shuffle would already have run by the time the small side is known.)
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Largest rank table (distinct keys) that is broadcast: a few fields per key,
+# well under the size a broadcast may take.
+BROADCAST_MAX_KEYS = 1_000_000
+
 
 def _sort_col(name: str, descending: bool) -> Column:
     # Same null placement as Spark's default window order.
@@ -34,8 +41,12 @@ def rank_table(counts: DataFrame, order: list[tuple[str, bool]], rank_col: str,
     sort = [F.col(p).asc() for p in part] + [_sort_col(k, d) for k, d in order]
     spark = counts.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Range ids are read twice below (per-range totals, and rows inside each
+    # range). Persisting the range-partitioned keys makes both reads see one
+    # partitioning; a recomputed partition reads the same shuffle output.
     ranged = (counts.repartitionByRange(parts, *sort)
-              .withColumn("_pid", F.spark_partition_id()))
+              .withColumn("_pid", F.spark_partition_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))
     # Rows of the same partition key in all earlier ranges.
     before = (Window.partitionBy(*part).orderBy("_pid")
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -62,9 +73,13 @@ def global_rank(df: DataFrame, order: list[tuple[str, bool]], rank_col: str = "r
     BIGINT, as T-SQL types RANK(): a rank can exceed 2^31 on large tables.
     """
     keys = list(partition_by) + [k for k, _ in order]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    small = counts.count() <= BROADCAST_MAX_KEYS
     ranks = rank_table(counts, order, rank_col, partition_by, partitions=partitions)
     ranks = ranks.select(*[F.col(k).alias(f"_rk_{i}") for i, k in enumerate(keys)], rank_col)
+    if small:
+        ranks = F.broadcast(ranks)
     cond = None
     for i, k in enumerate(keys):
         c = df[k].eqNullSafe(ranks[f"_rk_{i}"])

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -28,3 +30,19 @@ def test_partitioned_multi_key_rank_matches_window(spark):
     w = Window.partitionBy("p").orderBy(F.col("k").asc(), F.col("id").desc())
     ref = df.withColumn("r", F.rank().over(w))
     assert sorted(mine.collect()) == sorted(ref.collect())
+
+
+@pytest.mark.parametrize("max_keys", [0, 1_000_000])
+def test_rank_paths_and_range_counts(spark, monkeypatch, max_keys):
+    from tablewright.operators import rank as R
+    monkeypatch.setattr(R, "BROADCAST_MAX_KEYS", max_keys)
+    for seed, parts in ((11, 1), (12, 3), (13, 7), (14, 40)):
+        rnd = random.Random(seed)
+        rows = [(i, rnd.choice(["a", "b", "c", None]), rnd.choice([None, 1, 2, 2, 5, 9, 9, 9]),
+                 rnd.randint(0, 3)) for i in range(700)]
+        df = spark.createDataFrame(rows, "id int, p string, k int, j int").repartition(6)
+        mine = global_rank(df, [("k", True), ("j", False)], "r", partition_by=["p"],
+                           partitions=parts)
+        w = Window.partitionBy("p").orderBy(F.col("k").desc(), F.col("j").asc())
+        ref = df.withColumn("r", F.rank().over(w))
+        assert sorted(mine.collect()) == sorted(ref.collect()), (seed, parts)
