@@ -22,10 +22,27 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 # Largest rank table (distinct keys) that is broadcast: a few fields per key,
 # well under the size a broadcast may take.
 BROADCAST_MAX_KEYS = 1_000_000
 
+# Per-key counts persisted by this module (one row per distinct key) to avoid
+# recomputing them; results never depend on them staying cached.
+_PERSISTED: list[DataFrame] = []
+
+
+def _persist(df: DataFrame) -> DataFrame:
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(df)
+    return df
+
+
+def release_intermediates() -> None:
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
 
 def _sort_col(name: str, descending: bool) -> Column:
     # Same null placement as Spark's default window order.
@@ -42,11 +59,13 @@ def rank_table(counts: DataFrame, order: list[tuple[str, bool]], rank_col: str,
     spark = counts.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Range ids are read twice below (per-range totals, and rows inside each
-    # range). Persisting the range-partitioned keys makes both reads see one
-    # partitioning; a recomputed partition reads the same shuffle output.
+    # range), so they are fixed once: the range-partitioned keys (one row per
+    # distinct key) are checkpointed to the shared folder, and both reads see
+    # the same partitioning whatever is recomputed later.
+    shared_dir(spark)  # makes sure the session has a checkpoint folder
     ranged = (counts.repartitionByRange(parts, *sort)
               .withColumn("_pid", F.spark_partition_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
+              .checkpoint(eager=True))
     # Rows of the same partition key in all earlier ranges.
     before = (Window.partitionBy(*part).orderBy("_pid")
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -73,8 +92,7 @@ def global_rank(df: DataFrame, order: list[tuple[str, bool]], rank_col: str = "r
     BIGINT, as T-SQL types RANK(): a rank can exceed 2^31 on large tables.
     """
     keys = list(partition_by) + [k for k, _ in order]
-    counts = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    counts = _persist(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
     small = counts.count() <= BROADCAST_MAX_KEYS
     ranks = rank_table(counts, order, rank_col, partition_by, partitions=partitions)
     ranks = ranks.select(*[F.col(k).alias(f"_rk_{i}") for i, k in enumerate(keys)], rank_col)

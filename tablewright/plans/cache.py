@@ -60,7 +60,10 @@ def cached(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
 
 
 def release(spark: SparkSession | None = None) -> None:
-    """Forget (and unpersist) every table this module holds for the session."""
+    """Forget (and unpersist) every table this module holds for the session,
+    and the key tables the rank and statistics operators persisted."""
+    from ..operators.rank import release_intermediates
+    release_intermediates()
     for full in list(_TABLES):
         if spark is None or full[0] == session_id(spark):
             df = _TABLES.pop(full)
