@@ -70,3 +70,14 @@ def test_workers_need_no_package_on_their_path(tmp_path):
     out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env,
                          capture_output=True, text=True, timeout=600)
     assert "ROWS 1000" in out.stdout, out.stderr[-2000:]
+
+
+def test_release_keeps_results(spark):
+    from tablewright.plans import cache
+    keys = ["hr_tenure_rank", "sal_rank_by_job", "population_clean"]
+    first = {k: sorted(entry.queries()[k](spark, SF).collect()) for k in keys}
+    built = entry.queries()["hr_tenure_rank"](spark, SF)
+    cache.release(spark)
+    assert sorted(built.collect()) == first["hr_tenure_rank"]
+    again = {k: sorted(entry.queries()[k](spark, SF).collect()) for k in keys}
+    assert again == first
