@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import completed_years, try_date, try_datetime_utc_text
 
+# The all-text landing table's columns, in file order.
+RAW_COLUMNS = ["id", "first_name", "last_name", "birthdate", "gender", "race", "department",
+               "jobtitle", "location", "hire_date", "termdate", "location_city",
+               "location_state"]
+
 TEXT_COLUMNS = ["id", "first_name", "last_name", "gender", "race", "department",
                 "jobtitle", "location", "location_city", "location_state"]
 

@@ -112,15 +112,20 @@ def list_sheets(spark: SparkSession, path: str) -> DataFrame:
         run, "path string, sheet_index int, sheet_name string")
 
 
-def read_excel(spark: SparkSession, path: str, columns: list[str], sheet: int = 0) -> DataFrame:
+def read_excel(spark: SparkSession, path: str, columns: list[str] | None = None,
+               sheet: int = 0) -> DataFrame:
     """``pd.read_excel(f, sheet_name=sheet)`` over many workbooks; all cells as text.
 
     The first row of each sheet is its header and is dropped; ``columns`` name
-    the cells by position (the declared landing schema).
+    the cells by position (the declared landing schema). Without ``columns``
+    the header row of one workbook names them (one small job).
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path)
     rows = files.select("path", "content").mapInPandas(
         _parse(sheet), "path string, row int, cells array<string>")
+    if columns is None:
+        header = rows.filter(F.col("row") == 0).select("cells").first()
+        columns = list(header["cells"]) if header else []
     body = rows.filter(F.col("row") > 0)
     # Trailing empty cells are not stored, so short rows read as NULL there.
     return body.select(*[F.get("cells", i).alias(c) for i, c in enumerate(columns)])

@@ -81,3 +81,12 @@ def test_release_keeps_results(spark):
     assert sorted(built.collect()) == first["hr_tenure_rank"]
     again = {k: sorted(entry.queries()[k](spark, SF).collect()) for k in keys}
     assert again == first
+
+
+def test_command_line_lists_and_prints_sql(capsys):
+    from tablewright.__main__ import main
+    assert main(["list"]) == 0
+    listed = capsys.readouterr().out.split()
+    assert sorted(listed) == sorted(entry.queries())
+    assert main(["sql", "hr_kpi"]) == 0
+    assert "average_tenure_years" in capsys.readouterr().out

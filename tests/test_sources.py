@@ -108,3 +108,12 @@ def test_writers_bound_rows_per_file(spark):
     excel.write_excel(df, xpath, rows_per_file=10)
     assert len([f for f in os.listdir(xpath) if f.endswith(".xlsx")]) == 3
     assert excel.read_excel(spark, xpath, ["Movie", "a"]).count() == 25
+
+
+def test_excel_columns_from_header(spark):
+    folder = os.path.join(_tmp(), "books")
+    df = spark.createDataFrame([("a", "1"), ("b", None)], "`Country ` string, `2022 Population` string")
+    excel.write_excel(df, folder)
+    back = excel.read_excel(spark, folder)
+    assert back.columns == ["Country ", "2022 Population"]
+    assert sorted(map(tuple, back.collect()), key=str) == sorted([("a", "1"), ("b", None)], key=str)
