@@ -6,9 +6,11 @@
 only needs the row count per distinct (p, k) and a running total over them:
 
 1. count rows per (p, k) (partial aggregation before the shuffle);
-2. range-partition the distinct (p, k) by (p, k); inside each range take a
-   running total per ``p``, and add the totals of the same ``p`` in earlier
-   ranges (one small row per range and ``p``);
+2. running totals over the distinct (p, k): when they are counted to be at
+   most ``BROADCAST_MAX_KEYS`` rows, one window over that bounded table;
+   otherwise range-partition them by (p, k), take a running total per ``p``
+   inside each range, and add the totals of the same ``p`` in earlier ranges
+   (one small row per range and ``p``);
 3. join the rank back on (p, k). The distinct keys are counted first (their
    counts are kept, one row per key): up to ``BROADCAST_MAX_KEYS`` the rank
    table is broadcast, so the rows are never shuffled; beyond that it is a
@@ -51,11 +53,23 @@ def _sort_col(name: str, descending: bool) -> Column:
 
 def rank_table(counts: DataFrame, order: list[tuple[str, bool]], rank_col: str,
                partition_by: list[str] = (), n_col: str = "_n",
-               partitions: int | None = None) -> DataFrame:
-    """Rank distinct keys carrying row counts ``n_col`` by ``order`` (name, desc)."""
+               partitions: int | None = None, small: bool | None = None) -> DataFrame:
+    """Rank distinct keys carrying row counts ``n_col`` by ``order`` (name, desc).
+
+    ``small``: the key table is known to have at most ``BROADCAST_MAX_KEYS``
+    rows (counted when None). A table that small takes its running totals in
+    one window, its size being bounded; a larger one goes the range way.
+    """
     part = list(partition_by)
     keys = part + [k for k, _ in order]
     sort = [F.col(p).asc() for p in part] + [_sort_col(k, d) for k, d in order]
+    if small is None:
+        small = counts.count() <= BROADCAST_MAX_KEYS
+    if small:
+        earlier = (Window.partitionBy(*part).orderBy(*sort[len(part):])
+                   .rowsBetween(Window.unboundedPreceding, -1))
+        rank = F.coalesce(F.sum(n_col).over(earlier), F.lit(0)) + F.lit(1)
+        return counts.select(*keys, n_col, rank.cast("bigint").alias(rank_col))
     spark = counts.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Range ids are read twice below (per-range totals, and rows inside each
@@ -94,7 +108,8 @@ def global_rank(df: DataFrame, order: list[tuple[str, bool]], rank_col: str = "r
     keys = list(partition_by) + [k for k, _ in order]
     counts = _persist(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
     small = counts.count() <= BROADCAST_MAX_KEYS
-    ranks = rank_table(counts, order, rank_col, partition_by, partitions=partitions)
+    ranks = rank_table(counts, order, rank_col, partition_by, partitions=partitions,
+                       small=small)
     ranks = ranks.select(*[F.col(k).alias(f"_rk_{i}") for i, k in enumerate(keys)], rank_col)
     if small:
         ranks = F.broadcast(ranks)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.metrics import mean, std
-from .rank import rank_table
+from .rank import _persist, rank_table
 
 
 def _q(name: str) -> Column:
@@ -31,7 +31,7 @@ def value_positions(df: DataFrame, columns: list[str]) -> tuple[DataFrame, DataF
         F.struct(F.lit(c).alias("c"), _q(c).cast("double").alias("v")) for c in columns]))
         .alias("cv")).select("cv.c", "cv.v")
         .filter(F.col("v").isNotNull() & ~F.isnan("v")))
-    counts = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("_n"))
+    counts = _persist(long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("_n")))
     positions = rank_table(counts, [("v", False)], "_pos", partition_by=["c"])
     totals = counts.groupBy("c").agg(F.sum("_n").alias("_total"))
     return positions, totals

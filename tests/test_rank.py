@@ -32,7 +32,7 @@ def test_partitioned_multi_key_rank_matches_window(spark):
     assert sorted(mine.collect()) == sorted(ref.collect())
 
 
-@pytest.mark.parametrize("max_keys", [0, 1_000_000])
+@pytest.mark.parametrize("max_keys", [0, 1_000_000])  # range path / window path
 def test_rank_paths_and_range_counts(spark, monkeypatch, max_keys):
     from tablewright.operators import rank as R
     monkeypatch.setattr(R, "BROADCAST_MAX_KEYS", max_keys)

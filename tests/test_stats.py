@@ -21,8 +21,11 @@ def _data(seed, n):
     return rows
 
 
+@pytest.mark.parametrize("max_keys", [0, 1_000_000])
 @pytest.mark.parametrize("seed,n", [(1, 1), (2, 2), (3, 57), (4, 400)])
-def test_quantiles_and_medians_match_numpy(spark, seed, n):
+def test_quantiles_and_medians_match_numpy(spark, monkeypatch, seed, n, max_keys):
+    from tablewright.operators import rank as R
+    monkeypatch.setattr(R, "BROADCAST_MAX_KEYS", max_keys)
     rows = _data(seed, n)
     df = spark.createDataFrame(rows, "id int, a double, b double").repartition(3)
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
