@@ -48,3 +48,28 @@ def slices(batch, rows: int = BATCH_ROWS):
     """An Arrow batch in pieces of at most ``rows`` rows (no copy)."""
     for start in range(0, batch.num_rows, rows):
         yield batch.slice(start, rows)
+
+
+def runs(batches, keys: int):
+    """Arrow tables of consecutive rows with equal values in the first ``keys`` columns (integers
+    without nulls), from batches sorted by them. One run is held at a time."""
+    import numpy as np
+    import pyarrow as pa
+    held, current = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)]
+        change = np.zeros(batch.num_rows - 1, bool)
+        for c in columns:
+            change |= c[1:] != c[:-1]
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            key = tuple(c[a] for c in columns)
+            if key != current and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            current = key
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, host_quality, license_scan, mixing, url_filter
+from . import bpe, embed_dedup, host_quality, license_scan, mixing, url_filter
 
 
 def queries() -> dict:
     return {
         "op1_mix_sources": (mixing.query, mixing.SQL),
         "op2_bpe_encode": (bpe.query, None),
+        "op3_embedding_near_dedup": (embed_dedup.query, None),
         "op4_license_scan": (license_scan.query, license_scan.SQL),
         "op7_url_filter": (url_filter.query, url_filter.SQL),
         "op9_host_quality": (host_quality.query, host_quality.SQL),
