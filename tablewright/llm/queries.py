@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, embed_dedup, host_quality, jaccard_join, license_scan, mixing, url_filter
+from . import bpe, embed_dedup, host_quality, jaccard_join, license_scan, mixing, toxicity, url_filter
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_bpe_encode": (bpe.query, None),
         "op3_embedding_near_dedup": (embed_dedup.query, None),
         "op4_license_scan": (license_scan.query, license_scan.SQL),
+        "op5_toxicity": (toxicity.query, None),
         "op6_ngram_jaccard_join": (jaccard_join.query, None),
         "op7_url_filter": (url_filter.query, url_filter.SQL),
         "op9_host_quality": (host_quality.query, host_quality.SQL),
