@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, embed_dedup, host_quality, jaccard_join, license_scan, mixing, toxicity, url_filter
+from . import bpe, embed_dedup, host_quality, jaccard_join, license_scan, mixing, toxicity, url_filter, weak_quality
 
 
 def queries() -> dict:
@@ -15,4 +15,5 @@ def queries() -> dict:
         "op6_ngram_jaccard_join": (jaccard_join.query, None),
         "op7_url_filter": (url_filter.query, url_filter.SQL),
         "op9_host_quality": (host_quality.query, host_quality.SQL),
+        "op10_weak_quality": (weak_quality.query, None),
     }

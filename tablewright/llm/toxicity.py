@@ -6,7 +6,7 @@ single weights can. Terms are words and their beginnings (three to seven letters
 words) hashed into 2^20 buckets; labels are used for training only, and only those of rows outside
 of the held-out third (crc32 of the id as text, mod 3, is 1).
 
-Training uses at most ``SAMPLE`` labelled documents of each class (the first by md5 of the id),
+Training uses about ``SAMPLE`` labelled documents of each class at most (picked by a hash of the id),
 weighted back to the classes' true shares, in one task of that stated size. Labels are noisy and
 texts long, so only terms take part whose share of toxic documents can't be chance (Chernoff bound,
 corrected for the number of terms tested), and terms of pairs for which that holds beyond either
@@ -186,9 +186,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
            .groupBy("id").agg(F.max("toxic").cast("int").alias("toxic")).where("toxic IN (0, 1)"))
     counts = {r["toxic"]: r["n"] for r in own.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = counts.get(1, 0), counts.get(0, 0)
-    first = [own.where(F.col("toxic") == k).orderBy(F.md5(F.col("id").cast("string")), "id").limit(sample)
-             for k in (0, 1)]
-    chosen = F.broadcast(first[0].unionByName(first[1]))  # at most 2 * sample ids
+    # Ids below a threshold of a 62-bit hash: about ``sample`` of each class, all if there are fewer.
+    code = F.shiftrightunsigned(F.xxhash64(F.col("id").cast("string")), 2)
+    limit = [int(min(1.0, sample / max(1, n)) * (1 << 62)) for n in (clean, toxic)]
+    chosen = own.where(code <= F.when(F.col("toxic") == 1, limit[1]).otherwise(limit[0]))
+    chosen = F.broadcast(chosen)  # about 2 * sample ids at any size
     rows = (docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text")).join(chosen, "id")
             .dropDuplicates(["id"]).select("toxic", "text"))
     share = toxic / (toxic + clean) if toxic + clean else 0.0
