@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, embed_dedup, host_quality, jaccard_join, license_scan, mixing, toxicity, url_filter, weak_quality
+from . import bpe, embed_dedup, host_quality, jaccard_join, license_scan, mixing, token_counts, toxicity, url_filter, weak_quality
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op5_toxicity": (toxicity.query, None),
         "op6_ngram_jaccard_join": (jaccard_join.query, None),
         "op7_url_filter": (url_filter.query, url_filter.SQL),
+        "op8_token_counts": (token_counts.query, None),
         "op9_host_quality": (host_quality.query, host_quality.SQL),
         "op10_weak_quality": (weak_quality.query, None),
     }
