@@ -22,10 +22,14 @@ PY_WHITESPACE = "".join(ch for ch in map(chr, range(sys.maxunicode + 1)) if ch.i
 NAME_REPLACEMENTS = [(" ", "_"), ("-", "_"), ("(", ""), (")", ""), ("/", "_"), ("²", "2"),
                      ("â²", "2"), ("Â²", "2"), ("â", "")]
 
-# Cells that mean "missing" (whole cell, case-sensitive), and the
-# numeric sentinel, compared as a number.
-MISSING_TEXTS = ["unknown", "unkown", "Unknown", "nan", "None"]
-MISSING_NUMBER = -1.0
+# Cells that mean "missing": whole texts, matched exactly, and the
+# number, matched in numeric columns only.
+MISSING_TEXTS = ["unknown", "unkown", "Unknown", "-1", "nan"]
+MISSING_NUMBER = -1
+
+# What pandas reads as a number: decimal digits with sign, point and exponent, or an
+# infinity; no type suffixes, no hexadecimal.
+NUMBER = r"(?i)^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$|^[+-]?inf(inity)?$"
 
 # A column is numeric if its name contains one of these.
 NUMERIC_NAME_KEYWORDS = ["population", "area", "density", "growth", "percentage", "rank"]
@@ -69,8 +73,8 @@ def strip_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 def to_number(c: Column) -> Column:
     """pd.to_numeric(errors="coerce"): unparsable -> NULL, and NaN is NULL too."""
-    v = c.cast("string").try_cast("double")
-    return F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
+    text = strip(c.cast("string"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def coerce_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -82,15 +86,19 @@ def columns_with_keywords(df: DataFrame, keywords=NUMERIC_NAME_KEYWORDS) -> list
     return [c for c in df.columns if any(k in c for k in keywords)]
 
 
-def is_missing_sentinel(c: Column) -> Column:
-    text = c.cast("string")
-    return text.isin(MISSING_TEXTS) | (text.try_cast("double") == F.lit(MISSING_NUMBER))
+def is_missing_sentinel(c: Column, dtype: T.DataType) -> Column:
+    """Text cells by their exact text, numbers by their value; other types have no sentinel."""
+    if isinstance(dtype, T.StringType):
+        return c.isin(MISSING_TEXTS)
+    if isinstance(dtype, T.NumericType):
+        return c == F.lit(MISSING_NUMBER)
+    return F.lit(False)
 
 
 def sentinels_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     cols = set(df.columns if columns is None else columns)
     return df.select(*[
-        F.when(is_missing_sentinel(q(c)), F.lit(None).cast(df.schema[c].dataType))
+        F.when(is_missing_sentinel(q(c), df.schema[c].dataType), F.lit(None).cast(df.schema[c].dataType))
         .otherwise(q(c)).alias(c) if c in cols else q(c) for c in df.columns])
 
 

@@ -40,7 +40,7 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Child rows whose non-NULL key has no parent (foreign-key check)."""
-    parents = parent.select(F.col(parent_key).alias("_fk_parent")).distinct()
+    parents = parent.select(F.col(parent_key).alias("_fk_parent"))
     return (child.filter(F.col(child_key).isNotNull())
             .join(parents, F.col(child_key) == F.col("_fk_parent"), "left_anti"))
 

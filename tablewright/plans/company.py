@@ -77,7 +77,7 @@ def age_category(df: DataFrame) -> DataFrame:
 def job_summary(c: Company) -> DataFrame:
     """#TempEmployee: employees, INT average age and salary per job title."""
     summary = (joined(c, c.state15()).groupBy(F.col("s.JobTitle").alias("JobTitle"))
-               .agg(F.count(F.lit(1)).cast("int").alias("EmployeesPerJob"),
+               .agg(F.count(F.lit(1)).alias("EmployeesPerJob"),
                     avg_int("d.Age").alias("AvgAge"),
                     avg_int("s.Salary").alias("AvgSalary")))
     return R.temp_table(summary, "TempEmployee")
@@ -192,7 +192,7 @@ ORACLE = {
                    "CAST(SUM(CAST(s.Salary AS BIGINT)) OVER () // COUNT(s.Salary) OVER () "
                    "AS INTEGER) AS AvgSalary FROM demo15 d JOIN sal s "
                    "ON d.EmployeeID = s.EmployeeID) cte",
-    "job_summary_temp": "SELECT s.JobTitle, CAST(COUNT(*) AS INTEGER) AS EmployeesPerJob, "
+    "job_summary_temp": "SELECT s.JobTitle, COUNT(*) AS EmployeesPerJob, "
                         "CAST(SUM(CAST(d.Age AS BIGINT)) // COUNT(d.Age) AS INTEGER) AS AvgAge, "
                         "CAST(SUM(CAST(s.Salary AS BIGINT)) // COUNT(s.Salary) AS INTEGER) "
                         "AS AvgSalary FROM demo15 d JOIN sal s ON d.EmployeeID = s.EmployeeID "

@@ -144,7 +144,8 @@ def eda_population(df: DataFrame) -> DataFrame:
         F.sum(pop).alias("total_2022_population"),
         F.format_number(F.sum(pop), 0).alias("total_2022_population_text"),
         # idxmax: the largest value; ties go to the smallest country name.
-        F.min_by("country", F.struct(-pop, F.col("country"))).alias("most_populated_country"))
+        F.min_by("country", F.when(pop.isNotNull(), F.struct(-pop, F.col("country"))))
+        .alias("most_populated_country"))
 
 
 REPORTS = {
@@ -210,8 +211,9 @@ def _s(col: str) -> str:
 
 
 def _num(expr: str) -> str:
-    v = f"TRY_CAST({expr} AS DOUBLE)"
-    return f"CASE WHEN isnan({v}) THEN NULL ELSE {v} END"
+    pattern = C.NUMBER.replace("(?i)", "")
+    return (f"CASE WHEN regexp_matches(lower({expr}), '{pattern}') "
+            f"THEN TRY_CAST({expr} AS DOUBLE) END")
 
 
 def _median(table: str, col: str) -> str:
@@ -222,8 +224,7 @@ def _median(table: str, col: str) -> str:
 
 def _sentinel(col: str) -> str:
     texts = ", ".join(f"'{t}'" for t in C.MISSING_TEXTS)
-    return (f"CASE WHEN {col} IN ({texts}) OR TRY_CAST({col} AS DOUBLE) = -1 "
-            f"THEN NULL ELSE {col} END")
+    return f"CASE WHEN {col} IN ({texts}) THEN NULL ELSE {col} END"
 
 
 def _unknown(col: str) -> str:

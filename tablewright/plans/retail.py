@@ -45,8 +45,8 @@ def model(spark: SparkSession, sf_dir: str) -> N.Normalized:
 
 def pk_violations(m: N.Normalized) -> DataFrame:
     def one(name, df, keys):
-        key = (F.col(keys[0]).cast("string") if len(keys) == 1
-               else F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+        # A NULL part is shown as such: (NULL, 1) and (1) are different keys.
+        key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
         return (Q.duplicate_keys(df, keys)
                 .select(F.lit(name).alias("TableName"), key.alias("KeyValue"), "DuplicateRows"))
     parts = [one("Customers", m.customers, ["CustomerID"]),
@@ -56,6 +56,20 @@ def pk_violations(m: N.Normalized) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+def damaged(m: N.Normalized) -> N.Normalized:
+    """The tables with broken rules: some parents removed, some details without an order.
+
+    A flat file split by DISTINCT can't break the rules by itself, so the checks run on this copy.
+    """
+    lost = (m.order_details.filter(F.col("OrderID") % 400 == 0)
+            .withColumn("OrderID", F.lit(None).cast(m.order_details.schema["OrderID"].dataType)))
+    return N.Normalized(
+        customers=m.customers.filter(F.col("CustomerID") % 40 != 0),
+        products=m.products.filter(F.col("CookieID") % 40 != 0),
+        orders=m.orders.filter(F.col("OrderID") % 50 != 0),
+        order_details=m.order_details.unionByName(lost).unionByName(lost))
+
+
 def fk_orphans(m: N.Normalized) -> DataFrame:
     def one(name, child, parent, ck, pk):
         return (Q.orphans(child, parent, ck, pk)
@@ -95,13 +109,15 @@ def order_breakdown(m: N.Normalized) -> DataFrame:
 
 
 def product_sales(m: N.Normalized) -> DataFrame:
-    p, od = m.products.alias("P"), m.order_details.alias("OD")
-    return p.join(od, F.col("P.CookieID") == F.col("OD.CookieID"))
+    """Products with the quantity sold of each: details are summed by product before the join, so a
+    product that holds a large part of them is one small row per task."""
+    sold = m.order_details.groupBy(F.col("CookieID").alias("_id")).agg(F.sum("Quantity").alias("Sold"))
+    return m.products.join(sold, F.col("CookieID") == F.col("_id"))
 
 
 def profit_by_product(m: N.Normalized) -> DataFrame:
-    q, r, c = F.col("OD.Quantity"), F.col("P.RevenuePerCookie"), F.col("P.CostPerCookie")
-    return (product_sales(m).groupBy(F.col("P.CookieName").alias("CookieName"))
+    q, r, c = F.col("Sold"), F.col("RevenuePerCookie"), F.col("CostPerCookie")
+    return (product_sales(m).groupBy("CookieName")
             .agg(F.sum(q).alias("TotalQuantitySold"),
                  sum_decimal(q * r).alias("TotalRevenue"),
                  sum_decimal(q * c).alias("TotalCost"),
@@ -130,16 +146,15 @@ def orders_pruned(spark: SparkSession, m: N.Normalized) -> DataFrame:
 
 
 def revenue_by_customer(m: N.Normalized) -> DataFrame:
-    c, o = m.customers.alias("C"), m.orders.alias("O")
-    return (c.join(o, F.col("C.CustomerID") == F.col("O.CustomerID"))
-            .groupBy(F.col("C.CustomerName").alias("CustomerName"))
-            .agg(F.count("O.OrderID").alias("TotalOrders"),
-                 sum_decimal("O.OrderTotal").alias("TotalRevenue")))
+    bought = (m.orders.groupBy(F.col("CustomerID").alias("_id"))
+              .agg(F.count("OrderID").alias("n"), F.sum("OrderTotal").alias("total")))
+    return (m.customers.join(bought, F.col("CustomerID") == F.col("_id"))
+            .groupBy("CustomerName")
+            .agg(F.sum("n").alias("TotalOrders"), sum_decimal("total").alias("TotalRevenue")))
 
 
 def quantity_by_product(m: N.Normalized) -> DataFrame:
-    return (product_sales(m).groupBy(F.col("P.CookieName").alias("CookieName"))
-            .agg(F.sum("OD.Quantity").alias("TotalQuantitySold")))
+    return product_sales(m).groupBy("CookieName").agg(F.sum("Sold").alias("TotalQuantitySold"))
 
 
 def monthly_revenue(m: N.Normalized) -> DataFrame:
@@ -173,8 +188,8 @@ REPORTS = {
     "norm_orders": lambda s, m: m.orders,
     "norm_order_details": lambda s, m: m.order_details,
     "norm_row_counts": lambda s, m: Q.row_counts(m.named()),
-    "norm_pk_violations": lambda s, m: pk_violations(m),
-    "norm_fk_orphans": lambda s, m: fk_orphans(m),
+    "norm_pk_violations": lambda s, m: pk_violations(damaged(m)),
+    "norm_fk_orphans": lambda s, m: fk_orphans(damaged(m)),
     "norm_notnull_check": lambda s, m: not_null_report(m),
     "cust_in_state": lambda s, m: m.customers.filter(F.col("State") == STATE).select(
         "CustomerID", "CustomerName", "Phone", "City", "State", "Country"),
@@ -206,7 +221,12 @@ ORACLE_CTES = f"""
 n_customers AS (SELECT DISTINCT {', '.join(N.CUSTOMER_COLUMNS)} FROM flat_file),
 n_products AS (SELECT DISTINCT {', '.join(N.PRODUCT_COLUMNS)} FROM flat_file),
 n_orders AS (SELECT DISTINCT {', '.join(N.ORDER_COLUMNS)} FROM flat_file),
-n_details AS (SELECT {', '.join(N.DETAIL_COLUMNS)} FROM flat_file)"""
+n_details AS (SELECT {', '.join(N.DETAIL_COLUMNS)} FROM flat_file),
+x_customers AS (SELECT * FROM n_customers WHERE CustomerID % 40 <> 0),
+x_products AS (SELECT * FROM n_products WHERE CookieID % 40 <> 0),
+x_orders AS (SELECT * FROM n_orders WHERE OrderID % 50 <> 0),
+x_lost AS (SELECT NULL AS OrderID, CookieID, Quantity FROM n_details WHERE OrderID % 400 = 0),
+x_details AS (SELECT * FROM n_details UNION ALL SELECT * FROM x_lost UNION ALL SELECT * FROM x_lost)"""
 
 _E1, _E2, _E3 = (e.isoformat() for e in YEAR_EDGES)
 
@@ -218,6 +238,10 @@ def _nn(table: str, cte: str) -> str:
         for c in NOT_NULL[table])
 
 
+def _key(column: str) -> str:
+    return f"coalesce(CAST({column} AS VARCHAR), 'NULL')"
+
+
 ORACLE = {
     "norm_customers": "SELECT * FROM n_customers",
     "norm_products": "SELECT * FROM n_products",
@@ -228,25 +252,25 @@ ORACLE = {
                        "UNION ALL SELECT 'Orders', COUNT(*) FROM n_orders "
                        "UNION ALL SELECT 'OrderDetails', COUNT(*) FROM n_details",
     "norm_pk_violations": (
-        "SELECT 'Customers' AS TableName, CAST(CustomerID AS VARCHAR) AS KeyValue, "
-        "COUNT(*) AS DuplicateRows FROM n_customers GROUP BY CustomerID HAVING COUNT(*) > 1 "
-        "UNION ALL SELECT 'Products', CAST(CookieID AS VARCHAR), COUNT(*) FROM n_products "
+        f"SELECT 'Customers' AS TableName, {_key('CustomerID')} AS KeyValue, "
+        "COUNT(*) AS DuplicateRows FROM x_customers GROUP BY CustomerID HAVING COUNT(*) > 1 "
+        f"UNION ALL SELECT 'Products', {_key('CookieID')}, COUNT(*) FROM x_products "
         "GROUP BY CookieID HAVING COUNT(*) > 1 "
-        "UNION ALL SELECT 'Orders', CAST(OrderID AS VARCHAR), COUNT(*) FROM n_orders "
+        f"UNION ALL SELECT 'Orders', {_key('OrderID')}, COUNT(*) FROM x_orders "
         "GROUP BY OrderID HAVING COUNT(*) > 1 "
-        "UNION ALL SELECT 'OrderDetails', CAST(OrderID AS VARCHAR) || '|' || "
-        "CAST(CookieID AS VARCHAR), COUNT(*) FROM n_details GROUP BY OrderID, CookieID "
+        f"UNION ALL SELECT 'OrderDetails', {_key('OrderID')} || '|' || "
+        f"{_key('CookieID')}, COUNT(*) FROM x_details GROUP BY OrderID, CookieID "
         "HAVING COUNT(*) > 1"),
     "norm_fk_orphans": (
         "SELECT 'Orders' AS TableName, 'CustomerID' AS ColumnName, "
-        "CAST(CustomerID AS VARCHAR) AS KeyValue FROM n_orders o WHERE CustomerID IS NOT NULL "
-        "AND NOT EXISTS (SELECT 1 FROM n_customers c WHERE c.CustomerID = o.CustomerID) "
-        "UNION ALL SELECT 'OrderDetails', 'OrderID', CAST(OrderID AS VARCHAR) FROM n_details d "
+        "CAST(CustomerID AS VARCHAR) AS KeyValue FROM x_orders o WHERE CustomerID IS NOT NULL "
+        "AND NOT EXISTS (SELECT 1 FROM x_customers c WHERE c.CustomerID = o.CustomerID) "
+        "UNION ALL SELECT 'OrderDetails', 'OrderID', CAST(OrderID AS VARCHAR) FROM x_details d "
         "WHERE OrderID IS NOT NULL AND NOT EXISTS "
-        "(SELECT 1 FROM n_orders o WHERE o.OrderID = d.OrderID) "
-        "UNION ALL SELECT 'OrderDetails', 'CookieID', CAST(CookieID AS VARCHAR) FROM n_details d "
+        "(SELECT 1 FROM x_orders o WHERE o.OrderID = d.OrderID) "
+        "UNION ALL SELECT 'OrderDetails', 'CookieID', CAST(CookieID AS VARCHAR) FROM x_details d "
         "WHERE CookieID IS NOT NULL AND NOT EXISTS "
-        "(SELECT 1 FROM n_products p WHERE p.CookieID = d.CookieID)"),
+        "(SELECT 1 FROM x_products p WHERE p.CookieID = d.CookieID)"),
     "norm_notnull_check": " UNION ALL ".join([
         _nn("Customers", "n_customers"), _nn("Products", "n_products"),
         _nn("Orders", "n_orders"), _nn("OrderDetails", "n_details")]),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import hr as hr_ops
 from ..session import scratch_path
 from ..sources import excel, files, fixtures
+from ..sources.tables import table
 from . import hr, notebook
 
 
@@ -29,6 +30,16 @@ def txt_round_trip(spark, sf_dir):
     return files.read_tsv(spark, path, files.string_schema(raw.columns))
 
 
+def documents_round_trip(write, read):
+    """The given documents, whose texts hold newlines and quotes, through a text file."""
+    def run(spark, sf_dir):
+        docs = table(spark, sf_dir, "documents")
+        path = scratch_path(spark, "documents_text")
+        write(docs, path, rows_per_file=20_000)
+        return read(spark, path, docs.schema, multi_line=True)
+    return run
+
+
 def population_workbooks(spark, sf_dir) -> str:
     raw = notebook.population_raw(spark, sf_dir)
     path = scratch_path(spark, "population_xlsx")
@@ -98,6 +109,8 @@ def hr_csv_landing(spark, sf_dir):
 REPORTS = {
     "countries_load": countries_load,
     "txt_round_trip": txt_round_trip,
+    "documents_csv_round_trip": documents_round_trip(files.write_csv, files.read_csv),
+    "documents_tsv_round_trip": documents_round_trip(files.write_tsv, files.read_tsv),
     "population_load": population_load,
     "population_sheets": population_sheets,
     "movies_load": movies_load,
@@ -111,6 +124,8 @@ REPORTS = {
 ORACLE = {
     "countries_load": fixtures.duckdb_with(["countries_raw"], "SELECT * FROM countries_raw"),
     "txt_round_trip": fixtures.duckdb_with(["countries_raw"], "SELECT * FROM countries_raw"),
+    "documents_csv_round_trip": "SELECT * FROM documents",
+    "documents_tsv_round_trip": "SELECT * FROM documents",
     "population_load": fixtures.duckdb_with(["population_raw"], "SELECT * FROM population_raw"),
     "population_sheets": fixtures.duckdb_with(
         ["population_raw"], "SELECT DISTINCT 0 AS sheet_index, 'Sheet1' AS sheet_name "

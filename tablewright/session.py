@@ -36,10 +36,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_GIVEN"):
-        # Only for local runs: a cluster names its shared folder itself.
-        builder = builder.config(CHECKPOINT_CONF,
-                                 tempfile.mkdtemp(prefix="tablewright-ckpt-"))
+    # No checkpoint folder here: a configured one is kept, and ``shared_dir`` makes a
+    # local one for a local session that has none.
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -66,13 +64,17 @@ _LOCAL_DIRS: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Set a local one only where the session has none (tests, notebooks).
+    A session on a ``local`` master that has none (tests, notebooks) gets a temporary one;
+    on any other master a local folder would lose what executors write, so that raises.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     sc = _context(spark)
     if not path and sc is not None:
         path = sc.getCheckpointDir()
     if not path:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         sid = session_id(spark)
         if sid not in _LOCAL_DIRS:
             _LOCAL_DIRS[sid] = tempfile.mkdtemp(prefix="tablewright-ckpt-")
@@ -87,3 +89,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared folder for one job's output."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file through Spark's file systems (any URI); no error if absent."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

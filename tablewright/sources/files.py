@@ -3,7 +3,9 @@
 All readers take a declared schema (never inferSchema): landing tables are
 all-text, typed later by the cleaning steps. Writers keep values exactly as
 they are (no whitespace trimming), write no index column, and write one
-file per partition, so both sides scale with the number of files.
+file per partition, so both sides scale with the number of files. Cells are
+quoted as in RFC 4180 (a quote inside a cell is doubled), as pandas reads and
+writes them; a row that does not fit the schema raises.
 """
 
 from __future__ import annotations
@@ -21,37 +23,49 @@ def string_schema(columns: list[str]) -> T.StructType:
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
-                   header: bool = True) -> DataFrame:
-    """pd.read_csv(path[, sep]) with a declared schema; the header line is skipped."""
+                   header: bool = True, multi_line: bool = False) -> DataFrame:
+    """pd.read_csv(path[, sep]) with a declared schema; the header line is skipped.
+
+    ``multi_line``: cells may hold newlines. Such a file cannot be split, so each
+    file is one task; write it in bounded pieces (``rows_per_file``). Without it,
+    files are split and a cell with a newline raises, like any malformed row.
+    """
     return (spark.read.schema(schema)
             .option("header", header).option("sep", sep)
-            .option("enforceSchema", True).option("mode", "PERMISSIVE")
-            .option("multiLine", False)
+            .option("quote", '"').option("escape", '"')
+            .option("enforceSchema", True).option("mode", "FAILFAST")
+            .option("multiLine", multi_line)
             .csv(path))
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> None:
-    """df.to_csv(path, [sep,] index=False): values written unchanged, NULL as empty."""
+def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True,
+                    rows_per_file: int = 0) -> None:
+    """df.to_csv(path, [sep,] index=False): values written unchanged, NULL as empty.
+
+    An empty string is written as ``""`` and so differs from NULL.
+    """
     (df.write.mode("overwrite")
      .option("header", header).option("sep", sep)
+     .option("quote", '"').option("escape", '"')
+     .option("maxRecordsPerFile", rows_per_file)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
 
 
-def read_csv(spark, path, schema):
-    return read_delimited(spark, path, schema, ",")
+def read_csv(spark, path, schema, multi_line=False):
+    return read_delimited(spark, path, schema, ",", multi_line=multi_line)
 
 
-def read_tsv(spark, path, schema):
-    return read_delimited(spark, path, schema, TAB)
+def read_tsv(spark, path, schema, multi_line=False):
+    return read_delimited(spark, path, schema, TAB, multi_line=multi_line)
 
 
-def write_csv(df, path):
-    write_delimited(df, path, ",")
+def write_csv(df, path, rows_per_file=0):
+    write_delimited(df, path, ",", rows_per_file=rows_per_file)
 
 
-def write_tsv(df, path):
-    write_delimited(df, path, TAB)
+def write_tsv(df, path, rows_per_file=0):
+    write_delimited(df, path, TAB, rows_per_file=rows_per_file)
 
 
 # ------------------------------------------------------------- keyed JSON
@@ -65,12 +79,15 @@ def read_keyed_json(spark: SparkSession, path: str, key_column: str,
 
     ``json.load(f)[0]`` then ``DataFrame.from_dict(orient="index")`` with the
     index as ``key_column``. Every file is one task; rows of all objects in
-    the list are kept. Attribute names are kept exactly, so "Rating" and
+    the list are kept. A file that is not such a document raises with its path
+    (an empty list is one without rows). Attribute names are kept exactly, so "Rating" and
     "rating" stay two columns. Without ``attributes`` the names are found by
     a distinct over the map keys (a schema-sized result, like inference).
     """
     docs = spark.read.text(path, wholetext=True)
-    items = (docs.select(F.explode(F.from_json("value", KEYED_JSON_TYPE)).alias("obj"))
+    parsed = F.from_json("value", KEYED_JSON_TYPE)
+    broken = F.raise_error(F.concat(F.lit("not a keyed JSON document: "), F.input_file_name()))
+    items = (docs.select(F.explode(F.coalesce(parsed, broken.cast(KEYED_JSON_TYPE))).alias("obj"))
              .select(F.explode("obj").alias(key_column, "attrs")))
     if attributes is None:
         attributes = sorted(r[0] for r in items.select(F.explode(F.map_keys("attrs")))

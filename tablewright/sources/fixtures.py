@@ -89,6 +89,7 @@ WHERE n_nationkey % 4 = 0
 _POPULATION_ROW = """
 SELECT concat(c_name, ' ') AS `Country`, r_name AS `Continent`,
        CASE WHEN c_custkey % 13 = 0 THEN 'N.A.' WHEN c_custkey % 17 = 0 THEN NULL
+            WHEN c_custkey % 29 = 0 THEN '5d' WHEN c_custkey % 37 = 0 THEN '0x1p3' WHEN c_custkey % 43 = 0 THEN '1.5e3'
             ELSE CAST(c_custkey * 150000 AS string) END AS `2022 Population`,
        CASE WHEN c_custkey % 11 = 0 THEN '' ELSE CAST(CAST(c_acctbal AS decimal(12,2)) AS string) END AS `Density (per km²)`,
        CAST(c_custkey + 1 AS string) AS `Rank`
@@ -101,8 +102,8 @@ MOVIES_RAW = """
 SELECT concat('Movie ', CAST(p_partkey AS string)) AS `Movie`,
        CASE WHEN p_partkey % 3 = 0 THEN NULL WHEN p_partkey % 19 = 0 THEN 'unkown' ELSE p_brand END AS `rating_a`,
        CASE WHEN p_partkey % 3 = 0 AND p_partkey % 5 <> 0 THEN concat(' ', p_brand) ELSE NULL END AS `rating_b`,
-       CASE WHEN p_partkey % 23 = 0 THEN 'unknown' ELSE p_type END AS `Genre`,
-       CASE WHEN p_partkey % 7 = 0 THEN '-1' WHEN p_partkey % 2 = 0 THEN NULL ELSE CAST(p_size * 2 AS string) END AS `Popcorn Score`,
+       CASE WHEN p_partkey % 23 = 0 THEN 'unknown' WHEN p_partkey % 29 = 0 THEN '-1.0' WHEN p_partkey % 31 = 0 THEN 'None' ELSE p_type END AS `Genre`,
+       CASE WHEN p_partkey % 7 = 0 THEN '-1' WHEN p_partkey % 11 = 0 THEN '-1.0' WHEN p_partkey % 13 = 0 THEN '7f' WHEN p_partkey % 2 = 0 THEN NULL ELSE CAST(p_size * 2 AS string) END AS `Popcorn Score`,
        CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size + 40 AS string) ELSE NULL END AS `popcornscore`,
        CASE WHEN p_partkey % 10 = 0 THEN '-1' ELSE CAST(50 + p_size AS string) END AS `Tomato Score`,
        CASE WHEN p_partkey % 9 = 0 THEN 'unknown' ELSE concat('$', CAST(p_partkey % 900 AS string), ',000') END AS `Gross`
@@ -125,7 +126,7 @@ FROM {events}
 # balance are added in week 14, and suppliers plus the added employees below
 # -500 form the warehouse table (so UNION has duplicates to remove).
 _EMP_COLUMNS = """
-SELECT CAST(c_custkey AS int) AS EmployeeID,
+SELECT CAST(c_custkey AS bigint) AS EmployeeID,
        c_name AS FirstName,
        concat('L', CAST(c_custkey % 50 AS string)) AS LastName,
        CASE WHEN c_custkey % 23 = 0 THEN CAST(NULL AS int) ELSE CAST(22 + c_custkey % 41 AS int) END AS Age,
@@ -140,15 +141,21 @@ EMP_DEMOGRAPHICS_ADDED = _EMP_COLUMNS + "\nWHERE c_acctbal < 0\n"
 EMP_UPDATE_FIRST, EMP_UPDATE_LAST, EMP_UPDATE_AGE = "Customer#000000010", "L10", 31
 
 EMP_SALARY = """
-SELECT CAST(c_custkey AS int) AS EmployeeID,
+SELECT CAST(c_custkey AS bigint) AS EmployeeID,
        c_mktsegment AS JobTitle,
        CAST(30000 + (c_custkey * 37 % 71) * 500 AS int) AS Salary
 FROM {customer}
 WHERE c_acctbal >= 0
+UNION ALL
+SELECT CAST(-1000000000000 - s_suppkey AS bigint) AS EmployeeID,
+       'CONTRACT' AS JobTitle,
+       CAST(20000 + s_suppkey % 90 * 100 AS int) AS Salary
+FROM {supplier}
+WHERE s_suppkey % 5 = 0
 """
 
 EMP_WAREHOUSE = """
-SELECT CAST(100000000 + s_suppkey AS int) AS EmployeeID,
+SELECT CAST(-s_suppkey AS bigint) AS EmployeeID,
        s_name AS FirstName,
        concat('W', CAST(s_suppkey % 50 AS string)) AS LastName,
        CASE WHEN s_suppkey % 9 = 0 THEN CAST(NULL AS int) ELSE CAST(20 + s_suppkey % 45 AS int) END AS Age,

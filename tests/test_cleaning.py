@@ -26,7 +26,7 @@ def test_to_number_and_sentinels(spark):
     assert nums[:4] == [None, None, None, None]
     assert nums[4] == float("inf") and nums[5] == -1.0 and nums[9] == 12.5
     kept = [r.x for r in C.sentinels_to_null(df).collect()]
-    assert kept == ["1,000", "N.A.", "", None, "inf", None, None, None, None, "12.5", None]
+    assert kept == ["1,000", "N.A.", "", None, "inf", None, "-1.0", None, "None", "12.5", None]
     cur = df.select(C.parse_currency(F.lit("$1,234")).alias("g")).first().g
     assert cur == 1234.0
 
