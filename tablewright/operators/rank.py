@@ -5,45 +5,27 @@
 1 + the number of rows of the same ``p`` with a strictly better ``k``, so it
 only needs the row count per distinct (p, k) and a running total over them:
 
-1. count rows per (p, k) (partial aggregation before the shuffle);
-2. running totals over the distinct (p, k): when they are counted to be at
-   most ``BROADCAST_MAX_KEYS`` rows, one window over that bounded table;
-   otherwise range-partition them by (p, k), take a running total per ``p``
-   inside each range, and add the totals of the same ``p`` in earlier ranges
-   (one small row per range and ``p``);
-3. join the rank back on (p, k). The distinct keys are counted first (their
-   counts are kept, one row per key): up to ``BROADCAST_MAX_KEYS`` the rank
-   table is broadcast, so the rows are never shuffled; beyond that it is a
-   shuffle join whose hot keys AQE splits. (Left to AQE alone, the rows'
-   shuffle would already have run by the time the small side is known.)
+1. count rows per (p, k) (partial aggregation before the shuffle), fixed in the
+   shared folder: one small row per distinct key;
+2. running totals over the distinct (p, k): range-partition them by (p, k),
+   take a running total per ``p`` inside each range, and add the totals of the
+   same ``p`` in earlier ranges (one small row per range and ``p``);
+3. join the rank back on (p, k). The planner picks the join by the known size
+   of the rank table; hot keys of a shuffle join are split by AQE.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
-# Largest rank table (distinct keys) that is broadcast: a few fields per key,
-# well under the size a broadcast may take.
-BROADCAST_MAX_KEYS = 1_000_000
 
-# Per-key counts persisted by this module (one row per distinct key) to avoid
-# recomputing them; results never depend on them staying cached.
-_PERSISTED: list[DataFrame] = []
-
-
-def _persist(df: DataFrame) -> DataFrame:
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(df)
-    return df
-
-
-def release_intermediates() -> None:
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
+def fixed(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed in the shared folder: evaluated once, however often it is read."""
+    shared_dir(df.sparkSession)  # makes sure the session has a checkpoint folder
+    return df.checkpoint(eager=True)
 
 
 def _sort_col(name: str, descending: bool) -> Column:
@@ -53,33 +35,19 @@ def _sort_col(name: str, descending: bool) -> Column:
 
 def rank_table(counts: DataFrame, order: list[tuple[str, bool]], rank_col: str,
                partition_by: list[str] = (), n_col: str = "_n",
-               partitions: int | None = None, small: bool | None = None) -> DataFrame:
+               partitions: int | None = None) -> DataFrame:
     """Rank distinct keys carrying row counts ``n_col`` by ``order`` (name, desc).
 
-    ``small``: the key table is known to have at most ``BROADCAST_MAX_KEYS``
-    rows (counted when None). A table that small takes its running totals in
-    one window, its size being bounded; a larger one goes the range way.
+    ``counts`` is read twice (range borders, then rows): pass a fixed table.
     """
     part = list(partition_by)
     keys = part + [k for k, _ in order]
     sort = [F.col(p).asc() for p in part] + [_sort_col(k, d) for k, d in order]
-    if small is None:
-        small = counts.count() <= BROADCAST_MAX_KEYS
-    if small:
-        earlier = (Window.partitionBy(*part).orderBy(*sort[len(part):])
-                   .rowsBetween(Window.unboundedPreceding, -1))
-        rank = F.coalesce(F.sum(n_col).over(earlier), F.lit(0)) + F.lit(1)
-        return counts.select(*keys, n_col, rank.cast("bigint").alias(rank_col))
-    spark = counts.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Range ids are read twice below (per-range totals, and rows inside each
-    # range), so they are fixed once: the range-partitioned keys (one row per
-    # distinct key) are checkpointed to the shared folder, and both reads see
-    # the same partitioning whatever is recomputed later.
-    shared_dir(spark)  # makes sure the session has a checkpoint folder
-    ranged = (counts.repartitionByRange(parts, *sort)
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
+    # range), so they are fixed once: both reads see the same partitioning
+    # whatever is recomputed later.
+    ranged = fixed(counts.repartitionByRange(parts, *sort).withColumn("_pid", F.spark_partition_id()))
     # Rows of the same partition key in all earlier ranges.
     before = (Window.partitionBy(*part).orderBy("_pid")
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -106,13 +74,9 @@ def global_rank(df: DataFrame, order: list[tuple[str, bool]], rank_col: str = "r
     BIGINT, as T-SQL types RANK(): a rank can exceed 2^31 on large tables.
     """
     keys = list(partition_by) + [k for k, _ in order]
-    counts = _persist(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
-    small = counts.count() <= BROADCAST_MAX_KEYS
-    ranks = rank_table(counts, order, rank_col, partition_by, partitions=partitions,
-                       small=small)
+    counts = fixed(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+    ranks = rank_table(counts, order, rank_col, partition_by, partitions=partitions)
     ranks = ranks.select(*[F.col(k).alias(f"_rk_{i}") for i, k in enumerate(keys)], rank_col)
-    if small:
-        ranks = F.broadcast(ranks)
     cond = None
     for i, k in enumerate(keys):
         c = df[k].eqNullSafe(ranks[f"_rk_{i}"])

@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+_TEMP: dict[tuple[int, str], DataFrame] = {}  # the cached contents of each temp table
+
+
 def append_rows(df: DataFrame, new: DataFrame) -> DataFrame:
     """INSERT INTO t VALUES ... on a filled table (columns matched by name)."""
     return df.unionByName(new)
@@ -45,10 +48,13 @@ def semi_in(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
 def temp_table(df: DataFrame, name: str) -> DataFrame:
     """DROP TABLE IF EXISTS #name; CREATE ...; INSERT ... SELECT: a cached temp view.
 
-    Re-registering replaces the previous contents; the returned DataFrame is
-    bound to this contents even if the name is registered again later.
+    Re-registering replaces the previous contents, whose cache is released; a
+    DataFrame returned earlier still gives its own contents, from its lineage.
     """
-    df.persist()
+    old = _TEMP.pop((id(df.sparkSession), name), None)
+    if old is not None:
+        old.unpersist()
+    _TEMP[id(df.sparkSession), name] = df.persist()
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
 

@@ -5,8 +5,8 @@ group into one buffer, and for a whole-table statistic that is one task.
 Here every statistic comes from the count per distinct value: the distinct
 values of each column are range-partitioned, each value gets its first
 1-based position from the running total, and the (at most two) values that
-cover a wanted position are picked with a broadcast of the small target list
-(columns x probabilities rows).
+cover a wanted position are picked in one pass, by a join with the small target
+list (columns x probabilities rows). The input is evaluated once.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.metrics import mean, std
-from .rank import _persist, rank_table
+from .rank import fixed, rank_table
 
 
 def _q(name: str) -> Column:
@@ -31,18 +31,24 @@ def value_positions(df: DataFrame, columns: list[str]) -> tuple[DataFrame, DataF
         F.struct(F.lit(c).alias("c"), _q(c).cast("double").alias("v")) for c in columns]))
         .alias("cv")).select("cv.c", "cv.v")
         .filter(F.col("v").isNotNull() & ~F.isnan("v")))
-    counts = _persist(long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("_n")))
+    counts = fixed(long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("_n")))
     positions = rank_table(counts, [("v", False)], "_pos", partition_by=["c"])
     totals = counts.groupBy("c").agg(F.sum("_n").alias("_total"))
     return positions, totals
 
 
-def _value_at(positions: DataFrame, targets: DataFrame, pos_col: str, out: str) -> DataFrame:
-    """For each target row, the value whose position range holds ``pos_col``."""
-    t = targets.select(F.col("c").alias("_tc"), "p", F.col(pos_col).alias("_k"))
-    hit = positions.join(F.broadcast(t), F.col("c") == F.col("_tc"))
-    hit = hit.filter((F.col("_pos") <= F.col("_k")) & (F.col("_pos") + F.col("_n") > F.col("_k")))
-    return hit.select(F.col("_tc").alias("c"), "p", F.col("v").alias(out))
+def _values_at(positions: DataFrame, targets: DataFrame) -> DataFrame:
+    """(c, p, _frac, _vlo, _vhi): for each target row the values at positions ``_lo`` and ``_hi``."""
+    t = targets.select(F.col("c").alias("_tc"), "p", "_lo", "_hi", "_frac")
+
+    def covers(k):
+        return (F.col("_pos") <= F.col(k)) & (F.col("_pos") + F.col("_n") > F.col(k))
+
+    # Only the values at the wanted positions leave the join: two rows per target.
+    hit = positions.join(F.broadcast(t), (F.col("c") == F.col("_tc")) & (covers("_lo") | covers("_hi")))
+    return (hit.groupBy(F.col("_tc").alias("c"), "p", "_frac")
+            .agg(F.max(F.when(covers("_lo"), F.col("v"))).alias("_vlo"),
+                 F.max(F.when(covers("_hi"), F.col("v"))).alias("_vhi")))
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
@@ -55,13 +61,8 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Da
     targets = (totals.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
                .withColumn("_lo", F.floor(h)).withColumn("_hi", F.ceil(h))
                .withColumn("_frac", h - F.floor(h)))
-    lo = _value_at(positions, targets, "_lo", "_vlo")
-    hi = _value_at(positions, targets, "_hi", "_vhi")
-    frac = targets.select(F.col("c").alias("_fc"), F.col("p").alias("_fp"), "_frac")
-    return (lo.join(hi, ["c", "p"])
-            .join(F.broadcast(frac), (F.col("c") == F.col("_fc")) & (F.col("p") == F.col("_fp")))
-            .select("c", "p", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac"))
-                    .alias("value")))
+    return _values_at(positions, targets).select(
+        "c", "p", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value"))
 
 
 def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -70,12 +71,10 @@ def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
     A column with only missing values gives NULL.
     """
     positions, totals = value_positions(df, columns)
-    targets = (totals.withColumn("p", F.lit(0.5))
+    targets = (totals.withColumn("p", F.lit(0.5)).withColumn("_frac", F.lit(0.5))
                .withColumn("_lo", F.floor((F.col("_total") - 1) / 2) + 1)
                .withColumn("_hi", F.floor(F.col("_total") / 2) + 1))
-    lo = _value_at(positions, targets, "_lo", "_vlo")
-    hi = _value_at(positions, targets, "_hi", "_vhi")
-    per_column = lo.join(hi, ["c", "p"]).select(
+    per_column = _values_at(positions, targets).select(
         "c", ((F.col("_vlo") + F.col("_vhi")) / 2).alias("m"))
     return per_column.agg(*[F.max(F.when(F.col("c") == c, F.col("m"))).alias(c)
                             for c in columns])

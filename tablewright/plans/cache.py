@@ -22,11 +22,12 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import session_id, shared_dir
+from ..session import delete_path, session_id, shared_dir
 
 MODE_CONF = "tablewright.materialize"
 
 _TABLES: dict[tuple, DataFrame] = {}
+_STORED: dict[tuple, tuple[str, str]] = {}  # (table, folder) of what is written
 
 
 def cached(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
@@ -39,7 +40,7 @@ def cached(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
     ``cache`` mode the caller's hash partitioning is kept by the cache.)
     """
     mode = spark.conf.get(MODE_CONF, "cache")
-    full = (session_id(spark), mode) + tuple(key)
+    full = (session_id(spark), mode) + tuple(key) + fingerprint(spark, key)
     df = _TABLES.get(full)
     if df is not None and df.sparkSession is spark:
         return df
@@ -52,6 +53,7 @@ def cached(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
             buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
             writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
         writer.saveAsTable(name)
+        _STORED[full] = (name, path)
         df = spark.table(name)
     else:
         df = build().persist(StorageLevel.MEMORY_AND_DISK)
@@ -60,12 +62,36 @@ def cached(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
 
 
 def release(spark: SparkSession | None = None) -> None:
-    """Forget (and unpersist) every table this module holds for the session,
-    and the key tables the rank and statistics operators persisted."""
-    from ..operators.rank import release_intermediates
-    release_intermediates()
+    """Forget every table this module holds for the session: unpersist what is cached, drop what
+    is written, files included."""
     for full in list(_TABLES):
         if spark is None or full[0] == session_id(spark):
             df = _TABLES.pop(full)
             if df.is_cached:
                 df.unpersist()
+            stored = _STORED.pop(full, None)
+            if stored is not None:
+                drop_if_exists(df.sparkSession, *stored)
+
+
+def drop_if_exists(spark: SparkSession, name: str, path: str | None = None) -> None:
+    """DROP TABLE / VIEW IF EXISTS: the temp view or table of this name, and its files."""
+    if not spark.catalog.dropTempView(name):
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+    if path is not None:
+        delete_path(spark, path)
+
+
+def fingerprint(spark: SparkSession, key: tuple) -> tuple:
+    """Names, lengths and times of the files under every folder that ``key`` names: changed
+    input makes a new table instead of an old answer."""
+    found = []
+    for part in key:
+        if not (isinstance(part, str) and "/" in part):
+            continue
+        root = spark._jvm.org.apache.hadoop.fs.Path(part)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(root):
+            found += sorted((s.getPath().getName(), s.getLen(), s.getModificationTime())
+                            for s in fs.listStatus(root))
+    return tuple(found)

@@ -36,7 +36,7 @@ def documents_round_trip(write, read):
         docs = table(spark, sf_dir, "documents")
         path = scratch_path(spark, "documents_text")
         write(docs, path, rows_per_file=20_000)
-        return read(spark, path, docs.schema, multi_line=True)
+        return read(spark, path, docs.schema, multi_line=True, keep_empty=True)
     return run
 
 

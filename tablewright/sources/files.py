@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TAB = "\t"
+#: No cell's text: as the NULL mark it leaves quoted empty cells alone.
+NO_VALUE = "\x00"
 
 
 def string_schema(columns: list[str]) -> T.StructType:
@@ -23,16 +25,20 @@ def string_schema(columns: list[str]) -> T.StructType:
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
-                   header: bool = True, multi_line: bool = False) -> DataFrame:
+                   header: bool = True, multi_line: bool = False,
+                   keep_empty: bool = False) -> DataFrame:
     """pd.read_csv(path[, sep]) with a declared schema; the header line is skipped.
 
     ``multi_line``: cells may hold newlines. Such a file cannot be split, so each
     file is one task; write it in bounded pieces (``rows_per_file``). Without it,
     files are split and a cell with a newline raises, like any malformed row.
+    An empty cell is missing, as in pandas; with ``keep_empty`` a quoted empty
+    cell is the empty string.
     """
     return (spark.read.schema(schema)
             .option("header", header).option("sep", sep)
             .option("quote", '"').option("escape", '"')
+            .option("nullValue", NO_VALUE if keep_empty else "").option("emptyValue", "")
             .option("enforceSchema", True).option("mode", "FAILFAST")
             .option("multiLine", multi_line)
             .csv(path))
@@ -52,12 +58,12 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Tru
      .csv(path))
 
 
-def read_csv(spark, path, schema, multi_line=False):
-    return read_delimited(spark, path, schema, ",", multi_line=multi_line)
+def read_csv(spark, path, schema, **options):
+    return read_delimited(spark, path, schema, ",", **options)
 
 
-def read_tsv(spark, path, schema, multi_line=False):
-    return read_delimited(spark, path, schema, TAB, multi_line=multi_line)
+def read_tsv(spark, path, schema, **options):
+    return read_delimited(spark, path, schema, TAB, **options)
 
 
 def write_csv(df, path, rows_per_file=0):

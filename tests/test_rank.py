@@ -32,10 +32,7 @@ def test_partitioned_multi_key_rank_matches_window(spark):
     assert sorted(mine.collect()) == sorted(ref.collect())
 
 
-@pytest.mark.parametrize("max_keys", [0, 1_000_000])  # range path / window path
-def test_rank_paths_and_range_counts(spark, monkeypatch, max_keys):
-    from tablewright.operators import rank as R
-    monkeypatch.setattr(R, "BROADCAST_MAX_KEYS", max_keys)
+def test_rank_range_counts(spark):
     for seed, parts in ((11, 1), (12, 3), (13, 7), (14, 40)):
         rnd = random.Random(seed)
         rows = [(i, rnd.choice(["a", "b", "c", None]), rnd.choice([None, 1, 2, 2, 5, 9, 9, 9]),
