@@ -7,14 +7,14 @@ partition (the sort spills to disk when needed), then one pass over the
 sorted Arrow batches carries (account, balance, accepted count) from row to
 row and from batch to batch. No account's history is ever collected into one
 array or one pandas frame, so a very long account only costs a longer scan.
-Amounts are handled in integer cents, so every balance is exact.
+Within a batch balances are running sums between refused debits. Amounts are
+handled in integer cents, so every balance is exact.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from decimal import Decimal
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,49 +49,89 @@ def outcome_of(txn_type: str, amount_cents, network_choice, balance_cents: int)
     return ACCEPTED
 
 
-def _values(pdf: pd.DataFrame, col: str) -> list:
-    s = pdf[col]
-    return s.astype("object").where(s.notna(), None).tolist()
+#: Rows that are summed at once; a refused debit starts the sum anew behind it.
+RUN = 1024
 
 
-def apply_rows(pdf: pd.DataFrame, state, start_state) -> tuple[pd.DataFrame, tuple]:
-    """Fold rows already in (account, ts, event_id) order.
+def checked(types: list, amounts: list, networks: list) -> tuple[list, list]:
+    """(outcome, cents to add) of each row as far as they don't depend on the balance: rows
+    that only lack funds, if anything, are ACCEPTED here."""
+    outcomes, deltas = [], []
+    for kind, amount, network in zip(types, amounts, networks):
+        out = outcome_of(kind, amount, network, amount if amount is not None else 0)
+        outcomes.append(out)
+        deltas.append(0 if out != ACCEPTED else amount if kind == DEPOSIT else -amount)
+    return outcomes, deltas
+
+
+def fold_account(types: list, amounts: list, networks: list, balance: int, accepted: int) -> tuple:
+    """(outcomes, balances, accepted numbers, balance, accepted) of one account's rows in order.
 
-    ``state`` is (account, balance_cents, accepted) carried in from earlier
-    rows; ``start_state(account)`` gives the state of an account seen first.
-    Returns the rows with outcome / balance_cents / accepted_no, and the state.
+    Balances are running sums up to the first debit that lacks funds; that one is refused and
+    the sums go on behind it.
     """
-    account, balance, accepted = state
-    outcomes, balances, numbers = [], [], []
-    for acc, typ, amt, net in zip(pdf["account_id"].tolist(), pdf["txn_type"].tolist(),
-                                  _values(pdf, "amount_cents"), _values(pdf, "network_choice")):
-        if acc != account:
-            account, (balance, accepted) = acc, start_state(acc)
-        out = outcome_of(typ, amt, net, balance)
-        number = None
-        if out == ACCEPTED:
-            balance = balance + amt if typ == DEPOSIT else balance - amt
-            accepted += 1
-            number = accepted
-        outcomes.append(out)
-        balances.append(balance)
-        numbers.append(number)
-    pdf = pdf.assign(outcome=outcomes, balance_cents=balances,
-                     accepted_no=pd.array(numbers, dtype="Int64"))
-    return pdf, (account, balance, accepted)
+    import numpy as np
+    outcomes, deltas = checked(types, amounts, networks)
+    n = len(outcomes)
+    delta = np.array(deltas, np.int64)
+    counted = np.array([o == ACCEPTED for o in outcomes], bool)
+    debit = counted & np.array([kind in DEBITS for kind in types], bool)
+    balances, at = np.empty(n, np.int64), 0
+    while at < n:
+        end = min(n, at + RUN)
+        sums = balance + np.cumsum(delta[at:end])
+        short = np.flatnonzero((sums < 0) & debit[at:end])
+        if len(short):
+            end = at + int(short[0])
+            outcomes[end], counted[end] = INSUFFICIENT, False
+        balances[at:end] = sums[:end - at]
+        if end > at:
+            balance = int(sums[end - at - 1])
+        if len(short):
+            balances[end] = balance
+            end += 1
+        at = end
+    numbers = accepted + np.cumsum(counted)
+    numbered = [int(k) if c else None for k, c in zip(numbers, counted)]
+    return outcomes, balances, numbered, balance, int(numbers[-1]) if n else accepted
 
 
 def _fold(opening_cents: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state = (None, opening_cents, 0)
-        for pdf in batches:
-            pdf, state = apply_rows(pdf, state, lambda _acc: (opening_cents, 0))
-            yield pdf
+    """Batches sorted by (account, ts, event): ids and times pass through as Arrow, untouched.
+
+    Transactions without an account form one ledger of their own.
+    """
+    def run(batches):
+        import pyarrow as pa
+        account, balance, accepted = object(), opening_cents, 0
+        for batch in batches:
+            names = batch.schema.names
+            accounts = batch.column(names.index("account_id")).to_pylist()
+            types, amounts, networks = (batch.column(names.index(c)).to_pylist()
+                                        for c in ("txn_type", "amount_cents", "network_choice"))
+            outcomes, balances, numbers, at = [], [], [], 0
+            while at < len(accounts):
+                if accounts[at] != account:  # None equals None
+                    account, balance, accepted = accounts[at], opening_cents, 0
+                end = at + 1
+                while end < len(accounts) and accounts[end] == account:
+                    end += 1
+                out, held, number, balance, accepted = fold_account(
+                    types[at:end], amounts[at:end], networks[at:end], balance, accepted)
+                outcomes += out
+                balances.append(held)
+                numbers += number
+                at = end
+            held = [int(x) for part in balances for x in part]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(outcomes, pa.string()), pa.array(held, pa.int64()),
+                 pa.array(numbers, pa.int64())],
+                [*names, "outcome", "balance_cents", "accepted_no"])
     return run
 
 
 def cents(opening_balance: str) -> int:
-    return int(round(float(opening_balance) * 100))
+    return int(Decimal(opening_balance) * 100)
 
 
 def fold_input(txns: DataFrame) -> DataFrame:
@@ -112,7 +152,7 @@ def fold(txns: DataFrame, opening_balance: str, partitions: int | None = None) -
     rows = rows.repartition(partitions, "account_id") if partitions else rows.repartition(
         "account_id")
     ordered = rows.sortWithinPartitions("account_id", "ts", "event_id")
-    folded = ordered.mapInPandas(_fold(cents(opening_balance)), schema=FOLD_SCHEMA)
+    folded = ordered.mapInArrow(_fold(cents(opening_balance)), schema=FOLD_SCHEMA)
     return from_cents(folded)
 
 

@@ -93,6 +93,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder or file through Spark's file systems (any URI); no error if absent."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a folder inside of one file system; False if there is none."""
+    fs, old = _file_system(spark, source)
+    if not fs.exists(old):
+        return False
+    new = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(new.getParent())
+    return fs.rename(old, new)
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """One file of bounded size, through Spark's file systems (any URI)."""
+    fs, target = _file_system(spark, path)
+    out = fs.create(target, True)
+    try:
+        out.write(data)
+    finally:
+        out.close()

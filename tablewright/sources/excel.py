@@ -4,18 +4,17 @@
 is parsed by its own task (``mapInPandas``) with the standard library
 (xlsx is a zip of XML parts; no spreadsheet package is installed). Cells
 come back as text, like the all-text landing tables; the cleaning steps
-type them. A small writer builds test workbooks, bounded in rows, in a
-folder that every executor can write to (the session's shared folder).
+type them. A small writer builds test workbooks, bounded in rows, in the
+session's shared folder.
 """
 
 from __future__ import annotations
 
 import io
-import os
 import re
-import uuid
 import zipfile
 from collections.abc import Iterator
+from itertools import islice
 from xml.etree import ElementTree as ET
 from xml.sax.saxutils import escape
 
@@ -24,9 +23,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import write_bytes
+
 NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
       "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
       "rel": "http://schemas.openxmlformats.org/package/2006/relationships"}
+#: Rows of a sheet that are handed on at a time.
+ROWS = 10_000
 _REF = re.compile(r"([A-Z]+)(\d+)")
 
 
@@ -94,8 +97,9 @@ def _parse(sheet: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                out = [(path, i, r) for i, r in enumerate(sheet_rows(content, sheet))]
-                yield pd.DataFrame(out, columns=["path", "row", "cells"])
+                rows = enumerate(sheet_rows(content, sheet))
+                while piece := [(path, i, r) for i, r in islice(rows, ROWS)]:
+                    yield pd.DataFrame(piece, columns=["path", "row", "cells"])
     return run
 
 
@@ -188,35 +192,32 @@ def workbook_bytes(header: list[str], rows: list[list], sheet: str = "Sheet1") -
 
 def write_excel(df: DataFrame, folder: str, rows_per_file: int = 100_000,
                 sheet: str = "Sheet1") -> None:
-    """Workbooks of at most ``rows_per_file`` rows under ``folder`` (shared by executors).
+    """Workbooks of at most ``rows_per_file`` rows under ``folder`` (any URI Spark can write).
 
-    Each task writes its partition as consecutive workbooks, one name per
-    (partition, piece), replaced atomically: a retried or speculative attempt
-    rewrites the same workbooks, never adds new ones.
+    Tasks build the workbooks as bytes, one at a time; the driver writes each as it comes
+    (one workbook is held, never the table), through Spark's own file systems. The reference only reads
+    workbooks; this writer makes inputs for the reader.
     """
+    spark = df.sparkSession
     header = df.columns
-    os.makedirs(folder, exist_ok=True)
-
-    def flush(part, piece, rows):
-        final = os.path.join(folder, f"part-{part:05d}-{piece:05d}.xlsx")
-        tmp = f"{final}.{uuid.uuid4().hex}.tmp"
-        with open(tmp, "wb") as f:
-            f.write(workbook_bytes(header, rows, sheet))
-        os.replace(tmp, final)
 
     def run(batches):
         part = TaskContext.get().partitionId()
-        rows, piece, total = [], 0, 0
+        rows, piece = [], 0
+
+        def book():
+            return pd.DataFrame({"name": [f"part-{part:05d}-{piece:05d}.xlsx"],
+                                 "data": [workbook_bytes(header, rows, sheet)]})
+
         for pdf in batches:
             pdf = pdf.astype(object).where(pdf.notna(), None)
             for row in pdf.values.tolist():
                 rows.append(row)
                 if len(rows) == rows_per_file:
-                    flush(part, piece, rows)
-                    total, rows, piece = total + len(rows), [], piece + 1
+                    yield book()
+                    rows, piece = [], piece + 1
         if rows:
-            flush(part, piece, rows)
-            total += len(rows)
-        yield pd.DataFrame({"rows": [total]})
+            yield book()
 
-    df.mapInPandas(run, "rows long").agg(F.sum("rows")).collect()
+    for r in df.mapInPandas(run, "name string, data binary").toLocalIterator():
+        write_bytes(spark, f"{folder}/{r['name']}", bytes(r["data"]))

@@ -5,12 +5,13 @@ the state store (RocksDB). Each micro-batch hands the processor only that
 batch's rows of one account; they are sorted by (ts, event_id) and folded on
 top of the stored state. Rows are applied in arrival order across batches:
 a row that arrives in a later batch with an older ``ts`` is applied when it
-arrives (the stated late-data rule). With input delivered in time order the
-result equals the batch fold, which is its test oracle. State and offsets
-live in the checkpoint under the shared folder, so a stopped or failed run
-resumes where it left off. The processor holds one account's rows of one
-micro-batch at a time, so its memory is bounded by the micro-batch size
-(the arrival granularity), never by the account's history.
+arrives (the stated late-data rule). Rows without ``ts`` come first. With input
+delivered in time order the result equals the batch fold, which is its test
+oracle. State and offsets live in the checkpoint under the shared folder, so a
+stopped or failed run resumes where it left off. A micro-batch takes at most
+``max_files`` files, so what the processor holds (one account's rows of one
+micro-batch) is bounded whatever the backlog. Ids travel as text, so no value
+passes through a float.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import ledger as L
-from ..session import scratch_path
+from ..session import delete_path, exists, move, scratch_path
 from ..sources import fixtures
 
 PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
@@ -40,16 +41,22 @@ class LedgerProcessor(StatefulProcessor):
         self.account = handle.getValueState("account", "balance_cents long, accepted long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "event_id"])
+        pdf = pd.concat(list(rows), ignore_index=True)
+        number = [(e is not None, int(e) if e is not None else 0) for e in pdf["event_id"]]
+        order = sorted(range(len(pdf)), key=lambda i: (
+            not pd.isna(pdf["ts"][i]), pdf["ts"][i].value if not pd.isna(pdf["ts"][i]) else 0, number[i]))
+        pdf = pdf.iloc[order].reset_index(drop=True)
         if self.account.exists():
             balance, accepted = self.account.get()
         else:
             balance, accepted = self.opening_cents, 0
-        out, (_, balance, accepted) = L.apply_rows(
-            pdf, (key[0], int(balance), int(accepted)), lambda _acc: (self.opening_cents, 0))
+        whole = [[None if pd.isna(x) else int(x) for x in pdf[c]] for c in ("amount_cents", "network_choice")]
+        outcomes, balances, numbers, balance, accepted = L.fold_account(
+            pdf["txn_type"].tolist(), *whole, int(balance), int(accepted))
         self.account.update((int(balance), int(accepted)))
-        yield out[["account_id", "ts", "event_id", "txn_type", "amount_cents", "network_choice",
-                   "outcome", "balance_cents", "accepted_no"]]
+        yield pdf.assign(outcome=outcomes, balance_cents=balances, accepted_no=pd.array(numbers, dtype="Int64"))[
+            ["account_id", "ts", "event_id", "txn_type", "amount_cents", "network_choice",
+             "outcome", "balance_cents", "accepted_no"]]
 
     def close(self) -> None:
         pass
@@ -57,65 +64,63 @@ class LedgerProcessor(StatefulProcessor):
 
 def ledger_outcomes_stream(txns: DataFrame, opening_balance: str) -> DataFrame:
     """Streaming DataFrame of outcomes from a streaming DataFrame of transactions."""
-    return (L.fold_input(txns).groupBy("account_id")
-            .transformWithStateInPandas(LedgerProcessor(L.cents(opening_balance)),
-                                        L.FOLD_SCHEMA, "Append", "None"))
+    ids = ["account_id", "event_id"]
+    text = L.fold_input(txns).withColumns({c: F.col(c).cast("string") for c in ids})
+    schema = L.FOLD_SCHEMA.replace("account_id long", "account_id string").replace("event_id long", "event_id string")
+    out = text.groupBy("account_id").transformWithStateInPandas(
+        LedgerProcessor(L.cents(opening_balance)), schema, "Append", "None")
+    return out.withColumns({c: F.col(c).cast("long") for c in ids})
 
 
-def time_slices(events: DataFrame, slices: int) -> list:
-    """Filters that cut the events into ``slices`` consecutive time ranges."""
+def with_slice(events: DataFrame, slices: int) -> DataFrame:
+    """``events`` with ``_slice``: consecutive time ranges 0 .. slices - 1; no time is in the first."""
     ts_num = F.col("ts").cast("timestamp").cast("double")
     probs = [i / slices for i in range(1, slices)]
-    edges = events.select(F.percentile_approx(ts_num, probs, 10000).alias("e")).first()["e"]
-    bounds = [None] + list(edges) + [None]
-    out = []
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (ts_num > F.lit(lo))
-        if hi is not None:
-            cond = cond & (ts_num <= F.lit(hi))
-        out.append(cond)
-    return out
+    edges = events.select(F.percentile_approx(ts_num, probs, 10000).alias("e")).first()["e"] if probs else []
+    number = F.lit(0)
+    for k, edge in enumerate(edges or [], start=1):
+        number = F.when(ts_num > F.lit(edge), k).otherwise(number)
+    return events.withColumn("_slice", number)
 
 
 def run_ledger_stream(spark: SparkSession, events_dir: str, events_schema, out_dir: str,
-                      checkpoint_dir: str, opening_balance: str) -> None:
+                      checkpoint_dir: str, opening_balance: str, max_files: int = 1000) -> None:
     """Process every file that has arrived in ``events_dir`` since the last run.
 
-    ``availableNow`` runs the query to the end of the current input and stops;
-    the next run resumes from the checkpoint (offsets and per-account state).
+    ``availableNow`` runs the query to the end of the current input, in micro-batches of at
+    most ``max_files`` files, and stops; the next run resumes from the checkpoint (offsets and
+    per-account state). The state store's kind is set in a session of the query's own.
     """
-    previous = spark.conf.get(PROVIDER_CONF, None)
-    spark.conf.set(PROVIDER_CONF, ROCKSDB)
-    try:
-        events = spark.readStream.schema(events_schema).parquet(events_dir)
-        txns = spark.sql(fixtures.RECIPES["ledger_txns"], events=events)
-        query = (ledger_outcomes_stream(txns, opening_balance).writeStream
-                 .format("parquet").option("path", out_dir)
-                 .option("checkpointLocation", checkpoint_dir)
-                 .outputMode("append").trigger(availableNow=True).start())
-        query.awaitTermination()
-    finally:
-        if previous is not None:
-            spark.conf.set(PROVIDER_CONF, previous)
-        else:
-            spark.conf.unset(PROVIDER_CONF)
+    own = spark.newSession()
+    own.conf.set(PROVIDER_CONF, ROCKSDB)
+    events = (own.readStream.schema(events_schema).option("recursiveFileLookup", True)
+              .option("maxFilesPerTrigger", max_files).parquet(events_dir))
+    txns = own.sql(fixtures.RECIPES["ledger_txns"], events=events)
+    query = (ledger_outcomes_stream(txns, opening_balance).writeStream
+             .format("parquet").option("path", out_dir)
+             .option("checkpointLocation", checkpoint_dir)
+             .outputMode("append").trigger(availableNow=True).start())
+    query.awaitTermination()
 
 
 def ledger_stream(spark: SparkSession, sf_dir: str, slices: int = 4) -> DataFrame:
     """Outcomes of every transaction, computed by the streaming ledger.
 
-    The events arrive as ``slices`` consecutive time ranges; after each
-    arrival (a normal parallel write) the stream is run until it has caught
-    up, then stopped, and the next run resumes from its checkpoint.
+    The events are written once, split into ``slices`` consecutive time ranges; each arrives by
+    a move of its folder, and the stream is run until it has caught up, then stopped; the next run
+    resumes from its checkpoint.
     """
     events = fixtures.table(spark, sf_dir, "events")
+    staged = scratch_path(spark, "ledger_stream_staged")
     incoming = scratch_path(spark, "ledger_stream_in")
     out = scratch_path(spark, "ledger_stream_out")
     ckpt = scratch_path(spark, "ledger_stream_ckpt")
-    for cond in time_slices(events, slices):
-        events.filter(cond).write.mode("append").parquet(incoming)
-        run_ledger_stream(spark, incoming, events.schema, out, ckpt,
-                          fixtures.LEDGER_OPENING_BALANCE)
-    return L.from_cents(spark.read.parquet(out))
+    with_slice(events, slices).write.partitionBy("_slice").parquet(staged)  # one scan for all slices
+    for k in range(slices):
+        if move(spark, f"{staged}/_slice={k}", f"{incoming}/{k}"):
+            run_ledger_stream(spark, incoming, events.schema, out, ckpt, fixtures.LEDGER_OPENING_BALANCE)
+    delete_path(spark, staged)
+    delete_path(spark, incoming)
+    folded = spark.createDataFrame([], L.FOLD_SCHEMA)
+    schema = folded.schema
+    return L.from_cents(spark.read.schema(schema).parquet(out) if exists(spark, out) else folded)

@@ -56,3 +56,47 @@ def test_describe_inline_sample(spark):
     assert (r["count"], r["mean"], r["min"], r["p25"], r["p50"], r["p75"], r["max"]) == (
         5, 21400, 2000, 10000, 15000, 30000, 50000)
     assert abs(r["std"] - 18968.395) < 1e-3
+
+
+def test_ids_and_accounts_survive(spark):
+    big = 9007199254740993  # no float holds it
+    rows = [(big, t(1), big, "deposit", Decimal("1.00"), 1), (None, t(1), None, "deposit", Decimal("2.00"), 1),
+            (None, t(2), 5, "transfer", Decimal("52.00"), 1), (big, t(2), big + 1, "transfer", Decimal("60.00"), 1),
+            (None, t(3), 6, "transfer", Decimal("0.01"), 1), (3, None, 7, "deposit", None, None)]
+    out = L.fold(spark.createDataFrame(rows, SCHEMA).repartition(3), "50.00").collect()
+    got = {(r.account_id, r.event_id): (r.outcome, r.balance) for r in out}
+    assert got == {(big, big): ("accepted", Decimal("51.00")), (big, big + 1): ("insufficient_funds", Decimal("51.00")),
+                   (None, None): ("accepted", Decimal("52.00")), (None, 5): ("accepted", Decimal("0.00")),
+                   (None, 6): ("insufficient_funds", Decimal("0.00")), (3, 7): ("invalid_amount", Decimal("50.00"))}
+
+
+def test_runs_equal_a_plain_fold():
+    import random
+    rnd = random.Random(4)
+    for n in (0, 1, 50, 3000):
+        rows = [(rnd.choice(["deposit", "transfer", "airtime", "enquiry"]), rnd.choice([None, 0, -5, 3, 40, 900]),
+                 rnd.choice([None, 0, 1, 4, 5])) for _ in range(n)]
+        balance, accepted, want = 5000, 7, []
+        for kind, amount, network in rows:
+            out = L.outcome_of(kind, amount, network, balance)
+            if out == L.ACCEPTED:
+                balance += amount if kind == "deposit" else -amount
+                accepted += 1
+            want.append((out, balance, accepted if out == L.ACCEPTED else None))
+        out, held, numbers, b, k = L.fold_account(*(list(c) for c in zip(*rows)), 5000, 7) if n else L.fold_account([], [], [], 5000, 7)
+        assert list(zip(out, held, numbers)) == want and (b, k) == (balance, accepted)
+
+
+def test_stream_takes_rows_without_time_and_an_empty_table(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tablewright.sources import fixtures
+    from tablewright.streaming.ledger_stream import ledger_stream
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    part = events.filter("user_id % 7 = 0").withColumn(
+        "ts", F.when(F.col("event_id") % 5 == 0, None).otherwise(F.col("ts")))
+    part.write.parquet(str(tmp_path / "some/events.parquet"))
+    part.limit(0).write.parquet(str(tmp_path / "none/events.parquet"))
+    some = ledger_stream(spark, str(tmp_path / "some"), slices=3)
+    batch = L.fold(fixtures.fixture(spark, str(tmp_path / "some"), "ledger_txns"), fixtures.LEDGER_OPENING_BALANCE)
+    assert sorted(some.collect(), key=str) == sorted(batch.collect(), key=str)
+    assert ledger_stream(spark, str(tmp_path / "none")).collect() == []
