@@ -23,12 +23,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import slices, table
+from .common import slices, table, written
 from .lexicon import Lexicon, compile_lexicon
 
 LEXICON_WORDS = 200_000
 #: Words a task remembers with their ids before it starts anew.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 400_000
+#: A merge is its rank and the resulting id in one number.
+SHIFT = 24
+LOW = (1 << SHIFT) - 1
+NEVER = 1 << 62
 
 
 def tokenizer_path() -> str:
@@ -54,34 +58,47 @@ class Encoder:
         self.tokens.update({i: t for t, i in self.special.items()})
         self.merges = {}
         for rank, (a, b) in enumerate(model["merges"]):
-            self.merges[self.vocab[a], self.vocab[b]] = (rank, self.vocab[a + b])
+            # rank and result in one number, so the least is the first to merge
+            self.merges[self.vocab[a], self.vocab[b]] = rank << SHIFT | self.vocab[a + b]
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words_in = regex.compile(pattern).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special))) + ")").split
+        self.controls = regex.compile("[\x1c-\x1f]").search
         symbols = byte_symbols()
         self.inner = [self.vocab.get(s) for s in symbols]
         self.last = [self.vocab.get(s + self.suffix) for s in symbols]
 
     def words(self, text: str) -> list[str]:
         """Words in order; a special token's text stands for itself."""
+        return [w for chunk in self.chunks(text) for w in self.split(chunk)]
+
+    def chunks(self, text: str) -> list:
+        """What stands between white space, in order; ready words are tuples of one."""
         if "<|" in text:
             out = []
             for k, part in enumerate(self.cut(text)):
-                out += [part] if k % 2 else self._words(part)
+                out += [(part,)] if k % 2 else self._chunks(part)
             return out
-        return self._words(text)
+        return self._chunks(text)
+
+    def split(self, chunk):
+        if isinstance(chunk, tuple):
+            return chunk
+        return (chunk,) if chunk.isalpha() else self.words_in(chunk)  # letters alone are one word
 
-    def _words(self, text: str) -> list[str]:
+    def _chunks(self, text: str) -> list:
         import unicodedata
-        if text.isascii():
-            return self.words_in(text.lower())
-        # Python's tables and the library's are of different Unicode versions; a text with a
-        # character that Python doesn't know yet is cut by the library itself.
-        if any(unicodedata.category(c) == "Cn" for c in set(text) if c > "\u0300"):
-            return self._library_words(text)
-        # Lower case letter by letter: no final sigma.
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return self.words_in(text)
+        if not text.isascii():
+            # Python's tables and the library's are of different Unicode versions; a text with a
+            # character that Python doesn't know yet is cut by the library itself.
+            if any(unicodedata.category(c) == "Cn" for c in set(text) if c > "\u0300"):
+                return [(w,) for w in self._library_words(text)]
+            if not unicodedata.is_normalized("NFC", text):
+                text = unicodedata.normalize("NFC", text)
+            text = text.replace("Σ", "σ")  # lower case letter by letter: no final sigma
+        text = text.lower()
+        # str.split() also cuts at four control characters that aren't white space here.
+        return [(w,) for w in self.words_in(text)] if self.controls(text) else text.split()
 
     def _library_words(self, text: str) -> list[str]:
         from tokenizers import Tokenizer
@@ -116,13 +133,19 @@ def byte_symbols() -> list[str]:
 
 
 def merge_short(ids: list[int], merges: dict) -> list[int]:
-    while len(ids) > 1:
-        found = [merges.get(pair) for pair in zip(ids, ids[1:])]
-        best = min((f for f in found if f is not None), default=None)
-        if best is None:
+    get = merges.get
+    ranks = [get(pair, NEVER) for pair in zip(ids, ids[1:])]
+    while ranks:
+        best = min(ranks)
+        if best == NEVER:
             break
-        k = found.index(best)
-        ids[k:k + 2] = [best[1]]
+        k = ranks.index(best)
+        ids[k:k + 2] = [best & LOW]
+        del ranks[k]
+        if k < len(ranks):
+            ranks[k] = get((ids[k], ids[k + 1]), NEVER)
+        if k:
+            ranks[k - 1] = get((ids[k - 1], ids[k]), NEVER)
     return ids
 
 
@@ -136,16 +159,16 @@ def merge_long(ids: list[int], merges: dict) -> list[int]:
     def offer(k):
         j = after[k]
         if j >= 0 and (m := merges.get((ids[k], ids[j]))) is not None:
-            heapq.heappush(heap, (m[0], k, ids[k], ids[j], m[1]))
+            heapq.heappush(heap, (m, k, ids[k], ids[j]))
 
     for k in range(n):
         offer(k)
     while heap:
-        _, k, a, b, new = heapq.heappop(heap)
+        m, k, a, b = heapq.heappop(heap)
         j = after[k]
         if not alive[k] or j < 0 or ids[k] != a or ids[j] != b:
             continue
-        ids[k], alive[j], after[k] = new, False, after[j]
+        ids[k], alive[j], after[k] = m & LOW, False, after[j]
         if after[j] >= 0:
             before[after[j]] = k
         offer(k)
@@ -164,11 +187,15 @@ def _count_words(path: str):
 
         import pyarrow as pa
         encoder = Encoder(path)
-        counts: Counter = Counter()
+        chunks: Counter = Counter()
 
         def flush():
+            counts: Counter = Counter()
+            for chunk, n in chunks.items():
+                for word in encoder.split(chunk):
+                    counts[word] += n
+            chunks.clear()
             words, n = list(counts.keys()), list(counts.values())
-            counts.clear()
             for k in range(0, len(words), 50_000):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(words[k:k + 50_000], pa.string()), pa.array(n[k:k + 50_000], pa.int64())],
@@ -177,8 +204,8 @@ def _count_words(path: str):
         for batch in batches:
             for piece in slices(batch):
                 for text in _texts(piece, 0):
-                    counts.update(encoder.words(text))
-                if len(counts) > MEMO_WORDS:
+                    chunks.update(encoder.chunks(text))
+                if len(chunks) > MEMO_WORDS:
                     yield from flush()
         yield from flush()
     return run
@@ -196,12 +223,25 @@ def _encode_words(path: str):
 
 
 def frequent_words(docs: DataFrame, path: str, limit: int, text_col: str = "text") -> DataFrame:
-    """(word, ids) of the ``limit`` most frequent words of all documents (ties by word)."""
+    """(word, ids) of the most frequent words of all documents, at most ``limit``.
+
+    All words down to some least count: the counts' own distribution, in 64 steps to the power of
+    two (at most 4,096 rows), says which, so nothing is sorted and no task sees all words.
+    """
     counts = (docs.select(F.col(text_col).cast("string").alias("text"))
               .mapInArrow(_count_words(path), "word string, n long")
-              .groupBy("word").agg(F.sum("n").alias("n")))
-    top = counts.where("length(word) <= 64").orderBy(F.desc("n"), "word").limit(limit).select("word")
-    return top.repartition(8).mapInArrow(_encode_words(path), "word string, ids array<int>")
+              .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1 AND length(word) <= 64")
+              .withColumn("step", F.floor(64 * F.log2("n")).cast("int")))
+    counts = written(counts, "op2-counts")
+    steps = sorted(counts.groupBy("step").agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True)
+    total, least = 0, 1 << 30
+    for r in steps:
+        total += r["words"]
+        if total > limit:
+            break
+        least = r["step"]
+    return (counts.where(F.col("step") >= least).select("word").repartition(8)
+            .mapInArrow(_encode_words(path), "word string, ids array<int>"))
 
 
 def share_file(spark: SparkSession, name: str, data: bytes) -> str:
@@ -234,17 +274,24 @@ def _encode(path: str, lexicon_file: str, full: bool):
         from pyspark import SparkFiles
         encoder = Encoder(path)
         lexicon = Lexicon(SparkFiles.get(lexicon_file))
-        memo: dict = {}
-
-        def learn(words):
-            new = [w for w in words if w not in memo]
-            for w, ids in zip(new, lexicon.lookup([w.encode("utf-8") for w in new])):
+        memo: dict = {}  # chunk -> (number of ids, ids, tokens)
+        known: dict = {}  # the same by word
+        tokens = encoder.tokens
+
+        def learn(chunks):
+            cut = {c: encoder.split(c) for c in chunks}
+            words = [w for w in set().union(*cut.values()) if w not in known]
+            for w, ids in zip(words, lexicon.lookup([w.encode("utf-8") for w in words])):
                 if ids is None:
                     ids = encoder.merge(w)
-                if ids:
-                    memo[w] = (len(ids), " ".join(map(str, ids)), " ".join([encoder.tokens[i] for i in ids]))
+                known[w] = (len(ids), " ".join(map(str, ids)), " ".join([tokens[i] for i in ids]))
+            for c, ws in cut.items():
+                if len(ws) == 1:
+                    memo[c] = known[ws[0]]
                 else:
-                    memo[w] = (0, None, None)
+                    parts = [p for w in ws if (p := known[w])[0]]
+                    memo[c] = (sum([p[0] for p in parts]), " ".join([p[1] for p in parts]),
+                               " ".join([p[2] for p in parts]))
 
         def digest(text):
             return hashlib.sha256(text.encode("utf-8")).hexdigest()
@@ -252,10 +299,12 @@ def _encode(path: str, lexicon_file: str, full: bool):
         for batch in batches:
             for piece in slices(batch):
                 last = piece.num_columns - 1
-                docs = [encoder.words(t) for t in _texts(piece, last)]
+                docs = [encoder.chunks(t) for t in _texts(piece, last)]
                 if len(memo) > MEMO_WORDS:
                     memo.clear()
-                learn(set().union(*docs))
+                if len(known) > MEMO_WORDS:
+                    known.clear()
+                learn(set().union(*docs) - memo.keys())
                 n, ids, text = [], [], []
                 for words in docs:
                     found = [memo[w] for w in words]
