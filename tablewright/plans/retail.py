@@ -188,8 +188,10 @@ REPORTS = {
     "norm_orders": lambda s, m: m.orders,
     "norm_order_details": lambda s, m: m.order_details,
     "norm_row_counts": lambda s, m: Q.row_counts(m.named()),
-    "norm_pk_violations": lambda s, m: pk_violations(damaged(m)),
-    "norm_fk_orphans": lambda s, m: fk_orphans(damaged(m)),
+    "norm_pk_violations": lambda s, m: pk_violations(m),
+    "norm_fk_orphans": lambda s, m: fk_orphans(m),
+    "norm_pk_violations_damaged": lambda s, m: pk_violations(damaged(m)),
+    "norm_fk_orphans_damaged": lambda s, m: fk_orphans(damaged(m)),
     "norm_notnull_check": lambda s, m: not_null_report(m),
     "cust_in_state": lambda s, m: m.customers.filter(F.col("State") == STATE).select(
         "CustomerID", "CustomerName", "Phone", "City", "State", "Country"),
@@ -242,16 +244,8 @@ def _key(column: str) -> str:
     return f"coalesce(CAST({column} AS VARCHAR), 'NULL')"
 
 
-ORACLE = {
-    "norm_customers": "SELECT * FROM n_customers",
-    "norm_products": "SELECT * FROM n_products",
-    "norm_orders": "SELECT * FROM n_orders",
-    "norm_order_details": "SELECT * FROM n_details",
-    "norm_row_counts": "SELECT 'Customers' AS TableName, COUNT(*) AS TotalRows FROM n_customers "
-                       "UNION ALL SELECT 'Products', COUNT(*) FROM n_products "
-                       "UNION ALL SELECT 'Orders', COUNT(*) FROM n_orders "
-                       "UNION ALL SELECT 'OrderDetails', COUNT(*) FROM n_details",
-    "norm_pk_violations": (
+# The checks on the damaged tables; with n_ for x_, on the tables as they are.
+PK_SQL = (
         f"SELECT 'Customers' AS TableName, {_key('CustomerID')} AS KeyValue, "
         "COUNT(*) AS DuplicateRows FROM x_customers GROUP BY CustomerID HAVING COUNT(*) > 1 "
         f"UNION ALL SELECT 'Products', {_key('CookieID')}, COUNT(*) FROM x_products "
@@ -260,8 +254,8 @@ ORACLE = {
         "GROUP BY OrderID HAVING COUNT(*) > 1 "
         f"UNION ALL SELECT 'OrderDetails', {_key('OrderID')} || '|' || "
         f"{_key('CookieID')}, COUNT(*) FROM x_details GROUP BY OrderID, CookieID "
-        "HAVING COUNT(*) > 1"),
-    "norm_fk_orphans": (
+        "HAVING COUNT(*) > 1")
+FK_SQL = (
         "SELECT 'Orders' AS TableName, 'CustomerID' AS ColumnName, "
         "CAST(CustomerID AS VARCHAR) AS KeyValue FROM x_orders o WHERE CustomerID IS NOT NULL "
         "AND NOT EXISTS (SELECT 1 FROM x_customers c WHERE c.CustomerID = o.CustomerID) "
@@ -270,7 +264,21 @@ ORACLE = {
         "(SELECT 1 FROM x_orders o WHERE o.OrderID = d.OrderID) "
         "UNION ALL SELECT 'OrderDetails', 'CookieID', CAST(CookieID AS VARCHAR) FROM x_details d "
         "WHERE CookieID IS NOT NULL AND NOT EXISTS "
-        "(SELECT 1 FROM x_products p WHERE p.CookieID = d.CookieID)"),
+        "(SELECT 1 FROM x_products p WHERE p.CookieID = d.CookieID)")
+
+ORACLE = {
+    "norm_customers": "SELECT * FROM n_customers",
+    "norm_products": "SELECT * FROM n_products",
+    "norm_orders": "SELECT * FROM n_orders",
+    "norm_order_details": "SELECT * FROM n_details",
+    "norm_row_counts": "SELECT 'Customers' AS TableName, COUNT(*) AS TotalRows FROM n_customers "
+                       "UNION ALL SELECT 'Products', COUNT(*) FROM n_products "
+                       "UNION ALL SELECT 'Orders', COUNT(*) FROM n_orders "
+                       "UNION ALL SELECT 'OrderDetails', COUNT(*) FROM n_details",
+    "norm_pk_violations": PK_SQL.replace("x_", "n_"),
+    "norm_fk_orphans": FK_SQL.replace("x_", "n_"),
+    "norm_pk_violations_damaged": PK_SQL,
+    "norm_fk_orphans_damaged": FK_SQL,
     "norm_notnull_check": " UNION ALL ".join([
         _nn("Customers", "n_customers"), _nn("Products", "n_products"),
         _nn("Orders", "n_orders"), _nn("OrderDetails", "n_details")]),
