@@ -128,8 +128,10 @@ def _compare(threshold: float):
 def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                  threshold: float = THRESHOLD, miss: float = MISS, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row."""
-    vec = F.col(vector_col)
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), vec.cast("array<double>").alias("vec"))
+    # Floats travel as they are (half the bytes) and are widened where they are compared.
+    kind = vectors.schema[vector_col].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(kind).alias("vec"))
     rows = rows.withColumn("ok", usable(F.col("vec")) & F.col("vec_id").isNotNull())
     keyed = written(rows.select("vec_id", "ok", F.when(F.col("ok"), F.xxhash64("vec")).alias("k1"),
                                 F.when(F.col("ok"), F.xxhash64(F.lit(seed), "vec")).alias("k2")), "op3-keys")
@@ -139,7 +141,7 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         .select(F.size("vec").alias("dim"), "rep", "weight", "vec", "k1", "k2"), "op3-distinct")
     bits, tables = plan_tables(distinct.count(), threshold, miss)
     signed = written(distinct.select("dim", "rep", "weight", "vec").mapInArrow(
-        _sign(bits, tables, seed), "dim int, rep long, weight long, vec array<double>, sigs array<long>"), "op3-signed")
+        _sign(bits, tables, seed), f"dim int, rep long, weight long, vec {kind}, sigs array<long>"), "op3-signed")
     posts = signed.select("dim", F.posexplode("sigs").alias("t", "sig"), "rep", "weight", "vec", "sigs")
     # Buckets of two or more; counts are pre-aggregated, so a hot bucket is one small row per task.
     sizes = written(signed.select("dim", F.posexplode("sigs").alias("t", "sig")).groupBy("dim", "t", "sig")

@@ -138,10 +138,9 @@ def prior_strength(hosts: int, n: int, k: int, s2: float) -> float:
 
 def judge(measured: DataFrame, host: Column) -> DataFrame:
     """``measured`` with base_failed, bad_host and kept."""
-    # Only bad hosts are joined; the planner broadcasts them if they are known to be few,
-    # and splits a host that holds a large part of the rows otherwise.
-    bad = (host_verdicts(measured, host).where("bad")
-           .select(F.col("host").alias("_bad_host")))
+    # Only bad hosts are joined. They are written first, so the planner knows how many they are: few
+    # are broadcast and no document is shuffled; otherwise it splits a host with many documents.
+    bad = written(host_verdicts(measured, host).where("bad").select(F.col("host").alias("_bad_host")), "op9-bad")
     out = measured.join(bad, host == F.col("_bad_host"), "left")
     return (out.withColumn("base_failed", base_failed())
             .withColumn("bad_host", F.col("_bad_host").isNotNull()).drop("_bad_host")
