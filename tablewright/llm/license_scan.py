@@ -69,7 +69,7 @@ def word_counts(words: DataFrame, templates: list[Template]) -> tuple[int, dict[
     array column ``words``. At most one row per template word reaches the driver."""
     vocabulary = sorted({w for t in templates for w in words_of(t.text)})
     held = F.array_intersect("words", F.array(*[F.lit(w) for w in vocabulary]))
-    # explode_outer of a null for documents without any: one row counts every document.
+    # The empty word stands for the document itself, so one count has all documents.
     rows = (words.select(F.explode(F.concat(F.array(F.lit("")), held)).alias("word"))
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect())
     counts = {r["word"]: r["n"] for r in rows}
