@@ -22,18 +22,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFrame:
     """``df`` written as Parquet into the shared folder and read back: cuts the lineage, and
-    a lost executor costs no recomputation of what lies before."""
+    a lost executor costs no recomputation of what lies before. ``paths`` learns where."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that ``written`` made, once all that was derived from them is written itself."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    paths.clear()
+
+
 def ascii_lower(col: Column) -> Column:
     """A-Z lower-cased, everything else as it is."""
     return F.translate(col, UPPER, LOWER)

@@ -23,9 +23,9 @@ node), joined with itself by the summed minima.
    and chunks of queries, each a unit of its own. Pairs that survive are verified; the
    components of all links are the result.
 
-Verification intersects the whole sets, which a third and fourth scan give for just the
-documents that occur in pairs (a Bloom filter of fixed size spares the others; what it lets
-through in vain is dropped by the join).
+Verification compares prefixes first (linked sets share a stated number of those shingles), then
+the whole sets, which a third and fourth scan give for just the documents that are left (a Bloom
+filter of fixed size spares the others; what it lets through in vain is dropped by the join).
 
 Defined results: null or empty text has an empty set and links with nothing; fewer than five
 words are one shingle; rows with a null id link with nothing; rows that share an id share a
@@ -37,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import runs, slices, table, text_bytes, written
+from .common import discard, runs, slices, table, text_bytes, written
 from .components import connected_components
 
 SHINGLE = 5
@@ -46,7 +46,7 @@ GROUPS = 64
 FREQUENT = 100_000
 FREQUENT_LEAST = 16
 #: Shingles a task gathers before it counts them.
-WINDOW = 4_000_000
+WINDOW = 2_000_000
 #: Rows of a frequent shingle's cell that one task sorts.
 SALT_ROWS = 200_000
 BLOCK = 4096
@@ -65,7 +65,7 @@ class Shingler:
 
         class Words(dict):
             def __missing__(self, word):
-                if len(self) > 500_000:
+                if len(self) > 150_000:
                     self.clear()
                 code = self[word] = digest(word)
                 return code
@@ -164,7 +164,7 @@ def _cells(frequent):
                     key = _digest(values)
                     if key in seen:  # an equal set of this task stands for it
                         continue
-                    if len(seen) > 1_000_000:
+                    if len(seen) > 200_000:
                         seen.clear()
                     seen.add(key)
                     often = np.zeros(len(values), np.int64)
@@ -185,25 +185,69 @@ def _cells(frequent):
     return run
 
 
+def may_link(n, pos, m, other):
+    """Whether sets of sizes n, m may link if the shingle at these places of their orders is the
+    first they share: their sizes are near, and enough shingles are left from it on."""
+    import numpy as np
+    return ((5 * np.minimum(n, m) >= 4 * np.maximum(n, m))
+            & (9 * np.minimum(n - pos, m - other) >= 4 * (n + m)))
+
+
+def _with_partner(run, n, pos):
+    """Rows of runs (of at most ``LEAF`` rows) that may link to another row of their run."""
+    import numpy as np
+    keep = np.zeros(len(run), bool)
+    for k in range(1, LEAF):
+        same = np.flatnonzero(run[k:] == run[:-k])
+        if not len(same):
+            break
+        fits = same[may_link(n[same], pos[same], n[same + k], pos[same + k])]
+        keep[fits] = keep[fits + k] = True
+    return keep
+
+
 def _shared(batches):
-    """Of rows sorted by (cell, salt): those whose cell has another row, or is salted."""
+    """Of rows sorted by (cell, salt): those that may link to another one of their cell. In a cell of
+    more than ``LEAF`` rows, or a salted one, all are kept for the trees."""
     import numpy as np
     import pyarrow as pa
-    last, last_kept = None, True  # the last row, still undecided if it opened a cell
+    held, large = None, None  # the last run, still open; the key of an open run that is kept anyway
+
+    def closed(table, open_end):
+        """(rows to emit, rows of the last run to hold) of a table."""
+        nonlocal large
+        cell, salt = (table.column(k).to_numpy() for k in (0, 1))
+        n, pos = (table.column(k).to_numpy().astype(np.int64) for k in (3, 4))
+        change = np.flatnonzero((cell[1:] != cell[:-1]) | (salt[1:] != salt[:-1])) + 1
+        starts = np.concatenate([[0], change])
+        lengths = np.diff(np.concatenate([starts, [len(cell)]]))
+        run = np.repeat(np.arange(len(starts)), lengths)
+        wide = lengths > LEAF
+        if large is not None and large == (cell[0], salt[0]):
+            wide[0] = True
+        large = None
+        keep = (salt > 0) | wide[run]
+        small = np.flatnonzero(~keep & (lengths > 1)[run])
+        if len(small):
+            keep[small] = _with_partner(run[small], n[small], pos[small])
+        end = len(cell)
+        if open_end:
+            if wide[-1]:
+                large = (cell[-1], salt[-1])
+            else:
+                end = int(starts[-1])
+        return table.slice(0, end).filter(pa.array(keep[:end])), table.slice(end)
+
     for batch in batches:
         if not batch.num_rows:
             continue
-        cell, salt = (batch.column(k).to_numpy() for k in (0, 1))
-        same = (cell[1:] == cell[:-1]) & (salt[1:] == salt[:-1])
-        joins = last is not None and last.column(0)[0].as_py() == cell[0] and last.column(1)[0].as_py() == salt[0]
-        if joins and not last_kept:
-            yield last
-        keep = salt > 0
-        keep[1:] |= same
-        keep[:-1] |= same
-        keep[0] |= joins
-        yield batch.filter(pa.array(keep))
-        last, last_kept = batch.slice(batch.num_rows - 1, 1), bool(keep[-1])
+        table = pa.Table.from_batches([batch])
+        if held is not None and held.num_rows:
+            table = pa.concat_tables([held, table])
+        out, held = closed(table.combine_chunks(), True)
+        yield from out.to_batches()
+    if held is not None and held.num_rows:
+        yield from closed(held.combine_chunks(), False)[0].to_batches()
 
 
 # --- verification -------------------------------------------------------------------------
@@ -243,20 +287,65 @@ def _sets(bits):
     return run
 
 
-def _verify(texts: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+def _known(bits):
+    """Rows (h1, h2, ..) whose two bit positions are set."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        words = np.frombuffer(bits.value, np.uint8)
+        for batch in batches:
+            held = np.ones(batch.num_rows, bool)
+            for k in (0, 1):
+                slot = batch.column(k).to_numpy()
+                held &= (words[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+            yield batch.filter(pa.array(held))
+    return run
+
+
+def _with_common_prefix(pairs: DataFrame, cells: DataFrame, rep_of: DataFrame, paths: list[str]) -> DataFrame:
+    """The rows of ``pairs`` that share enough of their prefixes.
+
+    Of the o >= 4/9 (m + n) shingles that linked sets share, all but m - o have come up among the
+    first p of the one, and all but n - o among the first q of the other: at least the smaller of
+    p - (m - o) and q - (n - o) are in both. The prefixes are a fifth of the sets.
+    """
+    spark = pairs.sparkSession
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    need = written(rep_of.join(ids, "rep"), "op6-need", paths)
+    bits = spark.sparkContext.broadcast(bloom(need, "id"))  # 2 MB at any size
+    one, two = bloom_slots(F.col("id"))
+    known = (cells.select(one.alias("h1"), two.alias("h2"), "id", "n", "cells")
+             .mapInArrow(_known(bits), "h1 long, h2 long, id long, n int, cells array<long>"))
+    prefixes = written(known.join(need, "id").groupBy("rep", "n", F.xxhash64("cells").alias("code"))
+                       .agg(F.first("cells").alias("cells")).drop("code"), "op6-prefixes", paths)
+    side = {k: prefixes.select(F.col("rep").alias(k), F.col("n").alias(f"n_{k}"), F.col("cells").alias(f"cells_{k}"))
+            for k in "ab"}
+    both = pairs.join(side["a"], "a").join(side["b"], "b")
+    overlap = F.ceil(4 * (F.col("n_a") + F.col("n_b")) / F.lit(9))
+    least = F.least(*[F.size(f"cells_{k}") - F.col(f"n_{k}") + overlap for k in "ab"])
+    return written(both.where(F.size(F.array_intersect("cells_a", "cells_b")) >= least)
+                   .select("a", "b").distinct(), "op6-close", paths)
+
+
+def _verify(texts: DataFrame, cells: DataFrame, rep_of: DataFrame, pairs: DataFrame, name: str,
+            paths: list[str]) -> DataFrame:
     """The rows (a, b) of ``pairs`` whose whole sets link."""
     spark = pairs.sparkSession
+    own: list[str] = []
+    pairs = _with_common_prefix(pairs, cells, rep_of, own)
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     bits = spark.sparkContext.broadcast(bloom(ids, "id"))  # 2 MB at any size
     one, two = bloom_slots(F.col("id"))
     sets = written(texts.where("id IS NOT NULL").withColumn("h1", one).withColumn("h2", two)
-                   .mapInArrow(_sets(bits), "id long, values array<long>"), f"{name}-sets")
+                   .mapInArrow(_sets(bits), "id long, values array<long>"), f"{name}-sets", own)
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("values").alias("x")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("values").alias("y")), "b"))
     overlap = F.size(F.array_intersect("x", "y"))
-    return written(both.withColumn("o", overlap)
-                   .where(100 * F.col("o") >= 80 * (F.size("x") + F.size("y") - F.col("o")))
-                   .select("a", "b").distinct(), f"{name}-links")
+    links = written(both.withColumn("o", overlap)
+                    .where(100 * F.col("o") >= 80 * (F.size("x") + F.size("y") - F.col("o")))
+                    .select("a", "b").distinct(), f"{name}-links", paths)
+    discard(spark, own)
+    return links
 
 
 # --- R-tree ---------------------------------------------------------------------------------
@@ -306,33 +395,69 @@ class RTree:
         return nodes[wide | (9 * bound >= 4 * (size + self.sizes[nodes]))]
 
 
+def _search_small(unit):
+    """Pairs of many single-leaf cells at once: rows sorted by cell, none of more than ``LEAF``."""
+    import numpy as np
+    cell, i, n, pos, component, points = unit
+    found = []
+    for k in range(1, LEAF):
+        a = np.flatnonzero(cell[k:] == cell[:-k])
+        if not len(a):
+            break
+        b = a + k
+        a = a[fits := (component[a] != component[b]) & may_link(n[a], pos[a], n[b], pos[b])]
+        b = b[fits]
+        bound = np.minimum(points[a], points[b]).sum(axis=1, dtype=np.int64)
+        wide = (points[a] == 255).all(axis=1) | (points[b] == 255).all(axis=1)
+        fits = wide | (9 * bound >= 4 * (n[a] + n[b]))
+        found.append(np.stack([np.minimum(i[a[fits]], i[b[fits]]), np.maximum(i[a[fits]], i[b[fits]])], 1))
+    return found
+
+
 def _search(batches):
     """Units (cell, block, chunk) with rows (.., query, id, n, pos, component, counts) -> (a, b)."""
     import numpy as np
     import pyarrow as pa
+    small, rows = [], 0  # single-leaf cells, searched together
+
+    def columns(table):
+        query, i, n, pos, component = (table.column(k).to_numpy() for k in range(3, 8))
+        points = np.frombuffer(b"".join(table.column(8).to_pylist()), np.uint8).reshape(-1, GROUPS)
+        return query, i, n.astype(np.int64), pos.astype(np.int64), component, points
+
+    def batch(found):
+        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    def flush():
+        table = pa.concat_tables(small).combine_chunks()
+        query, *rest = columns(table)
+        targets = query == 0  # every row of a cell is one; those that ask occur twice
+        return batch(_search_small([table.column(0).to_numpy()[targets], *[c[targets] for c in rest]]))
+
     for unit in runs(batches, 3):
         if unit.num_rows < 2:
             continue
-        query, i, n, pos, component = (unit.column(k).to_numpy() for k in range(3, 8))
-        points = np.frombuffer(b"".join(unit.column(8).to_pylist()), np.uint8).reshape(-1, GROUPS)
-        n, pos = n.astype(np.int64), pos.astype(np.int64)
+        if unit.num_rows <= LEAF and unit.column(9)[0].as_py() == 1:
+            small.append(unit)
+            rows += unit.num_rows
+            if rows > 50_000:
+                yield flush()
+                small, rows = [], 0
+            continue
+        query, i, n, pos, component, points = columns(unit)
         targets = np.flatnonzero(query == 0)
         if not len(targets):
             continue
         tree = RTree(points[targets], n[targets])
-        found_a, found_b = [], []
+        found = []
         for q in np.flatnonzero(query == 1).tolist():
             t = targets[tree.order[tree.search(points[q].astype(np.int32), int(n[q]))]]
-            # Sizes, and what may still be shared from this shingle on.
-            small, large = np.minimum(n[t], n[q]), np.maximum(n[t], n[q])
-            left = np.minimum(n[t] - pos[t], n[q] - pos[q])
-            t = t[(5 * small >= 4 * large) & (9 * left >= 4 * (n[t] + n[q])) & (component[t] != component[q])]
-            found_a.append(np.minimum(i[t], i[q]))
-            found_b.append(np.maximum(i[t], i[q]))
-        if found_a:
-            pairs = np.unique(np.stack([np.concatenate(found_a), np.concatenate(found_b)], 1), axis=0)
-            if len(pairs):
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            t = t[may_link(n[t], pos[t], n[q], pos[q]) & (component[t] != component[q])]
+            found.append(np.stack([np.minimum(i[t], i[q]), np.maximum(i[t], i[q])], 1))
+        yield batch(found)
+    if small:
+        yield flush()
 
 
 # --- the join -------------------------------------------------------------------------------
@@ -347,18 +472,18 @@ def _frequent(survey: DataFrame):
     return values[order], rows.column(1).to_numpy()[order]
 
 
-def _residual_units(shared: DataFrame, components: DataFrame, points: DataFrame) -> DataFrame:
+def _residual_units(shared: DataFrame, components: DataFrame, points: DataFrame, paths: list[str]) -> DataFrame:
     """Rows of the units of all cells with more than one component."""
     rows = (shared.join(components, F.col("id") == F.col("node"), "left")
             .select("cell", "id", "n", "pos", F.coalesce("component", "id").alias("component")))
-    rows = written(rows, "op6-residual")
+    rows = written(rows, "op6-residual", paths)
     mixed = (rows.groupBy("cell")
              .agg(F.min_by("component", "id").alias("main"), F.count(F.lit(1)).alias("total"),
                   F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi"))
-    mixed = written(mixed.select("cell", "main", "total"), "op6-mixed")
+    mixed = written(mixed.select("cell", "main", "total"), "op6-mixed", paths)
     # Only rows outside of the leader's component ask; all rows answer.
     rows = rows.join(mixed, "cell").withColumn("asks", (F.col("component") != F.col("main")).cast("int"))
-    asking = written(rows.groupBy("cell").agg(F.sum("asks").alias("asking")), "op6-asking")
+    asking = written(rows.groupBy("cell").agg(F.sum("asks").alias("asking")), "op6-asking", paths)
     rows = (rows.join(asking, "cell")
             .withColumn("blocks", F.ceil(F.col("total") / BLOCK).cast("int"))
             .withColumn("chunks", F.ceil(F.col("asking") / BLOCK).cast("int"))
@@ -368,7 +493,7 @@ def _residual_units(shared: DataFrame, components: DataFrame, points: DataFrame)
                .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("query", F.lit(0)))
     queries = (rows.where("asks = 1").withColumn("chunk", F.pmod(h, F.col("chunks")).cast("int"))
                .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("query", F.lit(1)))
-    columns = ["cell", "block", "chunk", "query", "id", "n", "pos", "component", "counts"]
+    columns = ["cell", "block", "chunk", "query", "id", "n", "pos", "component", "counts", "blocks"]
     return targets.select(*columns).unionByName(queries.select(*columns))
 
 
@@ -378,51 +503,76 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("text"))
     survey = written(texts.mapInArrow(_survey, "kind int, a long, b long, c long, d long"), "op6-survey")
     members = survey.where("kind = 0").selectExpr("a AS id", "b AS k1", "c AS k2", "d AS n")
+    paths: list[str] = []  # tables that the result doesn't need
     reps = written(members.where("id IS NOT NULL AND n > 0").groupBy("k1", "k2")
-                   .agg(F.min("id").alias("rep")), "op6-reps")
+                   .agg(F.min("id").alias("rep")), "op6-reps", paths)
 
     frequent = spark.sparkContext.broadcast(_frequent(survey))  # at most FREQUENT pairs of numbers
     cells = written(texts.mapInArrow(
-        _cells(frequent), "id long, n int, counts binary, cells array<long>, salts array<int>"), "op6-cells")
+        _cells(frequent), "id long, n int, counts binary, cells array<long>, salts array<int>"), "op6-cells", paths)
     posts = (cells.select("id", "n", F.posexplode(F.arrays_zip("cells", "salts")).alias("pos", "c"))
              .select(F.col("c.cells").alias("cell"), F.col("c.salts").alias("salt"), "id", "n", "pos"))
     shared = written(posts.repartition("cell", "salt").sortWithinPartitions("cell", "salt")
-                     .mapInArrow(_shared, "cell long, salt int, id long, n int, pos int"), "op6-shared")
+                     .mapInArrow(_shared, "cell long, salt int, id long, n int, pos int"), "op6-shared", paths)
 
     # Equal sets of different tasks are one: their smallest id stands for all of them.
     rep_of = written(members.where("id IS NOT NULL AND n > 0").join(reps, ["k1", "k2"])
-                     .select("id", "rep").distinct(), "op6-rep-of")
+                     .select("id", "rep").distinct(), "op6-rep-of", paths)
     several = rep_of.groupBy("id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
     same_id = rep_of.join(several, "id").where("rep != lo").select(F.col("lo").alias("a"), F.col("rep").alias("b"))
     shared = written(
         shared.join(rep_of, "id").groupBy("cell", F.col("rep").alias("id"), "n")
-        .agg(F.min("pos").alias("pos")), "op6-shared-reps")
-
-    leaders = written(shared.groupBy("cell").agg(F.min(F.struct("id", "n")).alias("l"), F.count(F.lit(1)).alias("total"))
-                      .where("total > 1").select("cell", F.col("l.id").alias("leader"), F.col("l.n").alias("leader_n")),
-                      "op6-leaders")
-    near = (5 * F.least("n", "leader_n") >= 4 * F.greatest("n", "leader_n")) & (F.col("id") != F.col("leader"))
+        .agg(F.min("pos").alias("pos")), "op6-shared-reps", paths)
+
+    leaders = written(shared.groupBy("cell").agg(F.min(F.struct("id", "n", "pos")).alias("l"), F.count(F.lit(1)).alias("total"))
+                      .where("total > 1").select("cell", F.col("l.id").alias("leader"), F.col("l.n").alias("leader_n"),
+                                                 F.col("l.pos").alias("leader_pos")), "op6-leaders", paths)
+    left = F.least(F.col("n") - F.col("pos"), F.col("leader_n") - F.col("leader_pos"))
+    near = ((F.col("id") != F.col("leader")) & (5 * F.least("n", "leader_n") >= 4 * F.greatest("n", "leader_n"))
+            & (9 * left >= 4 * (F.col("n") + F.col("leader_n"))))  # may_link, as columns
     stars = written(shared.join(leaders, "cell").where(near)
-                    .select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "op6-stars")
-    links = _verify(texts, stars, "op6-star").unionByName(same_id)
-    components = connected_components(links)
+                    .select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "op6-stars", paths)
+    links = _verify(texts, cells, rep_of, stars, "op6-star", paths).unionByName(same_id)
+    components = connected_components(links, paths=paths)
 
     points = cells.join(rep_of, "id").select(F.col("rep").alias("id"), "n", "counts").distinct()
-    units = _residual_units(shared, components, points)
+    units = _residual_units(shared, components, points, paths)
     order = ["cell", "block", "chunk"]
     pairs = written(units.repartition(*order).sortWithinPartitions(*order)
-                    .mapInArrow(_search, "a long, b long").distinct(), "op6-pairs")
+                    .mapInArrow(_search, "a long, b long").distinct(), "op6-pairs", paths)
     if not pairs.isEmpty():
-        more = _verify(texts, pairs, "op6-pair")
-        components = connected_components(links.unionByName(more))
+        more = _verify(texts, cells, rep_of, pairs, "op6-pair", paths)
+        components = connected_components(links.unionByName(more), paths=paths)
 
     found = written(reps.join(components, F.col("rep") == F.col("node"), "left")
                     .select("k1", "k2", F.coalesce("component", "rep").alias("component")), "op6-found")
+    discard(spark, paths)
     component = F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.coalesce("component", "id")).otherwise(F.col("id"))
     return (members.join(found, ["k1", "k2"], "left")
             .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the one with the smallest id, all columns as
+    they were. Of rows that share this id, the first by the hash of all columns stays; rows with a
+    null id all stay."""
+    spark = docs.sparkSession
+    found = join_documents(docs, id_col)
+    gone = written(found.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "op6-gone")
+    # Few rows as a rule; the planner knows their size.
+    out = docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    shared_ids = written(docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
+                         .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_id"), "op6-shared-ids")
+    if shared_ids.isEmpty():
+        return out
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = out.select(whole.alias("row"), F.xxhash64(whole).alias("code"), F.col(id_col).alias("id"))
+    once = rows.join(shared_ids, F.col("id") == F.col("_id"), "left_anti").select("row.*")
+    first = (rows.join(shared_ids, F.col("id") == F.col("_id"), "left_semi")
+             .groupBy("id").agg(F.min_by("row", "code").alias("row")).select("row.*"))
+    return once.unionByName(first)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_documents(table(spark, sf_dir, "documents"))
