@@ -37,7 +37,7 @@ def test_statistics_hold_no_column_in_one_buffer(spark):
 
 def test_ledger_is_sorted_streaming_pass(spark):
     text = plan(entry.queries()["ledger_outcomes"](spark, SF))
-    assert "MapInPandas" in text and "collect_list" not in text
+    assert "MapInArrow" in text and "collect_list" not in text
 
 
 def test_orders_and_details_join_without_shuffle_in_both_modes(spark):
