@@ -10,8 +10,9 @@ Training uses about ``SAMPLE`` labelled documents of each class at most (picked
 weighted back to the classes' true shares, in one task of that stated size. Labels are noisy and
 texts long, so only terms take part whose share of toxic documents can't be chance (Chernoff bound,
 corrected for the number of terms tested), and terms of pairs for which that holds beyond either
-term; a long text is then not judged by the sum of thousands of small noises. The machine is fitted
-to these terms by full-batch Adagrad. The sample's ids are joined by a broadcast of that bound; the
+term, however neutral each is alone: every co-occurring pair of the sample's terms is counted. A long
+text is then not judged by the sum of thousands of small noises. The machine is fitted to these terms
+by full-batch Adagrad. The sample's ids are joined by a broadcast of that bound; the
 model (at most 2^20 rows of numbers) goes to every executor; scoring is one scan.
 
 Defined results: null or empty text has no terms and gets the score of the bias alone; a null id is
@@ -34,9 +35,12 @@ LEAST_DOCS = 5
 STEPS = 400
 RATE = 0.3
 RIDGE_LINEAR, RIDGE_FACTOR = 1e-5, 1e-3
-#: Terms that would pass by chance, over all terms tested; terms whose pairs are tested.
+#: Terms that would pass by chance, over all terms tested; strongest terms whose pairs are also tested
+#: among themselves, under the milder correction for so few.
 CHANCE = 0.3
 PAIR_TERMS = 300
+#: Most frequent terms whose pairs are counted by a matrix product.
+DENSE = 2048
 SEED = 13
 TOXIC = 0.7
 
@@ -122,6 +126,76 @@ def informative(offsets, columns, y, n_columns):
     return np.flatnonzero(keep)
 
 
+def interacting(offsets, columns, y, predicted, n_columns):
+    """Columns of all pairs whose toxic share can't be chance given either column's own share, nor
+    given what was ``predicted`` for their documents.
+
+    A pair's documents are some of each column's, so its evidence given a column is at most what
+    all toxic or all clean documents of that column would give. Columns for which this is below the
+    limit can't pass in any pair: they are left out without loss and don't count as tested. Nor can
+    columns whose documents are all predicted well.
+    """
+    import numpy as np
+    rows = np.repeat(np.arange(len(y)), np.diff(offsets))
+    n, k = np.bincount(columns, minlength=n_columns), np.bincount(columns, y[rows], n_columns)
+    share, clean = k / np.maximum(n, 1), n - k
+    most, mixed = np.zeros(n_columns), (n >= LEAST_DOCS) & (k > 0) & (clean > 0)
+    most[mixed] = np.maximum(-k[mixed] * np.log(share[mixed]), -clean[mixed] * np.log(1 - share[mixed]))
+    # The smallest number of columns that leaves no further one above the limit for their pairs.
+    ranked = np.sort(most[most > 0])[::-1]
+    limits = 2 * np.log(np.arange(1, len(ranked) + 1)) - np.log(CHANCE)
+    enough = np.flatnonzero(np.append(ranked[1:], 0) < limits)
+    if not len(enough):
+        return np.zeros(0, np.int64)
+    least = limits[enough[0]]
+    # KL is convex: a pair's evidence beyond the prediction is at most its documents' log loss.
+    predicted = np.clip(predicted, 1e-9, 1 - 1e-9)
+    loss = np.bincount(columns, -np.log(np.where(y == 1, predicted, 1 - predicted))[rows], n_columns)
+    tested = np.flatnonzero((most >= least) & (loss >= 0.999 * least))
+    tested = tested[np.argsort(-n[tested], kind="stable")]
+    # Entries by document (clean ones first) and column, frequent ones first: the entries of a
+    # document before a column are its pairs with more frequent columns.
+    place = np.full(len(n), -1)
+    place[tested] = np.arange(len(tested))
+    by_class = np.argsort(y, kind="stable")
+    turn = np.empty(len(y), np.int64)
+    turn[by_class] = np.arange(len(y))
+    predicted, n_clean = predicted[by_class], int((y == 0).sum())
+    code, doc = place[columns], turn[rows]
+    code, doc = code[code >= 0], doc[code >= 0]
+    order = np.argsort(doc * len(tested) + code)
+    code, doc = code[order], doc[order]
+    first = np.searchsorted(doc, np.arange(len(y)))
+    entries, ends = np.argsort(code, kind="stable"), np.cumsum(n[tested])
+    # The most frequent columns' pairs are counted by a product of dense matrices.
+    front = min(DENSE, len(tested))
+    dense = np.zeros((len(y), front), np.float32)
+    dense[doc[code < front], code[code < front]] = 1
+    front_good, front_bad = (x.T @ x for x in (dense[:n_clean], dense[n_clean:]))
+    front_sums = dense.T @ (dense * predicted[:, None].astype(np.float32))
+    found = np.zeros(len(tested), bool)
+    for a, column in enumerate(tested.tolist()):
+        own = entries[ends[a] - n[column]:ends[a]]
+        if a < front:
+            good, bad = front_good[a, :a].astype(np.float64), front_bad[a, :a].astype(np.float64)
+        else:
+            before = [code[i:j] for i, j in zip(first[doc[own]].tolist(), own.tolist())]
+            split = int(clean[column])
+            good, bad = (np.bincount(np.concatenate(x), minlength=a) for x in (before[:split], before[split:]))
+        p = share[column]
+        b = np.flatnonzero((bad >= least / -np.log(p)) | (good >= least / -np.log(1 - p)))
+        both = bad[b] + good[b]
+        passed = np.minimum(evidence(bad[b], both, p), evidence(bad[b], both, share[tested[b]])) >= least
+        b, both = b[passed], both[passed]
+        if len(b):
+            sums = front_sums[a, b] if a < front else np.bincount(
+                np.concatenate(before), np.repeat(predicted[doc[own]], list(map(len, before))), a)[b]
+            b = b[evidence(bad[b], both, np.clip(sums / both, 1e-9, 1 - 1e-9)) >= least]
+            found[b] = True
+            found[a] |= len(b) > 0
+    return tested[found]
+
+
 def train(offsets, columns, y, weight, n_columns, steps=STEPS):
     """(bias, w, v) of the weighted logistic loss with a ridge."""
     import numpy as np
@@ -147,6 +221,30 @@ def train(offsets, columns, y, weight, n_columns, steps=STEPS):
     return bias, w, v
 
 
+def learn(offsets, columns, y, weight, n_columns):
+    """(columns that take part, bias, w, v): a model of the informative columns, trained anew with
+    those of pairs that it doesn't explain if there are any."""
+    import numpy as np
+    rows = np.repeat(np.arange(len(y)), np.diff(offsets))
+
+    def model(kept):
+        place = np.full(n_columns, -1, np.int64)
+        place[kept] = np.arange(len(kept))
+        code = place[columns]
+        some = np.concatenate([[0], np.cumsum(np.bincount(rows[code >= 0], minlength=len(y)))])
+        return some, code[code >= 0], *train(some, code[code >= 0], y, weight, len(kept))
+
+    kept = informative(offsets, columns, y, n_columns)
+    some, code, bias, w, v = model(kept)
+    # The model's odds are those of all documents; the pairs are counted in the sample.
+    odds = np.log(y.sum() / (len(y) - y.sum())) - np.log((weight * y).sum() / (weight * (1 - y)).sum())
+    z = margins(some, code, bias, w, v)[0] + odds
+    whole = np.union1d(kept, interacting(offsets, columns, y, 1 / (1 + np.exp(-np.clip(z, -30, 30))), n_columns))
+    if len(whole) > len(kept):
+        kept, (bias, w, v) = whole, model(whole)[2:]
+    return kept.astype(np.int32), bias, w, v
+
+
 def _fit(share: float, n_toxic: int, n_clean: int):
     """One task over the bounded sample: rows (toxic, terms) -> one row with the model."""
     def run(batches):
@@ -164,14 +262,8 @@ def _fit(share: float, n_toxic: int, n_clean: int):
             order = sorted(range(len(y)), key=lambda k: (y[k], terms[k].tobytes()))
             y, terms = y[order], [terms[k] for k in order]
             offsets = np.concatenate([[0], np.cumsum([len(t) for t in terms])])
-            kept = informative(offsets, np.concatenate(terms), y, BUCKETS).astype(np.int32)
-            place = np.full(BUCKETS, -1, np.int64)
-            place[kept] = np.arange(len(kept))
-            columns = [place[t] for t in terms]
-            columns = [c[c >= 0] for c in columns]
-            offsets = np.concatenate([[0], np.cumsum([len(c) for c in columns])])
             weight = np.where(y == 1, n_toxic / y.sum(), n_clean / (len(y) - y.sum()))
-            bias, w, v = train(offsets, np.concatenate(columns), y, weight, len(kept))
+            kept, bias, w, v = learn(offsets, np.concatenate(terms), y, weight, BUCKETS)
         yield pa.RecordBatch.from_arrays(
             [pa.array([bias]), pa.array([kept.tobytes()]), pa.array([w.astype(np.float64).tobytes()]),
              pa.array([v.astype(np.float64).tobytes()])], ["bias", "terms", "w", "v"])

@@ -42,6 +42,43 @@ def test_pairs_are_learnt():
     assert one(0, 1) > 0.7 and one(0) < 0.3 and one(1) < 0.3 and one() < 0.3
 
 
+def test_pairs_of_neutral_terms_among_thousands_are_learnt(spark):
+    """Toxic if exactly one of two words is there; each alone is as frequent in both classes."""
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), 7)) for _ in range(3000)]
+    docs, labels = [], []
+    for i in range(4000):
+        a, b = rng.random(2) < 0.5
+        docs.append((i, " ".join(["zzalpha"] * int(a) + ["qqbeta"] * int(b) + rng.choice(words, 40).tolist())))
+        labels.append((i, int(a != b)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = toxicity.score(docs, model).where("held_out").collect()
+    assert np.mean([r["predicted"] == labels[r["doc_id"]][1] for r in got]) > 0.95
+
+
+def test_pairs_are_all_tested():
+    """The pair search against every pair counted one by one."""
+    rng = np.random.default_rng(5)
+    rows = [np.flatnonzero(rng.random(50) < 0.3) for _ in range(600)]
+    y = np.array([float((3 in r) == (7 in r)) if rng.random() < 0.9 else float(rng.random() < 0.5) for r in rows])
+    offsets, columns = np.cumsum([0] + [len(r) for r in rows]), np.concatenate(rows)
+    has = np.zeros((600, 50), bool)
+    for i, r in enumerate(rows):
+        has[i, r] = True
+    want, least = set(), np.log(50 * 50 / toxicity.CHANCE)
+    for a in range(50):
+        for b in range(a):
+            both = has[:, a] & has[:, b]
+            k, n = y[both].sum(), both.sum()
+            if min(toxicity.evidence(k, n, p) for p in (y[has[:, a]].mean(), y[has[:, b]].mean(), 0.5)) >= least:
+                want |= {a, b}
+    for toxicity_dense in (toxicity.DENSE, 0, 9):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(toxicity, "DENSE", toxicity_dense)
+            assert set(toxicity.interacting(offsets, columns, y, np.full(600, 0.5), 50).tolist()) == want == {3, 7}
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     return toxicity.query(spark, SF).toPandas()
