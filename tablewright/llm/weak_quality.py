@@ -34,7 +34,8 @@ RATE = 0.5
 RIDGE = 1e-6
 KEEP = 0.4
 LEAST_WORDS = 10
-PRIOR_SHARE = 0.1
+#: Documents that the prior on votes counts as, at any size of the table.
+PRIOR_DOCS = 100
 #: Shares of no vote, good and bad that a labeller is expected to cast on good and on bad documents.
 PRIOR_VOTES = [[0.3, 0.695, 0.005], [0.3, 0.55, 0.15]]
 #: Words at which a text's own evidence weighs as much as the share of good documents.
@@ -105,9 +106,9 @@ def _patterns(batches):
 def maximise(counts: dict[int, int], steps: int = 200) -> tuple[dict[int, float], float]:
     """({pattern: posterior of good}, share of good) by expectation-maximisation.
 
-    Starts with every document that any labeller calls bad. A prior of ``PRIOR_SHARE`` of the documents (one at
-    least) on each labeller's votes says what a labeller is for: it rarely calls a good document bad. A
-    labeller can't end up worse than chance (its table is then made even).
+    Starts with every document that any labeller calls bad. A prior of ``PRIOR_DOCS`` documents
+    on each labeller's votes says what a labeller is for: it rarely calls a good document bad; documents
+    outweigh it on large tables. A labeller can't end up worse than chance (its table is then made even).
     """
     import numpy as np
     patterns = sorted(counts)
@@ -118,7 +119,7 @@ def maximise(counts: dict[int, int], steps: int = 200) -> tuple[dict[int, float]
     v = np.array([[p // 3 ** (m - 1 - k) % 3 for k in range(m)] for p in patterns])
     good, bad = (v == 1).sum(axis=1), (v == 2).sum(axis=1)
     q = np.where(bad > 0, 0.05, np.where(good > 0, 0.95, 0.5))
-    prior = max(1.0, PRIOR_SHARE * n.sum()) * np.array(PRIOR_VOTES)
+    prior = PRIOR_DOCS * np.array(PRIOR_VOTES)
     for _ in range(steps):
         share = float(np.clip((n * q).sum() / n.sum(), 1e-6, 1 - 1e-6))
         log = np.full(len(patterns), np.log(share) - np.log(1 - share))

@@ -132,6 +132,23 @@ def test_em_finds_the_accuracies():
     assert weak_quality.maximise({}) == ({}, 1.0)
 
 
+def test_em_tells_labellers_apart_where_junk_is_rare():
+    """Three labellers know 2 % junk, six know nothing; the prior doesn't grow with the table."""
+    rng = random.Random(3)
+    counts, junk = {}, []
+    for _ in range(20_000):
+        good = rng.random() < 0.98
+        pattern = 0
+        for k in range(len(weak_quality.LABELLERS)):
+            knows = k < 3 and not good
+            pattern = pattern * 3 + rng.choices([0, 1, 2], [0.3, 0.2, 0.5] if knows else [0.3, 0.69, 0.01])[0]
+        counts[pattern] = counts.get(pattern, 0) + 1
+        if not good:
+            junk.append(pattern)
+    posterior, _ = weak_quality.maximise(counts)
+    assert np.mean([posterior[p] < 0.5 for p in junk]) > 0.62
+
+
 def test_quality_against_labels(spark):
     for sf, least in (("/root/testdata/sf0.001", 0.95), (SF, 0.98)):
         got = weak_quality.query(spark, sf).toPandas()
