@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, centroid_cluster, embed_dedup, host_quality, jaccard_join, license_scan, mixing, substring_dedup, token_counts, toxicity, url_filter, weak_quality
+from . import bpe, centroid_cluster, collocations, embed_dedup, host_quality, jaccard_join, license_scan, mixing, substring_dedup, token_counts, toxicity, url_filter, weak_quality
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_token_counts": (token_counts.query, None),
         "op9_host_quality": (host_quality.query, host_quality.SQL),
         "op10_weak_quality": (weak_quality.query, None),
+        "op11_collocations": (collocations.query, collocations.SQL),
         "op12_substring_dedup": (substring_dedup.query, substring_dedup.SQL),
         "op13_centroid_cluster": (centroid_cluster.query, centroid_cluster.SQL),
     }
