@@ -320,8 +320,8 @@ def _with_sub(rows: DataFrame, paths: list[str]) -> DataFrame:
 def repeated_windows(rows: DataFrame, paths: list[str], window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """(id, sub, first, last): runs of windows of the texts in ``rows`` (id, sub, text) that start
     earlier too."""
-    found = rows.select("id", "sub", "text").mapInArrow(_seeds(window, seed), ROWS)
-    # One exchange: classes and notes meet by anchor, what a task has settled passes through.
+    # One exchange for both windows: classes and notes meet by anchor, what a task has settled passes through.
+    found = rows.select("id", "sub", "text").mapInArrow(_seeds(window, seed), ROWS).repartition("key")
     by_key = Window.partitionBy("key")
     by_class = Window.partitionBy("key", "code")
     at = F.when(F.col("kind") == CLASS, F.struct("id", "place"))
