@@ -117,6 +117,24 @@ def move(spark: SparkSession, source: str, target: str) -> bool:
     return fs.rename(old, new)
 
 
+def set_file_times(spark: SparkSession, folder: str, millis: int) -> None:
+    """Give every file of a folder one modification time (a file stream reads the oldest first)."""
+    fs, target = _file_system(spark, folder)
+    for status in fs.listStatus(target):
+        fs.setTimes(status.getPath(), millis, -1)
+
+
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Files without a byte among those that a reader of ``path`` (a file, folder or pattern) would take."""
+    fs, target = _file_system(spark, path)
+    found = []
+    for status in fs.globStatus(target) or []:
+        for file in fs.listStatus(status.getPath()) if status.isDirectory() else [status]:
+            if file.isFile() and file.getLen() == 0 and file.getPath().getName()[0] not in "._":
+                found.append(file.getPath().toString())
+    return found
+
+
 def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     """One file of bounded size, through Spark's file systems (any URI)."""
     fs, target = _file_system(spark, path)

@@ -8,14 +8,17 @@ a row that arrives in a later batch with an older ``ts`` is applied when it
 arrives (the stated late-data rule). Rows without ``ts`` come first. With input
 delivered in time order the result equals the batch fold, which is its test
 oracle. State and offsets live in the checkpoint under the shared folder, so a
-stopped or failed run resumes where it left off. A micro-batch takes at most
-``max_files`` files, so what the processor holds (one account's rows of one
-micro-batch) is bounded whatever the backlog. Ids travel as text, so no value
-passes through a float.
+stopped or failed run resumes where it left off. ``ledger_stream`` writes its input in files of about
+``ROWS_PER_FILE`` rows in time order, a micro-batch takes ``max_files`` of them, and so the rows the
+processor holds and sorts (one account's of one micro-batch) are bounded whatever the backlog and
+however hot the account. Ids travel as text, so no value passes through a float; rules that don't depend
+on the balance are columns, as in the batch fold.
 """
 
 from __future__ import annotations
 
+import math
+import time
 from collections.abc import Iterator
 
 import pandas as pd
@@ -24,9 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import ledger as L
-from ..session import delete_path, exists, move, scratch_path
+from ..session import delete_path, exists, move, scratch_path, set_file_times
 from ..sources import fixtures
 
+#: Rows of an input file of ``ledger_stream``, about.
+ROWS_PER_FILE = 100_000
 PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -41,20 +46,23 @@ class LedgerProcessor(StatefulProcessor):
         self.account = handle.getValueState("account", "balance_cents long, accepted long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        number = [(e is not None, int(e) if e is not None else 0) for e in pdf["event_id"]]
-        order = sorted(range(len(pdf)), key=lambda i: (
-            not pd.isna(pdf["ts"][i]), pdf["ts"][i].value if not pd.isna(pdf["ts"][i]) else 0, number[i]))
+        import numpy as np
+        import pyarrow as pa
+        pdf = pd.concat(list(rows), ignore_index=True)  # bounded by the micro-batch
+        event = pa.array(pdf["event_id"], pa.string()).cast(pa.int64())
+        number = event.fill_null(0).to_numpy(zero_copy_only=False)
+        # Rows without a time, then without an id, come first.
+        order = np.lexsort((number, event.is_valid().to_numpy(zero_copy_only=False),
+                            pdf["ts"].fillna(pd.Timestamp(0)).to_numpy(), pdf["ts"].notna().to_numpy()))
         pdf = pdf.iloc[order].reset_index(drop=True)
-        if self.account.exists():
-            balance, accepted = self.account.get()
-        else:
-            balance, accepted = self.opening_cents, 0
-        whole = [[None if pd.isna(x) else int(x) for x in pdf[c]] for c in ("amount_cents", "network_choice")]
-        outcomes, balances, numbers, balance, accepted = L.fold_account(
-            pdf["txn_type"].tolist(), *whole, int(balance), int(accepted))
+        balance, accepted = self.account.get() if self.account.exists() else (self.opening_cents, 0)
+        counted = pdf["counted"].to_numpy(bool)
+        short, balances, numbers, balance, accepted = L.fold_run(
+            pdf["delta"].to_numpy(np.int64), pdf["debit"].to_numpy(bool), counted, int(balance), int(accepted))
         self.account.update((int(balance), int(accepted)))
-        yield pdf.assign(outcome=outcomes, balance_cents=balances, accepted_no=pd.array(numbers, dtype="Int64"))[
+        outcome = pdf["rule"].where(~short, L.INSUFFICIENT)
+        yield pdf.assign(outcome=outcome, balance_cents=balances,
+                         accepted_no=pd.Series(numbers).astype("Int64").where(counted & ~short))[
             ["account_id", "ts", "event_id", "txn_type", "amount_cents", "network_choice",
              "outcome", "balance_cents", "accepted_no"]]
 
@@ -65,27 +73,22 @@ class LedgerProcessor(StatefulProcessor):
 def ledger_outcomes_stream(txns: DataFrame, opening_balance: str) -> DataFrame:
     """Streaming DataFrame of outcomes from a streaming DataFrame of transactions."""
     ids = ["account_id", "event_id"]
-    text = L.fold_input(txns).withColumns({c: F.col(c).cast("string") for c in ids})
+    text = L.with_rules(L.fold_input(txns)).withColumns({c: F.col(c).cast("string") for c in ids})
     schema = L.FOLD_SCHEMA.replace("account_id long", "account_id string").replace("event_id long", "event_id string")
     out = text.groupBy("account_id").transformWithStateInPandas(
         LedgerProcessor(L.cents(opening_balance)), schema, "Append", "None")
     return out.withColumns({c: F.col(c).cast("long") for c in ids})
 
 
-def with_slice(events: DataFrame, slices: int) -> DataFrame:
-    """``events`` with ``_slice``: consecutive time ranges 0 .. slices - 1; no time is in the first."""
-    ts_num = F.col("ts").cast("timestamp").cast("double")
-    probs = [i / slices for i in range(1, slices)]
-    edges = events.select(F.percentile_approx(ts_num, probs, 10000).alias("e")).first()["e"] if probs else []
-    number = F.lit(0)
-    for k, edge in enumerate(edges or [], start=1):
-        number = F.when(ts_num > F.lit(edge), k).otherwise(number)
-    return events.withColumn("_slice", number)
+def write_in_order(events: DataFrame, path: str, files: int) -> None:
+    """``events`` as one file a folder ``_slice=0``, ``_slice=1``, ..: consecutive ranges of (ts, event_id)."""
+    (events.repartitionByRange(files, "ts", "event_id").withColumn("_slice", F.spark_partition_id())
+     .write.partitionBy("_slice").parquet(path))
 
 
 def run_ledger_stream(spark: SparkSession, events_dir: str, events_schema, out_dir: str,
-                      checkpoint_dir: str, opening_balance: str, max_files: int = 1000) -> None:
-    """Process every file that has arrived in ``events_dir`` since the last run.
+                      checkpoint_dir: str, opening_balance: str, max_files: int = 1) -> None:
+    """Process every file that has arrived in ``events_dir`` since the last run, oldest first.
 
     ``availableNow`` runs the query to the end of the current input, in micro-batches of at
     most ``max_files`` files, and stops; the next run resumes from the checkpoint (offsets and
@@ -94,7 +97,7 @@ def run_ledger_stream(spark: SparkSession, events_dir: str, events_schema, out_d
     own = spark.newSession()
     own.conf.set(PROVIDER_CONF, ROCKSDB)
     events = (own.readStream.schema(events_schema).option("recursiveFileLookup", True)
-              .option("maxFilesPerTrigger", max_files).parquet(events_dir))
+              .option("maxFilesPerTrigger", max_files).option("maxFileAge", "36500d").parquet(events_dir))
     txns = own.sql(fixtures.RECIPES["ledger_txns"], events=events)
     query = (ledger_outcomes_stream(txns, opening_balance).writeStream
              .format("parquet").option("path", out_dir)
@@ -103,24 +106,32 @@ def run_ledger_stream(spark: SparkSession, events_dir: str, events_schema, out_d
     query.awaitTermination()
 
 
-def ledger_stream(spark: SparkSession, sf_dir: str, slices: int = 4) -> DataFrame:
+def ledger_stream(spark: SparkSession, sf_dir: str, slices: int | None = None, arrivals: int = 1) -> DataFrame:
     """Outcomes of every transaction, computed by the streaming ledger.
 
-    The events are written once, split into ``slices`` consecutive time ranges; each arrives by
-    a move of its folder, and the stream is run until it has caught up, then stopped; the next run
-    resumes from its checkpoint.
+    The events are written once, as files of about ``ROWS_PER_FILE`` rows (or ``slices`` files) in time
+    order, whose modification times say so too. They arrive in ``arrivals`` moves; after each the
+    stream is run until it has caught up, then stopped, and the next run resumes from its checkpoint.
     """
     events = fixtures.table(spark, sf_dir, "events")
     staged = scratch_path(spark, "ledger_stream_staged")
     incoming = scratch_path(spark, "ledger_stream_in")
     out = scratch_path(spark, "ledger_stream_out")
     ckpt = scratch_path(spark, "ledger_stream_ckpt")
-    with_slice(events, slices).write.partitionBy("_slice").parquet(staged)  # one scan for all slices
-    for k in range(slices):
-        if move(spark, f"{staged}/_slice={k}", f"{incoming}/{k}"):
+    files = slices or max(1, math.ceil(events.count() / ROWS_PER_FILE))
+    write_in_order(events, staged, files)
+    first = int(time.time()) - files  # a second apart, all in the past
+    for arrival in range(arrivals):
+        moved = False
+        for k in range(files * arrival // arrivals, files * (arrival + 1) // arrivals):
+            if move(spark, f"{staged}/_slice={k}", f"{incoming}/{k}"):
+                set_file_times(spark, f"{incoming}/{k}", 1000 * (first + k))
+                moved = True
+        if moved:
             run_ledger_stream(spark, incoming, events.schema, out, ckpt, fixtures.LEDGER_OPENING_BALANCE)
     delete_path(spark, staged)
     delete_path(spark, incoming)
+    delete_path(spark, ckpt)
     folded = spark.createDataFrame([], L.FOLD_SCHEMA)
     schema = folded.schema
     return L.from_cents(spark.read.schema(schema).parquet(out) if exists(spark, out) else folded)

@@ -100,3 +100,79 @@ def test_stream_takes_rows_without_time_and_an_empty_table(spark, tmp_path):
     batch = L.fold(fixtures.fixture(spark, str(tmp_path / "some"), "ledger_txns"), fixtures.LEDGER_OPENING_BALANCE)
     assert sorted(some.collect(), key=str) == sorted(batch.collect(), key=str)
     assert ledger_stream(spark, str(tmp_path / "none")).collect() == []
+
+
+def _plain(rows, opening):
+    """{event: (outcome, balance, number)} by the menu's rules, one row after the other."""
+    out, state = {}, {}
+    for account, ts, event, kind, amount, network in sorted(
+            rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or t(0), r[2])):
+        balance, accepted = state.get(account, (opening, 0))
+        what = L.outcome_of(kind, None if amount is None else int(amount * 100), network, balance)
+        if what == L.ACCEPTED:
+            balance += int(amount * 100) * (1 if kind == "deposit" else -1)
+            accepted += 1
+        state[account] = balance, accepted
+        out[event] = what, balance, accepted if what == L.ACCEPTED else None
+    return out
+
+
+def test_hot_account_is_folded_in_chunks(spark):
+    import random
+    rnd = random.Random(9)
+    rows = [(rnd.choice([1, 1, 1, 1, 2, None, None, 3 + k % 40]),
+             rnd.choice([None] + [t(0) + dt.timedelta(minutes=rnd.randrange(5000)) for _ in range(60)]), k,
+             rnd.choice(["deposit", "transfer", "transfer", "airtime", "enquiry"]),
+             rnd.choice([None, Decimal("0.00"), Decimal(rnd.randrange(1, 9000)) / 100]), rnd.choice([None, 1, 4, 5]))
+            for k in range(6000)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    want = _plain(rows, 5000)
+    for hot, pieces in ((10**9, 2048), (500, 2048), (500, 3)):
+        old, L.PIECES = L.PIECES, pieces
+        try:
+            got = L.fold(df, "50.00", hot_rows=hot, chunks=16).collect()
+        finally:
+            L.PIECES = old
+        assert {r.event_id: (r.outcome, int(r.balance * 100), r.accepted_no) for r in got} == want, (hot, pieces)
+    chunked = L.with_chunks(L.with_rules(L.fold_input(df)), 500, 16).groupBy("account_id", "chunk").count().collect()
+    hot = [r for r in chunked if r.account_id == 1]
+    assert len(hot) > 12 and max(r["count"] for r in hot) < 1000  # one account, many tasks
+    assert {r.chunk for r in chunked if r.account_id not in (1, 2, None)} == {0}
+
+
+def test_composed_function_equals_the_fold():
+    import random
+
+    import numpy as np
+    rnd = random.Random(3)
+    for n in (1, 7, 300):
+        delta = np.array([rnd.choice([rnd.randrange(1, 400), -rnd.randrange(1, 400)]) for _ in range(n)])
+        f = L.Composed()
+        for d in delta.tolist():
+            f.apply(d, d < 0)
+        for balance in [0, 1, 50, 399, 400, 10**6, *rnd.sample(range(5000), 40)]:
+            *_, end, taken = L.fold_run(delta, delta < 0, np.ones(n, bool), balance, 0)
+            assert f.of(balance) == (end, taken)
+
+
+def test_stream_in_bounded_batches_resumes(spark, tmp_path, monkeypatch):
+    """One account holds most rows; every micro-batch is one small file, and the second run resumes."""
+    from pyspark.sql import functions as F
+    from tablewright.sources import fixtures
+    from tablewright.streaming import ledger_stream as S
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(900)
+    events = events.withColumn("user_id", F.when(F.col("event_id") % 3 > 0, 7).otherwise(F.col("user_id")).cast(
+        events.schema["user_id"].dataType))
+    events.write.parquet(str(tmp_path / "sf/events.parquet"))
+    seen, real = [], S.run_ledger_stream
+
+    def counted(spark, events_dir, schema, out, ckpt, opening, max_files=1):
+        real(spark, events_dir, schema, out, ckpt, opening, max_files)
+        seen.append(max(spark.read.schema(schema).option("recursiveFileLookup", True).parquet(events_dir)
+                        .groupBy(F.input_file_name()).count().toPandas()["count"]))
+
+    monkeypatch.setattr(S, "run_ledger_stream", counted)
+    got = S.ledger_stream(spark, str(tmp_path / "sf"), slices=6, arrivals=2)
+    batch = L.fold(fixtures.fixture(spark, str(tmp_path / "sf"), "ledger_txns"), fixtures.LEDGER_OPENING_BALANCE)
+    assert sorted(got.collect(), key=str) == sorted(batch.collect(), key=str)
+    assert len(seen) == 2 and max(seen) < 300  # a file, and so a micro-batch, holds a sixth of the rows, about
