@@ -46,3 +46,31 @@ def test_rank_any_range_count(spark, partitions):
     mine = global_rank(df, [("k", False)], "r", partitions=partitions)
     ref = df.withColumn("r", F.rank().over(Window.orderBy(F.col("k").asc())))
     assert sorted(mine.collect()) == sorted(ref.collect())
+
+
+def test_brackets_are_narrow_and_no_job_runs_at_build(spark):
+    rnd = random.Random(8)
+    values = [rnd.gauss(0, 1) for _ in range(60_000)] + [0.25] * 20_000 + [None] * 500
+    rnd.shuffle(values)
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "a double, i int").repartition(7)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("stats-build", "stats-build")
+    quantiles, medians = S.exact_quantiles(df, ["a", "i"], [0.01, 0.5, 0.9]), S.exact_medians(df, ["a", "i"])
+    assert list(tracker.getJobIdsForGroup("stats-build")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    got = {(r.c, r.p): r.value for r in quantiles.collect()}
+    present = np.array([v for v in values if v is not None])
+    for p in (0.01, 0.5, 0.9):
+        assert got["a", p] == pytest.approx(np.percentile(present, 100 * p), abs=1e-12)
+        assert got["i", p] == pytest.approx(np.percentile(np.arange(len(values)), 100 * p), abs=1e-9)
+    assert medians.first()["a"] == np.median(present)
+    b = S._brackets(df, ["i"], [0.5]).first()
+    assert b["_to"] - b["_from"] < len(values) * 4 * S.MARGIN / S.ACCURACY
+
+
+def test_a_position_outside_of_its_bracket_raises(spark, monkeypatch):
+    df = spark.range(30_000).selectExpr("CAST(id AS DOUBLE) AS a")
+    real = S._brackets
+    monkeypatch.setattr(S, "_brackets", lambda *a: real(*a).selectExpr("c", "p", "_total", "_from + 1000 AS _from", "_to + 1000 AS _to"))
+    with pytest.raises(Exception, match="outside of its"):
+        S.exact_medians(df, ["a"]).collect()
