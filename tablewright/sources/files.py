@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import empty_files
+
 TAB = "\t"
 #: No cell's text: as the NULL mark it leaves quoted empty cells alone.
 NO_VALUE = "\x00"
@@ -48,8 +50,11 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Tru
                     rows_per_file: int = 0) -> None:
     """df.to_csv(path, [sep,] index=False): values written unchanged, NULL as empty.
 
-    An empty string is written as ``""`` and so differs from NULL.
+    An empty string is written as ``""`` and so differs from NULL. In a table of one column NULL is
+    ``""`` too, as pandas writes it: a blank line would be no row.
     """
+    if len(df.columns) == 1:
+        df = df.select(F.coalesce(F.col(f"`{df.columns[0]}`").cast("string"), F.lit("")).alias(df.columns[0]))
     (df.write.mode("overwrite")
      .option("header", header).option("sep", sep)
      .option("quote", '"').option("escape", '"')
@@ -76,7 +81,86 @@ def write_tsv(df, path, rows_per_file=0):
 
 # ------------------------------------------------------------- keyed JSON
 
-KEYED_JSON_TYPE = "array<map<string, map<string, string>>>"
+#: Entries of one batch.
+JSON_ROWS = 1024
+
+
+def _as_text(value) -> str | None:
+    """An attribute as a text cell: numbers as they were written, nested values as JSON."""
+    import json
+    if value is None or isinstance(value, str):
+        return value
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    return json.dumps(value, ensure_ascii=False)
+
+
+def _entries(text: str, path: str):
+    """(key, {attribute: text}) of a document ``[{key: {..}, ..}, ..]``, one entry at a time."""
+    import json
+    import re
+    decode = json.JSONDecoder(parse_float=str, parse_int=str, parse_constant=str).raw_decode
+    blank = re.compile(r"[ \t\n\r]*").match
+
+    def fail(at):
+        return ValueError(f"not a keyed JSON document: {path}, character {at}")
+
+    def value(at, kind):
+        try:
+            found, end = decode(text, at)
+        except json.JSONDecodeError as e:
+            raise fail(e.pos) from None
+        if not isinstance(found, kind):
+            raise fail(at)
+        return found, blank(text, end).end()
+
+    def take(at, marks):
+        if text[at:at + 1] not in marks or at >= len(text):
+            raise fail(at)
+        return text[at], blank(text, at + 1).end()
+
+    def members(at, close, one):
+        """Walk over comma-separated members up to ``close``."""
+        if text[at:at + 1] == close:
+            return blank(text, at + 1).end()
+        while True:
+            at = yield from one(at)
+            mark, at = take(at, ("," , close))
+            if mark == close:
+                return at
+
+    def entry(at):
+        key, at = value(at, str)
+        at = take(at, (":",))[1]
+        attributes, at = value(at, dict)
+        yield key, {k: _as_text(v) for k, v in attributes.items()}
+        return at
+
+    def item(at):
+        return (yield from members(take(at, ("{",))[1], "}", entry))
+
+    end = yield from members(take(blank(text, 0).end(), ("[",))[1], "]", item)
+    if end < len(text):
+        raise fail(end)
+
+
+def _read_documents(batches):
+    import pyarrow as pa
+    kind = pa.map_(pa.string(), pa.string())
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.string()),
+                                           pa.array([list(a.items()) for _, a in rows], kind)], ["key", "attrs"])
+
+    for files in batches:
+        for k in range(files.num_rows):
+            path, rows = files.column(0)[k].as_py(), []
+            for row in _entries(files.column(1)[k].as_py().decode("utf-8-sig"), path):
+                rows.append(row)
+                if len(rows) == JSON_ROWS:
+                    yield batch(rows)
+                    rows = []
+            yield batch(rows)
 
 
 def read_keyed_json(spark: SparkSession, path: str, key_column: str,
@@ -84,21 +168,21 @@ def read_keyed_json(spark: SparkSession, path: str, key_column: str,
     """Files holding ``[{"<key>": {attribute: value, ...}, ...}]``, one document each.
 
     ``json.load(f)[0]`` then ``DataFrame.from_dict(orient="index")`` with the
-    index as ``key_column``. Every file is one task; rows of all objects in
-    the list are kept. A file that is not such a document raises with its path
+    index as ``key_column``. Every file is one task, which holds its text and yields its entries in
+    batches; rows of all objects in the list are kept, and of an attribute named twice the last. A file
+    that is not such a document, an empty one or one with text after the document raises with its path
     (an empty list is one without rows). Attribute names are kept exactly, so "Rating" and
     "rating" stay two columns. Without ``attributes`` the names are found by
     a distinct over the map keys (a schema-sized result, like inference).
     """
-    docs = spark.read.text(path, wholetext=True)
-    parsed = F.from_json("value", KEYED_JSON_TYPE)
-    broken = F.raise_error(F.concat(F.lit("not a keyed JSON document: "), F.input_file_name()))
-    items = (docs.select(F.explode(F.coalesce(parsed, broken.cast(KEYED_JSON_TYPE))).alias("obj"))
-             .select(F.explode("obj").alias(key_column, "attrs")))
+    for empty in empty_files(spark, path):  # Spark's readers skip them
+        raise ValueError(f"not a keyed JSON document: {empty} is empty")
+    docs = spark.read.format("binaryFile").load(path).select("path", "content")
+    items = docs.mapInArrow(_read_documents, "key string, attrs map<string, string>")
     if attributes is None:
         attributes = sorted(r[0] for r in items.select(F.explode(F.map_keys("attrs")))
                             .distinct().collect())
-    return items.select(F.col(key_column),
+    return items.select(F.col("key").alias(key_column),
                         *[F.col("attrs").getItem(a).alias(a) for a in attributes])
 
 

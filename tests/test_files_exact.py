@@ -72,3 +72,38 @@ def test_numbers_are_what_pandas_reads(spark):
     got = [r.x for r in C.coerce_numeric(df, ["x"]).collect()]
     want = [None if pd.isna(v) else float(v) for v in pd.to_numeric(pd.Series(cells), errors="coerce")]
     assert got == want
+
+
+@pytest.mark.parametrize("write,read", [(files.write_csv, files.read_csv), (files.write_tsv, files.read_tsv)])
+def test_one_column_keeps_its_missing_rows(spark, tmp_path, write, read):
+    rows = [("a",), (None,), ("b",), (None,), (None,)]
+    df = spark.createDataFrame(rows, "a string").coalesce(1)
+    write(df, str(tmp_path / "t"))
+    assert sorted(read(spark, str(tmp_path / "t"), df.schema).collect(), key=str) == sorted(rows, key=str)
+    assert sorted(read(spark, str(tmp_path / "t"), df.schema, multi_line=True).collect(), key=str) == sorted(rows, key=str)
+    back = pd.concat([pd.read_csv(p, sep="\t") for p in (tmp_path / "t").glob("*.csv")])
+    assert back["a"].isna().sum() == 3 and len(back) == 5
+    numbers = spark.createDataFrame([(1,), (None,), (3,)], "n int").coalesce(1)
+    write(numbers, str(tmp_path / "n"))
+    assert sorted(r.n or 0 for r in read(spark, str(tmp_path / "n"), numbers.schema).collect()) == [0, 1, 3]
+
+
+@pytest.mark.parametrize("text", ["", " \n", "[]x", '[{"a": {}}] {}', '[{"a": {}},]', '[{"a": {}}', '{"a": {}}', '[{"a": 1}]',
+                                  '[{"a" {}}]', '[{"a": {"b": 1}} {"c": {}}]'])
+def test_what_is_no_keyed_document_raises(spark, tmp_path, text):
+    (tmp_path / "one.json").write_text(text)
+    with pytest.raises(Exception, match="not a keyed JSON document.*one.json"):
+        files.read_keyed_json(spark, str(tmp_path), "key", ["b"]).collect()
+
+
+def test_keyed_json_entries_are_streamed(spark, tmp_path):
+    (tmp_path / "a.json").write_text('\n [ {"x": {"Rating": 8.50, "rating": true, "n": null, "l": [1, "é"], "Rating": 9.10}}, {} ,'
+                                     ' {"y": {}, "z": {"n": -1e3, "l": {"k": NaN}}} ] \n')
+    (tmp_path / "b.json").write_text("[]")
+    got = {r["key"]: (r["Rating"], r["rating"], r["n"], r["l"])
+           for r in files.read_keyed_json(spark, str(tmp_path), "key", ["Rating", "rating", "n", "l"]).collect()}
+    assert got == {"x": ("9.10", "true", None, '["1", "é"]'), "y": (None,) * 4, "z": (None, None, "-1e3", '{"k": "NaN"}')}
+    text = "[{" + ",".join(f'"k{i}": {{"v": {i}}}' for i in range(50_000)) + "}]"
+    rows = files._entries(text, "p")
+    assert next(rows) == ("k0", {"v": "0"}) and sum(1 for _ in rows) == 49_999
+    assert [r for r in files._entries('[{"a": {"b": 1}}, {}]', "p")] == [("a", {"b": "1"})]
