@@ -32,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, discard, runs, slices, table, text_bytes, written
+from .common import LOWER, UPPER, discard, freed, runs, slices, table, text_bytes, written
 
 LEAST = 30
 TOP = 2000
@@ -43,7 +43,7 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 GATHER = 1_000_000
 GATHER_BYTES = 16_000_000
 #: Bytes of text whose records make a slice, and records of the sample for each.
-SLICE_BYTES = 12_000_000
+SLICE_BYTES = 4_000_000
 SAMPLE_RECORDS = 32
 SAMPLE_BYTES = 65_536
 #: Shares of a language that are ranked on their own before all are.
@@ -296,8 +296,8 @@ def count_streams(docs: DataFrame, paths: list[str], least: int = LEAST, text_co
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), text_bytes(text_col).alias("text"))
     edges, count = borders(texts)
     spark = docs.sparkSession
-    blocks = texts.mapInArrow(_blocks(spark.sparkContext.broadcast(edges)), "unit long, lang string, data binary")
-    partial = blocks.repartition(max(count, 2), "unit").sortWithinPartitions("unit").mapInArrow(_count(least), COUNTS)
+    blocks = texts.mapInArrow(freed(_blocks(spark.sparkContext.broadcast(edges))), "unit long, lang string, data binary")
+    partial = blocks.repartition(max(count, 2), "unit").sortWithinPartitions("unit").mapInArrow(freed(_count(least)), COUNTS)
     keys = ["lang", "n", "h1", "h2", "h3", "h4"]
     return written(partial.groupBy(*keys).agg(F.sum("f").alias("f"), F.first("word", ignorenulls=True).alias("word"))
                    .where((F.col("n") == 0) | (F.col("f") >= least)), "op11-counts", paths)

@@ -14,9 +14,13 @@ LOWER = UPPER.lower()
 #: for bytes, what ``bytes.split()`` cuts at.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Documents of one Python batch: bounds a worker's memory to this many texts at once.
+#: Documents that a worker takes out of an Arrow batch at once. The batch itself is bounded by Spark
+#: (``spark.sql.execution.arrow.maxRecordsPerBatch`` and ``maxBytesPerBatch``, 64 MB by default).
 BATCH_ROWS = 256
 
+#: The longest word that a worker remembers.
+MEMO_LENGTH = 64
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -51,6 +55,41 @@ def text_bytes(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")
 
 
+def texts_of(piece) -> list[bytes]:
+    """The texts of a batch: its last column, as bytes; null is empty."""
+    import pyarrow as pa
+    return [t or b"" for t in piece.column(piece.num_columns - 1).cast(pa.binary()).to_pylist()]
+
+
+def without_text(docs: DataFrame, text_col: str = "text") -> Column:
+    """All columns of ``docs`` but the text, as one: the text travels once, beside them."""
+    return F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c != text_col])
+
+
+def rejoined(docs: DataFrame, rows: DataFrame, text_col: str = "text") -> DataFrame:
+    """The columns of ``docs`` from rows (carried, text as bytes, ..) that ``without_text`` made."""
+    kind = docs.schema[text_col].dataType
+    text = F.col("text") if kind.simpleString() == "binary" else F.col("text").cast("string").cast(kind)
+    return rows.select(*[text.alias(c) if c == text_col else F.col("carried")[c].alias(c) for c in docs.columns])
+
+
+def freed(run):
+    """``run`` for ``mapInArrow``, which at its end returns the memory it took to the system: workers
+    are used again, and what one operator leaves behind would add to the next one's."""
+    def tidy(batches):
+        yield from run(batches)
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+    return tidy
+
+
 def slices(batch, rows: int = BATCH_ROWS):
     """An Arrow batch in pieces of at most ``rows`` rows (no copy)."""
     for start in range(0, batch.num_rows, rows):
