@@ -18,14 +18,17 @@ node), joined with itself by the summed minima.
 3. In each cell, the smallest id is the leader; every set is verified against its leaders.
    Components of these links settle most groups in work linear in their rows, however
    large the group.
-4. Cells that still hold several components are searched by their R-trees, for pairs of
-   different components only; a cell of more than ``BLOCK`` sets is cut into blocks of targets
-   and chunks of queries, each a unit of its own. Pairs that survive are verified; the
+4. Cells that still hold several components are searched for pairs of different components only. A
+   cell of at most ``LEAF`` sets is a single leaf: its pairs of fitting sizes and places are
+   taken as they are. Larger cells get an R-tree; one of more than ``BLOCK`` sets is cut into blocks
+   of targets and chunks of queries, each a unit of its own. Pairs that survive are verified; the
    components of all links are the result.
 
-Verification compares prefixes first (linked sets share a stated number of those shingles), then
-the whole sets, which a third and fourth scan give for just the documents that are left (a Bloom
-filter of fixed size spares the others; what it lets through in vain is dropped by the join).
+Verification, of leaders' pairs too, first bounds the overlap by the summed minima of both points,
+then compares prefixes (linked sets share a stated number of those shingles), then the whole sets, which
+a third and fourth scan give for just the documents that are left. Those are told by a Bloom filter of
+16 bits an id while they are at most ``BLOOM_IDS`` (32 MB), and by a join with their ids beyond that;
+what the filter lets through in vain is dropped by the next join either way.
 
 Defined results: null or empty text has an empty set and links with nothing; fewer than five
 words are one shingle; rows with a null id link with nothing; rows that share an id share a
@@ -37,7 +40,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, runs, slices, table, text_bytes, written
+from .common import MEMO_LENGTH, discard, freed, runs, slices, table, text_bytes, written
 from .components import connected_components
 
 SHINGLE = 5
@@ -51,7 +54,8 @@ WINDOW = 2_000_000
 SALT_ROWS = 200_000
 BLOCK = 4096
 LEAF = 64
-BLOOM_BITS = 1 << 24
+#: Most ids that a filter is broadcast for.
+BLOOM_IDS = 1 << 24
 
 
 # --- shingle sets -------------------------------------------------------------------------
@@ -65,9 +69,11 @@ class Shingler:
 
         class Words(dict):
             def __missing__(self, word):
-                if len(self) > 150_000:
-                    self.clear()
-                code = self[word] = digest(word)
+                code = digest(word)
+                if len(word) <= MEMO_LENGTH:
+                    if len(self) > 100_000:
+                        self.clear()
+                    self[word] = code
                 return code
 
         self.words, self.digest = Words(), digest
@@ -252,43 +258,49 @@ def _shared(batches):
 
 # --- verification -------------------------------------------------------------------------
 
-def bloom_slots(i) -> list:
+def bloom_slots(i, size: int) -> list:
     """Two bit positions of an id, as columns."""
-    return [F.pmod(F.xxhash64(F.lit(s), i), F.lit(BLOOM_BITS)) for s in (1, 2)]
+    return [F.pmod(F.xxhash64(F.lit(s), i), F.lit(size)) for s in (1, 2)]
 
 
-def bloom(ids: DataFrame, column: str):
-    """A bit map of fixed size (2 MB) of the ids, built by an aggregation to 64-bit words."""
+def bloom(ids: DataFrame, column: str) -> tuple[bytes, int] | None:
+    """(bit map, its size in bits) of the ids, 16 bits for each, built by an aggregation to 64-bit
+    words; None if there are more than ``BLOOM_IDS``."""
     import numpy as np
-    bits = ids.select(F.explode(F.array(*bloom_slots(F.col(column)))).alias("bit"))
+    count = ids.count()
+    if count > BLOOM_IDS:
+        return None
+    size = 64 * max(1, -(-16 * count // 64))
+    bits = ids.select(F.explode(F.array(*bloom_slots(F.col(column), size))).alias("bit"))
     words = (bits.groupBy((F.col("bit") / 64).cast("int").alias("w"))
              .agg(F.bit_or(F.expr("shiftleft(1L, int(bit % 64))")).alias("v")).toArrow())
-    out = np.zeros(BLOOM_BITS // 64, np.int64)  # at most this many rows reach the driver
+    out = np.zeros(size // 64, np.int64)  # at most this many rows reach the driver
     out[words.column(0).to_numpy()] = words.column(1).to_numpy()
-    return out.tobytes()
+    return out.tobytes(), size
 
 
-def _sets(bits):
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-        shingles = Shingler()
-        words = np.frombuffer(bits.value, np.uint8)
-        for whole in batches:
-            for piece in slices(whole):
-                held = np.ones(piece.num_rows, bool)
-                for k in (2, 3):
-                    slot = piece.column(k).to_numpy()
-                    held &= (words[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-                piece = piece.filter(pa.array(held))
-                values = [shingles(t).view(np.int64) for t in piece.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(values, pa.list_(pa.int64()))], ["id", "values"])
-    return run
+def _of_ids(rows: DataFrame, ids: DataFrame, schema: str) -> DataFrame:
+    """The rows whose id is in ``ids`` (id), and perhaps some others."""
+    found = bloom(ids, "id")
+    if found is None:
+        return rows.join(ids.distinct(), "id", "left_semi")
+    bits = ids.sparkSession.sparkContext.broadcast(found[0])
+    slots = [c.alias(f"_{k}") for k, c in enumerate(bloom_slots(F.col("id"), found[1]))]
+    return rows.select(*slots, *rows.columns).mapInArrow(_known(bits), schema)
+
+
+def _sets(batches):
+    """(id, text) -> (id, sorted shingles)."""
+    import pyarrow as pa
+    shingles = Shingler()
+    for whole in batches:
+        for piece in slices(whole):
+            values = [shingles(t).view("int64") for t in piece.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(values, pa.list_(pa.int64()))], ["id", "values"])
 
 
 def _known(bits):
-    """Rows (h1, h2, ..) whose two bit positions are set."""
+    """Rows (slot, slot, ..) whose two bit positions are set, without these."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -298,10 +310,30 @@ def _known(bits):
             for k in (0, 1):
                 slot = batch.column(k).to_numpy()
                 held &= (words[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-            yield batch.filter(pa.array(held))
+            yield batch.select(list(range(2, batch.num_columns))).filter(pa.array(held))
     return run
 
 
+def _bounded(batches):
+    """Rows (a, b, n_a, n_b, point of a, point of b) -> the (a, b) whose summed minima allow a link."""
+    import numpy as np
+    import pyarrow as pa
+    for batch in batches:
+        n, m = (batch.column(k).to_numpy().astype(np.int64) for k in (2, 3))
+        x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, GROUPS) for k in (4, 5))
+        bound = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+        wide = (x == 255).all(axis=1) | (y == 255).all(axis=1)
+        yield batch.select([0, 1]).filter(pa.array(wide | (9 * bound >= 4 * (n + m))))
+
+
+def _within_bound(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """The rows of ``pairs`` that the count vectors of both sets let link."""
+    side = {k: points.select(F.col("id").alias(k), F.col("n").alias(f"n_{k}"), F.col("counts").alias(f"counts_{k}"))
+            for k in "ab"}
+    both = pairs.join(side["a"], "a").join(side["b"], "b")
+    return both.select("a", "b", "n_a", "n_b", "counts_a", "counts_b").mapInArrow(_bounded, "a long, b long").distinct()
+
+
 def _with_common_prefix(pairs: DataFrame, cells: DataFrame, rep_of: DataFrame, paths: list[str]) -> DataFrame:
     """The rows of ``pairs`` that share enough of their prefixes.
 
@@ -309,13 +341,9 @@ def _with_common_prefix(pairs: DataFrame, cells: DataFrame, rep_of: DataFrame, p
     first p of the one, and all but n - o among the first q of the other: at least the smaller of
     p - (m - o) and q - (n - o) are in both. The prefixes are a fifth of the sets.
     """
-    spark = pairs.sparkSession
     ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
     need = written(rep_of.join(ids, "rep"), "op6-need", paths)
-    bits = spark.sparkContext.broadcast(bloom(need, "id"))  # 2 MB at any size
-    one, two = bloom_slots(F.col("id"))
-    known = (cells.select(one.alias("h1"), two.alias("h2"), "id", "n", "cells")
-             .mapInArrow(_known(bits), "h1 long, h2 long, id long, n int, cells array<long>"))
+    known = _of_ids(cells.select("id", "n", "cells"), need.select("id"), "id long, n int, cells array<long>")
     prefixes = written(known.join(need, "id").groupBy("rep", "n", F.xxhash64("cells").alias("code"))
                        .agg(F.first("cells").alias("cells")).drop("code"), "op6-prefixes", paths)
     side = {k: prefixes.select(F.col("rep").alias(k), F.col("n").alias(f"n_{k}"), F.col("cells").alias(f"cells_{k}"))
@@ -327,17 +355,16 @@ def _with_common_prefix(pairs: DataFrame, cells: DataFrame, rep_of: DataFrame, p
                    .select("a", "b").distinct(), "op6-close", paths)
 
 
-def _verify(texts: DataFrame, cells: DataFrame, rep_of: DataFrame, pairs: DataFrame, name: str,
+def _verify(texts: DataFrame, cells: DataFrame, points: DataFrame, rep_of: DataFrame, pairs: DataFrame, name: str,
             paths: list[str]) -> DataFrame:
     """The rows (a, b) of ``pairs`` whose whole sets link."""
     spark = pairs.sparkSession
     own: list[str] = []
+    pairs = written(_within_bound(pairs, points), "op6-bounded", own)
     pairs = _with_common_prefix(pairs, cells, rep_of, own)
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    bits = spark.sparkContext.broadcast(bloom(ids, "id"))  # 2 MB at any size
-    one, two = bloom_slots(F.col("id"))
-    sets = written(texts.where("id IS NOT NULL").withColumn("h1", one).withColumn("h2", two)
-                   .mapInArrow(_sets(bits), "id long, values array<long>"), f"{name}-sets", own)
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "op6-ids", own)
+    some = _of_ids(texts.where("id IS NOT NULL"), ids, "id long, text binary")
+    sets = written(some.mapInArrow(freed(_sets), "id long, values array<long>"), f"{name}-sets", own)
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("values").alias("x")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("values").alias("y")), "b"))
     overlap = F.size(F.array_intersect("x", "y"))
@@ -395,69 +422,65 @@ class RTree:
         return nodes[wide | (9 * bound >= 4 * (size + self.sizes[nodes]))]
 
 
-def _search_small(unit):
-    """Pairs of many single-leaf cells at once: rows sorted by cell, none of more than ``LEAF``."""
+def _pairs_of(run, i, n, pos, component):
+    """Pairs of different components that may link, of rows sorted by run, none of more than ``LEAF`` rows."""
     import numpy as np
-    cell, i, n, pos, component, points = unit
-    found = []
+    found = [np.zeros((0, 2), np.int64)]
     for k in range(1, LEAF):
-        a = np.flatnonzero(cell[k:] == cell[:-k])
+        a = np.flatnonzero(run[k:] == run[:-k])
         if not len(a):
             break
         b = a + k
-        a = a[fits := (component[a] != component[b]) & may_link(n[a], pos[a], n[b], pos[b])]
-        b = b[fits]
-        bound = np.minimum(points[a], points[b]).sum(axis=1, dtype=np.int64)
-        wide = (points[a] == 255).all(axis=1) | (points[b] == 255).all(axis=1)
-        fits = wide | (9 * bound >= 4 * (n[a] + n[b]))
-        found.append(np.stack([np.minimum(i[a[fits]], i[b[fits]]), np.maximum(i[a[fits]], i[b[fits]])], 1))
-    return found
+        fits = (component[a] != component[b]) & may_link(n[a], pos[a], n[b], pos[b])
+        a, b = a[fits], b[fits]
+        found.append(np.stack([np.minimum(i[a], i[b]), np.maximum(i[a], i[b])], 1))
+    return np.unique(np.concatenate(found), axis=0)
 
 
-def _search(batches):
-    """Units (cell, block, chunk) with rows (.., query, id, n, pos, component, counts) -> (a, b)."""
+def _search_leaves(batches):
+    """Rows (cell, id, n, pos, component) sorted by cell, none of more than ``LEAF`` rows -> (a, b)."""
     import numpy as np
     import pyarrow as pa
-    small, rows = [], 0  # single-leaf cells, searched together
-
-    def columns(table):
-        query, i, n, pos, component = (table.column(k).to_numpy() for k in range(3, 8))
-        points = np.frombuffer(b"".join(table.column(8).to_pylist()), np.uint8).reshape(-1, GROUPS)
-        return query, i, n.astype(np.int64), pos.astype(np.int64), component, points
+    held = None  # the last cell, still open
 
-    def batch(found):
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+    def batch(table):
+        cell, i = table.column(0).to_numpy(), table.column(1).to_numpy()
+        n, pos = (table.column(k).to_numpy().astype(np.int64) for k in (2, 3))
+        pairs = _pairs_of(cell, i, n, pos, table.column(4).to_numpy())
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    def flush():
-        table = pa.concat_tables(small).combine_chunks()
-        query, *rest = columns(table)
-        targets = query == 0  # every row of a cell is one; those that ask occur twice
-        return batch(_search_small([table.column(0).to_numpy()[targets], *[c[targets] for c in rest]]))
+    for new in batches:
+        if not new.num_rows:
+            continue
+        table = pa.Table.from_batches([new] if held is None else [*held.to_batches(), new]).combine_chunks()
+        cell = table.column(0).to_numpy()
+        cut = int(np.searchsorted(cell, cell[-1]))
+        held = table.slice(cut)
+        if cut:
+            yield batch(table.slice(0, cut))
+    if held is not None:
+        yield batch(held)
+
 
+def _search(batches):
+    """Units (cell, block, chunk) with rows (.., query, id, n, pos, component, counts) -> (a, b)."""
+    import numpy as np
+    import pyarrow as pa
     for unit in runs(batches, 3):
-        if unit.num_rows < 2:
-            continue
-        if unit.num_rows <= LEAF and unit.column(9)[0].as_py() == 1:
-            small.append(unit)
-            rows += unit.num_rows
-            if rows > 50_000:
-                yield flush()
-                small, rows = [], 0
-            continue
-        query, i, n, pos, component, points = columns(unit)
+        query, i, n, pos, component = (unit.column(k).to_numpy() for k in range(3, 8))
+        n, pos = n.astype(np.int64), pos.astype(np.int64)
+        points = np.frombuffer(b"".join(unit.column(8).to_pylist()), np.uint8).reshape(-1, GROUPS)
         targets = np.flatnonzero(query == 0)
         if not len(targets):
             continue
         tree = RTree(points[targets], n[targets])
-        found = []
+        found = [np.zeros((0, 2), np.int64)]
         for q in np.flatnonzero(query == 1).tolist():
             t = targets[tree.order[tree.search(points[q].astype(np.int32), int(n[q]))]]
             t = t[may_link(n[t], pos[t], n[q], pos[q]) & (component[t] != component[q])]
             found.append(np.stack([np.minimum(i[t], i[q]), np.maximum(i[t], i[q])], 1))
-        yield batch(found)
-    if small:
-        yield flush()
+        pairs = np.unique(np.concatenate(found), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
 # --- the join -------------------------------------------------------------------------------
@@ -472,15 +495,12 @@ def _frequent(survey: DataFrame):
     return values[order], rows.column(1).to_numpy()[order]
 
 
-def _residual_units(shared: DataFrame, components: DataFrame, points: DataFrame, paths: list[str]) -> DataFrame:
-    """Rows of the units of all cells with more than one component."""
-    rows = (shared.join(components, F.col("id") == F.col("node"), "left")
-            .select("cell", "id", "n", "pos", F.coalesce("component", "id").alias("component")))
-    rows = written(rows, "op6-residual", paths)
-    mixed = (rows.groupBy("cell")
-             .agg(F.min_by("component", "id").alias("main"), F.count(F.lit(1)).alias("total"),
-                  F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi"))
-    mixed = written(mixed.select("cell", "main", "total"), "op6-mixed", paths)
+def _units(rows: DataFrame, points: DataFrame, paths: list[str]) -> DataFrame:
+    """Rows of the units of all cells of ``rows`` (cell, total, id, n, pos, component) with several components."""
+    mixed = (rows.groupBy("cell", "total")
+             .agg(F.min_by("component", "id").alias("main"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .where("lo < hi").select("cell", "main"))
+    mixed = written(mixed, "op6-mixed", paths)
     # Only rows outside of the leader's component ask; all rows answer.
     rows = rows.join(mixed, "cell").withColumn("asks", (F.col("component") != F.col("main")).cast("int"))
     asking = written(rows.groupBy("cell").agg(F.sum("asks").alias("asking")), "op6-asking", paths)
@@ -493,15 +513,32 @@ def _residual_units(shared: DataFrame, components: DataFrame, points: DataFrame,
                .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("query", F.lit(0)))
     queries = (rows.where("asks = 1").withColumn("chunk", F.pmod(h, F.col("chunks")).cast("int"))
                .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("query", F.lit(1)))
-    columns = ["cell", "block", "chunk", "query", "id", "n", "pos", "component", "counts", "blocks"]
+    columns = ["cell", "block", "chunk", "query", "id", "n", "pos", "component", "counts"]
     return targets.select(*columns).unionByName(queries.select(*columns))
 
 
+def _residual_pairs(shared: DataFrame, leaders: DataFrame, components: DataFrame, points: DataFrame, paths: list[str]) -> DataFrame:
+    """(a, b): pairs of different components that share a cell and may link."""
+    own: list[str] = []
+    rows = written(shared.join(components, F.col("id") == F.col("node"), "left")
+                   .select("cell", "id", "n", "pos", F.coalesce("component", "id").alias("component")), "op6-residual", own)
+    large = written(leaders.where(F.col("total") > LEAF).select("cell", "total"), "op6-large", own)
+    # Cells of one leaf need no points here: their pairs are bounded once, not in every cell.
+    leaves = (rows.join(large, "cell", "left_anti").repartition("cell").sortWithinPartitions("cell")
+              .mapInArrow(_search_leaves, "a long, b long"))
+    order = ["cell", "block", "chunk"]
+    trees = (_units(rows.join(large, "cell"), points, own).repartition(*order).sortWithinPartitions(*order)
+             .mapInArrow(_search, "a long, b long"))
+    pairs = written(leaves.unionByName(trees).distinct(), "op6-pairs", paths)
+    discard(shared.sparkSession, own)
+    return pairs
+
+
 def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row; kept: the id is its component's."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("text"))
-    survey = written(texts.mapInArrow(_survey, "kind int, a long, b long, c long, d long"), "op6-survey")
+    survey = written(texts.mapInArrow(freed(_survey), "kind int, a long, b long, c long, d long"), "op6-survey")
     members = survey.where("kind = 0").selectExpr("a AS id", "b AS k1", "c AS k2", "d AS n")
     paths: list[str] = []  # tables that the result doesn't need
     reps = written(members.where("id IS NOT NULL AND n > 0").groupBy("k1", "k2")
@@ -509,11 +546,12 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     frequent = spark.sparkContext.broadcast(_frequent(survey))  # at most FREQUENT pairs of numbers
     cells = written(texts.mapInArrow(
-        _cells(frequent), "id long, n int, counts binary, cells array<long>, salts array<int>"), "op6-cells", paths)
+        freed(_cells(frequent)), "id long, n int, counts binary, cells array<long>, salts array<int>"), "op6-cells", paths)
     posts = (cells.select("id", "n", F.posexplode(F.arrays_zip("cells", "salts")).alias("pos", "c"))
              .select(F.col("c.cells").alias("cell"), F.col("c.salts").alias("salt"), "id", "n", "pos"))
+    first: list[str] = []
     shared = written(posts.repartition("cell", "salt").sortWithinPartitions("cell", "salt")
-                     .mapInArrow(_shared, "cell long, salt int, id long, n int, pos int"), "op6-shared", paths)
+                     .mapInArrow(_shared, "cell long, salt int, id long, n int, pos int"), "op6-shared", first)
 
     # Equal sets of different tasks are one: their smallest id stands for all of them.
     rep_of = written(members.where("id IS NOT NULL AND n > 0").join(reps, ["k1", "k2"])
@@ -523,25 +561,24 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = written(
         shared.join(rep_of, "id").groupBy("cell", F.col("rep").alias("id"), "n")
         .agg(F.min("pos").alias("pos")), "op6-shared-reps", paths)
+    discard(spark, first)
+    points = written(cells.join(rep_of, "id").select(F.col("rep").alias("id"), "n", "counts").distinct(), "op6-points", paths)
 
     leaders = written(shared.groupBy("cell").agg(F.min(F.struct("id", "n", "pos")).alias("l"), F.count(F.lit(1)).alias("total"))
                       .where("total > 1").select("cell", F.col("l.id").alias("leader"), F.col("l.n").alias("leader_n"),
-                                                 F.col("l.pos").alias("leader_pos")), "op6-leaders", paths)
+                                                 F.col("l.pos").alias("leader_pos"), "total"), "op6-leaders", paths)
     left = F.least(F.col("n") - F.col("pos"), F.col("leader_n") - F.col("leader_pos"))
     near = ((F.col("id") != F.col("leader")) & (5 * F.least("n", "leader_n") >= 4 * F.greatest("n", "leader_n"))
             & (9 * left >= 4 * (F.col("n") + F.col("leader_n"))))  # may_link, as columns
-    stars = written(shared.join(leaders, "cell").where(near)
-                    .select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "op6-stars", paths)
-    links = _verify(texts, cells, rep_of, stars, "op6-star", paths).unionByName(same_id)
+    stars = written(shared.join(leaders.drop("total"), "cell").where(near)
+                    .select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "op6-stars", first)
+    links = _verify(texts, cells, points, rep_of, stars, "op6-star", paths).unionByName(same_id)
     components = connected_components(links, paths=paths)
+    discard(spark, first)
 
-    points = cells.join(rep_of, "id").select(F.col("rep").alias("id"), "n", "counts").distinct()
-    units = _residual_units(shared, components, points, paths)
-    order = ["cell", "block", "chunk"]
-    pairs = written(units.repartition(*order).sortWithinPartitions(*order)
-                    .mapInArrow(_search, "a long, b long").distinct(), "op6-pairs", paths)
+    pairs = _residual_pairs(shared, leaders, components, points, paths)
     if not pairs.isEmpty():
-        more = _verify(texts, cells, rep_of, pairs, "op6-pair", paths)
+        more = _verify(texts, cells, points, rep_of, pairs, "op6-pair", paths)
         components = connected_components(links.unionByName(more), paths=paths)
 
     found = written(reps.join(components, F.col("rep") == F.col("node"), "left")
@@ -553,25 +590,36 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the one with the smallest id, all columns as
-    they were. Of rows that share this id, the first by the hash of all columns stays; rows with a
-    null id all stay."""
-    spark = docs.sparkSession
-    found = join_documents(docs, id_col)
-    gone = written(found.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "op6-gone")
-    # Few rows as a rule; the planner knows their size.
-    out = docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
-    shared_ids = written(docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
-                         .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_id"), "op6-shared-ids")
-    if shared_ids.isEmpty():
-        return out
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, all columns as they were: of each group of linked sets the one with
+    the smallest id; of equal texts that share this id, the first by the hash of all columns. Rows link
+    by their texts alone, so one that only shares its id with another stays; rows without a word and
+    those with a null id link with nothing and all stay."""
+    spark, paths = docs.sparkSession, []
+    several = written(docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
+                      .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_id"), "op6-shared-ids", paths)
+    if several.isEmpty():
+        found = join_documents(docs, id_col, text_col)
+        gone = written(found.where("NOT kept").select(F.col("doc_id").alias("_gone")), "op6-gone")
+        discard(spark, paths)
+        # Few rows as a rule; the planner knows their size.
+        return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    # Ids repeat: texts of their own get keys of their own.
+    key = F.when(F.col(id_col).isNotNull(), F.xxhash64(F.col(id_col), text_bytes(text_col)))
+    found = join_documents(docs.select(key.alias("_key"), F.col(text_col).alias("_text")), "_key", "_text")
+    ids = docs.select(key.alias("_key"), F.col(id_col).alias("_id")).distinct()
+    rows = written(found.where("n_shingles > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_key"), "component_id")
+                   .distinct().join(ids, "_key"), "op6-keys", paths)
+    first = rows.groupBy("component_id").agg(F.min(F.struct("_id", "_key")).alias("f")).select(F.col("f._key").alias("_first"))
+    gone = written(rows.join(first, F.col("_key") == F.col("_first"), "left_anti").select("_key"), "op6-gone")
+    repeats = written(docs.select(key.alias("_key")).groupBy("_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                      .join(rows, "_key", "left_semi").select("_key"), "op6-repeats")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = out.select(whole.alias("row"), F.xxhash64(whole).alias("code"), F.col(id_col).alias("id"))
-    once = rows.join(shared_ids, F.col("id") == F.col("_id"), "left_anti").select("row.*")
-    first = (rows.join(shared_ids, F.col("id") == F.col("_id"), "left_semi")
-             .groupBy("id").agg(F.min_by("row", "code").alias("row")).select("row.*"))
-    return once.unionByName(first)
+    left = docs.select(whole.alias("row"), F.xxhash64(whole).alias("code"), key.alias("_key")).join(gone, "_key", "left_anti")
+    out = left.join(repeats, "_key", "left_anti").select("row.*")
+    once = left.join(repeats, "_key", "left_semi").groupBy("_key").agg(F.min_by("row", "code").alias("row")).select("row.*")
+    discard(spark, paths)
+    return out.unionByName(once)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

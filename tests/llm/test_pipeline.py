@@ -77,10 +77,20 @@ def test_mix_and_tokens(stages, spark):
 
 def test_keep_one_with_shared_ids(spark):
     a = "one two three four five six seven eight nine ten"
-    rows = [(1, a), (1, a), (1, "else"), (2, a), (3, "x y z"), (None, a), (None, a), (4, None), (4, "")]
+    rows = [(1, a), (1, a), (1, "else"), (2, a), (3, "x y z"), (None, a), (None, a), (4, None), (4, ""), (4, " "), (5, a), (5, "other b")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = Counter(r["doc_id"] for r in jaccard_join.keep_one(df).collect())
-    assert got == Counter({1: 1, 3: 1, 4: 1, None: 2})
+    got = Counter((r["doc_id"], r["text"]) for r in jaccard_join.keep_one(df).collect())
+    assert got == Counter({(1, a): 1, (1, "else"): 1, (3, "x y z"): 1, (4, None): 1, (4, ""): 1, (4, " "): 1, (None, a): 2,
+                           (5, "other b"): 1})
+
+
+@pytest.mark.parametrize("limit", [1 << 24, 0])
+def test_ids_by_filter_or_by_join(spark, monkeypatch, limit):
+    monkeypatch.setattr(jaccard_join, "BLOOM_IDS", limit)
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    rows = [(k, f"{a} t{k}" if k % 2 else f"{b} t{k}") for k in range(40)]
+    got = jaccard_join.join_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(k, k % 2) for k in range(40)}
 
 
 def test_run_on_documents_and_empty_table(spark, tmp_path):
