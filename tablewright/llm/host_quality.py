@@ -15,10 +15,12 @@ are not read (``keep_documents`` carries them through untouched).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, table, text_bytes, written
+from .common import freed, rejoined, slices, table, texts_of, without_text, written
 
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
@@ -31,6 +33,8 @@ STRICT_REPEAT_PERCENT = 20
 
 FIELDS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SYMBOLS = b"#*$%&|<>"
+#: Bytes of a character but its first; a text needn't be valid UTF-8.
+CONTINUED = re.compile(rb"[\x80-\xbf]")
 
 
 def repeated_words(words: list[bytes], size: int = 3) -> int:
@@ -59,7 +63,7 @@ def repeated_words(words: list[bytes], size: int = 3) -> int:
 def measures(text: bytes) -> tuple[int, int, int, int, int]:
     words = text.split()
     joined = b"".join(words)
-    chars = len(joined.decode("utf-8", "surrogatepass")) if not joined.isascii() else len(joined)
+    chars = len(joined) - len(CONTINUED.findall(joined)) if not joined.isascii() else len(joined)
     symbols = len(text) - len(text.translate(None, SYMBOLS))
     seen, duplicates = set(), 0
     if b"\n" in text:
@@ -75,19 +79,17 @@ def _measure(batches):
     import pyarrow as pa
     for batch in batches:
         for piece in slices(batch):
-            rows = [measures(t) for t in piece.column(piece.num_columns - 1).to_pylist()]
+            rows = [measures(t) for t in texts_of(piece)]
             columns = list(zip(*rows)) or [()] * len(FIELDS)
-            arrays = [piece.column(i) for i in range(piece.num_columns - 1)]
-            arrays += [pa.array(c, pa.int64()) for c in columns]
-            yield pa.RecordBatch.from_arrays(
-                arrays, piece.schema.names[:-1] + FIELDS)
+            yield pa.RecordBatch.from_arrays([*piece.columns, *[pa.array(c, pa.int64()) for c in columns]],
+                                             piece.schema.names + FIELDS)
 
 
 def measure(docs: DataFrame, carry: Column, text_col: str = "text") -> DataFrame:
-    """(carried, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words)."""
-    df = docs.select(carry.alias("carried"), text_bytes(text_col).alias("text"))
+    """(carried, text, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words); the text as bytes."""
+    df = docs.select(carry.alias("carried"), F.col(text_col).cast("string").cast("binary").alias("text"))
     kind = df.schema["carried"].dataType.simpleString()
-    return df.mapInArrow(_measure, f"carried {kind}, " + ", ".join(f"{f} long" for f in FIELDS))
+    return df.mapInArrow(freed(_measure), f"carried {kind}, text binary, " + ", ".join(f"{f} long" for f in FIELDS))
 
 
 def base_failed() -> Column:
@@ -113,6 +115,7 @@ def host_verdicts(measured: DataFrame, host: Column) -> DataFrame:
     per_host = (measured.select(host.alias("host"), (base_failed() | strict_failed()).cast("long").alias("f"))
                 .where(F.col("host").isNotNull())
                 .groupBy("host").agg(F.count(F.lit(1)).alias("docs"), F.sum("f").alias("failed")))
+    per_host = written(per_host, "op9-hosts")  # every text is measured once for this, whatever is asked of it
     moments = per_host.agg(
         F.count(F.lit(1)).alias("hosts"), F.sum("docs").alias("n"), F.sum("failed").alias("k"),
         F.sum(F.pow(F.col("failed"), F.lit(2.0)) / F.col("docs")).alias("s2")).first()
@@ -149,8 +152,8 @@ def judge(measured: DataFrame, host: Column) -> DataFrame:
 
 def keep_documents(docs: DataFrame, host_col: str = "source") -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns as they were."""
-    measured = measure(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    return judge(measured, F.col("carried")[host_col]).where("kept").select("carried.*")
+    measured = measure(docs, without_text(docs))
+    return rejoined(docs, judge(measured, F.col("carried")[host_col]).where("kept"))
 
 
 SQL = r"""
@@ -207,6 +210,6 @@ FROM j LEFT JOIN bad ON bad.source = j.source
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    measured = written(measure(docs, F.struct("doc_id", "source")), "op9-measured")
+    measured = written(measure(docs, F.struct("doc_id", "source")).drop("text"), "op9-measured")
     return judge(measured, F.col("carried.source")).select(
         F.col("carried.doc_id").alias("doc_id"), *FIELDS, "base_failed", "bad_host", "kept")

@@ -25,7 +25,7 @@ from operator import eq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, table, text_bytes
+from .common import MEMO_LENGTH, freed, rejoined, slices, table, text_bytes, texts_of, without_text
 
 SAMPLE = 8000
 BUCKETS = 1 << 16
@@ -149,12 +149,13 @@ class Terms(dict):
         import re
 
         import xxhash
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         shape = re.sub(rb"(.)\1+", rb"\1", word.translate(self._classes), flags=re.S)[:12]
         letters = re.sub(rb"[^a-z\x80-\xff]+", b"", word.lower())
-        found = self[word] = (xxhash.xxh3_64_intdigest(b"s " + shape) % BUCKETS,
-                              xxhash.xxh3_64_intdigest(b"w " + letters) % BUCKETS)
+        found = (xxhash.xxh3_64_intdigest(b"s " + shape) % BUCKETS, xxhash.xxh3_64_intdigest(b"w " + letters) % BUCKETS)
+        if len(word) <= MEMO_LENGTH:
+            self[word] = found
         return found
 
 
@@ -210,7 +211,7 @@ def _train(posterior: dict[int, float], share: float):
 def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> tuple[float, bytes, float]:
     """(bias, weights, log odds of a good document) of the scorer."""
     texts = docs.select(text_bytes(text_col).alias("text"))
-    counts = {r["pattern"]: r["n"] for r in texts.mapInArrow(_patterns, "pattern int").groupBy("pattern")
+    counts = {r["pattern"]: r["n"] for r in texts.mapInArrow(freed(_patterns), "pattern int").groupBy("pattern")
               .agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 3^9 rows
     posterior, share = maximise(counts)
     total = sum(counts.values())
@@ -234,32 +235,31 @@ def _score(model):
         for whole in batches:
             for piece in slices(whole):
                 scores, n = [], []
-                for t in piece.column(piece.num_columns - 1).to_pylist():
+                for t in texts_of(piece):
                     found, values = features(t, terms)
                     n.append(len(t.split()))
                     own = n[-1] / (n[-1] + PRIOR_WORDS)
                     z = own * (bias + float(w[found] @ values)) + (1 - own) * prior
                     scores.append(1 / (1 + float(np.exp(-np.clip(z, -30, 30)))))
                 yield pa.RecordBatch.from_arrays(
-                    [*piece.columns[:-1], pa.array(n, pa.int64()), pa.array(scores, pa.float64())],
-                    [*piece.schema.names[:-1], "n_words", "score"])
+                    [*piece.columns, pa.array(n, pa.int64()), pa.array(scores, pa.float64())],
+                    [*piece.schema.names, "n_words", "score"])
     return run
 
 
 def score(docs: DataFrame, carry: Column, text_col: str = "text", model: tuple | None = None) -> DataFrame:
-    """(carried, n_words, score, kept) for every row."""
+    """(carried, text, n_words, score, kept) for every row; the text comes back as bytes."""
     model = model or fit(docs, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers
-    df = docs.select(carry.alias("carried"), text_bytes(text_col).alias("text"))
+    df = docs.select(carry.alias("carried"), F.col(text_col).cast("string").cast("binary").alias("text"))
     kind = df.schema["carried"].dataType.simpleString()
-    return (df.mapInArrow(_score(shared), f"carried {kind}, n_words long, score double")
+    return (df.mapInArrow(freed(_score(shared)), f"carried {kind}, text binary, n_words long, score double")
             .withColumn("kept", F.col("score") >= KEEP))
 
 
 def keep_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, all columns as they were."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return score(docs, whole).where("kept").select("carried.*")
+    return rejoined(docs, score(docs, without_text(docs)).where("kept"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
