@@ -23,16 +23,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import slices, table, written
+from .common import MEMO_LENGTH, freed, slices, table, written
 from .lexicon import Lexicon, compile_lexicon
 
 LEXICON_WORDS = 200_000
-#: Words a task remembers with their ids before it starts anew.
-MEMO_WORDS = 400_000
+#: Bytes of words with their ids that a task remembers before it starts anew, and words it gathers.
+MEMO_BYTES = 40_000_000
+GATHER_WORDS = 150_000
+GATHER_CHARS = 32_000_000
+#: What an entry takes besides its texts.
+ENTRY_BYTES = 300
 #: A merge is its rank and the resulting id in one number.
 SHIFT = 24
 LOW = (1 << SHIFT) - 1
 NEVER = 1 << 62
+#: Categories of characters whose treatment depends on the Unicode version: unassigned ones and marks.
+UNSURE = frozenset(("Cn", "Mn", "Mc", "Me"))
 
 
 def tokenizer_path() -> str:
@@ -91,10 +97,10 @@ class Encoder:
         if not text.isascii():
             # Python's tables and the library's are of different Unicode versions; a text with a
             # character that Python doesn't know yet is cut by the library itself.
-            if any(unicodedata.category(c) == "Cn" for c in set(text) if c > "\u0300"):
+            # Nor do they agree on every mark's class, so what isn't plainly NFC goes there too.
+            if not unicodedata.is_normalized("NFC", text) or any(
+                    unicodedata.category(c) in UNSURE for c in set(text) if c > "\u0300"):
                 return [(w,) for w in self._library_words(text)]
-            if not unicodedata.is_normalized("NFC", text):
-                text = unicodedata.normalize("NFC", text)
             text = text.replace("Σ", "σ")  # lower case letter by letter: no final sigma
         text = text.lower()
         # str.split() also cuts at four control characters that aren't white space here.
@@ -178,7 +184,8 @@ def merge_long(ids: list[int], merges: dict) -> list[int]:
 
 
 def _texts(piece, column: int) -> list[str]:
-    return [t or "" for t in piece.column(column).to_pylist()]
+    """Texts from bytes; what isn't valid UTF-8 becomes U+FFFD."""
+    return [(t or b"").decode("utf-8", "replace") for t in piece.column(column).to_pylist()]
 
 
 def _count_words(path: str):
@@ -188,6 +195,7 @@ def _count_words(path: str):
         import pyarrow as pa
         encoder = Encoder(path)
         chunks: Counter = Counter()
+        chars = 0
 
         def flush():
             counts: Counter = Counter()
@@ -205,8 +213,10 @@ def _count_words(path: str):
             for piece in slices(batch):
                 for text in _texts(piece, 0):
                     chunks.update(encoder.chunks(text))
-                if len(chunks) > MEMO_WORDS:
+                    chars += len(text)
+                if len(chunks) > GATHER_WORDS or chars > GATHER_CHARS:
                     yield from flush()
+                    chars = 0
         yield from flush()
     return run
 
@@ -228,8 +238,8 @@ def frequent_words(docs: DataFrame, path: str, limit: int, text_col: str = "text
     All words down to some least count: the counts' own distribution, in 64 steps to the power of
     two (at most 4,096 rows), says which, so nothing is sorted and no task sees all words.
     """
-    counts = (docs.select(F.col(text_col).cast("string").alias("text"))
-              .mapInArrow(_count_words(path), "word string, n long")
+    counts = (docs.select(F.col(text_col).cast("string").cast("binary").alias("text"))
+              .mapInArrow(freed(_count_words(path)), "word string, n long")
               .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1 AND length(word) <= 64")
               .withColumn("step", F.floor(64 * F.log2("n")).cast("int")))
     counts = written(counts, "op2-counts")
@@ -274,24 +284,35 @@ def _encode(path: str, lexicon_file: str, full: bool):
         from pyspark import SparkFiles
         encoder = Encoder(path)
         lexicon = Lexicon(SparkFiles.get(lexicon_file))
-        memo: dict = {}  # chunk -> (number of ids, ids, tokens)
+        class Memo(dict):  # chunk -> (number of ids, ids, tokens); long ones are held for one slice of texts
+            def __missing__(self, chunk):
+                return once[chunk]
+
+        memo, once = Memo(), {}
         known: dict = {}  # the same by word
         tokens = encoder.tokens
+        held = 0  # bytes, about
 
         def learn(chunks):
+            nonlocal held
             cut = {c: encoder.split(c) for c in chunks}
             words = [w for w in set().union(*cut.values()) if w not in known]
             for w, ids in zip(words, lexicon.lookup([w.encode("utf-8") for w in words])):
                 if ids is None:
                     ids = encoder.merge(w)
-                known[w] = (len(ids), " ".join(map(str, ids)), " ".join([tokens[i] for i in ids]))
+                known[w] = found = (len(ids), " ".join(map(str, ids)), " ".join([tokens[i] for i in ids]))
+                held += ENTRY_BYTES + len(w) + len(found[1]) + len(found[2])
             for c, ws in cut.items():
                 if len(ws) == 1:
-                    memo[c] = known[ws[0]]
+                    found = known[ws[0]]
                 else:
                     parts = [p for w in ws if (p := known[w])[0]]
-                    memo[c] = (sum([p[0] for p in parts]), " ".join([p[1] for p in parts]),
-                               " ".join([p[2] for p in parts]))
+                    found = (sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts]))
+                if isinstance(c, str) and len(c) > MEMO_LENGTH:
+                    once[c] = found
+                    continue
+                memo[c] = found
+                held += ENTRY_BYTES // 2 if len(ws) == 1 else ENTRY_BYTES + len(found[1]) + len(found[2])
 
         def digest(text):
             return hashlib.sha256(text.encode("utf-8")).hexdigest()
@@ -300,10 +321,11 @@ def _encode(path: str, lexicon_file: str, full: bool):
             for piece in slices(batch):
                 last = piece.num_columns - 1
                 docs = [encoder.chunks(t) for t in _texts(piece, last)]
-                if len(memo) > MEMO_WORDS:
+                if held > MEMO_BYTES:
                     memo.clear()
-                if len(known) > MEMO_WORDS:
                     known.clear()
+                    held = 0
+                once.clear()
                 learn(set().union(*docs) - memo.keys())
                 n, ids, text = [], [], []
                 for words in docs:
@@ -327,12 +349,12 @@ def encode(docs: DataFrame, path: str | None = None, lexicon_words: int = LEXICO
     """(id, n_tokens, ids_sha256, decoded_sha256) per row, with ``full`` also ids and decoded."""
     path = path or tokenizer_path()
     lexicon_file = build_lexicon(docs, path, lexicon_words, text_col)
-    df = docs.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("text"))
+    df = docs.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").cast("binary").alias("text"))
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     if full:
         schema += ", ids array<int>, decoded string"
-    return df.mapInArrow(_encode(path, lexicon_file, full), schema)
+    return df.mapInArrow(freed(_encode(path, lexicon_file, full)), schema)
 
 
 def decode(ids: list[int], encoder: Encoder) -> str:
