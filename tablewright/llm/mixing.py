@@ -72,7 +72,7 @@ def share_out(children: DataFrame, parent: list[str]) -> DataFrame:
     """
     by = Window.partitionBy(*parent) if parent else Window.partitionBy(F.lit(0))
     # Exact comparison of cap / weight needs no fractions: scaled integers, ties by cap.
-    order = by.orderBy(F.expr("(cap * 1000000) div weight"), "cap", "weight",
+    order = by.orderBy(F.expr("(cap * 1000000) div greatest(weight, 1)"), "cap", "weight",
                        *[F.col(c).asc_nulls_first() for c in LEVELS if c in children.columns])
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
@@ -94,10 +94,13 @@ def budgets(supply: DataFrame, weights: dict[str, dict[str, int]], budget_percen
             max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """(domain, lang, source, supply, alloc) of every leaf, from (domain, lang, source, supply)."""
     nodes = {}
+    # A weight of 0, of a leaf or above it, takes nothing: its supply isn't offered to its ancestors.
+    open_leaf = weight_of(LEVELS[0], weights) * weight_of(LEVELS[1], weights) * weight_of(LEVELS[2], weights) > 0
+    supply = supply.withColumn("offer", F.when(open_leaf, F.col("supply")).otherwise(0))
     for depth in (1, 2, 3):
         path = LEVELS[:depth]
-        nodes[depth] = (supply.groupBy(*path).agg(F.sum("supply").cast(DECIMAL).alias("supply"))
-                        .withColumn("cap", F.col("supply") * max_epochs)
+        nodes[depth] = (supply.groupBy(*path).agg(F.sum("supply").cast(DECIMAL).alias("supply"),
+                                                    (F.sum("offer") * max_epochs).cast(DECIMAL).alias("cap"))
                         .withColumn("weight", weight_of(path[-1], weights).cast(DECIMAL)))
     total = F.sum("supply").over(Window.partitionBy(F.lit(0)))  # over the few domains
     top = (nodes[1].withColumn("budget", total)
@@ -140,7 +143,7 @@ def select(leaves: DataFrame, weights: dict[str, dict[str, int]], budget_percent
     rows = rows.join(edges, same, "left").drop(*[f"_{c}" for c in LEVELS])
     inside = rows.where(F.col("edge").isNull() | (F.col("bucket") != F.col("edge")))
     inside = inside.withColumn("partial", F.coalesce(F.col("bucket") < F.col("edge"), F.lit(False)))
-    in_order = (Window.partitionBy(*LEVELS).orderBy("place", "key", "row")
+    in_order = (Window.partitionBy(*LEVELS).orderBy("place", "key", F.to_json(F.struct("row")))
                 .rowsBetween(Window.unboundedPreceding, -1))
     boundary = (rows.where(F.col("bucket") == F.col("edge"))
                 .withColumn("before", F.col("before") + F.coalesce(F.sum("tokens").over(in_order), F.lit(0)))
