@@ -28,15 +28,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, slices, table, text_bytes, written
+from .common import MEMO_LENGTH, discard, freed, slices, table, text_bytes, written
 
 WINDOW = 20
 SEED = 8
 #: Anchors, or windows, that a task gathers before it settles what repeats among them.
 GATHER = 1_000_000
-#: Words a task remembers with their codes, and the longest that it remembers.
+#: Words a task remembers with their codes.
 MEMO_WORDS = 100_000
-MEMO_LENGTH = 64
 LAST_ID = (1 << 63) - 1
 
 #: Kinds of rows that a task emits: an anchor's class with an unknown rest of the corpus, a note that the
@@ -321,7 +320,7 @@ def repeated_windows(rows: DataFrame, paths: list[str], window: int = WINDOW, se
     """(id, sub, first, last): runs of windows of the texts in ``rows`` (id, sub, text) that start
     earlier too."""
     # One exchange for both windows: classes and notes meet by anchor, what a task has settled passes through.
-    found = rows.select("id", "sub", "text").mapInArrow(_seeds(window, seed), ROWS).repartition("key")
+    found = rows.select("id", "sub", "text").mapInArrow(freed(_seeds(window, seed)), ROWS).repartition("key")
     by_key = Window.partitionBy("key")
     by_class = Window.partitionBy("key", "code")
     at = F.when(F.col("kind") == CLASS, F.struct("id", "place"))
@@ -340,7 +339,7 @@ def repeated_windows(rows: DataFrame, paths: list[str], window: int = WINDOW, se
                .agg(F.sort_array(F.collect_set("first")).alias("places")))
     several = written(several, "op12-several", paths)  # the planner knows its size
     texts = rows.join(several, ["id", "sub"]).select("id", "sub", "text", "places")
-    rest = texts.mapInArrow(_windows(window, seed), "gone boolean, key long, code long, id long, sub long, place int")
+    rest = texts.mapInArrow(freed(_windows(window, seed)), "gone boolean, key long, code long, id long, sub long, place int")
     same = Window.partitionBy("key", "code")
     start = F.when(~F.col("gone"), F.struct("id", "place"))
     spread = F.when(F.col("gone"), F.xxhash64("id", "place")).otherwise(F.col("key"))  # settled rows pass through

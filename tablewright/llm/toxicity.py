@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, table, text_bytes
+from .common import MEMO_LENGTH, freed, slices, table, text_bytes
 
 BUCKETS = 1 << 20
 FACTORS = 8
@@ -56,11 +56,13 @@ class Terms(dict):
 
     def __missing__(self, word):
         import xxhash
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         text = word.decode("utf-8", "replace")
         names = [word] + [b"^" + text[:k].encode() for k in range(3, 8) if k <= len(text)]
-        found = self[word] = tuple(xxhash.xxh3_64_intdigest(x) % BUCKETS for x in names)
+        found = tuple(xxhash.xxh3_64_intdigest(x) % BUCKETS for x in names)
+        if len(word) <= MEMO_LENGTH:
+            self[word] = found
         return found
 
     def of(self, text: bytes) -> set[int]:
@@ -284,7 +286,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     chosen = own.where(code <= F.when(F.col("toxic") == 1, limit[1]).otherwise(limit[0]))
     chosen = F.broadcast(chosen)  # about 2 * sample ids at any size
     rows = (docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text")).join(chosen, "id")
-            .dropDuplicates(["id"]).select("toxic", "text"))
+            .groupBy("id").agg(F.first("toxic").alias("toxic"),  # of an id's texts the one of the least digest
+                               F.min_by("text", F.sha2("text", 256)).alias("text")).select("toxic", "text"))
     share = toxic / (toxic + clean) if toxic + clean else 0.0
     model = (rows.mapInArrow(_features, "toxic int, terms array<int>").repartition(1)
              .mapInArrow(_fit(share, toxic, clean), "bias double, terms binary, w binary, v binary").collect()[0])
@@ -316,7 +319,7 @@ def score(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by BUCKETS
     df = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
     kind = df.schema["id"].dataType.simpleString()
-    out = df.mapInArrow(_score(shared), f"id {kind}, score double")
+    out = df.mapInArrow(freed(_score(shared)), f"id {kind}, score double")
     return out.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score",
                       (F.col("score") >= TOXIC).cast("int").alias("predicted"))
 
