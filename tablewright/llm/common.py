@@ -18,6 +18,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: (``spark.sql.execution.arrow.maxRecordsPerBatch`` and ``maxBytesPerBatch``, 64 MB by default).
 BATCH_ROWS = 256
 
+#: Bytes of an Arrow batch of texts: the JVM and a worker each hold one a task, beside copies while it grows.
+BATCH_BYTES = 8 << 20
+
 #: The longest word that a worker remembers.
 MEMO_LENGTH = 64
 
@@ -45,6 +48,15 @@ def discard(spark: SparkSession, paths: list[str]) -> None:
     paths.clear()
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's limit on the bytes of an Arrow batch to ``BATCH_BYTES``, if it is higher."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    parse = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    held = parse(spark.conf.get(name, "64m"))
+    if held <= 0 or held > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def ascii_lower(col: Column) -> Column:
     """A-Z lower-cased, everything else as it is."""
     return F.translate(col, UPPER, LOWER)
