@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -45,30 +45,49 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
             .join(parents, F.col(child_key) == F.col("_fk_parent"), "left_anti"))
 
 
-def duplicate_row_count(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier identical row: rows minus distinct rows, one pass."""
-    groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(
-        F.count(F.lit(1)).alias("_n"))
-    return groups.agg((F.sum("_n") - F.count(F.lit(1))).cast("bigint").alias("duplicate_rows"))
+def _missing(df: DataFrame) -> Column:
+    """NULL cells of a row."""
+    cells = [F.when(F.col(f"`{c}`").isNull(), 1).otherwise(0) for c in df.columns]
+    return reduce(lambda x, y: x + y, cells, F.lit(0))
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """(rows, columns, missing_values, duplicate_rows) in one aggregation.
+    """One row: rows, columns, missing_values, duplicate_rows (rows that repeat an earlier one).
 
-    Rows are grouped on all columns (identical rows, NULLs included, form one
-    group, after partial aggregation on the map side); every figure then comes
-    from the group counts.
+    Rows are grouped by a 128-bit fingerprint, so what is shuffled for a row doesn't grow
+    with its width. Identical rows (NULLs equal) always share a fingerprint, so a fingerprint
+    met once is a distinct row; only the rows of a repeated one are compared in full. The
+    result is exact even where fingerprints of different rows collide. An empty table has 0
+    everywhere but in ``columns``.
     """
-    groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(
-        F.count(F.lit(1)).alias("_n"))
-    missing = None
-    for c in df.columns:
-        cell = F.when(F.col(f"`{c}`").isNull(), 1).otherwise(0)
-        missing = cell if missing is None else missing + cell
-    return groups.agg(F.sum("_n").alias("rows"),
-                      F.lit(len(df.columns)).cast("bigint").alias("columns"),
-                      F.sum(F.col("_n") * missing).cast("bigint").alias("missing_values"),
-                      (F.sum("_n") - F.count(F.lit(1))).cast("bigint").alias("duplicate_rows"))
+    cells = [F.col(f"`{c}`") for c in df.columns]
+    # The hash skips NULLs, so their places are hashed too; the second hash starts from another state.
+    places = F.concat(F.lit(""), *[F.when(c.isNull(), "1").otherwise("0") for c in cells])
+    marked = df.select(*[c.alias(f"_c{i}") for i, c in enumerate(cells)],
+                       F.xxhash64(places, *cells).alias("_h1"),
+                       F.xxhash64(F.lit(1), places, *cells).alias("_h2"),
+                       _missing(df).alias("_missing"))
+    # The count of NULLs follows from the row, so it is a third part of the fingerprint; both
+    # readers of ``seen`` then share one exchange.
+    mark = ["_h1", "_h2", "_missing"]
+    seen = marked.groupBy(*mark).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = seen.filter(F.col("_n") > 1).select(*mark)
+    # Grouped by the cells alone: rows are counted before they move again, and a hot row's
+    # side of the join can be split.
+    compared = (marked.join(repeated, mark, "left_semi")
+                .groupBy(*[f"_c{i}" for i in range(len(cells))])
+                .agg(F.count(F.lit(1)).alias("_n")))
+    duplicates = compared.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint"))
+    return (seen.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+                     F.lit(len(df.columns)).cast("bigint").alias("columns"),
+                     F.coalesce(F.sum(F.col("_n") * F.col("_missing")), F.lit(0))
+                     .cast("bigint").alias("missing_values"))
+            .withColumn("duplicate_rows", duplicates.scalar()))
+
+
+def duplicate_row_count(df: DataFrame) -> DataFrame:
+    """Rows that repeat an earlier identical row."""
+    return profile(df).select("duplicate_rows")
 
 
 def row_counts(named: dict[str, DataFrame]) -> DataFrame:

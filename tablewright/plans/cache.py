@@ -1,9 +1,10 @@
 """Reuse of derived tables across reports (the reference's SELECT INTO / temp table).
 
 A derived table that many reports read is built once per session and input.
-Two ways, chosen by the session setting ``tablewright.materialize``:
+Two ways, chosen by the session setting ``tablewright.materialize``; unset, a
+``local`` master takes ``cache`` and any cluster ``table``:
 
-* ``cache`` (default): persisted MEMORY_AND_DISK; partitions that do not fit
+* ``cache``: persisted MEMORY_AND_DISK; partitions that do not fit
   spill to local disk, partitions lost with an executor are recomputed from
   lineage, and the key layout of the table (e.g. hash-partitioned by
   OrderID) is kept for later joins.
@@ -30,6 +31,15 @@ _TABLES: dict[tuple, DataFrame] = {}
 _STORED: dict[tuple, tuple[str, str]] = {}  # (table, folder) of what is written
 
 
+def mode_of(spark: SparkSession) -> str:
+    """The session's setting; unset, what survives lost executors wherever there are any."""
+    return spark.conf.get(MODE_CONF, None) or default_mode(spark.conf.get("spark.master", ""))
+
+
+def default_mode(master: str) -> str:
+    return "cache" if master == "local" or master.startswith("local[") else "table"
+
+
 def cached(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
            bucket_by: list[str] | None = None) -> DataFrame:
     """The derived table ``build()`` for ``key``, built once per session.
@@ -39,7 +49,7 @@ def cached(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
     two such tables on that key read matching buckets without a shuffle. (In
     ``cache`` mode the caller's hash partitioning is kept by the cache.)
     """
-    mode = spark.conf.get(MODE_CONF, "cache")
+    mode = mode_of(spark)
     full = (session_id(spark), mode) + tuple(key) + fingerprint(spark, key)
     df = _TABLES.get(full)
     if df is not None and df.sparkSession is spark:
