@@ -67,8 +67,7 @@ def profile(df: DataFrame) -> DataFrame:
                        F.xxhash64(places, *cells).alias("_h1"),
                        F.xxhash64(F.lit(1), places, *cells).alias("_h2"),
                        _missing(df).alias("_missing"))
-    # The count of NULLs follows from the row, so it is a third part of the fingerprint; both
-    # readers of ``seen`` then share one exchange.
+    # The count of NULLs follows from the row, so it is a third part of the fingerprint.
     mark = ["_h1", "_h2", "_missing"]
     seen = marked.groupBy(*mark).agg(F.count(F.lit(1)).alias("_n"))
     repeated = seen.filter(F.col("_n") > 1).select(*mark)
