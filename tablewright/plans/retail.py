@@ -34,10 +34,11 @@ PRUNE_YEAR = 1999
 def model(spark: SparkSession, sf_dir: str) -> N.Normalized:
     flat = cached(spark, ("flat_file", sf_dir),
                   lambda: fixtures.fixture(spark, sf_dir, "flat_file"))
-    norm = N.normalize(flat)
+    lines = cached(spark, ("norm", "order_lines", sf_dir), lambda: N.order_lines(flat), bucket_by=["OrderID"])
+    norm = N.normalize(flat, lines)
     return N.Normalized(**{
         name: cached(spark, ("norm", name, sf_dir), (lambda df: lambda: df)(df),
-                     bucket_by=[N.KEYS[name]])
+                     bucket_by=[N.KEYS[name]] if name in N.KEYS else None)
         for name, df in vars(norm).items()})
 
 

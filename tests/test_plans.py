@@ -65,3 +65,28 @@ def test_orders_and_details_join_without_shuffle_in_both_modes(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_normalized_tables_take_one_shuffle_each(spark):
+    from tablewright.operators import normalize as N
+    rows = [(o % 9 or None, f"d{o % 9}", o % 9, o % 4, p, o + p) for o in range(40) for p in range(3)] * 2
+    flat = spark.createDataFrame(rows, "OrderID int, OrderDate string, OrderTotal int, CustomerID int, CookieID int, Quantity int")
+    from pyspark.sql import functions as F
+    for c in dict.fromkeys(N.CUSTOMER_COLUMNS[1:] + N.PRODUCT_COLUMNS[1:]):
+        flat = flat.withColumn(c, F.concat(F.lit(c), "CustomerID"))
+    lines = N.order_lines(flat, 5).persist()
+    try:
+        made = N.normalize(flat, lines)
+        exchanges = {}
+        for name, df in vars(made).items():
+            df.collect()
+            text = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            text = text.split("InMemoryTableScan")[0]
+            exchanges[name] = text.count("Exchange hashpartitioning")
+        assert exchanges == {"customers": 1, "products": 1, "orders": 0, "order_details": 0}
+        for name, columns in (("customers", N.CUSTOMER_COLUMNS), ("products", N.PRODUCT_COLUMNS), ("orders", N.ORDER_COLUMNS)):
+            got = getattr(made, name).collect()
+            assert sorted(got, key=repr) == sorted(set(flat.select(*columns).collect()), key=repr)
+        assert made.order_details.count() == len(rows)
+    finally:
+        lines.unpersist()
