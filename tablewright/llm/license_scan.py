@@ -8,7 +8,8 @@ templates have words) and a second time as follows, each file within its own row
 1. the index holds, for every template, its ``RARE`` highest-IDF words with their
    positions; a file's words are looked up in it;
 2. a file position minus a template position is a place where the template may
-   start; postings are intersected on (template, place);
+   start; postings are intersected on (template, place): only a place that all of the
+   template's index words name goes on, so one rare word alone leads to no verification;
 3. each place is verified: the key phrase must stand there word for word, and the
    IDF-weighted share of template words at their relative positions is the score.
 
@@ -95,30 +96,40 @@ def index_of(templates: list[Template], weights: dict[str, int]) -> dict[str, li
     return index
 
 
-def scan(docs: DataFrame, templates: list[Template] = TEMPLATES, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
-    """(id, n_words, n_base, first_word, last_word, base_labels, labels, score) per row."""
-    low = ascii_lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    words = docs.select(F.col(id_col).alias(id_col),
-                        F.regexp_extract_all(low, F.lit(WORDS), F.lit(0)).alias("words"))
-    weights = weights_of(*word_counts(words, templates))
-    index = index_of(templates, weights)
+def candidates(words: DataFrame, index: dict[str, list[tuple[int, int]]], n: int) -> DataFrame:
+    """``words`` plus ``places``: the (t, s) at which all index words of template ``t`` of ``n`` stand
+    as they do in the template when it starts at word ``s``; each place once, in order.
 
+    Every index word of the key phrase stands where the phrase does, so no place is lost."""
     # 1. occurrences of index words: (word, position in the file)
     vocabulary = sorted(index)
-    hits = words.select(id_col, "words", F.filter(
+    hits = words.withColumn("hits", F.filter(
         F.transform("words", lambda w, i: F.when(w.isin(vocabulary), F.struct(w.alias("w"), i.alias("i")))),
-        lambda h: h.isNotNull()).alias("hits"))
+        lambda h: h.isNotNull()))
 
-    # 2. possible places (template, start) from relative positions
+    # 2. their postings as places, those of all words of a file in one sorted list
     def postings(h):
-        by_word = [F.when(h["w"] == w, F.array(*[
-            F.struct(F.lit(t).alias("t"), (h["i"] - p).alias("s")) for t, p in index[w]]))
-            for w in vocabulary]
-        return F.coalesce(*by_word)
+        return F.coalesce(*[F.when(h["w"] == w, F.array(*[
+            F.struct(F.lit(t).alias("t"), (h["i"] - p).alias("s")) for t, p in index[w]])) for w in vocabulary])
+
+    named = hits.withColumn("places", F.sort_array(F.flatten(F.transform("hits", postings)))).drop("hits")
+
+    # A word of the index names a place once, so as many equal entries as the template has words there
+    # mean that all of them do.
+    needed = [sum(t == u for found in index.values() for u, _ in found) for t in range(n)]
+    needed = F.array(*[F.lit(k) for k in needed])
+    return named.withColumn("places", F.filter("places", lambda x, i: F.get(
+        F.col("places"), i + F.get(needed, x["t"]) - 1).eqNullSafe(x)))
 
-    places = hits.select(id_col, "words", F.array_distinct(
-        F.flatten(F.transform("hits", postings))).alias("places"))
+
+def scan(docs: DataFrame, templates: list[Template] = TEMPLATES, id_col: str = "doc_id",
+         text_col: str = "text") -> DataFrame:
+    """(id, n_words, n_base, first_word, last_word, base_labels, labels, score) per row."""
+    low = ascii_lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    words = docs.select(F.col(id_col).alias(id_col),
+                        F.regexp_extract_all(low, F.lit(WORDS), F.lit(0)).alias("words"))
+    weights = weights_of(*word_counts(words, templates))
+    places = candidates(words, index_of(templates, weights), len(templates))
 
     # 3. verification at each place
     def at(start, offset):

@@ -78,6 +78,19 @@ def test_licenses(spark):
     assert license_scan.scan(df.limit(0)).collect() == []
 
 
+def test_license_places_are_intersections(spark):
+    templates = [license_scan.Template("mit", "released under the mit license", "mit license"),
+                 license_scan.Template("cc", "by cc by", "by cc by"), license_scan.Template("gpl", "public license", "public license", True)]
+    weights = {"mit": 9, "cc": 8, "by": 5, "public": 4, "license": 3, "released": 2, "under": 1, "the": 1}
+    index = license_scan.index_of(templates, weights)
+    assert index == {"mit": [(0, 3)], "license": [(0, 4)], "cc": [(1, 1)], "by": [(1, 0)], "public": [(2, 0)]}
+    texts = {"mit mit license": [(0, -2)], "mit": [], "license license": [], "mit x license": [], "public": [(2, 0)],
+             "cc by cc by": [(1, 1)], "by cc mit license": [(0, -1), (1, 0)], "": []}
+    df = spark.createDataFrame([(i, t.split()) for i, t in enumerate(texts)], "doc_id int, words array<string>")
+    got = {r["doc_id"]: [tuple(p) for p in r["places"]] for r in license_scan.candidates(df, index, 3).collect()}
+    assert got == dict(enumerate(texts.values()))
+
+
 # --- host rules -------------------------------------------------------------------------------
 
 def measures(text):
