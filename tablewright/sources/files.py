@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import empty_files
+from .records import parse_records, read_records
 
 TAB = "\t"
 #: No cell's text: as the NULL mark it leaves quoted empty cells alone.
@@ -31,18 +32,17 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
                    keep_empty: bool = False) -> DataFrame:
     """pd.read_csv(path[, sep]) with a declared schema; the header line is skipped.
 
-    ``multi_line``: cells may hold newlines. Such a file cannot be split, so each
-    file is one task; write it in bounded pieces (``rows_per_file``). Without it,
-    files are split and a cell with a newline raises, like any malformed row.
+    ``multi_line``: cells may hold newlines; files are still split (see ``records``).
+    Without it a cell with a newline raises, like any malformed row.
     An empty cell is missing, as in pandas; with ``keep_empty`` a quoted empty
     cell is the empty string.
     """
-    return (spark.read.schema(schema)
-            .option("header", header).option("sep", sep)
-            .option("quote", '"').option("escape", '"')
-            .option("nullValue", NO_VALUE if keep_empty else "").option("emptyValue", "")
-            .option("enforceSchema", True).option("mode", "FAILFAST")
-            .option("multiLine", multi_line)
+    options = {"sep": sep, "quote": '"', "escape": '"', "emptyValue": "", "mode": "FAILFAST",
+               "nullValue": NO_VALUE if keep_empty else ""}
+    if multi_line:
+        return parse_records(read_records(spark, path, header), schema, options)
+    return (spark.read.schema(schema).options(**options)
+            .option("header", header).option("enforceSchema", True)
             .csv(path))
 
 
