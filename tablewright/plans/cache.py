@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import delete_path, session_id, shared_dir
+from ..session import delete_path, release_scratch, session_id, shared_dir
 
 MODE_CONF = "tablewright.materialize"
 
@@ -73,7 +73,7 @@ def cached(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
 
 def release(spark: SparkSession | None = None) -> None:
     """Forget every table this module holds for the session: unpersist what is cached, drop what
-    is written, files included."""
+    is written, files included. With a session, also delete what its queries wrote in the shared folder."""
     for full in list(_TABLES):
         if spark is None or full[0] == session_id(spark):
             df = _TABLES.pop(full)
@@ -82,6 +82,8 @@ def release(spark: SparkSession | None = None) -> None:
             stored = _STORED.pop(full, None)
             if stored is not None:
                 drop_if_exists(df.sparkSession, *stored)
+    if spark is not None:
+        release_scratch(spark)
 
 
 def drop_if_exists(spark: SparkSession, name: str, path: str | None = None) -> None:

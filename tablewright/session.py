@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -86,9 +88,41 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared folder for one job's output."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder under the shared folder for one job's output, until its release."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(session_id(spark), []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession, keep: int = 0) -> None:
+    """Delete every folder that ``scratch_path`` gave the session, but for the first ``keep``.
+
+    Files handed to the executors by ``addFile`` stay: one that starts later, in place of a lost one,
+    fetches them all."""
+    paths = _SCRATCH.get(session_id(spark), [])
+    handed = [urlparse(f).path for f in spark.sparkContext.listFiles]
+    for path in paths[keep:]:
+        if urlparse(path).path not in handed:
+            delete_path(spark, path)
+            paths.remove(path)  # a folder that can't be deleted stays listed
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """What queries write inside of this block is deleted at its end: use their results in it.
+
+    with scratch(spark):
+        query(spark, folder).write.parquet(...)
+    """
+    keep = len(_SCRATCH.get(session_id(spark), []))
+    try:
+        yield
+    finally:
+        release_scratch(spark, keep)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
