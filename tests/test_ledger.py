@@ -176,3 +176,32 @@ def test_stream_in_bounded_batches_resumes(spark, tmp_path, monkeypatch):
     batch = L.fold(fixtures.fixture(spark, str(tmp_path / "sf"), "ledger_txns"), fixtures.LEDGER_OPENING_BALANCE)
     assert sorted(got.collect(), key=str) == sorted(batch.collect(), key=str)
     assert len(seen) == 2 and max(seen) < 300  # a file, and so a micro-batch, holds a sixth of the rows, about
+
+
+def test_stream_calls_the_processor_by_bucket(spark, tmp_path, monkeypatch):
+    """More accounts than buckets, one of them NULL: a micro-batch is a call per bucket, not per account."""
+    import os
+    from pyspark.sql import functions as F
+    from tablewright.sources import fixtures
+    from tablewright.streaming import ledger_stream as S
+    monkeypatch.setattr(S, "BUCKETS", 4, raising=False)
+    calls = str(tmp_path / "calls")
+    os.makedirs(calls)
+
+    class Counting(S.LedgerProcessor):
+        def handleInputRows(self, key, rows, timerValues):
+            import tempfile
+            os.close(tempfile.mkstemp(dir=calls)[0])
+            yield from super().handleInputRows(key, rows, timerValues)
+
+    monkeypatch.setattr(S, "LedgerProcessor", Counting)
+    kinds = ["signup", "purchase", "click", "purchase"]
+    rows = [(k, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=k // 3), k % 61 or None, kinds[k // 61 % 4],
+             float(k % 29)) for k in range(600)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double")
+    events.write.parquet(str(tmp_path / "sf/events.parquet"))
+    got = S.ledger_stream(spark, str(tmp_path / "sf"), slices=2)
+    batch = L.fold(fixtures.fixture(spark, str(tmp_path / "sf"), "ledger_txns"), fixtures.LEDGER_OPENING_BALANCE)
+    assert sorted(got.collect(), key=str) == sorted(batch.collect(), key=str)
+    assert got.filter(F.col("account_id").isNull()).count() == 10
+    assert len(os.listdir(calls)) <= 2 * 5
