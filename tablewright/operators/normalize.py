@@ -7,6 +7,8 @@ OrderDetails a plain projection. Each takes one shuffle at most:
   columns). Share the result, and both its tables come off it without a further shuffle: rows that
   are equal share their OrderID, so DISTINCT finds them in place. Orders and OrderDetails are then
   both hash-partitioned by OrderID, and their join needs no exchange;
+* a table takes only its columns of the flat file; where that is itself a join, one that ends with the
+  table most columns come from carries little more than keys (``sources.fixtures.FLAT_JOINS``);
 * Customers and Products are de-duplicated before and after a shuffle on their columns. Nothing joins
   them on a layout of their own, so they get none.
 """

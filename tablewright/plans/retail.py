@@ -1,7 +1,7 @@
 """The retail flat-file script of week 16: normalize, check, join, report.
 
-The flat file is imported once (cached); the four normalized tables are
-built from it once and laid out by key (see ``operators.normalize``), then
+The four normalized tables are built from the flat file once, those that a
+report reads (see ``Model`` and ``operators.normalize``), then
 every report reads them, as the reference's queries and views do.
 """
 
@@ -31,15 +31,49 @@ YEAR_EDGES = (dt.date(1998, 1, 1), dt.date(1999, 1, 1), dt.date(2000, 1, 1))
 PRUNE_YEAR = 1999
 
 
-def model(spark: SparkSession, sf_dir: str) -> N.Normalized:
-    flat = cached(spark, ("flat_file", sf_dir),
-                  lambda: fixtures.fixture(spark, sf_dir, "flat_file"))
-    lines = cached(spark, ("norm", "order_lines", sf_dir), lambda: N.order_lines(flat), bucket_by=["OrderID"])
-    norm = N.normalize(flat, lines)
-    return N.Normalized(**{
-        name: cached(spark, ("norm", name, sf_dir), (lambda df: lambda: df)(df),
-                     bucket_by=[N.KEYS[name]] if name in N.KEYS else None)
-        for name, df in vars(norm).items()})
+class Model:
+    """The normalized tables of a folder, each built when it is first read and then shared.
+
+    The flat file isn't stored: every table takes its own columns of it, so that the joins carry
+    those alone. Orders and OrderDetails share their lines; OrderDetails is a projection of them,
+    so it isn't stored a second time.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def _flat(self, last: str) -> DataFrame:
+        return fixtures.flat_file(self.spark, self.sf_dir, last)
+
+    def _cached(self, name: str, build, bucket_by=None) -> DataFrame:
+        return cached(self.spark, ("norm", name, self.sf_dir), build, bucket_by=bucket_by)
+
+    def _of_lines(self) -> N.Normalized:
+        flat = self._flat("orders")
+        lines = self._cached("order_lines", lambda: N.order_lines(flat), bucket_by=["OrderID"])
+        return N.normalize(flat, lines)
+
+    @property
+    def customers(self) -> DataFrame:
+        return self._cached("customers", lambda: N.normalize(self._flat("customer")).customers)
+
+    @property
+    def products(self) -> DataFrame:
+        return self._cached("products", lambda: N.normalize(self._flat("part")).products)
+
+    @property
+    def orders(self) -> DataFrame:
+        return self._cached("orders", lambda: self._of_lines().orders, bucket_by=[N.KEYS["orders"]])
+
+    @property
+    def order_details(self) -> DataFrame:
+        return self._of_lines().order_details
+
+    named = N.Normalized.named
+
+
+def model(spark: SparkSession, sf_dir: str) -> Model:
+    return Model(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- reports

@@ -71,6 +71,18 @@ JOIN {nation} n ON c.c_nationkey = n.n_nationkey
 JOIN {region} r ON n.n_regionkey = r.r_regionkey
 """
 
+# Orders in which Spark makes the flat file's joins, by the table joined last: inner joins on the same keys,
+# so the rows are the recipe's. A reader that takes a few columns names the table that most of them come
+# from; what travels before the last join is then keys.
+_FLAT_CUSTOMER = "{customer} c JOIN {nation} n ON c.c_nationkey = n.n_nationkey JOIN {region} r ON n.n_regionkey = r.r_regionkey"
+_FLAT_ORDER = f"({{orders}} o JOIN ({_FLAT_CUSTOMER}) ON o.o_custkey = c.c_custkey)"
+_FLAT_LINE = "({lineitem} l JOIN {part} p ON l.l_partkey = p.p_partkey)"
+FLAT_JOINS = {
+    "customer": f"{_FLAT_LINE} JOIN {{orders}} o ON l.l_orderkey = o.o_orderkey JOIN ({_FLAT_CUSTOMER}) ON o.o_custkey = c.c_custkey",
+    "part": f"{{lineitem}} l JOIN {_FLAT_ORDER} ON l.l_orderkey = o.o_orderkey JOIN {{part}} p ON l.l_partkey = p.p_partkey",
+    "orders": f"{_FLAT_LINE} JOIN {_FLAT_ORDER} ON l.l_orderkey = o.o_orderkey",
+}
+
 # The second copy of every fourth nation (one trailing space instead of two)
 # becomes an exact duplicate only after trimming.
 _COUNTRY_REGION = """CASE WHEN n_nationkey % 6 = 0 THEN NULL
@@ -191,6 +203,13 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **frames)
 
 
+def flat_file(spark: SparkSession, sf_dir: str, last: str) -> DataFrame:
+    """The flat file's recipe, its joins made in the order ``FLAT_JOINS[last]``."""
+    columns = FLAT_RETAIL.partition("\nFROM ")[0]
+    frames = {t: table(spark, sf_dir, t) for t in recipe_tables("flat_file")}
+    return spark.sql(f"{columns}\nFROM {FLAT_JOINS[last]}", **frames)
+
+
 def duckdb_sql(name: str) -> str:
     """The same recipe for DuckDB, over the driver's pre-registered views."""
     text = RECIPES[name]

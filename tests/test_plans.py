@@ -90,3 +90,52 @@ def test_normalized_tables_take_one_shuffle_each(spark):
         assert made.order_details.count() == len(rows)
     finally:
         lines.unpersist()
+
+
+def test_a_report_builds_the_tables_it_reads(spark):
+    import os
+    from tablewright import session
+    from tablewright.plans import cache, retail
+    cache.release(spark)
+    folder = os.path.join(session.shared_dir(spark), "tables")
+
+    def stored():
+        return set(os.listdir(folder)) if os.path.exists(folder) else set()
+
+    before = stored()
+    spark.conf.set(cache.MODE_CONF, "table")
+    try:
+        m = retail.model(spark, SF)
+        assert stored() == before
+        assert m.customers.count() > 0 and len(stored() - before) == 1
+        assert m.order_details.count() > 0 and len(stored() - before) == 2
+        assert m.orders.count() > 0 and m.products.count() > 0 and len(stored() - before) == 4
+    finally:
+        cache.release(spark)
+        spark.conf.unset(cache.MODE_CONF)
+
+
+def test_the_flat_file_has_the_recipes_rows_in_every_order_of_joins(spark, tmp_path):
+    from tablewright.sources import fixtures
+    tables = {
+        "region": ([(1, "R"), (2, None)], "r_regionkey int, r_name string"),
+        "nation": ([(1, "A", 1), (2, "B", 2), (3, "C", None)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(1, "c1", 1), (1, "c1", 2), (2, None, 2), (3, "c3", 3), (None, "c", 1)],
+                     "c_custkey long, c_name string, c_nationkey int"),
+        "part": ([(1, "p1", 3, 2.5), (1, "p1b", 4, 2.5), (2, "p2", None, None), (None, "p", 1, 1.0)],
+                 "p_partkey long, p_name string, p_size int, p_retailprice double"),
+        "orders": ([(1, 1, 5.0), (1, 2, 5.0), (2, 2, None), (3, 3, 1.0), (4, None, 1.0), (None, 1, 1.0)],
+                   "o_orderkey long, o_custkey long, o_totalprice double"),
+        "lineitem": ([(o, p, q) for o in (1, 2, 3, 4, None) for p in (1, 2, None) for q in (1.0, None)],
+                     "l_orderkey long, l_partkey long, l_quantity double"),
+    }
+    for name, (rows, schema) in tables.items():
+        df = spark.createDataFrame(rows, schema)
+        if name == "orders":
+            df = df.selectExpr("*", "timestamp'2000-01-01 10:00:00' AS o_orderdate")
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    want = sorted(fixtures.fixture(spark, str(tmp_path), "flat_file").collect(), key=str)
+    assert len(want) > 20
+    for last in fixtures.FLAT_JOINS:
+        got = fixtures.flat_file(spark, str(tmp_path), last)
+        assert sorted(got.collect(), key=str) == want, last
