@@ -44,7 +44,7 @@ def cached(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
            bucket_by: list[str] | None = None) -> DataFrame:
     """The derived table ``build()`` for ``key``, built once per session.
 
-    ``bucket_by``: in ``table`` mode the table is bucketed (and sorted) by
+    ``bucket_by``: in ``table`` mode the table is bucketed by
     these columns into ``spark.sql.shuffle.partitions`` buckets, so joins of
     two such tables on that key read matching buckets without a shuffle. (In
     ``cache`` mode the caller's hash partitioning is kept by the cache.)
@@ -61,7 +61,8 @@ def cached(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
         writer = build().write.mode("overwrite").format("parquet").option("path", path)
         if bucket_by:
             buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+            # No sortBy: no reader relies on it, and the write's sort is by the bucket's number alone.
+            writer = writer.bucketBy(buckets, *bucket_by)
         writer.saveAsTable(name)
         _STORED[full] = (name, path)
         df = spark.table(name)
