@@ -132,11 +132,12 @@ def not_null_report(m: N.Normalized) -> DataFrame:
 
 
 def order_breakdown(m: N.Normalized) -> DataFrame:
-    # Orders and OrderDetails are both laid out by OrderID: join them first.
+    # Customers are joined to the orders, which are fewer than their details; those are laid out by
+    # OrderID already and join in place.
     o, od = m.orders.alias("O"), m.order_details.alias("OD")
     c, p = m.customers.alias("C"), m.products.alias("P")
-    return (o.join(od, F.col("O.OrderID") == F.col("OD.OrderID"))
-            .join(c, F.col("O.CustomerID") == F.col("C.CustomerID"))
+    return (o.join(c, F.col("O.CustomerID") == F.col("C.CustomerID"))
+            .join(od, F.col("O.OrderID") == F.col("OD.OrderID"))
             .join(p, F.col("OD.CookieID") == F.col("P.CookieID"))
             .select("O.OrderID", "O.OrderDate", "C.CustomerName", "P.CookieName",
                     "OD.Quantity", "P.RevenuePerCookie", "P.CostPerCookie", "O.OrderTotal")

@@ -139,3 +139,8 @@ def test_the_flat_file_has_the_recipes_rows_in_every_order_of_joins(spark, tmp_p
     for last in fixtures.FLAT_JOINS:
         got = fixtures.flat_file(spark, str(tmp_path), last)
         assert sorted(got.collect(), key=str) == want, last
+
+
+def test_customers_are_joined_to_orders_before_their_details(spark):
+    text = entry.queries()["order_breakdown"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Join Inner, (OrderID") < text.index("Join Inner, (CustomerID")
