@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import lasting_path
 from .common import MEMO_LENGTH, freed, slices, table, written
 from .lexicon import Lexicon, compile_lexicon
 
@@ -256,7 +256,7 @@ def frequent_words(docs: DataFrame, path: str, limit: int, text_col: str = "text
 
 def share_file(spark: SparkSession, name: str, data: bytes) -> str:
     """Write ``data`` into the shared folder and hand it to all executors; the file's name."""
-    path = scratch_path(spark, name)
+    path = lasting_path(spark, name)
     jvm, sc = spark._jvm, spark.sparkContext
     target = jvm.org.apache.hadoop.fs.Path(path)
     out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target, True)

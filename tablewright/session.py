@@ -91,9 +91,15 @@ def shared_dir(spark: SparkSession) -> str:
 _SCRATCH: dict[str, list[str]] = {}
 
 
+def lasting_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique path under the shared folder that no release deletes: for files that are handed to
+    the executors."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared folder for one job's output, until its release."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = lasting_path(spark, name)
     _SCRATCH.setdefault(session_id(spark), []).append(path)
     return path
 

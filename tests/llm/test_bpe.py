@@ -79,3 +79,14 @@ def test_encode_matches_library_and_edge_rows(spark, library):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.encode(df).collect() == []
+
+
+def test_a_shared_file_is_no_scratch(spark):
+    import os
+    from tablewright import session
+    from tablewright.llm import bpe
+    before = list(session._SCRATCH.get(session.session_id(spark), []))
+    name = bpe.share_file(spark, "lexicon", b"x")
+    assert session._SCRATCH.get(session.session_id(spark), []) == before
+    session.release_scratch(spark)
+    assert os.path.exists(os.path.join(session.shared_dir(spark), name))
