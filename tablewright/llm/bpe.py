@@ -6,7 +6,7 @@
    (``lexicon.py``). The file goes to the shared folder and, as a Spark file, to every
    executor, where workers memory-map it.
 3. Each document is cut into words; words in the lexicon take their ids from the
-   automaton, all others are merged exactly.
+   automaton, and a task remembers them; all others are merged exactly, a slice's words together.
 
 The lexicon only saves work: ids don't depend on what is in it. The tokenizer file (one
 JSON of the tokenizers library: BPE with an end-of-word suffix, NFC, lower case, white space
@@ -19,6 +19,8 @@ A text is held whole by one task (``BATCH_ROWS`` texts at a time).
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,12 +29,16 @@ from .common import MEMO_LENGTH, freed, slices, table, written
 from .lexicon import Lexicon, compile_lexicon
 
 LEXICON_WORDS = 200_000
-#: Bytes of words with their ids that a task remembers before it starts anew, and words it gathers.
-MEMO_BYTES = 40_000_000
+#: Bytes of words with their ids that a task remembers: in two halves, the older one given up when the
+#: younger is full. And words it gathers.
+MEMO_BYTES = 32_000_000
 GATHER_WORDS = 150_000
 GATHER_CHARS = 32_000_000
-#: What an entry takes besides its texts.
-ENTRY_BYTES = 300
+#: What an entry takes besides its text and ids.
+ENTRY_BYTES = 180
+#: Words of at most ``SHORT`` symbols are merged ``TOGETHER`` at a time.
+SHORT = 48
+TOGETHER = 8192
 #: A merge is its rank and the resulting id in one number.
 SHIFT = 24
 LOW = (1 << SHIFT) - 1
@@ -52,6 +58,7 @@ class Encoder:
     def __init__(self, path: str):
         import json
 
+        import numpy as np
         import regex
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -62,18 +69,26 @@ class Encoder:
         self.tokens = {i: t for t, i in self.vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens.update({i: t for t, i in self.special.items()})
-        self.merges = {}
-        for rank, (a, b) in enumerate(model["merges"]):
-            # rank and result in one number, so the least is the first to merge
-            self.merges[self.vocab[a], self.vocab[b]] = rank << SHIFT | self.vocab[a + b]
+        # Pairs of ids, sorted, both in one number; and rank and result of each, so the least is the first to merge.
+        vocab, n = self.vocab, len(model["merges"])
+        keys = np.fromiter((vocab[a] << SHIFT | vocab[b] for a, b in model["merges"]), np.int64, n)
+        found = np.fromiter((r << SHIFT | vocab[a + b] for r, (a, b) in enumerate(model["merges"])), np.int64, n)
+        order = np.argsort(keys)
+        self.pairs = keys[order], found[order]
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words_in = regex.compile(pattern).findall
+        self.words_and_ends = regex.compile(f"{pattern}|\n").findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special))) + ")").split
         self.controls = regex.compile("[\x1c-\x1f]").search
         symbols = byte_symbols()
         self.inner = [self.vocab.get(s) for s in symbols]
         self.last = [self.vocab.get(s + self.suffix) for s in symbols]
 
+    @cached_property
+    def merges(self) -> dict[tuple[int, int], int]:
+        """``pairs`` by pair."""
+        return {(key >> SHIFT, key & LOW): found for key, found in zip(*(a.tolist() for a in self.pairs))}
+
     def words(self, text: str) -> list[str]:
         """Words in order; a special token's text stands for itself."""
         return [w for chunk in self.chunks(text) for w in self.split(chunk)]
@@ -92,6 +107,12 @@ class Encoder:
             return chunk
         return (chunk,) if chunk.isalpha() else self.words_in(chunk)  # letters alone are one word
 
+    def split_all(self, chunks: list[str]) -> list[list[str]]:
+        """``split`` of each chunk (none is ready, none holds white space) in one search through all."""
+        found = self.words_and_ends("\n".join([*chunks, ""]))
+        ends = [k for k, w in enumerate(found) if w == "\n"]
+        return [found[a + 1:b] for a, b in zip([-1, *ends], ends)]
+
     def _chunks(self, text: str) -> list:
         import unicodedata
         if not text.isascii():
@@ -121,7 +142,69 @@ class Encoder:
         data = word.encode("utf-8")
         ids = [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]
         ids = [i for i in ids if i is not None]
-        return merge_long(ids, self.merges) if len(ids) > 48 else merge_short(ids, self.merges)
+        return merge_long(ids, self.merges) if len(ids) > SHORT else merge_short(ids, self.merges)
+
+    def merge_all(self, words: list[str]) -> list[bytes]:
+        """``merge`` of each word, as the bytes of 32-bit numbers; short words of about one length together."""
+        import numpy as np
+        data = [w.encode("utf-8") for w in words]
+        lengths = np.fromiter(map(len, data), np.int64, len(data))
+        out: list = [None] * len(words)
+        if len(self.pairs[0]) and None not in self.inner and None not in self.last:
+            for low, high in ((0, 6), (6, 10), (10, 16), (16, 28), (28, SHORT)):
+                rows = np.flatnonzero((lengths > low) & (lengths <= high))
+                for k in range(0, len(rows), TOGETHER):
+                    self._merge_rows(data, lengths, rows[k:k + TOGETHER], high, out)
+        for k, (w, ids) in enumerate(zip(words, out)):
+            if ids is None or w in self.special:
+                out[k] = np.array(self.merge(w), np.int32).tobytes()
+        return out
+
+    def _pair(self, left, right):
+        """Rank and result of pairs of ids; NEVER if they don't merge or one is negative."""
+        import numpy as np
+        keys, found = self.pairs
+        key = left.astype(np.int64) << SHIFT | right
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return np.where(keys[at] == key, found[at], NEVER)
+
+    def _merge_rows(self, data: list[bytes], lengths, rows, width: int, out: list) -> None:
+        """Step by step, each row merges its pair of lowest rank, the leftmost of equals, and so gets
+        one id shorter; rows without such a pair leave. Ids that a row doesn't have are -1, at its end."""
+        import numpy as np
+        n, size = len(rows), lengths[rows]
+        text = np.frombuffer(b"".join([data[i].ljust(width, b"\0") for i in rows.tolist()]), np.uint8).reshape(n, width)
+        each = np.arange(n)
+        ids = np.array(self.inner, np.int32)[text]
+        ids[each, size - 1] = np.array(self.last, np.int32)[text[each, size - 1]]
+        ids[np.arange(width) >= size[:, None]] = -1
+        ranks = self._pair(ids[:, :-1], ids[:, 1:])
+        while len(rows):
+            if ranks.shape[1]:
+                at = ranks.argmin(axis=1)
+                best = ranks[np.arange(len(rows)), at]
+                go = best < NEVER
+            else:
+                go = np.zeros(len(rows), bool)
+            ready, step = ids[~go], 4 * ids.shape[1]
+            flat = ready.tobytes()
+            for k, (i, m) in enumerate(zip(rows[~go].tolist(), (ready >= 0).sum(axis=1).tolist())):
+                out[i] = flat[k * step:k * step + 4 * m]
+            if not go.any():
+                break
+            rows, ids, ranks, at, best = rows[go], ids[go], ranks[go], at[go], best[go]
+            each = np.arange(len(rows))
+            ids[each, at] = best & LOW
+            stays = np.ones(ids.shape, bool)
+            stays[each, at + 1] = False
+            ids = ids[stays].reshape(len(rows), -1)
+            stays = np.ones(ranks.shape, bool)
+            stays[each, at] = False
+            ranks = ranks[stays].reshape(len(rows), -1)
+            r = np.flatnonzero(at < ranks.shape[1])
+            ranks[r, at[r]] = self._pair(ids[r, at[r]], ids[r, at[r] + 1])
+            r = np.flatnonzero(at > 0)
+            ranks[r, at[r] - 1] = self._pair(ids[r, at[r] - 1], ids[r, at[r]])
 
 
 def byte_symbols() -> list[str]:
@@ -183,11 +266,34 @@ def merge_long(ids: list[int], merges: dict) -> list[int]:
     return [i for i, keep in zip(ids, alive) if keep]
 
 
+def sorted_out(chunks) -> tuple[list[str], list[str], list[tuple[str]]]:
+    """Chunks of letters alone, which are one word, others, and ready words."""
+    ready = [c for c in chunks if c.__class__ is tuple]
+    texts = [c for c in chunks if c.__class__ is str] if ready else chunks
+    letters = [c for c in texts if c.isalpha()]
+    return letters, [c for c in texts if not c.isalpha()], ready
+
+
 def _texts(piece, column: int) -> list[str]:
     """Texts from bytes; what isn't valid UTF-8 becomes U+FFFD."""
     return [(t or b"").decode("utf-8", "replace") for t in piece.column(column).to_pylist()]
 
 
+def uncollected(run):
+    """``run`` without Python's search for cycles of objects, which it doesn't make: the search goes through
+    all lists of words again and again."""
+    def plain(batches):
+        import gc
+        was = gc.isenabled()
+        gc.disable()
+        try:
+            yield from run(batches)
+        finally:
+            if was:
+                gc.enable()
+    return plain
+
+
 def _count_words(path: str):
     def run(batches):
         from collections import Counter
@@ -199,9 +305,15 @@ def _count_words(path: str):
 
         def flush():
             counts: Counter = Counter()
-            for chunk, n in chunks.items():
-                for word in encoder.split(chunk):
+            letters, mixed, ready = sorted_out(chunks)
+            for c in letters:
+                counts[c] = chunks[c]
+            for c, cut in zip(mixed, encoder.split_all(mixed)):
+                n = chunks[c]
+                for word in cut:
                     counts[word] += n
+            for c in ready:
+                counts[c[0]] += chunks[c]
             chunks.clear()
             words, n = list(counts.keys()), list(counts.values())
             for k in range(0, len(words), 50_000):
@@ -223,11 +335,12 @@ def _count_words(path: str):
 
 def _encode_words(path: str):
     def run(batches):
+        import numpy as np
         import pyarrow as pa
         encoder = Encoder(path)
         for batch in batches:
             words = batch.column(0)
-            ids = [encoder.merge(w) for w in words.to_pylist()]
+            ids = [np.frombuffer(x, np.int32) for x in encoder.merge_all(words.to_pylist())]
             yield pa.RecordBatch.from_arrays([words, pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
     return run
 
@@ -239,7 +352,7 @@ def frequent_words(docs: DataFrame, path: str, limit: int, text_col: str = "text
     two (at most 4,096 rows), says which, so nothing is sorted and no task sees all words.
     """
     counts = (docs.select(F.col(text_col).cast("string").cast("binary").alias("text"))
-              .mapInArrow(freed(_count_words(path)), "word string, n long")
+              .mapInArrow(freed(uncollected(_count_words(path))), "word string, n long")
               .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1 AND length(word) <= 64")
               .withColumn("step", F.floor(64 * F.log2("n")).cast("int")))
     counts = written(counts, "op2-counts")
@@ -280,39 +393,49 @@ def _encode(path: str, lexicon_file: str, full: bool):
     def run(batches):
         import hashlib
 
+        import numpy as np
         import pyarrow as pa
         from pyspark import SparkFiles
         encoder = Encoder(path)
         lexicon = Lexicon(SparkFiles.get(lexicon_file))
-        class Memo(dict):  # chunk -> (number of ids, ids, tokens); long ones are held for one slice of texts
+        tokens = np.array([encoder.tokens.get(i, "") for i in range(max(encoder.tokens) + 1)], object)
+        numbers = np.array([str(i) for i in range(len(tokens))], object)
+
+        class Memo(dict):  # chunk -> its ids' bytes
             def __missing__(self, chunk):
                 return once[chunk]
 
-        memo, once = Memo(), {}
-        known: dict = {}  # the same by word
-        tokens = encoder.tokens
-        held = 0  # bytes, about
+        memo, older, once = Memo(), {}, {}
+        held = 0  # bytes of ``memo``, about
 
-        def learn(chunks):
+        def remember(entries):
             nonlocal held
-            cut = {c: encoder.split(c) for c in chunks}
-            words = [w for w in set().union(*cut.values()) if w not in known]
-            for w, ids in zip(words, lexicon.lookup([w.encode("utf-8") for w in words])):
-                if ids is None:
-                    ids = encoder.merge(w)
-                known[w] = found = (len(ids), " ".join(map(str, ids)), " ".join([tokens[i] for i in ids]))
-                held += ENTRY_BYTES + len(w) + len(found[1]) + len(found[2])
-            for c, ws in cut.items():
-                if len(ws) == 1:
-                    found = known[ws[0]]
-                else:
-                    parts = [p for w in ws if (p := known[w])[0]]
-                    found = (sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts]))
-                if isinstance(c, str) and len(c) > MEMO_LENGTH:
-                    once[c] = found
-                    continue
-                memo[c] = found
-                held += ENTRY_BYTES // 2 if len(ws) == 1 else ENTRY_BYTES + len(found[1]) + len(found[2])
+            memo.update(entries)
+            held += ENTRY_BYTES * len(entries) + sum(map(len, entries)) + sum(map(len, entries.values()))
+
+        def learn(chunks):
+            again = chunks & older.keys()
+            remember({c: older[c] for c in again})
+            # Long chunks and those with a word that the lexicon lacks, so a rare one, are held for one slice.
+            letters, mixed, ready = sorted_out(chunks - again)
+            cuts = encoder.split_all(mixed)
+            words = set().union(letters, *cuts, *ready)
+            # A chunk of letters alone has the ids of that word.
+            known = {w: memo[w] for w in words & memo.keys() if w.isalpha()}
+            words = [w for w in words if w not in known]
+            found = lexicon.packed([w.encode("utf-8") for w in words])
+            known.update(zip(words, found))
+            rare = [w for w, ids in zip(words, found) if ids is None]
+            known.update(zip(rare, encoder.merge_all(rare)))
+            lasting = {w for w in known.keys() - rare if len(w) <= MEMO_LENGTH}
+            remember({c: known[c] for c in letters if c in lasting})
+            once.update({c: known[c] for c in letters if c not in lasting})
+            remember({c: known[c[0]] for c in ready if c[0] in lasting})
+            once.update({c: known[c[0]] for c in ready if c[0] not in lasting})
+            for c, cut in zip(mixed, cuts):
+                once[c] = b"".join([known[w] for w in cut])
+            remember({c: once.pop(c) for c, cut in zip(mixed, cuts)
+                      if len(c) <= MEMO_LENGTH and lasting.issuperset(cut)})
 
         def digest(text):
             return hashlib.sha256(text.encode("utf-8")).hexdigest()
@@ -321,18 +444,19 @@ def _encode(path: str, lexicon_file: str, full: bool):
             for piece in slices(batch):
                 last = piece.num_columns - 1
                 docs = [encoder.chunks(t) for t in _texts(piece, last)]
-                if held > MEMO_BYTES:
+                if held > MEMO_BYTES // 2:
+                    older = dict(memo)
                     memo.clear()
-                    known.clear()
                     held = 0
                 once.clear()
                 learn(set().union(*docs) - memo.keys())
                 n, ids, text = [], [], []
                 for words in docs:
-                    found = [memo[w] for w in words]
-                    n.append(sum([f[0] for f in found]))
-                    ids.append(" ".join([f[1] for f in found if f[0]]))
-                    text.append(" ".join([f[2] for f in found if f[0]]))
+                    found = np.frombuffer(b"".join(map(memo.__getitem__, words)), np.int32)
+                    n.append(len(found))
+                    ids.append(" ".join(numbers[found].tolist()))
+                    text.append(" ".join(tokens[found].tolist()))
+                docs = found = None
                 columns = [pa.array(n, pa.int64()), pa.array(map(digest, ids), pa.string()),
                            pa.array(map(digest, text), pa.string())]
                 if full:
@@ -354,7 +478,7 @@ def encode(docs: DataFrame, path: str | None = None, lexicon_words: int = LEXICO
     schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     if full:
         schema += ", ids array<int>, decoded string"
-    return df.mapInArrow(freed(_encode(path, lexicon_file, full)), schema)
+    return df.mapInArrow(freed(uncollected(_encode(path, lexicon_file, full))), schema)
 
 
 def decode(ids: list[int], encoder: Encoder) -> str:

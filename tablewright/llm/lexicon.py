@@ -100,33 +100,38 @@ class Lexicon:
         self.ids = take(np.int32, sizes["ids"])
         self.start, self.longest = sizes["states"] - 1, sizes["longest"]
 
-    def lookup(self, words: list[bytes]) -> list[list[int] | None]:
-        """The ids of each word, None where it isn't in the lexicon."""
+    def places(self, words: list[bytes]):
+        """The place of each word in the lexicon (an array), -1 where it isn't in it."""
         import numpy as np
-        out: list = [None] * len(words)
-        rows = [i for i, w in enumerate(words) if 0 < len(w) <= self.longest]
-        if not rows or not len(self.keys):
-            return out
-        lengths = np.array([len(words[i]) for i in rows])
-        width = int(lengths.max())
-        text = np.frombuffer(b"".join(words[i].ljust(width, b"\0") for i in rows), np.uint8)
-        text = text.reshape(len(rows), width).astype(np.int64)
+        out = np.full(len(words), -1, np.int64)
+        left = np.fromiter(map(len, words), np.int64, len(words))  # bytes still to read
+        at = np.cumsum(left) - left
+        text = np.frombuffer(b"".join(words), np.uint8)
+        rows = np.flatnonzero((left > 0) & (left <= self.longest)) if len(self.keys) else np.zeros(0, np.int64)
+        left, at = left[rows], at[rows]
         state = np.full(len(rows), self.start, np.int64)
         place = np.zeros(len(rows), np.int64)
-        alive = np.ones(len(rows), bool)
-        for k in range(width):
-            on = np.flatnonzero(alive & (lengths > k))
-            if not len(on):
-                break
-            key = state[on] * 256 + text[on, k]
+        while len(rows):
+            key = state * 256 + text[at]
             arc = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             hit = self.keys[arc] == key
-            alive[on[~hit]] = False
-            on, arc = on[hit], arc[hit]
-            state[on] = self.targets[arc]
-            place[on] += self.adds[arc]
-        alive &= self.final[state] == 1
-        for j in np.flatnonzero(alive).tolist():
-            a, b = self.offsets[place[j]], self.offsets[place[j] + 1]
-            out[rows[j]] = self.ids[a:b].tolist()
+            rows, left, at, arc = rows[hit], left[hit] - 1, at[hit] + 1, arc[hit]
+            state, place = self.targets[arc].astype(np.int64), place[hit] + self.adds[arc]
+            ends = left == 0
+            found = ends & (self.final[state] == 1)
+            out[rows[found]] = place[found]
+            rows, left, at, state, place = (a[~ends] for a in (rows, left, at, state, place))
         return out
+
+    def packed(self, words: list[bytes]) -> list[bytes | None]:
+        """The ids of each word as the bytes of 32-bit numbers, None where it isn't in the lexicon."""
+        place = self.places(words)
+        starts, ends = self.offsets[place], self.offsets[place + 1]  # -1 reads something, and isn't used
+        ids = self.ids
+        return [ids[a:b].tobytes() if p >= 0 else None
+                for p, a, b in zip(place.tolist(), starts.tolist(), ends.tolist())]
+
+    def lookup(self, words: list[bytes]) -> list[list[int] | None]:
+        """The ids of each word, None where it isn't in the lexicon."""
+        import numpy as np
+        return [None if x is None else np.frombuffer(x, np.int32).tolist() for x in self.packed(words)]

@@ -90,3 +90,51 @@ def test_a_shared_file_is_no_scratch(spark):
     assert session._SCRATCH.get(session.session_id(spark), []) == before
     session.release_scratch(spark)
     assert os.path.exists(os.path.join(session.shared_dir(spark), name))
+
+
+def test_words_merged_together_and_alone_agree():
+    encoder = bpe.Encoder(PATH)
+    rng = random.Random(3)
+    words = sorted({w for t in odd_texts(200) for w in encoder.words(t)} | {
+        "".join(rng.choice("abeinorst\u00e9\u4e2d") for _ in range(rng.randrange(1, 60))) for _ in range(500)})
+    assert [encoder.merge(w) for w in words] == [memoryview(x).cast("i").tolist() for x in encoder.merge_all(words)]
+    chunks = [c for t in odd_texts(200) for c in encoder.chunks(t) if isinstance(c, str)]
+    assert encoder.split_all(chunks) == [list(encoder.split(c)) for c in chunks]
+    assert encoder.merge_all([]) == [] and encoder.split_all([]) == []
+
+
+def run_task(tmp_path, monkeypatch, lexicon, texts, rows=256):
+    """What one task makes of ``texts``, and the words it asked the lexicon for."""
+    import pyarrow as pa
+    from pyspark import SparkFiles
+    encoder, asked = bpe.Encoder(PATH), []
+    (tmp_path / "lex").write_bytes(compile_lexicon([(w.encode(), encoder.merge(w)) for w in set(lexicon)]))
+    monkeypatch.setattr(SparkFiles, "get", lambda name: str(tmp_path / name))
+    for name in ("packed", "lookup"):
+        if hasattr(Lexicon, name):
+            real = getattr(Lexicon, name)
+            monkeypatch.setattr(Lexicon, name, lambda self, words, real=real: asked.extend(words) or real(self, words))
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(k, k + len(part))), pa.array(part, pa.binary())], ["id", "t"])
+               for k in range(0, len(texts), rows) if (part := [t.encode() for t in texts[k:k + rows]])]
+    return [r for b in bpe._encode(PATH, "lex", True)(iter(batches)) for r in b.to_pylist()], asked
+
+
+@pytest.mark.parametrize("rare", [False, True])
+def test_frequent_words_outlast_a_full_memo(tmp_path, monkeypatch, library, rare):
+    monkeypatch.setattr(bpe, "MEMO_BYTES", 400_000)
+    rng = random.Random(4)
+    others = ["".join(rng.choice("abeinorst") for _ in range(9)) for _ in range(10_000)]
+    texts = [f"the {' '.join(others[k:k + 4])}." for k in range(0, len(others), 4)]
+    got, asked = run_task(tmp_path, monkeypatch, ["the", "."] + ([] if rare else others), texts)
+    assert asked.count(b"the") == 1
+    for r, t in zip(got, texts):
+        assert r["ids"] == library.encode(t, add_special_tokens=False).ids
+
+
+def test_special_tokens_and_their_look_alikes(tmp_path, monkeypatch, library):
+    texts = ["<|ENDOFTEXT|>", "<|endoftext|>", "<|endoftext|>x <|ENDOFTEXT|> \u0939\u093f it's", "it's <|"] * 3
+    for lexicon in ([], ["<|endoftext|>", "<|", "endoftext", "|>", "x", "it", "'s"]):
+        with monkeypatch.context() as m:
+            for rows in (1, 2, 12):
+                got, _ = run_task(tmp_path, m, lexicon, texts, rows)
+                assert [r["ids"] for r in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
