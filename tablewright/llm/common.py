@@ -19,7 +19,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 256
 
 #: Bytes of an Arrow batch of texts: the JVM and a worker each hold one a task, beside copies while it grows.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 #: The longest word that a worker remembers.
 MEMO_LENGTH = 64
