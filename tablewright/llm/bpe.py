@@ -5,8 +5,10 @@
    merging on the executors and compiled into a minimal acyclic transducer
    (``lexicon.py``). The file goes to the shared folder and, as a Spark file, to every
    executor, where workers memory-map it.
-3. Each document is cut into words; words in the lexicon take their ids from the
-   automaton, and a task remembers them; all others are merged exactly, a slice's words together.
+3. Documents are cut at white space, a slice of them at once, and each distinct chunk of a
+   slice is cut into words; words in the lexicon take their ids from the automaton, and a task
+   remembers them; all others are merged exactly, a slice's words together. What the distinct
+   chunks give is dealt out to the documents as Arrow arrays.
 
 The lexicon only saves work: ids don't depend on what is in it. The tokenizer file (one
 JSON of the tokenizers library: BPE with an end-of-word suffix, NFC, lower case, white space
@@ -14,7 +16,7 @@ dropped, byte-level symbols) is a parameter.
 
 Defined results: null or empty text has no ids and decodes to the empty text; repeated rows
 and ids are encoded each; an empty table gives an empty result; other columns aren't read.
-A text is held whole by one task (``BATCH_ROWS`` texts at a time).
+A text is held whole by one task (texts of about ``SLICE_BYTES`` at a time).
 """
 
 from __future__ import annotations
@@ -25,15 +27,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import lasting_path
-from .common import MEMO_LENGTH, freed, slices, table, written
-from .lexicon import Lexicon, compile_lexicon
+from .common import MEMO_LENGTH, freed, table, written
+from .lexicon import Lexicon, compile_lexicon, listed
 
 LEXICON_WORDS = 200_000
 #: Bytes of words with their ids that a task remembers: in two halves, the older one given up when the
-#: younger is full. And words it gathers.
+#: younger is full.
 MEMO_BYTES = 32_000_000
-GATHER_WORDS = 150_000
-GATHER_CHARS = 32_000_000
+#: Bytes of texts that a task encodes at once, and that it gathers to count their words.
+SLICE_BYTES = 4_000_000
+GATHER_BYTES = 12_000_000
 #: What an entry takes besides its text and ids.
 ENTRY_BYTES = 180
 #: Words of at most ``SHORT`` symbols are merged ``TOGETHER`` at a time.
@@ -43,6 +46,10 @@ TOGETHER = 8192
 SHIFT = 24
 LOW = (1 << SHIFT) - 1
 NEVER = 1 << 62
+#: White space to ``str.split()`` but not to the tokenizer file; white space that isn't ASCII.
+CONTROLS = "\x1c\x1d\x1e\x1f"
+SPACES = frozenset("\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+                   "\u2028\u2029\u202f\u205f\u3000")
 #: Categories of characters whose treatment depends on the Unicode version: unassigned ones and marks.
 UNSURE = frozenset(("Cn", "Mn", "Mc", "Me"))
 
@@ -79,7 +86,6 @@ class Encoder:
         self.words_in = regex.compile(pattern).findall
         self.words_and_ends = regex.compile(f"{pattern}|\n").findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special))) + ")").split
-        self.controls = regex.compile("[\x1c-\x1f]").search
         symbols = byte_symbols()
         self.inner = [self.vocab.get(s) for s in symbols]
         self.last = [self.vocab.get(s + self.suffix) for s in symbols]
@@ -114,6 +120,13 @@ class Encoder:
         return [found[a + 1:b] for a, b in zip([-1, *ends], ends)]
 
     def _chunks(self, text: str) -> list:
+        lowered = self._lowered(text)
+        if lowered is None:
+            return [(w,) for w in self._library_words(text)]
+        return [(w,) for w in self.words_in(lowered)] if with_controls(lowered) else lowered.split()
+
+    def _lowered(self, text: str) -> str | None:
+        """The text as the normalizer leaves it; None if the library itself has to cut it."""
         import unicodedata
         if not text.isascii():
             # Python's tables and the library's are of different Unicode versions; a text with a
@@ -121,11 +134,53 @@ class Encoder:
             # Nor do they agree on every mark's class, so what isn't plainly NFC goes there too.
             if not unicodedata.is_normalized("NFC", text) or any(
                     unicodedata.category(c) in UNSURE for c in set(text) if c > "\u0300"):
-                return [(w,) for w in self._library_words(text)]
+                return None
             text = text.replace("Σ", "σ")  # lower case letter by letter: no final sigma
-        text = text.lower()
-        # str.split() also cuts at four control characters that aren't white space here.
-        return [(w,) for w in self.words_in(text)] if self.controls(text) else text.split()
+        return text.lower()
+
+    def spaced(self, text: str) -> str | None:
+        """The text's chunks between ASCII white space; None if there are ready words among them."""
+        lowered = None if "<|" in text else self._lowered(text)
+        if lowered is None or with_controls(lowered):
+            return None
+        return lowered if lowered.isascii() or SPACES.isdisjoint(lowered) else " ".join(lowered.split())
+
+    def cut_texts(self, texts: list[str]):
+        """Chunks of all texts in an Arrow array, ready words after a newline (which no chunk holds),
+        empty chunks among them; and where each text's chunks start and end."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        spaced = list(map(self.spaced, texts))
+        odd = [[c if c.__class__ is str else "\n" + c[0] for c in self.chunks(t)]
+               for t, s in zip(texts, spaced) if s is None]
+        cut = pc.ascii_split_whitespace(pa.array([s for s in spaced if s is not None], pa.large_string()))
+        chunks = [cut.flatten(), pa.array([c for part in odd for c in part], pa.large_string())]
+        sizes = np.empty(len(texts), np.int64)
+        ready = np.fromiter((s is None for s in spaced), bool, len(texts))
+        sizes[~ready], sizes[ready] = np.diff(cut.offsets.to_numpy()), list(map(len, odd))
+        ends = np.empty(len(texts), np.int64)
+        order = np.argsort(ready, kind="stable")  # the odd texts' chunks come last
+        ends[order] = np.cumsum(sizes[order])
+        return pa.concat_arrays(chunks), ends - sizes, ends
+
+    def words_of(self, chunks):
+        """The words of all chunks in one Arrow array, chunk by chunk in an order of its own; the chunks'
+        numbers in that order; and how many words each has, in that order."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        alone = pc.ascii_is_alpha(chunks).to_numpy(zero_copy_only=False)  # ASCII letters alone are one word
+        ready = pc.starts_with(chunks, "\n").to_numpy(zero_copy_only=False)
+        parts = [np.flatnonzero(which) for which in (alone, ready, ~(alone | ready))]
+        alone, ready, mixed = (chunks.take(pa.array(rows)) for rows in parts)
+        found = pa.array(self.words_and_ends("\n".join([*listed(mixed), ""])), pa.large_string())
+        ends = pc.equal(found, "\n")
+        at = np.flatnonzero(ends.to_numpy(zero_copy_only=False))
+        words = pa.concat_arrays([alone, pc.utf8_slice_codeunits(ready, 1), found.filter(pc.invert(ends))])
+        sizes = np.ones(len(chunks), np.int64)
+        sizes[len(alone) + len(ready):] = np.diff(at, prepend=-1) - 1
+        return words, np.concatenate(parts), sizes
 
     def _library_words(self, text: str) -> list[str]:
         from tokenizers import Tokenizer
@@ -207,6 +262,10 @@ class Encoder:
             ranks[r, at[r] - 1] = self._pair(ids[r, at[r] - 1], ids[r, at[r]])
 
 
+def with_controls(text: str) -> bool:
+    return any(c in text for c in CONTROLS)
+
+
 def byte_symbols() -> list[str]:
     """The printable stand-in of each byte: itself if it is a visible Latin-1 character, else
     the next of the characters from 256 on."""
@@ -266,19 +325,43 @@ def merge_long(ids: list[int], merges: dict) -> list[int]:
     return [i for i, keep in zip(ids, alive) if keep]
 
 
-def sorted_out(chunks) -> tuple[list[str], list[str], list[tuple[str]]]:
-    """Chunks of letters alone, which are one word, others, and ready words."""
-    ready = [c for c in chunks if c.__class__ is tuple]
-    texts = [c for c in chunks if c.__class__ is str] if ready else chunks
-    letters = [c for c in texts if c.isalpha()]
-    return letters, [c for c in texts if not c.isalpha()], ready
-
-
 def _texts(piece, column: int) -> list[str]:
     """Texts from bytes; what isn't valid UTF-8 becomes U+FFFD."""
     return [(t or b"").decode("utf-8", "replace") for t in piece.column(column).to_pylist()]
 
 
+def slices_of(batch, size: int):
+    """An Arrow batch in pieces with at most ``size`` bytes of texts, its last column, or one row (no copy)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    lengths = pc.binary_length(batch.column(batch.num_columns - 1).cast(pa.large_binary()))
+    ends = np.cumsum(lengths.fill_null(0).to_numpy(zero_copy_only=False))
+    start = done = 0
+    while start < batch.num_rows:
+        stop = max(int(np.searchsorted(ends, done + size, "right")), start + 1)
+        yield batch.slice(start, stop - start)
+        start, done = stop, int(ends[stop - 1])
+
+
+def joined(values, ends):
+    """An Arrow array of binaries of which each is some of ``values`` in a row: up to ``ends``, from where
+    the one before it ended."""
+    import numpy as np
+    import pyarrow as pa
+    offsets = offsets_of(values)[np.concatenate([[0], ends])]
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(ends), [None, pa.py_buffer(np.ascontiguousarray(offsets)), values.buffers()[2]])
+
+
+def offsets_of(values):
+    """Where each value of an array of large binaries starts in its bytes, and the end of the last."""
+    import numpy as np
+    if not len(values):
+        return np.zeros(1, np.int64)
+    return np.frombuffer(values.buffers()[1], np.int64, len(values) + 1, 8 * values.offset)
+
+
 def uncollected(run):
     """``run`` without Python's search for cycles of objects, which it doesn't make: the search goes through
     all lists of words again and again."""
@@ -296,40 +379,32 @@ def uncollected(run):
 
 def _count_words(path: str):
     def run(batches):
-        from collections import Counter
-
+        import numpy as np
         import pyarrow as pa
         encoder = Encoder(path)
-        chunks: Counter = Counter()
-        chars = 0
-
-        def flush():
-            counts: Counter = Counter()
-            letters, mixed, ready = sorted_out(chunks)
-            for c in letters:
-                counts[c] = chunks[c]
-            for c, cut in zip(mixed, encoder.split_all(mixed)):
-                n = chunks[c]
-                for word in cut:
-                    counts[word] += n
-            for c in ready:
-                counts[c[0]] += chunks[c]
-            chunks.clear()
-            words, n = list(counts.keys()), list(counts.values())
+
+        def flush(texts):
+            chunks = encoder.cut_texts(texts)[0].value_counts()
+            texts.clear()
+            words, order, sizes = encoder.words_of(chunks.field("values"))
+            n = np.repeat(chunks.field("counts").to_numpy()[order], sizes)
+            words = words.dictionary_encode()
+            total = np.zeros(len(words.dictionary), np.int64)
+            np.add.at(total, words.indices.to_numpy(), n)
+            words = words.dictionary
             for k in range(0, len(words), 50_000):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(words[k:k + 50_000], pa.string()), pa.array(n[k:k + 50_000], pa.int64())],
-                    ["word", "n"])
+                    [words.slice(k, 50_000).cast(pa.string()), pa.array(total[k:k + 50_000])], ["word", "n"])
 
+        texts, size = [], 0
         for batch in batches:
-            for piece in slices(batch):
-                for text in _texts(piece, 0):
-                    chunks.update(encoder.chunks(text))
-                    chars += len(text)
-                if len(chunks) > GATHER_WORDS or chars > GATHER_CHARS:
-                    yield from flush()
-                    chars = 0
-        yield from flush()
+            for piece in slices_of(batch, SLICE_BYTES):
+                texts += _texts(piece, 0)
+                size += piece.nbytes
+                if size > GATHER_BYTES:
+                    yield from flush(texts)
+                    size = 0
+        yield from flush(texts)
     return run
 
 
@@ -398,70 +473,76 @@ def _encode(path: str, lexicon_file: str, full: bool):
         from pyspark import SparkFiles
         encoder = Encoder(path)
         lexicon = Lexicon(SparkFiles.get(lexicon_file))
-        tokens = np.array([encoder.tokens.get(i, "") for i in range(max(encoder.tokens) + 1)], object)
-        numbers = np.array([str(i) for i in range(len(tokens))], object)
-
-        class Memo(dict):  # chunk -> its ids' bytes
-            def __missing__(self, chunk):
-                return once[chunk]
+        # Ids and tokens, each after the space that parts it from the one before.
+        tokens = [" " + encoder.tokens.get(i, "") for i in range(max(encoder.tokens) + 1)]
+        numbers = pa.array([b" %d" % i for i in range(len(tokens))], pa.large_binary())
+        tokens = pa.array([t.encode("utf-8") for t in tokens], pa.large_binary())
 
-        memo, older, once = Memo(), {}, {}
+        memo, older = {}, {}  # word -> its ids' bytes
         held = 0  # bytes of ``memo``, about
 
-        def remember(entries):
+        def remember(words, known, which):
             nonlocal held
+            entries = {words[k]: known[k] for k in which}
             memo.update(entries)
             held += ENTRY_BYTES * len(entries) + sum(map(len, entries)) + sum(map(len, entries.values()))
 
-        def learn(chunks):
-            again = chunks & older.keys()
-            remember({c: older[c] for c in again})
-            # Long chunks and those with a word that the lexicon lacks, so a rare one, are held for one slice.
-            letters, mixed, ready = sorted_out(chunks - again)
-            cuts = encoder.split_all(mixed)
-            words = set().union(letters, *cuts, *ready)
-            # A chunk of letters alone has the ids of that word.
-            known = {w: memo[w] for w in words & memo.keys() if w.isalpha()}
-            words = [w for w in words if w not in known]
-            found = lexicon.packed([w.encode("utf-8") for w in words])
-            known.update(zip(words, found))
-            rare = [w for w, ids in zip(words, found) if ids is None]
-            known.update(zip(rare, encoder.merge_all(rare)))
-            lasting = {w for w in known.keys() - rare if len(w) <= MEMO_LENGTH}
-            remember({c: known[c] for c in letters if c in lasting})
-            once.update({c: known[c] for c in letters if c not in lasting})
-            remember({c: known[c[0]] for c in ready if c[0] in lasting})
-            once.update({c: known[c[0]] for c in ready if c[0] not in lasting})
-            for c, cut in zip(mixed, cuts):
-                once[c] = b"".join([known[w] for w in cut])
-            remember({c: once.pop(c) for c, cut in zip(mixed, cuts)
-                      if len(c) <= MEMO_LENGTH and lasting.issuperset(cut)})
-
-        def digest(text):
-            return hashlib.sha256(text.encode("utf-8")).hexdigest()
+        def ids_of(words):
+            """The ids' bytes of each word, all different."""
+            nonlocal older, held
+            if held > MEMO_BYTES // 2:
+                older = dict(memo)
+                memo.clear()
+                held = 0
+            known = list(map(memo.get, words))
+            new = [k for k, ids in enumerate(known) if ids is None]
+            for k in new:
+                known[k] = older.get(words[k])
+            asked = [k for k in new if known[k] is None]
+            for k, ids in zip(asked, lexicon.packed([words[k].encode("utf-8") for k in asked])):
+                known[k] = ids
+            # Long words and those that the lexicon lacks, so rare ones, are held for one slice.
+            remember(words, known, [k for k in new if known[k] is not None and len(words[k]) <= MEMO_LENGTH])
+            rare = [k for k in asked if known[k] is None]
+            for k, ids in zip(rare, encoder.merge_all([words[k] for k in rare])):
+                known[k] = ids
+            return known
+
+        def cut(texts):
+            """Where each text's chunks start and end, each chunk's place among the distinct ones, and these ones'
+            ids: all in a row, and where each chunk's end."""
+            chunks, starts, stops = encoder.cut_texts(texts)
+            chunks = chunks.dictionary_encode()
+            words, order, sizes = encoder.words_of(chunks.dictionary)
+            place = np.empty(len(order), np.int32)
+            place[order] = np.arange(len(order), dtype=np.int32)
+            words = words.dictionary_encode()
+            known = pa.array(ids_of(listed(words.dictionary)), pa.large_binary()).take(words.indices)
+            ends = offsets_of(known)[np.cumsum(sizes)] // 4
+            flat = np.frombuffer(known.buffers()[2] or b"", np.int32, int(ends[-1]) if len(ends) else 0)
+            return starts, stops, place[chunks.indices.to_numpy()], flat, ends
+
+        def dealt(values, flat, ends, places):
+            """The value of each id, in the order of the texts' chunks: their bytes, and where each chunk's start."""
+            out = joined(values.take(pa.array(flat)), ends).take(places)
+            return memoryview(out.buffers()[2] or b""), offsets_of(out)
 
         for batch in batches:
-            for piece in slices(batch):
-                last = piece.num_columns - 1
-                docs = [encoder.chunks(t) for t in _texts(piece, last)]
-                if held > MEMO_BYTES // 2:
-                    older = dict(memo)
-                    memo.clear()
-                    held = 0
-                once.clear()
-                learn(set().union(*docs) - memo.keys())
-                n, ids, text = [], [], []
-                for words in docs:
-                    found = np.frombuffer(b"".join(map(memo.__getitem__, words)), np.int32)
-                    n.append(len(found))
-                    ids.append(" ".join(numbers[found].tolist()))
-                    text.append(" ".join(tokens[found].tolist()))
-                docs = found = None
-                columns = [pa.array(n, pa.int64()), pa.array(map(digest, ids), pa.string()),
-                           pa.array(map(digest, text), pa.string())]
+            for piece in slices_of(batch, SLICE_BYTES):
+                starts, stops, places, flat, ends = cut(_texts(piece, piece.num_columns - 1))
+                before = np.concatenate([[0], np.cumsum(np.diff(ends, prepend=0)[places])])
+                columns = [pa.array(before[stops] - before[starts], pa.int64())]
+                places = pa.array(places)
+                for values in (numbers, tokens):
+                    data, at = dealt(values, flat, ends, places)
+                    bounds = list(zip((at[starts] + 1).tolist(), at[stops].tolist()))  # without the first space
+                    columns.append(pa.array([hashlib.sha256(data[a:b]).hexdigest() for a, b in bounds], pa.string()))
+                    if full:
+                        columns.append(pa.array([bytes(data[a:b]).decode("utf-8") for a, b in bounds], pa.string()))
                 if full:
-                    columns += [pa.array([[int(i) for i in x.split()] for x in ids], pa.list_(pa.int32())),
-                                pa.array(text, pa.string())]
+                    n, ids, numerals, text, decoded = columns
+                    numerals = [[int(i) for i in t.split()] for t in numerals.to_pylist()]
+                    columns = [n, ids, text, pa.array(numerals, pa.list_(pa.int32())), decoded]
                 names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][:len(columns)]
                 yield pa.RecordBatch.from_arrays(
                     [*piece.columns[:-1], *columns], piece.schema.names[:-1] + names)

@@ -71,6 +71,11 @@ def compile_lexicon(entries: list[tuple[bytes, list[int]]]) -> bytes:
         final, np.cumsum(lengths).astype(np.int32), flat))
 
 
+def listed(values) -> list:
+    """An Arrow array as a list, several times faster than by ``to_pylist``."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 class Lexicon:
     """Reads a compiled file through a memory map: workers of a machine share its pages."""
 
@@ -78,6 +83,7 @@ class Lexicon:
         import mmap
 
         import numpy as np
+        import pyarrow as pa
         with open(path, "rb") as f:
             data = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
         header = np.frombuffer(data, np.int64, 6)
@@ -98,6 +104,10 @@ class Lexicon:
         self.final = take(np.int32, sizes["states"])
         self.offsets = take(np.int32, sizes["words"] + 1)
         self.ids = take(np.int32, sizes["ids"])
+        # The same ids by word, as bytes.
+        self.values = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), sizes["words"],
+            [None, pa.py_buffer(self.offsets.astype(np.int64) * 4), pa.py_buffer(self.ids)])
         self.start, self.longest = sizes["states"] - 1, sizes["longest"]
 
     def places(self, words: list[bytes]):
@@ -125,11 +135,9 @@ class Lexicon:
 
     def packed(self, words: list[bytes]) -> list[bytes | None]:
         """The ids of each word as the bytes of 32-bit numbers, None where it isn't in the lexicon."""
+        import pyarrow as pa
         place = self.places(words)
-        starts, ends = self.offsets[place], self.offsets[place + 1]  # -1 reads something, and isn't used
-        ids = self.ids
-        return [ids[a:b].tobytes() if p >= 0 else None
-                for p, a, b in zip(place.tolist(), starts.tolist(), ends.tolist())]
+        return listed(self.values.take(pa.array(place, mask=place < 0)))
 
     def lookup(self, words: list[bytes]) -> list[list[int] | None]:
         """The ids of each word, None where it isn't in the lexicon."""

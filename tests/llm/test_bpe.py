@@ -138,3 +138,54 @@ def test_special_tokens_and_their_look_alikes(tmp_path, monkeypatch, library):
             for rows in (1, 2, 12):
                 got, _ = run_task(tmp_path, m, lexicon, texts, rows)
                 assert [r["ids"] for r in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_texts_cut_together_and_alone_agree():
+    import sys
+    spaces = {c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace() and c > "\x7f"}
+    assert bpe.SPACES == spaces
+    encoder = bpe.Encoder(PATH)
+    texts = ["", " x ", *odd_texts(200), *(f"a{c}\u00e9 b{c}" for c in sorted(spaces)), "", "a\x1cb", "\n", "\u00e9\x85\x1d"]
+    for some in (texts, texts[::-1], ["", ""], ["a\x1cb"], ["a b"], []):
+        chunks, starts, stops = encoder.cut_texts(some)
+        of = chunks.to_pylist()
+        want = [[c if isinstance(c, str) else "\n" + c[0] for c in encoder.chunks(t)] for t in some]
+        assert [[c for c in of[a:b] if c] for a, b in zip(starts, stops)] == want
+        words, order, sizes = encoder.words_of(chunks)
+        words, at, got = words.to_pylist(), 0, {}
+        for k, n in zip(order.tolist(), sizes.tolist()):
+            got[k], at = words[at:at + n], at + n
+        assert [[w for k in range(a, b) for w in got[k]] for a, b in zip(starts, stops)] == [encoder.words(t) for t in some]
+
+
+def test_a_word_is_looked_up_once_whatever_stands_beside_it(tmp_path, monkeypatch, library):
+    texts = ["abc, x", "abc. x", "(abc) x", "abc", "x-abc"]
+    got, asked = run_task(tmp_path, monkeypatch, ["abc", "x", ",", ".", "(", ")", "-"], texts, rows=1)
+    assert [r["ids"] for r in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert asked.count(b"abc") == asked.count(b"x") == 1
+
+
+def test_a_task_counts_a_word_once_over_many_others():
+    import pyarrow as pa
+    texts = [" ".join(["the", *(f"w{i}" for i in range(k, k + 1000)), "The."]) for k in range(100_000, 400_000, 1000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([t.encode() for t in texts[k:k + 100]], pa.binary())], ["text"])
+               for k in range(0, len(texts), 100)]
+    rows = [(r["word"], r["n"]) for b in bpe._count_words(PATH)(iter(batches)) for r in b.to_pylist()]
+    assert sorted(rows) == sorted([("the", 600), (".", 300), ("w", 300_000), *((str(d), n) for d, n in _digits().items())])
+
+
+def _digits():
+    from collections import Counter
+    return Counter(d for i in range(100_000, 400_000) for d in str(i))
+
+
+@pytest.mark.parametrize("size", [1, 40, 1 << 20])
+def test_slices_by_bytes(tmp_path, monkeypatch, library, size):
+    monkeypatch.setattr(bpe, "SLICE_BYTES", size)
+    texts = ["", "one two", "", "three " * 30, "", "<|endoftext|> four", " ", "five\u00a0six"]
+    got, _ = run_task(tmp_path, monkeypatch, ["one", "three", "six"], texts, rows=3)
+    for r, t in zip(got, texts, strict=True):
+        ids = library.encode(t, add_special_tokens=False).ids
+        assert r["ids"] == ids and r["n_tokens"] == len(ids)
+        assert r["decoded"] == library.decode(ids, skip_special_tokens=False)
+        assert r["decoded_sha256"] == hashlib.sha256(r["decoded"].encode()).hexdigest()
