@@ -35,8 +35,8 @@ LEXICON_WORDS = 200_000
 #: younger is full.
 MEMO_BYTES = 32_000_000
 #: Bytes of texts that a task encodes at once, and that it gathers to count their words.
-SLICE_BYTES = 4_000_000
-GATHER_BYTES = 12_000_000
+SLICE_BYTES = 1_500_000
+GATHER_BYTES = 4_000_000
 #: What an entry takes besides its text and ids.
 ENTRY_BYTES = 180
 #: Words of at most ``SHORT`` symbols are merged ``TOGETHER`` at a time.
@@ -527,25 +527,28 @@ def _encode(path: str, lexicon_file: str, full: bool):
             out = joined(values.take(pa.array(flat)), ends).take(places)
             return memoryview(out.buffers()[2] or b""), offsets_of(out)
 
-        for batch in batches:
-            for piece in slices_of(batch, SLICE_BYTES):
-                starts, stops, places, flat, ends = cut(_texts(piece, piece.num_columns - 1))
-                before = np.concatenate([[0], np.cumsum(np.diff(ends, prepend=0)[places])])
-                columns = [pa.array(before[stops] - before[starts], pa.int64())]
-                places = pa.array(places)
-                for values in (numbers, tokens):
-                    data, at = dealt(values, flat, ends, places)
-                    bounds = list(zip((at[starts] + 1).tolist(), at[stops].tolist()))  # without the first space
-                    columns.append(pa.array([hashlib.sha256(data[a:b]).hexdigest() for a, b in bounds], pa.string()))
-                    if full:
-                        columns.append(pa.array([bytes(data[a:b]).decode("utf-8") for a, b in bounds], pa.string()))
+        def encoded(piece):
+            starts, stops, places, flat, ends = cut(_texts(piece, piece.num_columns - 1))
+            before = np.concatenate([[0], np.cumsum(np.diff(ends, prepend=0)[places])])
+            columns = [pa.array(before[stops] - before[starts], pa.int64())]
+            places = pa.array(places)
+            for values in (numbers, tokens):
+                data, at = dealt(values, flat, ends, places)
+                bounds = list(zip((at[starts] + 1).tolist(), at[stops].tolist()))  # without the first space
+                columns.append(pa.array([hashlib.sha256(data[a:b]).hexdigest() for a, b in bounds], pa.string()))
                 if full:
-                    n, ids, numerals, text, decoded = columns
-                    numerals = [[int(i) for i in t.split()] for t in numerals.to_pylist()]
-                    columns = [n, ids, text, pa.array(numerals, pa.list_(pa.int32())), decoded]
-                names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][:len(columns)]
-                yield pa.RecordBatch.from_arrays(
-                    [*piece.columns[:-1], *columns], piece.schema.names[:-1] + names)
+                    columns.append(pa.array([bytes(data[a:b]).decode("utf-8") for a, b in bounds], pa.string()))
+                data = at = None
+            if full:
+                n, ids, numerals, text, decoded = columns
+                numerals = [[int(i) for i in t.split()] for t in numerals.to_pylist()]
+                columns = [n, ids, text, pa.array(numerals, pa.list_(pa.int32())), decoded]
+            names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][:len(columns)]
+            return pa.RecordBatch.from_arrays(
+                [*piece.columns[:-1], *columns], piece.schema.names[:-1] + names)
+
+        for batch in batches:
+            yield from map(encoded, slices_of(batch, SLICE_BYTES))
     return run
 
 
