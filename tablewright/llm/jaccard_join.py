@@ -48,6 +48,8 @@ GROUPS = 64
 #: Frequent shingles that are put last in the order; only speed depends on the order.
 FREQUENT = 100_000
 FREQUENT_LEAST = 16
+#: Bytes of texts that are cut into shingles at once.
+PIECE_BYTES = 1 << 20
 #: Shingles a task gathers before it counts them.
 WINDOW = 2_000_000
 #: Rows of a frequent shingle's cell that one task sorts.
@@ -60,57 +62,121 @@ BLOOM_IDS = 1 << 24
 
 # --- shingle sets -------------------------------------------------------------------------
 
-class Shingler:
-    """Texts (UTF-8 bytes) to sorted arrays of distinct shingle hashes."""
+def _pieces(batch):
+    """A batch (.., text) in pieces of at most ``BATCH_ROWS`` rows, cut where ``PIECE_BYTES`` of texts are full."""
+    import numpy as np
+    import pyarrow.compute as pc
+    for piece in slices(batch):
+        size = pc.binary_length(piece.column(piece.num_columns - 1)).to_numpy().astype(np.int64)
+        full = (np.cumsum(size) - size) // PIECE_BYTES
+        cuts = [0, *(np.flatnonzero(full[1:] != full[:-1]) + 1).tolist(), piece.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            yield piece.slice(a, b - a)
 
-    def __init__(self):
-        import xxhash
-        digest = xxhash.xxh3_64_intdigest
 
-        class Words(dict):
-            def __missing__(self, word):
-                code = digest(word)
-                if len(word) <= MEMO_LENGTH:
-                    if len(self) > 100_000:
-                        self.clear()
-                    self[word] = code
-                return code
+def _mixed(codes):
+    """64-bit codes mixed in place, one to one."""
+    import numpy as np
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        codes ^= codes >> np.uint64(shift)
+        codes *= np.uint64(factor)
+    codes ^= codes >> np.uint64(31)
+    return codes
 
-        self.words, self.digest = Words(), digest
 
-    def __call__(self, text: bytes):
-        import numpy as np
-        words = text.lower().split()  # bytes: lower-cases A-Z only
-        if len(words) < SHINGLE:
-            return np.array([self.digest(b" ".join(words))] if words else [], np.uint64)
-        codes = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
-        n = len(codes) - SHINGLE + 1
-        out = codes[:n].copy()
-        for k in range(1, SHINGLE):
-            out *= np.uint64(0x9E3779B97F4A7C15)
-            out ^= out >> np.uint64(29)
-            out += codes[k:k + n]
-        out *= np.uint64(0xBF58476D1CE4E5B9)
-        out ^= out >> np.uint64(32)
-        return np.unique(out)
-
-
-def _digest(values) -> tuple[int, int]:
-    """128 bits of a set's content, as two signed longs."""
+def _words(data, borders):
+    """(starts, ends, words before each border) of the words of texts that lie one after the other."""
+    import numpy as np
+    filled = (data != 32) & (data - np.uint8(9) > 4)
+    first, last = filled.copy(), filled.copy()
+    first[1:] &= ~filled[:-1]
+    last[:-1] &= ~filled[1:]
+    inner = borders[(borders > 0) & (borders < len(data))]  # a word ends with its text
+    first[inner], last[inner - 1] = filled[inner], filled[inner - 1]
+    starts = np.flatnonzero(first)
+    return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, borders)
+
+
+def _word_codes(data, starts, ends):
+    """64-bit hashes of words, eight bytes of all of them at a time; long words are hashed one by one."""
+    import numpy as np
+    import xxhash
+    eight = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    masks = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    sizes = ends - starts
+    codes = sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    left = np.flatnonzero(sizes <= MEMO_LENGTH)
+    for done in range(0, MEMO_LENGTH, 8):
+        codes[left] = _mixed(codes[left] ^ (eight[starts[left] + done] & masks[np.minimum(sizes[left] - done, 8)]))
+        left = left[sizes[left] > done + 8]
+        if not len(left):
+            break
+    for k in np.flatnonzero(sizes > MEMO_LENGTH).tolist():
+        codes[k] = xxhash.xxh3_64_intdigest(data[starts[k]:ends[k]])
+    return codes
+
+
+def shingle_sets(texts):
+    """Texts (an Arrow array of UTF-8 bytes) to (values, borders): the distinct shingle hashes of text k, in
+    order, are values[borders[k]:borders[k + 1]]."""
+    import numpy as np
+    import pyarrow as pa
+    import xxhash
+    texts = texts.cast(pa.large_binary())
+    _, at, raw = texts.buffers()
+    at = np.frombuffer(at, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(raw or b"", np.uint8)[at[0]:at[-1]]
+    data = data + (data - np.uint8(65) < 26) * np.uint8(32)  # lower-cases A-Z only
+    starts, ends, before = _words(data, at - at[0])
+    codes = _word_codes(data, starts, ends)
+
+    n = max(len(codes) - SHINGLE + 1, 0)
+    out = codes[:n].copy()
+    inside = np.ones(n, bool)
+    for k in range(1, SHINGLE):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+        out += codes[k:k + n]
+        over = before[1:] - k  # shingles that begin here reach into the next text
+        inside[over[(over >= 0) & (over < n)]] = False
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    out ^= out >> np.uint64(32)
+
+    words = np.diff(before)
+    brief = np.flatnonzero((words > 0) & (words < SHINGLE))
+    sizes = np.maximum(words - SHINGLE + 1, 0)
+    sizes[brief] = 1
+    edges = np.concatenate([[0], np.cumsum(sizes)])
+    values, long = np.empty(edges[-1], np.uint64), np.ones(edges[-1], bool)
+    long[edges[brief]] = False
+    values[long] = out[inside]
+    for k in brief.tolist():
+        values[edges[k]] = xxhash.xxh3_64_intdigest(
+            b" ".join(data[starts[w]:ends[w]].tobytes() for w in range(before[k], before[k + 1])))
+    for a, b in zip(edges.tolist(), edges[1:].tolist()):
+        values[a:b].sort()
+    fresh = np.ones(len(values), bool)
+    fresh[1:] = values[1:] != values[:-1]
+    fresh[edges[:-1][sizes > 0]] = True
+    return values[fresh], np.concatenate([[0], np.cumsum(fresh)])[edges]
+
+
+def _digest(values) -> bytes:
+    """128 bits of a set's content."""
     import xxhash
-    raw = xxhash.xxh3_128_digest(values.tobytes())
-    return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
+    return xxhash.xxh3_128_digest(values)
 
 
 def _survey(batches):
     """Rows (kind, a, b, c, d): 0: id, digest, digest, size; 1: shingle, count."""
     import numpy as np
     import pyarrow as pa
-    shingles, held, total, seen = Shingler(), [], 0, set()
+    held, total, seen = [], 0, set()
 
     def batch(kind, a, b, c, d):
         return pa.RecordBatch.from_arrays(
-            [pa.array([kind] * len(a), pa.int32()), *[pa.array(x, pa.int64()) for x in (a, b, c, d)]],
+            [pa.array(np.full(len(a), kind, np.int32)),
+             *[x if isinstance(x, pa.Array) else pa.array(x, pa.int64()) for x in (a, b, c, d)]],
             ["kind", "a", "b", "c", "d"])
 
     def counted():
@@ -122,17 +188,18 @@ def _survey(batches):
         return batch(1, values, counts[often], np.zeros_like(values), np.zeros_like(values))
 
     for whole in batches:
-        for piece in slices(whole):
-            rows = []
-            for i, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
-                values = shingles(text)
-                key = _digest(values)
-                rows.append((i, *key, len(values)))
-                if len(values) and key not in seen:
+        for piece in _pieces(whole):
+            values, borders = shingle_sets(piece.column(1))
+            keys, edges = [], borders.tolist()
+            for a, b in zip(edges, edges[1:]):
+                key = _digest(values[a:b])
+                keys.append(key)
+                if a < b and key not in seen:
                     seen.add(key)
-                    held.append(values)
-                    total += len(values)
-            yield batch(0, *zip(*rows))
+                    held.append(values[a:b].copy())
+                    total += b - a
+            halves = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
+            yield batch(0, piece.column(0), halves[:, 0], halves[:, 1], np.diff(borders))
             if total > WINDOW:
                 yield counted()
                 total = 0
@@ -145,12 +212,14 @@ def prefix_size(n: int) -> int:
     return n - -(-4 * n // 5) + 1
 
 
-def counts_of(values):
-    """The point of a set; a coordinate over 254 makes all of them 255, meaning unbounded."""
+def points_of(values, borders):
+    """The points of sets; a coordinate over 254 makes all of its point's 255, meaning unbounded."""
     import numpy as np
+    n = len(borders) - 1
     groups = (values >> np.uint64(40)).astype(np.int64) % GROUPS
-    counts = np.bincount(groups, minlength=GROUPS)
-    return np.full(GROUPS, 255, np.uint8) if counts.max(initial=0) > 254 else counts.astype(np.uint8)
+    counts = np.bincount(np.repeat(np.arange(n), np.diff(borders)) * GROUPS + groups, minlength=n * GROUPS).reshape(n, GROUPS)
+    counts[(counts > 254).any(axis=1)] = 255
+    return counts.astype(np.uint8)
 
 
 def _cells(frequent):
@@ -158,39 +227,56 @@ def _cells(frequent):
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        shingles, seen = Shingler(), set()
+        seen = set()
         hot, hot_counts = frequent.value
+        top = np.zeros(1 << 20, bool)  # the first 20 bits of all frequent shingles
+        top[hot >> np.uint64(44)] = True
+
+        def often_of(values):
+            often = np.zeros(len(values), np.int64)
+            may = np.flatnonzero(top[values >> np.uint64(44)])
+            if len(may):
+                at = np.minimum(np.searchsorted(hot, values[may]), len(hot) - 1)
+                often[may] = np.where(hot[at] == values[may], hot_counts[at], 0)
+            return often
+
         for whole in batches:
-            for piece in slices(whole):
-                rows = []
-                for i, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
-                    values = shingles(text)
-                    if i is None or not len(values):
+            for piece in _pieces(whole):
+                values, borders = shingle_sets(piece.column(1))
+                often, edges = often_of(values), borders.tolist()
+                rows, orders = [], []
+                for k, i in enumerate(piece.column(0).to_pylist()):
+                    a, b = edges[k:k + 2]
+                    if i is None or a == b:
                         continue
-                    key = _digest(values)
+                    key = _digest(values[a:b])
                     if key in seen:  # an equal set of this task stands for it
                         continue
                     if len(seen) > 200_000:
                         seen.clear()
                     seen.add(key)
-                    often = np.zeros(len(values), np.int64)
-                    if len(hot):
-                        at = np.minimum(np.searchsorted(hot, values), len(hot) - 1)
-                        often = np.where(hot[at] == values, hot_counts[at], 0)
-                    order = np.lexsort((values, often))[:prefix_size(len(values))]
-                    parts = often[order] // SALT_ROWS + 1
-                    salts = np.where(parts > 1, 1 + (i * 0x9E3779B1 % (1 << 31)) % parts, 0)
-                    rows.append((i, len(values), counts_of(values).tobytes(),
-                                 values[order].view(np.int64), salts.astype(np.int32)))
+                    rows.append(k)  # the values are in order: ties keep it
+                    orders.append(a + np.argsort(often[a:b], kind="stable")[:prefix_size(b - a)])
                 if rows:
-                    i, n, counts, cells, salts = zip(*rows)
+                    ends = np.concatenate([[0], np.cumsum([len(o) for o in orders])])
+                    order = np.concatenate(orders)
+                    ids = piece.column(0).take(pa.array(rows))
+                    spread = ids.to_numpy().astype(np.uint64) * np.uint64(0x9E3779B1) % np.uint64(1 << 31)
+                    parts = often[order] // SALT_ROWS + 1
+                    salts = np.where(parts > 1, 1 + np.repeat(spread.astype(np.int64), np.diff(ends)) % parts, 0)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(i, pa.int64()), pa.array(n, pa.int32()), pa.array(counts, pa.binary()),
-                         pa.array(list(cells), pa.list_(pa.int64())), pa.array(list(salts), pa.list_(pa.int32()))],
+                        [ids, pa.array(np.diff(borders)[rows], pa.int32()),
+                         pa.array([p.tobytes() for p in points_of(values, borders)[rows]], pa.binary()),
+                         _lists(ends, values[order].view(np.int64)), _lists(ends, salts.astype(np.int32))],
                         ["id", "n", "counts", "cells", "salts"])
     return run
 
 
+def _lists(ends, values):
+    import pyarrow as pa
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
+
 def may_link(n, pos, m, other):
     """Whether sets of sizes n, m may link if the shingle at these places of their orders is the
     first they share: their sizes are near, and enough shingles are left from it on."""
@@ -291,12 +377,12 @@ def _of_ids(rows: DataFrame, ids: DataFrame, schema: str) -> DataFrame:
 
 def _sets(batches):
     """(id, text) -> (id, sorted shingles)."""
+    import numpy as np
     import pyarrow as pa
-    shingles = Shingler()
     for whole in batches:
-        for piece in slices(whole):
-            values = [shingles(t).view("int64") for t in piece.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(values, pa.list_(pa.int64()))], ["id", "values"])
+        for piece in _pieces(whole):
+            values, borders = shingle_sets(piece.column(1))
+            yield pa.RecordBatch.from_arrays([piece.column(0), _lists(borders, values.view(np.int64))], ["id", "values"])
 
 
 def _known(bits):
